@@ -27,7 +27,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 #: Remainders are packed together in groups of about so many tokens.
 GROUP_TOKENS = 1 << 20
 #: A worker remembers the ids of so many words; then it forgets them all.
-_REMEMBERED = 400_000
+_REMEMBERED = 1_000_000
+_PART = "\x01"
 
 _workers: dict[str, tuple[object, dict[bytes, bytes]]] = {}
 
@@ -49,23 +50,51 @@ def _tokenizer(path: str) -> tuple[object, dict[bytes, bytes]]:
     return _workers[path]
 
 
+def _encode(tokenizer, words: list[bytes]) -> list[bytes]:
+    """The ids of words without white space, many in one call: a control character that stands alone is one id and parts them."""
+    (mark,) = tokenizer.encode(_PART, add_special_tokens=False).ids
+    out = []
+    for at in range(0, len(words), 256):
+        some = [w.decode() for w in words[at : at + 256]]
+        if any(_PART in w for w in some):
+            out += [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            continue
+        ids = np.array(tokenizer.encode_batch_fast([f" {_PART} ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+        edges = [-1, *np.flatnonzero(ids == mark).tolist(), len(ids)]
+        data = ids.tobytes()
+        out += [data[4 * (a + 1) : 4 * b] for a, b in zip(edges, edges[1:], strict=False)]
+    return out
+
+
+def _learn(tokenizer, known: dict[bytes, bytes], new: set[bytes]) -> None:
+    """Adds the ids of new words. A word of letters and the stops after it are tokenized apart, as the vocabulary does."""
+    split, stems = {}, set()
+    for word in new:
+        stem = word.rstrip(b".,")
+        if stem and len(stem) < len(word) and stem.decode()[-1].isalpha():
+            split[word] = (stem, word[len(stem) :])
+            stems.update(split[word])
+        else:
+            stems.add(word)
+    order = [w for w in stems if w not in known]
+    known.update(zip(order, _encode(tokenizer, order), strict=True))
+    for word, (stem, stops) in split.items():
+        known[word] = known[stem] + known[stops]
+
+
 def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit numbers, without the end id.
 
-    The vocabulary drops white space and never joins across it, so a text's ids are those of its parts between ASCII
-    white space; parts seen before are looked up."""
+    The vocabulary knows lower case only, drops white space and never joins across it, so a text's ids are those of its
+    parts between ASCII white space, in lower case; parts seen before are looked up."""
     tokenizer, known = _tokenizer(path)
-    parts = [(t or "").encode().split() for t in texts]
+    parts = [(t or "").encode().lower().split() for t in texts]
     new = set().union(*parts) - known.keys() if parts else set()
     if new:
         if len(known) + len(new) > _REMEMBERED:
             known.clear()
             new = set().union(*parts)
-        order = list(new)
-        for at in range(0, len(order), 20_000):
-            some = order[at : at + 20_000]
-            for word, found in zip(some, tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                known[word] = np.array(found.ids, "<u4").tobytes()
+        _learn(tokenizer, known, new)
     return [b"".join(map(known.__getitem__, p)) for p in parts]
 
 
