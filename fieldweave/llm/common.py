@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 #: The word pattern of the text operators: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _PACKAGE = Path(__file__).resolve().parent.parent
 
 
@@ -41,8 +44,11 @@ def as_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Lets Python workers import this package wherever they run; once per application."""
+    """Lets Python workers import this package wherever they run, and keeps Arrow batches, whose rows hold whole texts,
+    at BATCH_ROWS rows if the session has set no number of its own."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     if getattr(context, "_fieldweave_shipped", False):
         return
     folder = Path(tempfile.mkdtemp(prefix="spark-pyfiles-"))
