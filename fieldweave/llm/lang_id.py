@@ -23,6 +23,8 @@ UNDETERMINED = "und"
 MOST_ROWS, MOST_LANGUAGES = 1500, 200
 WINDOW, DEPTH, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
 EPOCHS, BATCH, RATE = 6, 128, 0.01
+#: Small samples are gone through more often, for so many steps at least.
+LEAST_STEPS = 150
 
 _SPACE = b"".join(bytes([b]) if chr(b).isalpha() or b >= 128 else b" " for b in range(256)).lower()
 
@@ -76,6 +78,7 @@ class Network:
         mean, square, step = {n: 0.0 for n in names}, {n: 0.0 for n in names}, 0
         share = len(y) / np.maximum(1, np.bincount(y, minlength=len(self.languages))) / len(self.languages)
         widest = max(WIDTHS)
+        epochs = max(epochs, -(-LEAST_STEPS // -(-len(x) // BATCH)))
         for epoch in range(epochs):
             order = draw.permutation(len(x))
             for at in range(0, len(order), BATCH):
