@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -24,9 +25,9 @@ from pyspark.sql import functions as F
 from .common import as_table, fold, ship_package
 
 FOLDS, HELD_OUT_FOLD = 5, 1
-ITERATIONS = 3
-#: Words of a bucket, on average.
-BUCKET_WORDS = 1 << 17
+ITERATIONS = 2
+#: Buckets of words, at least, and words of a bucket, on average, at most.
+BUCKETS, BUCKET_WORDS = 32, 1 << 18
 #: Distinct words that a task counts before it sends them on.
 _COUNTED = 400_000
 #: Pseudo-count of each piece.
@@ -113,10 +114,13 @@ class Lattice:
         if expected is not None:
             back = np.full((width + 1, len(text)), -np.inf)
             back[width] = 0
+            used, weights = [], []
             for i, j, rows, piece in reversed(edges):
                 through = logp[piece] + back[j, rows]
                 back[i, rows] = np.logaddexp(back[i, rows], through)
-                np.add.at(expected, piece, np.exp(ahead[i, rows] + through - ahead[width, rows]) * counts[rows])
+                used.append(piece)
+                weights.append(np.exp(ahead[i, rows] + through - ahead[width, rows]) * counts[rows])
+            expected += np.bincount(np.concatenate(used), np.concatenate(weights), len(expected))
         return ahead[width]
 
     def words(self, words: list[bytes], logp: np.ndarray, expected: np.ndarray | None = None, counts: np.ndarray | None = None) -> np.ndarray:
@@ -208,31 +212,47 @@ def _doc_rows(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.Data
 
 def _meet(batches: Iterator[pd.DataFrame], train: int, distinct: int, path: str, logp: np.ndarray) -> Iterator[pd.DataFrame]:
     """Rows sorted by bucket, words before documents: partial sums of each document."""
-    lattice, bucket, known, news = Lattice.of(path), None, {}, {}
-    unseen = (0, float(np.log10(0.5 / (train + 0.5 * (distinct + 1)))))
+    lattice, bucket = Lattice.of(path), None
+    known: dict[bytes, int] = {}  # word to its place in facts
+    facts = np.zeros((0, 3))  # seen in training, base, log probability
+    total = train + 0.5 * (distinct + 1)
+
+    def learn(words: list[bytes], new: np.ndarray) -> None:
+        nonlocal facts
+        known.update(zip(words, range(len(facts), len(facts) + len(words)), strict=True))
+        facts = np.concatenate([facts, new])
+
     for pdf in batches:
-        docs, hashes, tokens, seen, base, score = [], [], [], [], [], []
-        for at, doc, text_hash, words, n, lp, counts in zip(pdf["bucket"], pdf["doc"], pdf["text_hash"], pdf["words"], pdf["n"], pdf["logp"], pdf["counts"], strict=True):
-            if at != bucket:
-                bucket, known, news = at, {}, {}
-            if counts is None:
-                known[bytes(words)] = (1, float(np.log10((n + 0.5) / (train + 0.5 * (distinct + 1)))), lp)
+        is_doc = pdf["counts"].notna().to_numpy()
+        edges = np.flatnonzero(np.diff(pdf["bucket"].to_numpy()) != 0) + 1
+        for part, docs in zip([pdf.iloc[a:b] for a, b in zip([0, *edges], [*edges, len(pdf)], strict=True)], np.split(is_doc, edges), strict=True):
+            if not len(part):
+                continue
+            if part["bucket"].iloc[0] != bucket:
+                bucket, facts = part["bucket"].iloc[0], facts[:0]
+                known.clear()
+            own = part[~docs]
+            if len(own):
+                learn([bytes(w) for w in own["words"]], np.column_stack([np.ones(len(own)), np.log10((own["n"].to_numpy() + 0.5) / total), own["logp"].to_numpy()]))
+            some = part[docs]
+            if not len(some):
                 continue
-            k = np.frombuffer(counts, np.uint32).astype(np.int64)
-            own = bytes(words).split(b" ")
-            if fresh := [w for w in own if w not in known and w not in news]:
-                if len(news) > _COUNTED:
-                    news = {w: news[w] for w in own if w in news}
-                for w, x in zip(fresh, lattice.words(fresh, logp), strict=True):
-                    news[w] = (*unseen, x)
-            found = np.array([known.get(w) or news[w] for w in own])
-            docs.append(doc)
-            hashes.append(text_hash)
-            tokens.append(int(k.sum()))
-            seen.append(int((k * found[:, 0]).sum()))
-            base.append(float((k * found[:, 1]).sum()))
-            score.append(float((k * found[:, 2]).sum()))
-        yield pd.DataFrame({"doc": np.array(docs, np.int64), "text_hash": np.array(hashes, np.int64), "n_tokens": np.array(tokens, np.int64), "n_known": np.array(seen, np.int64), "base": np.array(base, float), "score": np.array(score, float)})
+            words = b" ".join(some["words"]).split(b" ")
+            counts = np.frombuffer(b"".join(some["counts"]), np.uint32).astype(np.float64)
+            starts = np.cumsum([0, *(len(c) // 4 for c in some["counts"])])[:-1]
+            at = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+            if len(unknown := np.flatnonzero(at < 0)):
+                fresh = list({words[i] for i in unknown})
+                if len(known) + len(fresh) > 4 * BUCKET_WORDS:  # words that training lacks are scored again when they return
+                    trained = int(facts[:, 0].sum())
+                    for w in [w for w, i in known.items() if i >= trained]:
+                        del known[w]
+                    facts = facts[:trained]
+                    fresh = list({w for w in words if w not in known})
+                learn(fresh, np.column_stack([np.zeros(len(fresh)), np.full(len(fresh), np.log10(0.5 / total)), lattice.words(fresh, logp)]))
+                at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+            sums = np.add.reduceat(facts[at] * counts[:, None], starts)
+            yield pd.DataFrame({"doc": some["doc"].to_numpy(), "text_hash": some["text_hash"].to_numpy(), "n_tokens": np.add.reduceat(counts, starts).astype(np.int64), "n_known": sums[:, 0].round().astype(np.int64), "base": sums[:, 1], "score": sums[:, 2]})
 
 
 def score(docs: DataFrame, vocabulary: str | None = None, iterations: int = ITERATIONS, bucket_words: int = BUCKET_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -252,7 +272,7 @@ def score(docs: DataFrame, vocabulary: str | None = None, iterations: int = ITER
     v, n = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     train, distinct = n + ends, v + (ends > 0)
     logp, end = fit(words, ends, path, iterations)
-    buckets = max(1, -(-v // bucket_words))
+    buckets = max(BUCKETS, -(-v // bucket_words))
     schema = "bucket int, doc long, text_hash long, words binary, n long, logp double, counts binary"
     # Rows that share an id are told apart by their texts; equal rows have equal scores.
     key = ("doc", "text_hash")
