@@ -58,3 +58,18 @@ def consistent(storms: DataFrame, wind: str = "wind_a") -> DataFrame:
         top = F.array_max(F.filter(name, lambda r: r.isNotNull()))
         out = out.withColumn("rmw", F.when((F.col(wind) >= threshold) & top.isNotNull(), F.least("rmw", top)).otherwise(F.col("rmw")))
     return out
+
+
+def disc_raster(points: DataFrame, value: str, radius_km: float, cell: float) -> DataFrame:
+    """On a grid of `cell` degrees: the greatest value and the Gaussian sum of the points whose disc holds the cell.
+
+    A point is sent to the latitude bands that its disc can touch and meets the cells of these bands only."""
+    spark, reach = points.sparkSession, int(radius_km / 110.0 / cell) + 1
+    bands = spark.range(0, int(180 / cell) + 1).select(F.col("id").alias("band"))
+    grid = bands.select("band", F.explode(F.sequence(F.lit(0), F.lit(int(360 / cell) - 1))).alias("column"))
+    grid = grid.select("band", (F.col("band") * cell - 90).alias("cell_lat"), (F.col("column") * cell).cast("double").alias("cell_lon"))
+    own = F.round((F.col("lat") + 90) / cell).cast("long")
+    sent = points.withColumn("band", F.explode(F.sequence(own - reach, own + reach)))
+    d = distance_km(F.col("cell_lat"), F.col("cell_lon"), F.col("lat"), F.col("lon"))
+    near = sent.join(grid, "band").withColumn("d", d).where(F.col("d") < radius_km)
+    return near.groupBy("cell_lat", "cell_lon").agg(F.max(value).alias("greatest"), F.sum(F.exp(-F.col("d") * F.col("d") / (2 * radius_km * radius_km))).alias("gaussian"))

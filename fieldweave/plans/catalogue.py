@@ -248,6 +248,23 @@ def consistent_storms(spark, sf_dir):
     return found.select("sid", "fix", "rmw", *[F.element_at(r, i).alias(f"{r}_{i}") for i in (1, 2, 3, 4) for r in ("r34", "r50", "r64")])
 
 
+@query(f"""WITH {FIXES}, grid AS (SELECT (b * 10 - 90)::DOUBLE AS cell_lat, (c * 10)::DOUBLE AS cell_lon FROM range(0, 19) t(b), range(0, 36) u(c)),
+near AS (SELECT *, {geo.DISTANCE.format(lat0='cell_lat', lon0='cell_lon', lat1='lat', lon1='lon')} AS d FROM grid JOIN fixes ON abs(cell_lat - lat) <= 12)
+SELECT cell_lat, cell_lon, max(wind) AS greatest, round(sum(exp(-d * d / (2 * 1000.0 * 1000.0))), 6) AS gaussian FROM near WHERE d < 1000.0 GROUP BY 1, 2""")
+def disc_raster(spark, sf_dir):
+    found = cyclones.disc_raster(fixes(spark, sf_dir), "wind", 1000.0, 10.0)
+    return found.select("cell_lat", "cell_lon", "greatest", *_rounded("gaussian"))
+
+
+@query(f"""WITH {FIELD}, p AS (SELECT event_id, cos(radians(lat)) * cos(radians(lon)) AS x, cos(radians(lat)) * sin(radians(lon)) AS y, sin(radians(lat)) AS z, lat AS was FROM field WHERE abs(lat) < 90)
+SELECT event_id, round(degrees(asin(z)), 6) + 0.0 AS lat, round((degrees(atan2(y, x)) + 360 + 1e-9) % 360, 6) + 0.0 AS lon FROM p""")
+def positions_back(spark, sf_dir):
+    rows = field(spark, sf_dir).where("abs(lat) < 90")
+    x, y, z = geo.cartesian(F.col("lat"), F.col("lon"))
+    lat, lon = geo.latlon(x, y, z)
+    return rows.select("event_id", (F.round(lat, 6) + 0.0).alias("lat"), (F.round((lon + 1e-9) % 360, 6) + 0.0).alias("lon"))
+
+
 # ------------------------------------------------------------------ campaign
 
 
