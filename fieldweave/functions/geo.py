@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,3 +63,55 @@ def bit_round(x: Column, keep: int) -> Column:
     """x to `keep` bits after the leading one."""
     unit = F.pow(F.lit(2.0), F.floor(F.log2(F.abs(x))) - keep)
     return F.when(x == 0, F.lit(0.0)).otherwise(F.rint(x / unit) * unit)
+
+
+def fractional_year(ts: Column) -> Column:
+    """The year and the share of it that has gone by."""
+    days = F.dayofyear(F.make_date(F.year(ts), F.lit(12), F.lit(31)))
+    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.year(ts) + (F.dayofyear(ts) - 1 + seconds / 86400) / days
+
+
+def polar_weight(lat: Column, step: float) -> Column:
+    """Area of a cell of `step` degrees on a grid with rows at the poles, not scaled."""
+    half = math.radians(step / 2)
+    return F.when(F.abs(lat) == 90, math.sin(half / 2) ** 2).otherwise(F.cos(F.radians(lat)) * math.sin(half))
+
+
+#: Half axis in metres and flattening of the WGS84 ellipsoid.
+WGS84 = (6378137.0, 1 / 298.257223563)
+
+
+def _inverse_km(lat0, lon0, lat1, lon1, axis: float, flat: float, rounds: int = 200):
+    """Vincenty's inverse solution, vectorised. Points that are almost opposite may end at the last iterate."""
+    u0, u1 = (np.arctan((1 - flat) * np.tan(np.radians(x))) for x in (lat0, lat1))
+    apart = np.radians((lon1 - lon0 + 180) % 360 - 180)
+    lam = apart
+    for _ in range(rounds):
+        across = np.cos(u0) * np.sin(u1) - np.sin(u0) * np.cos(u1) * np.cos(lam)
+        sin_s = np.hypot(np.cos(u1) * np.sin(lam), across)
+        cos_s = np.sin(u0) * np.sin(u1) + np.cos(u0) * np.cos(u1) * np.cos(lam)
+        s = np.arctan2(sin_s, cos_s)
+        sin_a = np.divide(np.cos(u0) * np.cos(u1) * np.sin(lam), sin_s, out=np.zeros_like(s), where=sin_s != 0)
+        cos2_a = 1 - sin_a**2
+        mid = np.where(cos2_a > 1e-15, cos_s - 2 * np.sin(u0) * np.sin(u1) / np.maximum(cos2_a, 1e-15), 0.0)
+        c = flat / 16 * cos2_a * (4 + flat * (4 - 3 * cos2_a))
+        new = apart + (1 - c) * flat * sin_a * (s + c * sin_s * (mid + c * cos_s * (2 * mid**2 - 1)))
+        new = np.clip(new, -np.pi, np.pi)
+        if np.all(np.abs(new - lam) < 1e-13):
+            break
+        lam = new
+    k = cos2_a * (2 * flat - flat**2) / (1 - flat) ** 2
+    a = 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k)))
+    b = k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
+    delta = b * sin_s * (mid + b / 4 * (cos_s * (2 * mid**2 - 1) - b / 6 * mid * (4 * sin_s**2 - 3) * (4 * mid**2 - 3)))
+    return axis * (1 - flat) * a * (s - delta) / 1000
+
+
+def ellipsoid_km(lat0: str, lon0: str, lat1: str, lon1: str, ellipsoid: tuple[float, float] = WGS84) -> Column:
+    """Geodesic distance on an ellipsoid; the iteration needs Arrow batches. distance_km() is its built-in form on the sphere."""
+    @F.pandas_udf("double")
+    def distance(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
+        return pd.Series(_inverse_km(*(x.to_numpy(float) for x in (a, b, c, d)), *ellipsoid))
+
+    return distance(*[F.col(c).cast("double") for c in (lat0, lon0, lat1, lon1)])

@@ -1 +1 @@
-"""Operators on fields, graphs and cyclone tracks."""
+"""Operators on fields, graphs, meshes, positions on the sphere, cyclone tracks and whole trackers."""

@@ -73,3 +73,16 @@ def disc_raster(points: DataFrame, value: str, radius_km: float, cell: float) ->
     d = distance_km(F.col("cell_lat"), F.col("cell_lon"), F.col("lat"), F.col("lon"))
     near = sent.join(grid, "band").withColumn("d", d).where(F.col("d") < radius_km)
     return near.groupBy("cell_lat", "cell_lon").agg(F.max(value).alias("greatest"), F.sum(F.exp(-F.col("d") * F.col("d") / (2 * radius_km * radius_km))).alias("gaussian"))
+
+
+def nearby(fixes: DataFrame, radius_km: float) -> DataFrame:
+    """For each fix: how many other tracks' fixes of the same step lie within the radius, and whether one has more wind.
+
+    Fixes meet by step and band of latitude."""
+    height = radius_km / 110.0
+    band = F.floor((F.col("lat") + 90) / height).cast("long")
+    here = fixes.select("track_id", "step", "lat", "lon", "wind", F.explode(F.array(band - 1, band, band + 1)).alias("_band"))
+    there = fixes.select(F.col("track_id").alias("_id"), "step", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.col("wind").alias("_wind"), band.alias("_band"))
+    met = here.join(there, ["step", "_band"]).where((F.col("track_id") != F.col("_id")) & (distance_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")) < radius_km))
+    counts = met.groupBy("track_id", "step").agg(F.bool_or(F.col("_wind") > F.col("wind")).alias("outranked"), F.count(F.lit(1)).alias("nearby"))
+    return fixes.select("track_id", "step").join(counts, ["track_id", "step"], "left").select("track_id", "step", "outranked", F.coalesce("nearby", F.lit(0)).alias("nearby"))

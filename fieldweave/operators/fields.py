@@ -65,3 +65,83 @@ def packed(frame: DataFrame, ids: list[str], columns: list[str], prefix: str) ->
 def unpacked(rows: DataFrame, ids: list[str], names: list[str]) -> DataFrame:
     """The inverse of packed(), the names given so that no job looks for them; of repeated rows the greatest counts."""
     return rows.groupBy(*ids).pivot("variable", names).agg(F.max("value"))
+
+
+def stacked(rows: DataFrame, keys: list[str], name: str, value: str) -> DataFrame:
+    """All variables of a key as one vector, by name: arrays `channels` and `channel_values`. A key has one row a variable."""
+    pairs = F.sort_array(F.collect_list(F.struct(name, value)))
+    return rows.groupBy(*keys).agg(pairs.alias("_p")).select(*keys, F.col(f"_p.{name}").alias("channels"), F.col(f"_p.{value}").alias("channel_values"))
+
+
+def unstacked(rows: DataFrame, keys: list[str], name: str, value: str) -> DataFrame:
+    """The inverse of stacked()."""
+    pairs = F.explode(F.arrays_zip(F.col("channels").alias(name), F.col("channel_values").alias(value)))
+    return rows.select(*keys, pairs.alias("_p")).select(*keys, "_p.*")
+
+
+def input_targets(field: DataFrame, keys: list[str], inputs: int, targets: int) -> DataFrame:
+    """`lead` counted so that the last of `targets` steps is the newest of the key and the last input has lead 0; rows of the
+    half-open input window and of the targets are kept, with their `role`."""
+    newest = field.groupBy(*keys).agg(F.max("step").alias("_newest"))
+    lead = F.col("step") - F.col("_newest") + targets
+    out = field.join(newest, keys).withColumn("lead", lead).where((F.col("lead") > -inputs) & (F.col("lead") <= targets))
+    return out.withColumn("role", F.when(F.col("lead") <= 0, "input").otherwise("target")).drop("_newest")
+
+
+def to_residuals(field: DataFrame, last: DataFrame, spread: DataFrame, keys: list[str]) -> DataFrame:
+    """The difference of each value from the last input (`last`, by keys), in units of `std` (by variable)."""
+    out = field.join(last, keys).join(spread, "variable")
+    return out.withColumn("residual", (F.col("value") - F.col("last")) / F.col("std"))
+
+
+def from_residuals(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("restored", F.col("residual") * F.col("std") + F.col("last"))
+
+
+def rollout(field: DataFrame, keys: list[str], order: str, steps: int, advance) -> DataFrame:
+    """Predictions fed back as inputs: `advance(newest, one before)` gives the next value as a column, `steps` times.
+
+    The last two frames of a key are found by partial aggregates; a key with one frame has no rollout."""
+    top = field.groupBy(*keys).agg(F.max(order).alias("_a"), F.max_by("value", order).alias("_x"))
+    below = field.join(top.select(*keys, "_a"), keys).where(F.col(order) < F.col("_a")).groupBy(*keys).agg(F.max_by("value", order).alias("_y"))
+    state = F.struct(F.array().cast("array<double>").alias("path"), F.col("_x").alias("x"), F.col("_y").alias("y"))
+
+    def step(s: Column, _: Column) -> Column:
+        new = advance(s["x"], s["y"])
+        return F.struct(F.concat(s["path"], F.array(new)).alias("path"), new.alias("x"), s["x"].alias("y"))
+
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), state, step)["path"]
+    return top.join(below, keys).select(*keys, F.posexplode(path).alias("lead", "value")).withColumn("lead", F.col("lead") + 1)
+
+
+def noise_level(share: Column, most: float, least: float, rho: float) -> Column:
+    """The noise at a share of the way from `most` to `least`, evenly spaced in its rho-th root."""
+    a, b = most ** (1 / rho), least ** (1 / rho)
+    return F.pow(share * (b - a) + a, F.lit(rho))
+
+
+def churn(noise: Column, rate: float, levels: int, least: float, most: float) -> Column:
+    return F.when(noise.between(least, most), min(rate / levels, 2**0.5 - 1)).otherwise(0.0)
+
+
+def preconditioning(noise: Column) -> dict[str, Column]:
+    """Scales of a denoiser's input, output and skip, and its loss weight, for data of unit variance."""
+    both = noise * noise + 1
+    return {"c_in": 1 / F.sqrt(both), "c_out": noise / F.sqrt(both), "c_skip": 1 / both, "weight": both / (noise * noise)}
+
+
+def losses(rows: DataFrame, fill: float, weights: dict[str, float]) -> DataFrame:
+    """Mean squared error of each variable; where the target is NaN the loss is `fill`. `weighted` uses the weights given, else 1."""
+    loss = F.when(F.isnan("target"), F.lit(fill)).otherwise((F.col("prediction") - F.col("target")) ** 2)
+    weight = F.lit(1.0)
+    for name, w in weights.items():
+        weight = F.when(F.col("variable") == name, w).otherwise(weight)
+    return rows.groupBy("variable").agg(F.count(F.lit(1)).alias("n"), F.avg(loss).alias("loss")).withColumn("weighted", F.col("loss") * weight)
+
+
+def shard_index(rows: DataFrame, key: str, position: str, size: str, chunk: int, shard: int) -> DataFrame:
+    """Bytes of each chunk and its first byte in its shard; a shard has shard / chunk chunks."""
+    at = rows.withColumns({"shard": F.expr(f"{position} div {shard}"), "chunk": F.expr(f"{position} div {chunk}")})
+    sizes = at.groupBy(key, "shard", "chunk").agg(F.sum(size).alias("nbytes"))
+    before = F.sum("nbytes").over(W.partitionBy(key, "shard").orderBy("chunk"))
+    return sizes.withColumn("first_byte", before - F.col("nbytes"))

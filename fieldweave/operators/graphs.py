@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -34,3 +35,44 @@ def face_edges(faces: DataFrame, a: Column, b: Column, c: Column) -> DataFrame:
     """The three directed edges of each face."""
     pair = lambda s, r: F.struct(s.alias("sender"), r.alias("receiver"))
     return faces.select(F.explode(F.array(pair(a, b), pair(b, c), pair(c, a))).alias("e")).select("e.*")
+
+
+def attention(edges: DataFrame, receiver: str, logit: Column, value: Column) -> DataFrame:
+    """Softmax over each receiver's edges, applied to a value. The greatest logit is taken off first; both passes combine
+    partial sums before they shuffle, so a receiver of many edges is no hot key."""
+    rows = edges.withColumns({"_logit": logit, "_value": value})
+    tops = rows.groupBy(receiver).agg(F.max("_logit").alias("_top"))
+    w = F.exp(F.col("_logit") - F.col("_top"))
+    return rows.join(tops, receiver).groupBy(receiver).agg(F.count(F.lit(1)).alias("edges"), (F.sum(w * F.col("_value")) / F.sum(w)).alias("attended"))
+
+
+def adjacency(edges: DataFrame, sender: str, receiver: str, self_edges: bool = False) -> DataFrame:
+    """Distinct (sender, receiver); with every node that has an edge joined to itself if asked for."""
+    pairs = edges.select(F.col(sender).alias("sender"), F.col(receiver).alias("receiver"))
+    if self_edges:
+        loops = pairs.select(F.explode(F.array("sender", "receiver")).alias("sender")).distinct()
+        pairs = pairs.unionByName(loops.withColumn("receiver", F.col("sender")))
+    return pairs.distinct()
+
+
+def block_diagonals(edges: DataFrame, block: int) -> DataFrame:
+    """Edges (sender, receiver numbers) cut into square blocks: the entries of each block on the diagonal or beside it."""
+    cut = edges.select(F.expr(f"sender div {block}").alias("row"), (F.expr(f"receiver div {block}") - F.expr(f"sender div {block}")).alias("side"))
+    return cut.where(F.abs("side") <= 1).groupBy("row", "side").agg(F.count(F.lit(1)).alias("entries"))
+
+
+def node_update(nodes: DataFrame, edges: DataFrame, key: str, feature: str, message: str) -> DataFrame:
+    """Per node: its feature, the sums of the messages that it gets and that it sends."""
+    got = edges.groupBy(F.col("receiver").alias(key)).agg(F.sum(message).alias("received"))
+    sent = edges.groupBy(F.col("sender").alias(key)).agg(F.sum(message).alias("sent"))
+    out = nodes.select(key, feature).join(got, key, "left").join(sent, key, "left")
+    return out.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("received", "sent")})
+
+
+def padded_edges(edges: DataFrame, group: str, order: list[str], multiple: int) -> DataFrame:
+    """Edges of each group numbered from 0 and filled up to a multiple with edges from -1 to -1."""
+    numbered = edges.withColumn("slot", F.row_number().over(W.partitionBy(group).orderBy(*order)) - 1).select(group, "slot", "sender", "receiver")
+    n = edges.groupBy(group).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    full = F.ceil(F.col("n") / multiple).cast("int") * multiple
+    fill = n.where(full > F.col("n")).select(group, F.explode(F.sequence(F.col("n"), full - 1)).alias("slot"))
+    return numbered.unionByName(fill.withColumns({"sender": F.lit(-1).cast("long"), "receiver": F.lit(-1).cast("long")}))

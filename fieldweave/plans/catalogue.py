@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,20 +9,8 @@ from ..functions import geo
 from ..operators import cyclones, fields, graphs
 from ..sources.views import FIELD, FIXES, POINTS, STORMS, field, fixes, points, storms, table
 from ..streaming import daily
-from . import campaign
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
+from . import campaign, geometry, records  # noqa: F401  (the last two list queries of their own)
+from .registry import ORACLES, QUERIES, query
 
 
 def _rounded(*names: str):
