@@ -30,10 +30,10 @@ def motion(fixes: DataFrame, momentum: float = 1.0) -> DataFrame:
     rows = fixes.withColumns({"lat0": F.lag("lat").over(track), "lon0": F.lag("lon").over(track)}).where(F.col("lat0").isNotNull())
     now, was = cartesian(F.col("lat"), F.col("lon")), cartesian(F.col("lat0"), F.col("lon0"))
     dot = sum((a * b for a, b in zip(now, was, strict=True)), F.lit(0.0))
-    # The position reflected in the present one, for a momentum of 1; less of it pulls the guess back.
-    raw = [a + momentum * (2 * dot * a - b - a) for a, b in zip(now, was, strict=True)]
-    norm = F.sqrt(sum((r * r for r in raw), F.lit(0.0)))
-    lat, lon = latlon(*[r / norm for r in raw])
+    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot)))
+    # Along the great circle by a share of the last move; a track that stood still stays.
+    ahead = [F.when(angle < 1e-9, a).otherwise(F.cos(angle * momentum) * a + F.sin(angle * momentum) * (a * F.cos(angle) - b) / F.sin(angle)) for a, b in zip(now, was, strict=True)]
+    lat, lon = latlon(*ahead)
     return rows.withColumns({"moved_km": distance_km(F.col("lat0"), F.col("lon0"), F.col("lat"), F.col("lon")), "guess_lat": lat, "guess_lon": lon})
 
 

@@ -58,21 +58,21 @@ def quadrant(lat: Column, lon: Column, centre_lat: Column, centre_lon: Column) -
     return F.when(east & north, 1).when(east, 2).when(~north, 3).otherwise(4)
 
 
-def near_cells(points: DataFrame, grid: DataFrame, radius: Column, most_km: float, cell: float) -> DataFrame:
+def near_cells(points: DataFrame, grid: DataFrame, radius: Column, most_km: float, cell: float, on: tuple[str, ...] = ()) -> DataFrame:
     """points x cells of the grid whose distance `d` is below the row's radius (most_km at most).
 
-    points: lat, lon; grid: cell_lat, cell_lon. A point meets only the bands of latitude that its disc can touch."""
+    points: lat, lon; grid: cell_lat, cell_lon; both have the columns `on`, which must agree. A point meets only the bands of latitude that its disc can touch."""
     reach = int(most_km / DEGREE_KM / cell) + 1
     band = lambda c: F.round((F.col(c) + 90) / cell).cast("long")
     sent = points.withColumn("_band", F.explode(F.sequence(band("lat") - reach, band("lat") + reach)))
-    met = sent.join(grid.withColumn("_band", band("cell_lat")), "_band").drop("_band")
+    met = sent.join(grid.withColumn("_band", band("cell_lat")), [*on, "_band"]).drop("_band")
     return met.withColumn("d", distance_km(F.col("lat"), F.col("lon"), F.col("cell_lat"), F.col("cell_lon"))).where(F.col("d") < radius)
 
 
-def disc_statistics(points: DataFrame, grid: DataFrame, keys: list[str], radius_km: float, cell: float, scalars: list[str]) -> DataFrame:
+def disc_statistics(points: DataFrame, grid: DataFrame, keys: list[str], radius_km: float, cell: float, scalars: list[str], on: tuple[str, ...] = ()) -> DataFrame:
     """Of each point's disc on a grid (cell_lat, cell_lon, p, scalars): the mean position weighted by p on the sphere, the
     cell of greatest p (ties to the first in lat, lon order), the sum of p, and the scalars' means weighted by p."""
-    near = near_cells(points, grid, F.lit(radius_km), radius_km, cell)
+    near = near_cells(points, grid, F.lit(radius_km), radius_km, cell, on)
     xyz = cartesian(F.col("cell_lat"), F.col("cell_lon"))
     sums = near.groupBy(*keys).agg(
         *[F.sum(c * F.col("p")).alias(f"_{n}") for n, c in zip("xyz", xyz, strict=True)],

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo, solar
-from ..operators import graphs, meshes, spheres
+from ..operators import graphs, meshes, spheres, tracker
+from ..sources.tables import ship
 from ..sources.views import FIELD, FIXES, STORMS, field, fixes, micros, points, storms, table
 from .registry import query
 
@@ -35,6 +36,7 @@ q AS (SELECT *, sin(0.409093) * sin(4.8952 + 6.283320 * d / {_YEAR} - 0.0075 * s
 591.8 * sin(2 * mean) - 459.4 * sin(anomaly) + 39.5 * sin(anomaly) * cos(2 * mean) - 12.7 * sin(4 * mean) - 4.8 * sin(2 * anomaly) AS eq, 1.0001 - 0.0163 * sin(orbit) + 0.0037 * cos(orbit) AS au FROM o)
 SELECT event_id, round(sum(w * 1361.0 / (au * au) * greatest(0.0, cos(a) * sqrt(1 - decl * decl) * cos(2 * pi() * (d - floor(d) + eq / 86400) + b) + sin(a) * decl)) * 10 / 1000, 3) AS kilojoules FROM q GROUP BY 1""")
 def solar_radiation(spark, sf_dir):
+    ship(spark)
     day, lat = solar.j2000_days(micros(F.col("ts"))), (F.col("user_id") * 37 % 181 - 90).cast("double")
     joules = solar.integrated(day, lat, (F.col("event_id") * 53 % 360).cast("double"), F.lit(1361.0))
     return table(spark, sf_dir, "events").select("event_id", F.round(joules / 1000, 3).alias("kilojoules"))
@@ -164,6 +166,7 @@ def mesh_closest(spark, sf_dir):
 @query()
 def ellipsoid_distances(spark, sf_dir):
     """Geodesic km on the WGS84 ellipsoid between senders and receivers."""
+    ship(spark)
     d = geo.ellipsoid_km("s_lat", "s_lon", "r_lat", "r_lon")
     return _edges(spark, sf_dir).select("event_id", F.round(d, 6).alias("km"))
 
@@ -174,3 +177,18 @@ def receiver_attention(spark, sf_dir):
     edges = fixes(spark, sf_dir).select(F.col("track_id").alias("sender"), (F.col("step") % 50).alias("receiver"), "wind")
     found = graphs.attention(edges, "receiver", F.col("wind") / 100, F.col("sender"))
     return found.select("receiver", "edges", F.round("attended", 6).alias("attended"))
+
+
+@query()
+def tracked_cyclones(spark, sf_dir):
+    """Tracks on coarse frames of the field: eight frames of equal length, a run a member."""
+    rows = field(spark, sf_dir).where(~F.isnan("value"))
+    ends = rows.agg(F.min("step").alias("a"), (F.max("step") + 1).alias("b"))
+    frame = F.floor((F.col("step") - F.col("a")) * 8 / (F.col("b") - F.col("a"))).cast("int")
+    cells = rows.join(F.broadcast(ends)).withColumn("frame", frame)  # one row of ends
+    frames = cells.groupBy(F.col("member").alias("run"), F.col("frame").alias("step"), (F.round(F.col("lat") / 10) * 10).alias("cell_lat"), (F.round(F.col("lon") / 10) * 10 % 360).alias("cell_lon")).agg((F.max("value") / 1000).alias("p"))
+    return tracker.track(frames, None, list(range(8)), TRACKING).select("run", "track", "step", *[_plain(F.col(c), 4).alias(c) for c in ("lat", "lon")], F.round("existence", 6).alias("existence"), "merged_into")
+
+
+#: Distances for cells of 10 degrees.
+TRACKING = tracker.Settings(cell=CELL, mode_km=2000.0, mean_km=2000.0, existence_km=3000.0, refinement_km=2000.0, apart_km=2500.0, prune_km=1500.0, box=30.0, box_threshold=0.05, least_steps=2)
