@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.geo import cartesian, distance_km, latlon
+from ..functions.geo import EARTH_KM, cartesian, distance_km, latlon
+from ..sources.tables import ship
+from .spheres import near_cells
 
 THRESHOLDS = {"r64": 64.0, "r50": 50.0, "r34": 34.0}
 
@@ -86,3 +90,97 @@ def nearby(fixes: DataFrame, radius_km: float) -> DataFrame:
     met = here.join(there, ["step", "_band"]).where((F.col("track_id") != F.col("_id")) & (distance_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")) < radius_km))
     counts = met.groupBy("track_id", "step").agg(F.bool_or(F.col("_wind") > F.col("wind")).alias("outranked"), F.count(F.lit(1)).alias("nearby"))
     return fixes.select("track_id", "step").join(counts, ["track_id", "step"], "left").select("track_id", "step", "outranked", F.coalesce("nearby", F.lit(0)).alias("nearby"))
+
+
+def _raised_at(place: Column):
+    return lambda r, i: F.when(i + 1 == place, F.greatest(r, F.col("rmw"))).otherwise(r)
+
+
+def raised_radii(storms: DataFrame, wind: str = "wind_a") -> DataFrame:
+    """The other way to agree with the radius of maximum wind: of each threshold that the wind reaches the largest radius (the
+    first of equal ones) is raised to it, then radii of weaker winds are raised to those of stronger ones."""
+    out = storms
+    for name, threshold in THRESHOLDS.items():
+        top = F.array_max(F.filter(name, lambda r: r.isNotNull()))
+        raised = F.transform(name, _raised_at(F.array_position(name, top)))
+        out = out.withColumn(name, F.when((F.col(wind) >= threshold) & top.isNotNull(), raised).otherwise(F.col(name)))
+    up = lambda a, b: F.when(a.isNull(), a).otherwise(F.greatest(a, F.coalesce(b, a)))
+    out = out.withColumn("r50", F.zip_with("r50", "r64", up))
+    return out.withColumn("r34", F.zip_with(F.zip_with("r34", "r50", up), "r64", up))
+
+
+def speeds_fall(pairs: Column) -> Column:
+    """Whether speeds never rise outward: `pairs` are structs (radius, speed), those without a radius left out."""
+    known = F.sort_array(F.filter(pairs, lambda p: p["radius"].isNotNull() & p["speed"].isNotNull()))
+    n = F.size(known)
+    steps = F.zip_with(F.slice(known, 1, F.greatest(n - 1, F.lit(0))), F.slice(known, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: (a["radius"] == b["radius"]) | (b["speed"] <= a["speed"]))
+    return F.forall(steps, lambda ok: ok)
+
+
+def calibrated_wind(storms: DataFrame, base: str, others: list[str]) -> DataFrame:
+    """`merged`: the mean of the base agency's wind and of the others', each fitted to the base by least squares over the
+    storms that both know and cut at 0. The fits come as one row."""
+    fits = storms.agg(*[f(F.col(base), F.col(o)).alias(f"_{n}_{o}") for o in others for n, f in (("a", F.regr_slope), ("b", F.regr_intercept))])
+    fitted = [F.greatest(F.lit(0.0), F.col(f"_a_{o}") * F.col(o) + F.col(f"_b_{o}")) for o in others]
+    known = F.filter(F.array(F.col(base), *[F.when(F.col(o).isNotNull() & F.col(f"_a_{o}").isNotNull(), f) for o, f in zip(others, fitted, strict=True)]), lambda x: x.isNotNull())
+    mean = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda s, x: s + x) / F.size(known))
+    return storms.join(F.broadcast(fits)).withColumn("merged", mean).drop(*[f"_{n}_{o}" for o in others for n in "ab"])
+
+
+def densities(points: DataFrame, keys: list[str], grid: DataFrame, scale_km: float, cell: float) -> DataFrame:
+    """Per cell the sum of the points' Gaussian densities, each of which sums to 1 over the cells within five scales."""
+    near = near_cells(points, grid, F.lit(5 * scale_km), 5 * scale_km, cell).withColumn("_g", F.exp(-0.5 * (F.col("d") / scale_km) ** 2))
+    totals = near.groupBy(*keys).agg(F.sum("_g").alias("_total"))
+    return near.join(totals, keys).groupBy("cell_lat", "cell_lon").agg(F.sum(F.col("_g") / F.col("_total")).alias("density"))
+
+
+def disc_values(points: DataFrame, grid: DataFrame, value: str, radius_km: float, cell: float) -> DataFrame:
+    """Per cell that a disc holds: the greatest value, 0 at least; a disc whose value is NaN makes its cells NaN."""
+    near = near_cells(points, grid, F.lit(radius_km), radius_km, cell)
+    return near.groupBy("cell_lat", "cell_lon").agg(F.greatest(F.max(value), F.lit(0.0)).alias("value"), F.bool_or(F.isnan(value)).alias("has_nan"))
+
+
+def _assign(cost: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs (row, column) of least total cost, as many as the shorter side has (the Hungarian method)."""
+    if cost.shape[0] > cost.shape[1]:
+        return [(i, j) for j, i in _assign(cost.T)]
+    n, m = cost.shape
+    u, v, row_of = np.zeros(n), np.zeros(m + 1), np.full(m + 1, -1)
+    for i in range(n):
+        row_of[m], at = i, m
+        least, came, done = np.full(m, np.inf), np.full(m, m), np.zeros(m + 1, bool)
+        while row_of[at] >= 0:
+            done[at] = True
+            slack = cost[row_of[at]] - u[row_of[at]] - v[:m]
+            better = ~done[:m] & (slack < least)
+            least[better], came[better] = slack[better], at
+            to = int(np.argmin(np.where(done[:m], np.inf, least)))
+            step = least[to]
+            u[row_of[done]] += step
+            v[done] -= step
+            least[~done[:m]] -= step
+            at = to
+        while at != m:
+            row_of[at], at = row_of[came[at]], came[at]
+    return [(int(i), j) for j, i in enumerate(row_of[:m]) if i >= 0]
+
+
+def _match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    rows = []
+    if len(left) and len(right):
+        a, b, c, d = (np.radians(x.to_numpy(float)) for x in (left["lat"], left["lon"], right["match_lat"], right["match_lon"]))
+        h = np.sin((c - a[:, None]) / 2) ** 2 + np.cos(a)[:, None] * np.cos(c) * np.sin((d - b[:, None]) / 2) ** 2
+        km = 2 * EARTH_KM * np.arcsin(np.minimum(1.0, np.sqrt(h)))
+        rows = [(left["step"].iloc[i], left["track_id"].iloc[i], right["match_id"].iloc[j], km[i, j]) for i, j in _assign(km)]
+    out = pd.DataFrame(rows, columns=["step", "track_id", "match_id", "km"])
+    return out.astype({"step": "int64", "track_id": "int64", "match_id": "int64", "km": float})
+
+
+def matched(truth: DataFrame, found: DataFrame) -> DataFrame:
+    """One-to-one pairs of the fixes of two sets of tracks at each step with the least total distance: step, track_id, match_id,
+    km. A step holds no more fixes than there are storms on the globe at a time, so it fits a task."""
+    ship(truth.sparkSession)
+    left = truth.select("step", "track_id", "lat", "lon")
+    right = found.select(F.col("step").alias("match_step"), F.col("track_id").alias("match_id"), F.col("lat").alias("match_lat"), F.col("lon").alias("match_lon"))
+    both = left.groupBy("step").cogroup(right.groupBy("match_step"))
+    return both.applyInPandas(_match, "step long, track_id long, match_id long, km double")
