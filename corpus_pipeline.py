@@ -12,38 +12,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldweave.llm import lang_id, mixing, packing, simhash, toxicity
-from fieldweave.llm.common import as_table
+from fieldweave.llm.common import WORD, as_table
 
 #: A language is rejected if its probability is not above that of a fair draw among all languages by this factor.
 LEAST_LANGUAGE_LEAD = 1.1
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and those whose language the network cannot tell."""
+    """Drops documents without a letter (null and empty ones among them) and those whose language the network cannot tell.
+
+    Repeated rows and null ids are judged row by row; without any labelled language nothing can be told and nothing stays."""
     network = lang_id.train(docs)
     found, least = lang_id.identifier(network), LEAST_LANGUAGE_LEAD / max(1, len(network.languages))
-    judged = docs.withColumn("_found", found(F.col("text")))
-    return judged.where((F.col("_found.lang_pred") != lang_id.UNDETERMINED) & ((F.col("_found.score") >= least) | F.lit(len(network.languages) < 2))).select(*docs.columns)
+    judged = docs.select(*docs.columns, found(F.col("text")).alias("_language_found"))
+    told = (F.col("_language_found.score") >= least) | F.lit(len(network.languages) < 2)
+    return judged.where((F.col("_language_found.lang_pred") != lang_id.UNDETERMINED) & told).select(*docs.columns)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that score as toxic."""
+    """Drops documents that score as toxic. Null and empty texts score low; without labels of both kinds all rows stay."""
     score = toxicity.scorer(toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    return docs.withColumn("_score", score(F.col("text"))).where(F.col("_score") < toxicity.THRESHOLD).select(*docs.columns)
+    return docs.select(*docs.columns, score(F.col("text")).alias("_toxic_score")).where(F.col("_toxic_score") < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps, of each component of near duplicates, the document with its smallest id. Of rows that repeat an id each stays."""
-    kept = simhash.near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Keeps one document of each component of near duplicates, that with the smallest id; repeated rows are one document."""
+    return simhash.representatives(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or drops documents as the mix takes them; one that it takes in part stays if at least half of it is taken."""
-    taken = mixing.mix(docs)
-    copies = taken.where("size > 0").groupBy("doc_id", "size").agg(F.max(F.round(F.col("taken") / F.col("size"))).cast("int").alias("_copies")).where("_copies > 0")
-    copies = copies.groupBy("doc_id").agg(F.max("_copies").alias("_copies"))
-    return docs.join(copies, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """Repeats or drops documents as the mix takes them; one that it takes in part stays if at least half of it is taken.
+
+    Documents without words have no tokens to take and go. Rows that share an id, or have none, are repeated as often as
+    the one of them that is taken most."""
+    copies = mixing.mix(docs).where("size > 0").groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max(F.round(F.col("taken") / F.col("size"))).cast("int").alias("_mix_copies"))
+    out = docs.where(F.regexp_count("text", F.lit(WORD)) > 0).join(copies.where("_mix_copies > 0"), F.col("doc_id").eqNullSafe(F.col("_mix_id")))
+    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))).alias("_mix_copy")).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

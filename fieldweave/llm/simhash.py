@@ -53,10 +53,11 @@ def as_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and fp, the fingerprint as a long."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", digest: Column | None = None) -> DataFrame:
+    """doc_id and fp, the fingerprint as a long; with a column `digest` if one is given."""
     ship_package(docs.sparkSession)
-    return docs.select(F.col(doc_id).alias("doc_id"), F.pandas_udf(_fingerprints, "long").asNondeterministic()(F.col(text)).alias("fp"))
+    more = [] if digest is None else [digest.alias("digest")]
+    return docs.select(F.col(doc_id).alias("doc_id"), F.pandas_udf(_fingerprints, "long").asNondeterministic()(F.col(text)).alias("fp"), *more)
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
@@ -199,6 +200,15 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
+def _rooted(rows: DataFrame, radius: int, cell_rows: int) -> DataFrame:
+    """fp, root (a fingerprint that names the component) and component_id of each fingerprint of a table with doc_id and fp."""
+    reps = as_table(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
+    roots = components(links(reps, radius, cell_rows))
+    rooted = reps.join(roots, reps["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    return rooted.join(smallest, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, cell_rows: int = CELL_ROWS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id reachable over links).
 
@@ -206,9 +216,19 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, cell_rows: int = CELL
     keep a row each; a null id gets the component of its fingerprint, which no null id names unless it has no other. An
     empty table gives an empty result. Other columns are ignored."""
     rows = as_table(fingerprints(docs, doc_id, text), "fingerprints")
-    reps = as_table(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
-    roots = components(links(reps, radius, cell_rows))
-    rooted = reps.join(roots, reps["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+    return rows.join(_rooted(rows, radius, cell_rows), "fp").select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, radius: int = RADIUS, cell_rows: int = CELL_ROWS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs, all columns, one of each component of near_duplicates(): that with the smallest id.
+
+    Of rows with this id the one whose text has the smallest hash stays, and of rows that repeat id and text a single one.
+    A null id stays only where its component has no other. Null and empty texts are one component; an empty table gives
+    an empty result. Other columns may have any names."""
+    digest = lambda: F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    rows = as_table(fingerprints(docs, doc_id, text, digest()), "fingerprints")
+    own = rows.join(_rooted(rows, radius, cell_rows), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    least = own.groupBy("root", "doc_id", "digest").count().groupBy("root", "doc_id").agg(F.min(F.struct("digest", "count")).alias("least"))
+    kept = as_table(least.select("doc_id", "least.*"), "representatives").toDF("_kept_id", "_kept_digest", "_kept_rows")
+    out = docs.join(kept.drop("_kept_rows"), F.col(doc_id).eqNullSafe(F.col("_kept_id")) & (digest() == F.col("_kept_digest")), "left_semi")
+    return out.dropDuplicates([doc_id, text]) if kept.where("_kept_rows > 1").limit(1).count() else out

@@ -319,3 +319,38 @@ def test_pipeline(spark, real):
             assert ids == set(group.values())
     assert seen[0] >= seen[1] >= seen[2] >= seen[3] > 0
     assert {r["doc_id"] for r in c.STAGES[-1][1](spark, docs, SF).collect()} == ids
+
+
+def test_pipeline_stages_on_awkward_rows(spark, docs, nothing):
+    """Null ids, repeated rows, texts without words and clashing column names; each stage keeps the columns and whole rows."""
+    import corpus_pipeline as c
+
+    stages, rows = dict(c.STAGES), collections.Counter(map(tuple, docs.collect()))
+    for name in ("language", "toxicity", "near_dedup", "mixing"):
+        assert stages[name](spark, nothing, SF).count() == 0
+        kept = stages[name](spark, docs, SF)
+        assert kept.columns == docs.columns and {tuple(r) for r in kept.collect()} <= set(rows)
+    one = collections.Counter(tuple(r)[0] for r in stages["near_dedup"](spark, docs, SF).collect())
+    groups = collections.defaultdict(list)
+    for r in simhash.near_duplicates(docs).collect():
+        groups[r["component_id"]].append(r["doc_id"])
+    assert one == collections.Counter(list(groups))
+    repeated = docs.where("doc_id = 6")
+    assert repeated.count() == 2 and stages["near_dedup"](spark, repeated, SF).count() == 1
+    alone = docs.where("doc_id is null")
+    for name in ("language", "toxicity", "near_dedup", "mixing"):
+        assert stages[name](spark, alone, SF).count() >= (name != "language")
+
+
+def test_pipeline_decisions(spark, real):
+    """Each stage's decision against its operator's own verdict, document by document."""
+    import corpus_pipeline as c
+
+    stages, ids = dict(c.STAGES), lambda df: collections.Counter(r["doc_id"] for r in df.select("doc_id").collect())
+    languages = {r["doc_id"]: r for r in lang_id.identify(real).collect()}
+    least = c.LEAST_LANGUAGE_LEAD / len({r["lang_pred"] for r in languages.values()} - {"und"})
+    assert ids(stages["language"](spark, real, SF)) == collections.Counter(i for i, r in languages.items() if r["lang_pred"] != "und" and r["score"] >= least)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    assert ids(stages["toxicity"](spark, real, SF)) == collections.Counter(r["doc_id"] for r in toxicity.judge(real, labels).collect() if not r["predicted"])
+    want = collections.Counter({r["doc_id"]: int(r["taken"] / r["size"] + 0.5) for r in mixing.mix(real).collect() if r["size"]})
+    assert ids(stages["mixing"](spark, real, SF)) == +want
