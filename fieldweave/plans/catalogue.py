@@ -9,7 +9,7 @@ from ..functions import geo
 from ..operators import cyclones, fields, graphs
 from ..sources.views import FIELD, FIXES, POINTS, STORMS, field, fixes, points, storms, table
 from ..streaming import daily
-from . import campaign, geometry, records, tracks  # noqa: F401  (all but the first list queries of their own)
+from . import campaign, geometry, orders, records, tracks  # noqa: F401  (all but the first list queries of their own)
 from .registry import ORACLES, QUERIES, query
 
 
@@ -272,10 +272,10 @@ def init_calendar(spark, sf_dir):
     return campaign.calendar(spark, years[0], years[1]).join(days.withColumn("ordered", F.lit(True)), "init", "left").select(F.date_format("init", "yyyy-MM-dd").alias("init"), F.coalesce("ordered", F.lit(False)).alias("ordered"))
 
 
-@query("SELECT o_custkey % 50 AS member, quantile_cont(o_totalprice, 0.1) AS p10, quantile_cont(o_totalprice, 0.9) AS p90 FROM orders GROUP BY 1")
+@query("SELECT o_custkey % 50 AS member, round(quantile_cont(o_totalprice, 0.1), 4) AS p10, round(quantile_cont(o_totalprice, 0.9), 4) AS p90 FROM orders GROUP BY 1")
 def member_percentiles(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 50).alias("member"))
-    return rows.agg(F.percentile("o_totalprice", F.lit(0.1)).alias("p10"), F.percentile("o_totalprice", F.lit(0.9)).alias("p90"))
+    return rows.agg(F.round(F.percentile("o_totalprice", F.lit(0.1)), 4).alias("p10"), F.round(F.percentile("o_totalprice", F.lit(0.9)), 4).alias("p90"))
 
 
 # ------------------------------------------------------------------ streams
