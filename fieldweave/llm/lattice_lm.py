@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import as_table, fold, ship_package
 
 FOLDS, HELD_OUT_FOLD = 5, 1
-ITERATIONS = 2
+ITERATIONS = 3
 #: Buckets of words, at least, and words of a bucket, on average, at most.
 BUCKETS, BUCKET_WORDS = 32, 1 << 18
 #: Distinct words that a task counts before it sends them on.

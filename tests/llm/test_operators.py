@@ -231,6 +231,18 @@ def test_lattice(spark, real, docs, nothing):
     assert lattice_lm.score(nothing).count() == 0
 
 
+def test_lattice_is_fitted_by_three_passes(spark):
+    path, some, n = lattice_lm.vocabulary_path(), [b"the", b"thence", b"oferinwhea", b"x"], [5, 2, 1, 3]
+    lattice, ends = lattice_lm.Lattice.of(path), 4
+    want = lattice.by_rank()
+    for _ in range(3):
+        expected = np.full(len(want), lattice_lm.SMOOTHING)
+        lattice.words(some, want, expected, np.array(n, float))
+        want = np.log(expected / (expected.sum() + ends + lattice_lm.SMOOTHING))
+    table = spark.createDataFrame(list(zip(map(bytearray, some), n)), "word binary, n long")
+    assert np.allclose(lattice_lm.fit(table, ends, path)[0], want, atol=1e-4)
+
+
 def test_toxicity(spark, real, docs, nothing):
     larger = SF.replace("0.001", "0.01")  # the smallest table has 11 toxic labels, too few to learn from
     labels = spark.read.parquet(f"{larger}/labels.parquet")
