@@ -181,14 +181,12 @@ def receiver_attention(spark, sf_dir):
 
 @query()
 def tracked_cyclones(spark, sf_dir):
-    """Tracks on coarse frames of the field: eight frames of equal length, a run a member."""
+    """Tracks over every 6-hour step of the field, a run a member."""
     rows = field(spark, sf_dir).where(~F.isnan("value"))
-    ends = rows.agg(F.min("step").alias("a"), (F.max("step") + 1).alias("b"))
-    frame = F.floor((F.col("step") - F.col("a")) * 8 / (F.col("b") - F.col("a"))).cast("int")
-    cells = rows.join(F.broadcast(ends)).withColumn("frame", frame)  # one row of ends
-    frames = cells.groupBy(F.col("member").alias("run"), F.col("frame").alias("step"), (F.round(F.col("lat") / 10) * 10).alias("cell_lat"), (F.round(F.col("lon") / 10) * 10 % 360).alias("cell_lon")).agg((F.max("value") / 1000).alias("p"))
-    return tracker.track(frames, None, list(range(8)), TRACKING).select("run", "track", "step", *[_plain(F.col(c), 4).alias(c) for c in ("lat", "lon")], F.round("existence", 6).alias("existence"), "merged_into")
+    steps = sorted(r["step"] for r in rows.select("step").distinct().collect())  # bounded by the length of the record
+    frames = rows.groupBy(F.col("member").alias("run"), "step", (F.round(F.col("lat") / 10) * 10).alias("cell_lat"), (F.round(F.col("lon") / 10) * 10 % 360).alias("cell_lon")).agg((F.max("value") / 1000).alias("p"))
+    return tracker.track(frames, None, steps, TRACKING).select("run", "track", "step", *[_plain(F.col(c), 4).alias(c) for c in ("lat", "lon")], F.round("existence", 6).alias("existence"), "merged_into")
 
 
 #: Distances for cells of 10 degrees.
-TRACKING = tracker.Settings(cell=CELL, mode_km=2000.0, mean_km=2000.0, existence_km=3000.0, refinement_km=2000.0, apart_km=2500.0, prune_km=1500.0, box=30.0, box_threshold=0.05, least_steps=2)
+TRACKING = tracker.Settings(cell=CELL, mode_km=2000.0, mean_km=2000.0, existence_km=3000.0, refinement_km=2000.0, apart_km=2500.0, prune_km=1500.0, box=30.0, box_threshold=0.05)

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from fieldweave.operators import tracker
+from fieldweave.plans import geometry
 from fieldweave.plans.geometry import TRACKING
 
 CELL = 2.0
@@ -72,3 +73,11 @@ def test_guess_is_a_great_circle(spark):
 
     row = spark.range(1).select(*[c.alias(n) for c, n in zip(tracker.guess(*[F.lit(float(v)) for v in (0, 10, 0, 6)], 0.5), ("a", "b"), strict=True)]).first()
     assert np.allclose([row["a"], row["b"]], [0, 12])
+
+
+def test_query_tracks_every_step(spark, monkeypatch):
+    rows = [(0, step, lat, lon, v) for step in range(500, 512) for lat, lon, v in ((10.0, 100.0, 500.0), (-40.0, 200.0, 0.0))]
+    table = spark.createDataFrame(rows, "member long, step long, lat double, lon double, value double")
+    monkeypatch.setattr(geometry, "field", lambda *_: table)
+    found = geometry.tracked_cyclones(spark, "").collect()
+    assert sorted((r["track"], r["step"]) for r in found) == [("cyclogenesis_0", step) for step in range(500, 512)]
