@@ -178,7 +178,7 @@ def _match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
 
 def matched(truth: DataFrame, found: DataFrame) -> DataFrame:
     """One-to-one pairs of the fixes of two sets of tracks at each step with the least total distance: step, track_id, match_id,
-    km. A step holds no more fixes than there are storms on the globe at a time, so it fits a task."""
+    km. A step is matched whole in one task, with a dense matrix of its fixes: that bounds what a step may hold."""
     ship(truth.sparkSession)
     left = truth.select("step", "track_id", "lat", "lon")
     right = found.select(F.col("step").alias("match_step"), F.col("track_id").alias("match_id"), F.col("lat").alias("match_lat"), F.col("lon").alias("match_lon"))

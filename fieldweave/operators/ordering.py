@@ -18,6 +18,27 @@ def numbered(rows: DataFrame, order: list[str], name: str, first: int = 0) -> Da
     return cut.join(F.broadcast(starts), "_range").withColumn(name, place.cast("long")).drop("_range", "_start")  # a row a range
 
 
+def quantiles(rows: DataFrame, key: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """key and interpolated quantiles of each key's values, named as in `shares`; nulls do not count.
+
+    Equal values are counted, ranges of (key, value) are sorted apart, and only a row a range and key meets in one task."""
+    counts = rows.groupBy(F.col(key).alias("_key"), F.col(value).alias("_value")).agg(F.count(value).alias("_n"))
+    cut = kept(counts.repartitionByRange("_key", "_value").withColumn("_range", F.spark_partition_id()))
+    before = F.sum("_m").over(W.partitionBy("_of").orderBy("_at").rowsBetween(W.unboundedPreceding, -1))
+    starts = cut.groupBy(F.col("_key").alias("_of"), F.col("_range").alias("_at")).agg(F.sum("_n").alias("_m"))
+    starts = starts.select("_of", "_at", F.coalesce(before, F.lit(0)).alias("_start"), F.sum("_m").over(W.partitionBy("_of")).alias("_all"))
+    upto = F.sum("_n").over(W.partitionBy("_key", "_range").orderBy("_value").rowsBetween(W.unboundedPreceding, 0)) + F.col("_start")
+    met = F.col("_key").eqNullSafe(F.col("_of")) & (F.col("_range") == F.col("_at"))
+    placed = cut.join(F.broadcast(starts), met).withColumn("_end", upto)  # a row a range and key
+    parts = []
+    for name, share in shares.items():
+        place = (F.col("_all") - 1) * share
+        at = lambda k: F.max(F.when((k >= F.col("_end") - F.col("_n")) & (k < F.col("_end")), F.col("_value")))
+        parts += [at(F.floor(place)).alias(f"_low_{name}"), at(F.ceil(place)).alias(f"_high_{name}"), F.max(place - F.floor(place)).alias(f"_part_{name}")]
+    mixed = lambda n: F.col(f"_low_{n}") * (1 - F.col(f"_part_{n}")) + F.col(f"_high_{n}") * F.col(f"_part_{n}")
+    return placed.groupBy("_key").agg(*parts).select(F.col("_key").alias(key), *[mixed(n).alias(n) for n in shares])
+
+
 def banded_order(edges: DataFrame) -> DataFrame:
     """node, degree, level, position: the reverse Cuthill-McKee order of the nodes of undirected edges (sender, receiver).
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import cyclones, fields, graphs
+from ..operators import cyclones, fields, graphs, ordering
 from ..sources.views import FIELD, FIXES, field, fixes, table
 from . import campaign
 from .registry import query
@@ -112,8 +112,8 @@ def variable_losses(spark, sf_dir):
 
 @query(f"WITH {FIELD} SELECT variable, quantile_cont(value, 0.02) AS low, quantile_cont(value, 0.98) AS high, greatest(abs(quantile_cont(value, 0.02)), abs(quantile_cont(value, 0.98))) AS reach FROM field WHERE NOT isnan(value) GROUP BY 1")
 def robust_scales(spark, sf_dir):
-    low, high = (F.percentile("value", F.lit(q)) for q in (0.02, 0.98))
-    return field(spark, sf_dir).where(~F.isnan("value")).groupBy("variable").agg(low.alias("low"), high.alias("high")).withColumn("reach", F.greatest(F.abs("low"), F.abs("high")))
+    found = ordering.quantiles(field(spark, sf_dir).where(~F.isnan("value")), "variable", "value", {"low": 0.02, "high": 0.98})
+    return found.withColumn("reach", F.greatest(F.abs("low"), F.abs("high")))
 
 
 # ------------------------------------------------------------------ tracks

@@ -88,3 +88,17 @@ def test_white_noise(spark):
     rows = spark.range(20000).select(noise.normal(noise.key_of(3, F.col("id"))).alias("x"))
     mean, var = rows.agg(F.avg("x"), F.var_pop("x")).first()
     assert abs(mean) < 0.03 and abs(var - 1) < 0.05
+
+
+def test_quantiles(spark):
+    rng = np.random.default_rng(4)
+    values = {"a": rng.integers(-9, 9, 501).astype(float), "b": rng.random(300), "c": np.array([2.5])}
+    rows = [(k, float(x)) for k, some in values.items() for x in some] + [("a", None), ("d", None)]
+    found = {r["k"]: r for r in ordering.quantiles(spark.createDataFrame(rows, "k string, v double"), "k", "v", {"low": 0.02, "high": 0.98}).collect()}
+    assert set(found) == {"a", "b", "c", "d"} and found["d"]["low"] is None and found["d"]["high"] is None
+    for k, some in values.items():
+        assert np.allclose([found[k]["low"], found[k]["high"]], np.quantile(some, [0.02, 0.98]))
+
+
+def test_robust_scales_gathers_no_values(spark):
+    assert "percentile" not in QUERIES["robust_scales"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString().lower()
