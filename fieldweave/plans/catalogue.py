@@ -181,6 +181,25 @@ def face_edges(spark, sf_dir):
     return graphs.face_edges(faces, F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey"))
 
 
+# The SQL of the three queries below is written for whole tables; radius_neighbours, face_edges and unpacked_variables keep the rows that their own SQL names.
+@query(f"""WITH {POINTS} SELECT a.vec_id, b.vec_id AS vertex_id, round(sqrt((a.x-b.x)*(a.x-b.x) + (a.y-b.y)*(a.y-b.y) + (a.z-b.z)*(a.z-b.z)), 6) AS distance FROM points a JOIN points b
+ON abs(a.x-b.x) <= 0.2 AND sqrt((a.x-b.x)*(a.x-b.x) + (a.y-b.y)*(a.y-b.y) + (a.z-b.z)*(a.z-b.z)) <= 0.2""")
+def all_radius_neighbours(spark, sf_dir):
+    p = points(spark, sf_dir)
+    return graphs.within_radius(p, p, 0.2).select("vec_id", "vertex_id", *_rounded("distance"))
+
+
+@query("""SELECT unnest([l_partkey, l_suppkey, l_orderkey]) AS sender, unnest([l_suppkey, l_orderkey, l_partkey]) AS receiver FROM lineitem""")
+def all_face_edges(spark, sf_dir):
+    return graphs.face_edges(table(spark, sf_dir, "lineitem"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey"))
+
+
+@query("SELECT l_orderkey, l_linenumber, max(l_quantity) AS l_quantity, max(l_tax) AS l_tax FROM lineitem GROUP BY 1, 2")
+def all_unpacked_variables(spark, sf_dir):
+    keys = ["l_orderkey", "l_linenumber"]
+    return fields.unpacked(fields.packed(table(spark, sf_dir, "lineitem"), keys, ["l_quantity", "l_tax"], ""), keys, ["l_quantity", "l_tax"])
+
+
 # ------------------------------------------------------------------ cyclones
 
 

@@ -38,6 +38,14 @@ def test_query(spark, duck, name):
     assert rows([r.asDict() for r in df.collect()], names) == rows([dict(zip(columns, r, strict=True)) for r in found.fetchall()], names)
 
 
+def test_whole_tables_as_input(spark):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    assert QUERIES["all_face_edges"](spark, SF).count() == 3 * lines.count()
+    assert QUERIES["all_unpacked_variables"](spark, SF).count() == lines.select("l_orderkey", "l_linenumber").distinct().count()
+    pairs = QUERIES["all_radius_neighbours"](spark, SF)
+    assert pairs.where("vertex_id % 10 <> 0").count() > 0 and pairs.where("vec_id = vertex_id").count() == pairs.select("vec_id").distinct().count()
+
+
 def test_entry(spark):
     import __spark_entry__
 
