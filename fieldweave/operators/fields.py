@@ -20,6 +20,11 @@ def daily_fold(field: DataFrame, keys: list[str]) -> DataFrame:
     return field.groupBy(*keys, day.alias("day")).agg(steps.alias("steps"), *[F.when(~bad, F.round(v, 6)).alias(f"daily_{k}") for k, v in folds.items()])
 
 
+def whole_days(folded: DataFrame) -> DataFrame:
+    """The days of a daily fold that have all their steps."""
+    return folded.where(F.col("steps") == DAY_STEPS)
+
+
 def latest_frames(field: DataFrame, keys: list[str], frames: int) -> DataFrame:
     """The last `frames` rows of each key in order of step."""
     newest = W.partitionBy(*keys).orderBy(F.desc("step"), F.desc("event_id"))

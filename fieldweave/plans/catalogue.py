@@ -27,6 +27,13 @@ def daily_fold(spark, sf_dir):
     return fields.daily_fold(field(spark, sf_dir), ["member", "variable"])
 
 
+@query(f"""WITH {FIELD} SELECT member, variable, (floor((step - 1) / 4))::BIGINT AS day, count(DISTINCT step) AS steps,
+CASE WHEN NOT bool_or(isnan(value)) THEN round(avg(value), 6) END AS daily_mean, CASE WHEN NOT bool_or(isnan(value)) THEN round(sum(value), 6) END AS daily_sum,
+CASE WHEN NOT bool_or(isnan(value)) THEN round(min(value), 6) END AS daily_least, CASE WHEN NOT bool_or(isnan(value)) THEN round(max(value), 6) END AS daily_greatest FROM field GROUP BY 1, 2, 3 HAVING count(DISTINCT step) = 4""")
+def whole_day_fold(spark, sf_dir):
+    return fields.whole_days(fields.daily_fold(field(spark, sf_dir), ["member", "variable"]))
+
+
 @query(f"WITH {FIELD} SELECT variable, count(*) AS n, round(avg(isnan(value)::INT), 9) AS missing_share FROM field GROUP BY 1")
 def missing_share(spark, sf_dir):
     return field(spark, sf_dir).groupBy("variable").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.isnan("value").cast("int")), 9).alias("missing_share"))

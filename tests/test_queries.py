@@ -46,6 +46,14 @@ def test_whole_tables_as_input(spark):
     assert pairs.where("vertex_id % 10 <> 0").count() > 0 and pairs.where("vec_id = vertex_id").count() == pairs.select("vec_id").distinct().count()
 
 
+def test_only_whole_days(spark):
+    from fieldweave.operators import fields
+
+    rows = [("a", step, float(step)) for step in (3, 4, 5, 6, 7, 8, 9, 10, 12)] + [("b", step, 1.0) for step in (5, 5, 6, 8)]
+    found = fields.whole_days(fields.daily_fold(spark.createDataFrame(rows, "k string, step long, value double"), ["k"])).collect()
+    assert [(r["k"], r["day"], r["daily_sum"]) for r in found] == [("a", 1, 26.0)]
+
+
 def test_entry(spark):
     import __spark_entry__
 
