@@ -150,7 +150,9 @@ def train(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST_DOCUM
         some = kinds.where(F.col("toxic") == kind).orderBy("place", "doc_id").limit(most[kind])
         chosen = some if chosen is None else chosen.unionByName(some)
     chosen = chosen.select(F.col("doc_id").alias("l_id"), "toxic", (F.pmod("place", F.lit(3)) != 0).alias("counts"))
-    found = docs.select(F.col(doc_id).alias("l_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "l_id")  # sum(most) rows at most
+    found = docs.select(F.col(doc_id).alias("l_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "l_id")  # a chosen id may repeat
+    least = F.min_by(F.struct("toxic", "counts", "text"), F.struct(F.xxhash64("text"), "text"))
+    found = found.groupBy("l_id").agg(least.alias("row")).select("row.*")  # sum(most) rows at most
     rows = found.select("toxic", "counts", "text").mapInPandas(_distinct, "toxic int, counts boolean, words binary").toPandas()
     sums = (Counter(), Counter())
     for toxic, words in zip(rows["toxic"][rows["counts"]], rows["words"][rows["counts"]], strict=True):

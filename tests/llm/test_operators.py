@@ -257,6 +257,23 @@ def test_toxicity(spark, real, docs, nothing):
     assert {r["score"] for r in toxicity.judge(docs, labels.where("false")).collect()} == {0.0}
 
 
+def test_a_repeated_id_is_learned_once(spark, monkeypatch):
+    train = [i for i in range(60) if zlib.crc32(str(i).encode()) % toxicity.FOLDS != toxicity.HELD_OUT_FOLD]
+    once = [(i, "good plain words" if i % 2 else "bad vile words") for i in train]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in train], "doc_id long, toxic int")
+    learned, model = [], toxicity.Model
+
+    class Seen(model):
+        def __init__(self, *sums):
+            learned.append(sums)
+            super().__init__(*sums)
+
+    monkeypatch.setattr(toxicity, "Model", Seen)
+    for rows in (once, once + [once[0]] * 500 + [once[1]] * 500):
+        toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert learned[0] == learned[1]
+
+
 def test_class_models_are_distributions():
     model = toxicity.Model(collections.Counter({b"ab": 5, b"abc": 2}), collections.Counter({b"ab": 1, b"xy": 7}))
     context = int.from_bytes(b"\0\0\0a", "big") << 8
