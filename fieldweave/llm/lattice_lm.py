@@ -6,16 +6,17 @@ segmentations, is the product of those of its words and of the end. Piece probab
 vocabulary and are then fitted to all training words by expectation maximisation; expected counts are summed by Spark and
 only one number a piece of the vocabulary file comes back to the driver.
 
-Each distinct word is scored once. Words and documents meet in buckets of words: a document sends one row a bucket with
-its words and their counts, so no word, however frequent, is a key that gathers rows.
+Each distinct word of the corpus is scored once. The FREQUENT most frequent words, a bounded table, are sent to all tasks,
+which sum them where the document lies; only a document's other words leave it, one row each, and meet the scores by an
+ordinary join. What is left is rare by construction, so no word is a key that gathers rows, and the join's partitions grow
+in number with the data.
 """
 
 from __future__ import annotations
 
-import zlib
+import struct
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -26,10 +27,10 @@ from .common import as_table, fold, ship_package
 
 FOLDS, HELD_OUT_FOLD = 5, 1
 ITERATIONS = 3
-#: Buckets of words, at least, and words of a bucket, on average, at most.
-BUCKETS, BUCKET_WORDS = 32, 1 << 18
-#: Distinct words that a task counts before it sends them on.
-_COUNTED = 400_000
+#: Words that documents look up where they lie, and their bytes, at most.
+FREQUENT, FREQUENT_BYTES = 1 << 17, 64
+#: Distinct words that a task counts before it sends them on, and words that go through the lattice together.
+_COUNTED, _TOGETHER = 400_000, 100_000
 #: Pseudo-count of each piece.
 SMOOTHING = 0.1
 
@@ -141,27 +142,45 @@ def _tokens(text: str | None) -> list[bytes]:
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    seen: Counter[bytes] = Counter()
+    kinds: tuple[Counter[bytes], Counter[bytes]] = Counter(), Counter()  # of held-out and of training texts
+
+    def counted() -> pd.DataFrame:
+        out = pd.DataFrame({"word": [*kinds[0], *kinds[1]], "n": [0] * len(kinds[0]) + [*kinds[1].values()], "all": [*kinds[0].values(), *kinds[1].values()]})
+        for kind in kinds:
+            kind.clear()
+        return out.astype({"n": "int64", "all": "int64"})
+
     for pdf in batches:
-        for text in pdf["text"]:
-            seen.update(_tokens(text))
-            if len(seen) > _COUNTED:
-                yield pd.DataFrame({"word": list(seen.keys()), "n": list(seen.values())})
-                seen = Counter()
-    yield pd.DataFrame({"word": list(seen.keys()), "n": np.array(list(seen.values()), np.int64)})
+        for text, learned in zip(pdf["text"], pdf["learned"], strict=True):
+            kinds[bool(learned)].update(_tokens(text))
+            if len(kinds[0]) + len(kinds[1]) > _COUNTED:
+                yield counted()
+    yield counted()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """word (binary) and n, over all rows of the column `text`."""
-    return texts.mapInPandas(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    """word (binary), n (in rows whose `learned` is true) and all (in all rows) of the column `text`."""
+    return texts.mapInPandas(_count, "word binary, n long, all long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("all").alias("all"))
+
+
+def _together(batches: Iterator[pd.DataFrame], rows: int = _TOGETHER) -> Iterator[pd.DataFrame]:
+    """Arrow batches joined to frames of about `rows` rows, for arrays of words that are worth a call."""
+    held, n = [], 0
+    for pdf in batches:
+        held.append(pdf)
+        n += len(pdf)
+        if n >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if n:
+        yield pd.concat(held, ignore_index=True)
 
 
 def _expect(batches: Iterator[pd.DataFrame], path: str, logp: np.ndarray) -> Iterator[pd.DataFrame]:
     lattice = Lattice.of(path)
     expected = np.zeros(len(lattice.pieces))
-    for pdf in batches:
-        if len(pdf):
-            lattice.words([bytes(w) for w in pdf["word"]], logp, expected, pdf["n"].to_numpy(np.float64))
+    for pdf in _together(batches):
+        lattice.words([bytes(w) for w in pdf["word"]], logp, expected, pdf["n"].to_numpy(np.float64))
     found = np.flatnonzero(expected)
     yield pd.DataFrame({"piece": found, "expected": expected[found]})
 
@@ -180,119 +199,95 @@ def fit(words: DataFrame, ends: int, path: str, iterations: int = ITERATIONS) ->
     return logp, end
 
 
-def _bucket(word: bytes, buckets: int) -> int:
-    return zlib.crc32(word) % buckets
+def _word_scores(batches: Iterator[pd.DataFrame], path: str, logp: np.ndarray) -> Iterator[pd.DataFrame]:
+    lattice = Lattice.of(path)
+    for pdf in _together(batches):
+        yield pdf.assign(logp=lattice.words([bytes(w) for w in pdf["word"]], logp))
+
 
+def scored_words(words: DataFrame, path: str, logp: np.ndarray) -> DataFrame:
+    """The counted words with logp, their log probability over all segmentations."""
+    return words.mapInPandas(lambda batches: _word_scores(batches, path, logp), "word binary, n long, all long, logp double")
 
-def _word_rows(batches: Iterator[pd.DataFrame], path: str, logp: np.ndarray, buckets: int) -> Iterator[pd.DataFrame]:
-    lattice = Lattice.of(path)
-    for pdf in batches:
-        words = [bytes(w) for w in pdf["word"]]
-        if words:
-            yield pd.DataFrame({"bucket": [_bucket(w, buckets) for w in words], "doc": 0, "text_hash": 0, "words": words, "n": pdf["n"].to_numpy(), "logp": lattice.words(words, logp), "counts": None})
+
+_ROW = "word binary, doc long, text_hash long, copies long, n long, n_known long, base double, score double"
 
 
-def _doc_rows(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]:
+def _document_rows(batches: Iterator[pd.DataFrame], words: list[bytes], facts: np.ndarray) -> Iterator[pd.DataFrame]:
+    """A row with the sums of each document's frequent words, and a row for each of its other words.
+
+    The first kind has a key that is no word (it starts with a space) and is spread by it."""
+    known = {w: i for i, w in enumerate(words)}
+    names = [c.split()[0] for c in _ROW.split(", ")]
     for pdf in batches:
         for at in range(0, len(pdf), 500):
-            to, docs, hashes, words, counts = [], [], [], [], []
             part = pdf.iloc[at : at + 500]
-            for doc, text_hash, text in zip(part["doc"], part["text_hash"], part["text"], strict=True):
-                split: dict[int, list] = defaultdict(list)
-                for item in Counter(_tokens(text)).items():
-                    split[zlib.crc32(item[0]) % buckets].append(item)
-                for bucket, items in split.items():
-                    to.append(bucket)
-                    docs.append(doc)
-                    hashes.append(text_hash)
-                    words.append(b" ".join([w for w, _ in items]))
-                    counts.append(np.array([n for _, n in items], np.uint32).tobytes())
-            yield pd.DataFrame({"bucket": to, "doc": docs, "text_hash": hashes, "words": words, "n": 0, "logp": 0.0, "counts": counts})
-
-
-def _meet(batches: Iterator[pd.DataFrame], train: int, distinct: int, path: str, logp: np.ndarray) -> Iterator[pd.DataFrame]:
-    """Rows sorted by bucket, words before documents: partial sums of each document."""
-    lattice, bucket = Lattice.of(path), None
-    known: dict[bytes, int] = {}  # word to its place in facts
-    facts = np.zeros((0, 3))  # seen in training, base, log probability
-    total = train + 0.5 * (distinct + 1)
-
-    def learn(words: list[bytes], new: np.ndarray) -> None:
-        nonlocal facts
-        known.update(zip(words, range(len(facts), len(facts) + len(words)), strict=True))
-        facts = np.concatenate([facts, new])
-
-    for pdf in batches:
-        is_doc = pdf["counts"].notna().to_numpy()
-        edges = np.flatnonzero(np.diff(pdf["bucket"].to_numpy()) != 0) + 1
-        for part, docs in zip([pdf.iloc[a:b] for a, b in zip([0, *edges], [*edges, len(pdf)], strict=True)], np.split(is_doc, edges), strict=True):
-            if not len(part):
-                continue
-            if part["bucket"].iloc[0] != bucket:
-                bucket, facts = part["bucket"].iloc[0], facts[:0]
-                known.clear()
-            own = part[~docs]
-            if len(own):
-                learn([bytes(w) for w in own["words"]], np.column_stack([np.ones(len(own)), np.log10((own["n"].to_numpy() + 0.5) / total), own["logp"].to_numpy()]))
-            some = part[docs]
-            if not len(some):
-                continue
-            words = b" ".join(some["words"]).split(b" ")
-            counts = np.frombuffer(b"".join(some["counts"]), np.uint32).astype(np.float64)
-            starts = np.cumsum([0, *(len(c) // 4 for c in some["counts"])])[:-1]
-            at = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
-            if len(unknown := np.flatnonzero(at < 0)):
-                fresh = list({words[i] for i in unknown})
-                if len(known) + len(fresh) > 4 * BUCKET_WORDS:  # words that training lacks are scored again when they return
-                    trained = int(facts[:, 0].sum())
-                    for w in [w for w, i in known.items() if i >= trained]:
-                        del known[w]
-                    facts = facts[:trained]
-                    fresh = list({w for w in words if w not in known})
-                learn(fresh, np.column_stack([np.zeros(len(fresh)), np.full(len(fresh), np.log10(0.5 / total)), lattice.words(fresh, logp)]))
-                at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            sums = np.add.reduceat(facts[at] * counts[:, None], starts)
-            yield pd.DataFrame({"doc": some["doc"].to_numpy(), "text_hash": some["text_hash"].to_numpy(), "n_tokens": np.add.reduceat(counts, starts).astype(np.int64), "n_known": sums[:, 0].round().astype(np.int64), "base": sums[:, 1], "score": sums[:, 2]})
-
-
-def score(docs: DataFrame, vocabulary: str | None = None, iterations: int = ITERATIONS, bucket_words: int = BUCKET_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+            keys, docs, hashes, counts, sums = [], [], [], [], []
+            for doc, text_hash, text in zip(part["doc"].tolist(), part["text_hash"].tolist(), part["text"], strict=True):
+                here = Counter(_tokens(text))
+                places = [known.get(w, -1) for w in here]
+                found, n = np.array(places, np.int64), np.fromiter(here.values(), np.int64, len(here))
+                own = found >= 0
+                sums.append((n[own].sum(), *(n[own] @ facts[found[own]])))
+                rare = [w for w, i in zip(here, places, strict=True) if i < 0]
+                keys += [b" " + struct.pack("<qq", doc, text_hash), *rare]
+                docs += [doc] * (len(rare) + 1)
+                hashes += [text_hash] * (len(rare) + 1)
+                counts += [0, *n[~own].tolist()]
+            out = pd.DataFrame({"word": keys, "doc": docs, "text_hash": hashes, "copies": 0, "n": counts, "n_known": 0, "base": 0.0, "score": 0.0})
+            first = np.flatnonzero(out["n"].to_numpy() == 0)  # the documents' own rows, in order: a word's count is above 0
+            total, seen, base, score = np.array(sums, float).reshape(-1, 4).T
+            for column, values in (("copies", np.ones(len(first), np.int64)), ("n", total.astype(np.int64)), ("n_known", seen.round().astype(np.int64)), ("base", base), ("score", score)):
+                whole = out[column].to_numpy().copy()
+                whole[first] = values
+                out[column] = whole
+            yield out[names]
+
+
+def score(docs: DataFrame, vocabulary: str | None = None, iterations: int = ITERATIONS, frequent: int = FREQUENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
     score is log10 of the text's probability over all segmentations, its end included; base_score is the add-half word
-    model of the same training documents. Learns from all documents outside the held-out fold. Null, empty and white
-    texts are the end alone. A null id is never held out; rows with equal ids are scored one by one. An empty table gives
-    an empty result; other columns are ignored."""
+    model of the same training documents. Learns from all documents outside the held-out fold; `frequent` changes where
+    words are looked up, not the result. Null, empty and white texts are the end alone. Texts of any length are read
+    whole, and so is a word of any length, in time that grows with its bytes. Ids may be of any type; a null id is never
+    held out; rows with equal ids are scored one by one, and equal rows alike. An empty table gives an empty result;
+    other columns are ignored."""
     spark = docs.sparkSession
     ship_package(spark)
     path = vocabulary or vocabulary_path()
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    training = rows.where(fold("doc_id", FOLDS) != HELD_OUT_FOLD)
-    words = as_table(word_counts(training.select("text")), "words")
-    ends = training.count()
-    v, n = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    learned = fold("doc_id", FOLDS) != HELD_OUT_FOLD
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("learned", learned)
+    words = as_table(word_counts(rows.select("text", "learned")), "words")
+    ends = rows.where("learned").count()
+    v, n = words.where("n > 0").agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     train, distinct = n + ends, v + (ends > 0)
-    logp, end = fit(words, ends, path, iterations)
-    buckets = max(BUCKETS, -(-v // bucket_words))
-    schema = "bucket int, doc long, text_hash long, words binary, n long, logp double, counts binary"
+    logp, end = fit(words.where("n > 0"), ends, path, iterations)
+    scored = as_table(scored_words(words, path, logp), "scored_words")
+    total = float(train + 0.5 * (distinct + 1))
+    top = scored.where(F.length("word") <= FREQUENT_BYTES).orderBy(F.desc("all"), "word").limit(frequent).collect()  # `frequent` words of FREQUENT_BYTES bytes at most
+    facts = np.array([(r["n"] > 0, np.log10((r["n"] + 0.5) / total), r["logp"]) for r in top], float).reshape(-1, 3)
+    shared = spark.sparkContext.broadcast(([bytes(r["word"]) for r in top], facts))
     # Rows that share an id are told apart by their texts; equal rows have equal scores.
     key = ("doc", "text_hash")
-    keyed = rows.withColumns({"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))), "text_hash": F.xxhash64("text")})
-    left = words.mapInPandas(lambda batches: _word_rows(batches, path, logp, buckets), schema)
-    right = keyed.select(*key, "text").mapInPandas(lambda batches: _doc_rows(batches, buckets), schema)
-    met = left.unionByName(right).repartition("bucket").sortWithinPartitions("bucket", F.col("counts").isNotNull())
-    parts = met.mapInPandas(lambda batches: _meet(batches, train, distinct, path, logp), "doc long, text_hash long, n_tokens long, n_known long, base double, score double")
-    copies = keyed.groupBy(*key).agg(F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    sums = parts.groupBy(*key).agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")])
-    end_base = float(np.log10((ends + 0.5) / (train + 0.5 * (distinct + 1))))
-    out = copies.join(sums, [*key], "left")
-    share = lambda c: F.coalesce(c / F.col("copies"), F.lit(0))
-    return out.select(
-        "doc_id",
-        (fold("doc_id", FOLDS) == HELD_OUT_FOLD).alias("held_out"),
-        (share(F.col("n_tokens")) + 1).cast("long").alias("n_tokens"),
-        (share(F.col("n_known")) + (1 if ends else 0)).cast("long").alias("n_known"),
-        F.lit(train).cast("long").alias("train_tokens"),
-        (share(F.col("base")) + end_base).alias("base_score"),
-        ((share(F.col("score")) + end) / float(np.log(10))).alias("score"),
-        F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"),
-    ).drop("copy")
+    keyed = rows.withColumns({"doc": F.xxhash64(F.lit("id"), F.col("doc_id").cast("string")), "text_hash": F.xxhash64("text")})
+    sent = keyed.select(*key, "text").mapInPandas(lambda batches: _document_rows(batches, *shared.value), _ROW)
+    met = sent.join(scored.select("word", F.col("n").alias("c"), "logp"), "word", "left")
+    rare = lambda c: F.when(F.col("c").isNull(), F.lit(0.0)).otherwise(F.col("n") * c)
+    sums = met.groupBy(*key).agg(
+        F.sum("copies").alias("copies"), F.sum("n").alias("n_tokens"),
+        F.sum(F.col("n_known") + F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0))).alias("n_known"),
+        F.sum(F.col("base") + rare(F.log10((F.col("c") + 0.5) / total))).alias("base"), F.sum(F.col("score") + rare(F.col("logp"))).alias("score"),
+    )
+    end_base = float(np.log10((ends + 0.5) / total))
+    share = lambda c: F.col(c) / F.col("copies")
+    scores = sums.select(
+        *key,
+        (share("n_tokens") + 1).cast("long").alias("n_tokens"),
+        (share("n_known") + (1 if ends else 0)).cast("long").alias("n_known"),
+        (share("base") + end_base).alias("base_score"),
+        ((share("score") + end) / float(np.log(10))).alias("score"),
+    )
+    ids = keyed.select("doc_id", *key)
+    out = ids.join(scores, [*key])
+    return out.select("doc_id", (fold("doc_id", FOLDS) == HELD_OUT_FOLD).alias("held_out"), "n_tokens", "n_known", F.lit(train).cast("long").alias("train_tokens"), "base_score", "score")

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from fieldweave.llm import lang_id, lattice_lm, mixing, packing, progressive_jpeg, simhash, topk, toxicity, url_filter, warc
 
@@ -207,6 +208,17 @@ def brute_words(word, logp):
     return math.log(ways[-1])
 
 
+def brute_fit(lattice, counts, ends, passes=3):
+    """Piece probabilities and the log probability of the end after some passes over counted words, from expected counts."""
+    logp = lattice.by_rank()
+    for _ in range(passes):
+        expected = np.full(len(logp), lattice_lm.SMOOTHING)
+        lattice.words(list(counts), logp, expected, np.array(list(counts.values()), float))
+        total = expected.sum() + ends + lattice_lm.SMOOTHING
+        logp = np.log(expected / total)
+    return dict(zip(lattice.pieces, np.exp(logp), strict=True)), math.log((ends + lattice_lm.SMOOTHING) / total)
+
+
 def test_lattice(spark, real, docs, nothing):
     path = lattice_lm.vocabulary_path()
     lattice = lattice_lm.Lattice.of(path)
@@ -225,10 +237,20 @@ def test_lattice(spark, real, docs, nothing):
                 ends += 1
         n, v = sum(counts.values()) + ends, len(counts) + 1
         base = lambda t: sum(math.log10((c + 0.5) / (n + 0.5 * (v + 1))) for c in [*(counts[w] for w in words(t)), ends])
-        found = lattice_lm.score(table, bucket_words=100).collect()
+        found = lattice_lm.score(table, frequent=50).collect()
         assert collections.Counter((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 3)) for r in found) == collections.Counter((i, len(words(t)) + 1, 1 + sum(w in counts for w in words(t)), n, round(base(t), 3)) for i, t in rows)
-        assert all(r["score"] < 0 for r in found)
+        p_end = brute_fit(lattice, counts, ends)
+        chance = {w: brute_words(w, p_end[0]) for w in {x for _, t in rows for x in words(t)} if len(w) < 200}
+        sure = [(i, t) for i, t in rows if all(w in chance for w in words(t))]
+        order = lambda x: (str(x[0]), x[1])
+        want = sorted(((i, (sum(chance[w] for w in words(t)) + p_end[1]) / math.log(10)) for i, t in sure), key=order)
+        got = sorted(((r["doc_id"], r["score"]) for r in found if r["doc_id"] in {i for i, _ in sure}), key=order)
+        assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([x for _, x in got], [x for _, x in want], rtol=1e-6)
+        every = [{tuple(r) for r in lattice_lm.score(table, frequent=k).select("doc_id", "n_known", F.round("score", 6), F.round("base_score", 6)).collect()} for k in (0, 1 << 17)]
+        assert every[0] == every[1]
     assert lattice_lm.score(nothing).count() == 0
+    named = spark.createDataFrame([("a", "the of"), ("b", None), (None, "x")], "doc_id string, text string")
+    assert collections.Counter(r["doc_id"] for r in lattice_lm.score(named).collect()) == collections.Counter(["a", "b", None])
 
 
 def test_lattice_is_fitted_by_three_passes(spark):
@@ -291,8 +313,6 @@ def test_url_cascade(spark):
     universe = spark.createDataFrame([(h, h in listed) for h in hosts], "key string, listed boolean")
     levels = url_filter.build_cascade(universe)
     assert len(levels) > 1
-    from pyspark.sql import functions as F
-
     assert {r["key"] for r in universe.where(url_filter.listed(levels, F.col("key"))).collect()} == listed
     assert url_filter.build_cascade(universe, most_bits=10) is None
     urls = [None, "no scheme", "HTTP://A.Com/en/1", "https://x.example.com/en/7?q", "http://net/de/#x", "http://a.example.net/de/8", "http://m.casino-win.example.org", "http://É.org/es/"]
