@@ -244,6 +244,16 @@ def _document_rows(batches: Iterator[pd.DataFrame], words: list[bytes], facts: n
             yield out[names]
 
 
+def most_frequent(scored: DataFrame, most: int) -> DataFrame:
+    """Up to `most` of the words with the highest counts, from a threshold that a histogram of the counts' logarithms gives."""
+    short = scored.where(F.length("word") <= FREQUENT_BYTES)
+    step = F.floor(F.log2(F.col("all").cast("double")) * 8)
+    sizes = sorted(((r["step"], r["count"]) for r in short.groupBy(step.alias("step")).count().collect()), reverse=True)  # 8 * 63 rows at most
+    upto = np.cumsum([n for _, n in sizes])
+    least = [at for (at, _), n in zip(sizes, upto, strict=True) if n <= most]
+    return short.where(step >= least[-1]) if least else short.limit(0)
+
+
 def score(docs: DataFrame, vocabulary: str | None = None, iterations: int = ITERATIONS, frequent: int = FREQUENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
@@ -265,7 +275,7 @@ def score(docs: DataFrame, vocabulary: str | None = None, iterations: int = ITER
     logp, end = fit(words.where("n > 0"), ends, path, iterations)
     scored = as_table(scored_words(words, path, logp), "scored_words")
     total = float(train + 0.5 * (distinct + 1))
-    top = scored.where(F.length("word") <= FREQUENT_BYTES).orderBy(F.desc("all"), "word").limit(frequent).collect()  # `frequent` words of FREQUENT_BYTES bytes at most
+    top = most_frequent(scored, frequent).collect()  # `frequent` words of FREQUENT_BYTES bytes at most
     facts = np.array([(r["n"] > 0, np.log10((r["n"] + 0.5) / total), r["logp"]) for r in top], float).reshape(-1, 3)
     shared = spark.sparkContext.broadcast(([bytes(r["word"]) for r in top], facts))
     # Rows that share an id are told apart by their texts; equal rows have equal scores.
