@@ -10,15 +10,17 @@ sequences of powers of two, so that nothing is padded.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import ship_package
 
@@ -30,7 +32,7 @@ GROUP_TOKENS = 1 << 20
 _REMEMBERED = 1_000_000
 _PART = "\x01"
 
-_workers: dict[str, tuple[object, dict[bytes, bytes]]] = {}
+_workers: dict[str, "_Tokenizer"] = {}
 
 
 def vocabulary_path() -> str:
@@ -39,63 +41,94 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _tokenizer(path: str) -> tuple[object, dict[bytes, bytes]]:
-    if path not in _workers:
+class _Tokenizer:
+    """A vocabulary file and the ids of the words that a worker has seen."""
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        made = Tokenizer.from_file(path)
-        made.encode_special_tokens = True  # the strings of special tokens are ordinary text
-        _workers[path] = (made, {})
-    return _workers[path]
-
-
-def _encode(tokenizer, words: list[bytes]) -> list[bytes]:
-    """The ids of words without white space, many in one call: a control character that stands alone is one id and parts them."""
-    (mark,) = tokenizer.encode(_PART, add_special_tokens=False).ids
-    out = []
-    for at in range(0, len(words), 256):
-        some = [w.decode() for w in words[at : at + 256]]
-        if any(_PART in w for w in some):
-            out += [np.array(x.ids, "<u4").tobytes() for x in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            continue
-        ids = np.array(tokenizer.encode_batch_fast([f" {_PART} ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-        edges = [-1, *np.flatnonzero(ids == mark).tolist(), len(ids)]
+        self.whole = Tokenizer.from_file(path)
+        plan = json.loads(self.whole.to_str())
+        self.special = [t["content"].encode().lower() for t in plan["added_tokens"]]
+        # Words of small ASCII letters are what normalization would leave of them, and each is one unit that ends in an id with the suffix.
+        self.letters = Tokenizer.from_str(json.dumps(plan | {"normalizer": None}))
+        suffix = plan["model"]["end_of_word_suffix"]
+        vocabulary = self.whole.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        (self.mark,) = self.whole.encode(_PART, add_special_tokens=False).ids
+        self.known: dict[bytes, bytes] = {}
+
+    def ids(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _cut(self, tokenizer, text: str, is_end: Callable[[np.ndarray], np.ndarray], over: int) -> list[bytes]:
+        """The ids of a text, cut after each id that ends a part; `over` ids go at the end of each part."""
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(is_end(ids)) + 1
         data = ids.tobytes()
-        out += [data[4 * (a + 1) : 4 * b] for a, b in zip(edges, edges[1:], strict=False)]
-    return out
-
+        return [data[4 * a : 4 * (b - over)] for a, b in zip([0, *stops.tolist()], stops.tolist(), strict=False)]
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words without white space, many in one call. Letters are cut by their last ids; other words are
+        parted by a control character that stands alone and is one id."""
+        plain = [w.isalpha() and w.isascii() for w in words]
+        out: list[bytes] = [b""] * len(words)
+        for kind in (True, False):
+            places = [i for i, p in enumerate(plain) if p == kind]
+            for at in range(0, len(places), 256):
+                some = [words[i].decode() for i in places[at : at + 256]]
+                if kind:
+                    found = self._cut(self.letters, " ".join(some), lambda ids: self.ends[ids], 0)
+                elif any(_PART in w for w in some):
+                    found = [self.ids(w) for w in some]
+                else:
+                    found = self._cut(self.whole, "".join(f"{w} {_PART} " for w in some), lambda ids: ids == self.mark, 1)
+                for i, ids in zip(places[at : at + 256], found, strict=True):
+                    out[i] = ids
+        return out
 
-def _learn(tokenizer, known: dict[bytes, bytes], new: set[bytes]) -> None:
-    """Adds the ids of new words. A word of letters and the stops after it are tokenized apart, as the vocabulary does."""
-    split, stems = {}, set()
-    for word in new:
-        stem = word.rstrip(b".,")
-        if stem and len(stem) < len(word) and stem.decode()[-1].isalpha():
-            split[word] = (stem, word[len(stem) :])
-            stems.update(split[word])
-        else:
-            stems.add(word)
-    order = [w for w in stems if w not in known]
-    known.update(zip(order, _encode(tokenizer, order), strict=True))
-    for word, (stem, stops) in split.items():
-        known[word] = known[stem] + known[stops]
+    def learn(self, new: set[bytes]) -> None:
+        """Adds the ids of new words. A word that ends in an ASCII letter and the stops after it are tokenized apart, as the
+        vocabulary does; beyond ASCII, lower case may end in a mark that joins the stops."""
+        split, stems = {}, set()
+        for word in new:
+            stem = word.rstrip(b".,")
+            if len(stem) < len(word) and stem[-1:].isalpha():  # of bytes: ASCII alone
+                split[word] = (stem, word[len(stem) :])
+                stems.update(split[word])
+            else:
+                stems.add(word)
+        order = [w for w in stems if w not in self.known]
+        self.known.update(zip(order, self.encode(order), strict=True))
+        for word, (stem, stops) in split.items():
+            self.known[word] = self.known[stem] + self.known[stops]
+
+
+def _tokenizer(path: str) -> _Tokenizer:
+    if path not in _workers:
+        _workers[path] = _Tokenizer(path)
+    return _workers[path]
 
 
 def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit numbers, without the end id.
+    """The ids of each text as little-endian unsigned 32-bit numbers, without the end id: those of the file's tokenizer.
 
     The vocabulary knows lower case only, drops white space and never joins across it, so a text's ids are those of its
-    parts between ASCII white space, in lower case; parts seen before are looked up."""
-    tokenizer, known = _tokenizer(path)
-    parts = [(t or "").encode().lower().split() for t in texts]
-    new = set().union(*parts) - known.keys() if parts else set()
+    parts between ASCII white space, in lower case; parts seen before are looked up. A text that holds the string of a
+    special token, in any case, goes through the tokenizer as a whole, which knows those strings before it lowers a text."""
+    made = _tokenizer(path)
+    low = [(t or "").encode().lower() for t in texts]
+    whole = {i for i, data in enumerate(low) if any(x in data for x in made.special)}
+    parts = [[] if i in whole else data.split() for i, data in enumerate(low)]
+    new = set().union(*parts) - made.known.keys() if parts else set()
     if new:
-        if len(known) + len(new) > _REMEMBERED:
-            known.clear()
+        if len(made.known) + len(new) > _REMEMBERED:
+            made.known.clear()
             new = set().union(*parts)
-        _learn(tokenizer, known, new)
-    return [b"".join(map(known.__getitem__, p)) for p in parts]
+        made.learn(new)
+    return [made.ids(texts[i]) if i in whole else b"".join(map(made.known.__getitem__, p)) for i, p in enumerate(parts)]
 
 
 def cost(n):
@@ -131,7 +164,7 @@ def assign(lengths: list[int], length: int = LENGTH) -> list[tuple[int, int, int
     return out
 
 
-def _pack(batches: Iterator[pd.DataFrame], path: str, length: int, group_tokens: int) -> Iterator[pd.DataFrame]:
+def _pack(batches: Iterator[pd.DataFrame], path: str, length: int, group_tokens: int, numbers: bool) -> Iterator[pd.DataFrame]:
     task = TaskContext.get()
     base, made = (task.partitionId() if task else 0) << 33, 0
     end = np.array([END_ID], "<u4").tobytes()
@@ -152,15 +185,14 @@ def _pack(batches: Iterator[pd.DataFrame], path: str, length: int, group_tokens:
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
         out = pd.DataFrame(rows, columns=names)
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        return out
+        return out.astype({"doc_id": "Int64" if numbers else object})
 
     for pdf in batches:
         for at in range(0, len(pdf), 500):
             part = pdf.iloc[at : at + 500]
             whole = []
             for doc, ids in zip(part["doc_id"], token_bytes(part["text"].tolist(), path), strict=True):
-                ids, doc = ids + end, None if pd.isna(doc) else int(doc)
+                ids, doc = ids + end, None if pd.isna(doc) else int(doc) if numbers else doc
                 total = len(ids) // 4
                 for start in range(0, total - length + 1, length):
                     whole.append((doc, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), total, base + made, 0))
@@ -179,10 +211,13 @@ def _pack(batches: Iterator[pd.DataFrame], path: str, length: int, group_tokens:
 def pack(docs: DataFrame, tokenizer_path: str | None = None, length: int = LENGTH, group_tokens: int = GROUP_TOKENS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    A document's ids are followed by END_ID; each id lies in exactly one piece. Null and empty texts are that id alone.
+    A document's ids are followed by END_ID; each id lies in exactly one piece. Null and empty texts are that id alone; a
+    text of any length is cut into whole sequences and a remainder. Whole-number ids come as longs, others as they are.
     Rows with equal ids, or null ids, are packed as documents of their own. Sequence ids hold the partition's number, so
     a task that runs again gives the same rows. An empty table gives an empty result; other columns are ignored."""
     ship_package(docs.sparkSession)
-    path = tokenizer_path or vocabulary_path()
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(lambda batches: _pack(batches, path, length, group_tokens), schema)
+    path, kind = tokenizer_path or vocabulary_path(), docs.schema[doc_id].dataType
+    as_id = "long" if isinstance(kind, IntegralType) else kind.simpleString()
+    schema = f"doc_id {as_id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    rows = docs.select(F.col(doc_id).cast(as_id).alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInPandas(lambda batches: _pack(batches, path, length, group_tokens, as_id == "long"), schema)

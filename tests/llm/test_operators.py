@@ -157,16 +157,21 @@ def test_packing(spark, real, docs, nothing):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(packing.vocabulary_path())
-    t.encode_special_tokens = True
     for table in (real, docs):
-        whole = collections.Counter()
-        for r in table.collect():
-            whole[(r["doc_id"], len(t.encode(r["text"] or "", add_special_tokens=False).ids) + 1)] += 1
+        ids = {(r["doc_id"], r["text"]): [*t.encode(r["text"] or "", add_special_tokens=False).ids, 1] for r in table.collect()}
         rows = packing.pack(table, group_tokens=5000).collect()
-        pieces = collections.Counter()
+        by_id, texts = collections.defaultdict(list), collections.defaultdict(list)
         for r in rows:
-            pieces[(r["doc_id"], r["doc_tokens"])] += r["length"]
-        assert pieces == collections.Counter({k: k[1] * n for k, n in whole.items()})
+            by_id[r["doc_id"]].append(r)
+        for r in table.collect():
+            texts[r["doc_id"]].append(ids[r["doc_id"], r["text"]])
+        assert by_id.keys() == texts.keys()
+        for i, own in texts.items():
+            assert sum(r["length"] for r in by_id[i]) == sum(map(len, own))
+            for r in by_id[i]:  # rows that share an id have the same text here
+                piece = np.array(own[0][r["start"] : r["start"] + r["length"]], "<u4")
+                assert len(piece) == r["length"] and zlib.crc32(piece.tobytes()) == r["ids_crc32"] and r["doc_tokens"] == len(own[0])
+            assert collections.Counter(x for r in by_id[i] for x in range(r["start"], r["start"] + r["length"])) == collections.Counter({x: len(own) for x in range(len(own[0]))})
         sequences = collections.defaultdict(list)
         for r in rows:
             sequences[r["sequence_id"]].append((r["offset"], r["length"]))
@@ -177,8 +182,42 @@ def test_packing(spark, real, docs, nothing):
                 end += n
             assert end == 2048 or end & (end - 1) == 0
     assert packing.pack(nothing).count() == 0
-    text = "Don't STOP!.. İ ΣΣ café., a.b 12.5, <|endoftext|> \x01 x\x01y  z"
-    assert np.frombuffer(packing.token_bytes([text], packing.vocabulary_path())[0], "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    named = spark.createDataFrame([("a", "the of"), ("b", None), (None, "x")], "doc_id string, text string")
+    assert {(str(r["doc_id"]), r["doc_tokens"]) for r in packing.pack(named).collect()} == {("None", 2), ("a", 3), ("b", 1)}
+
+
+def test_ids_are_the_tokenizers():
+    """Strings drawn from parts that are hard for words looked up one by one, against the untouched tokenizer."""
+    from tokenizers import Tokenizer
+
+    t, draw = Tokenizer.from_file(packing.vocabulary_path()), np.random.default_rng(5)
+    parts = [*"abcdnorstéÉßİıΣσςñ.,;'’-0123 \t\n\u00a0\u2009\x01\x1c\x85", "\u0301", "\u0307", "\u0327", "\u1e9e", "İ.", "'s", "'LL", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "thing", "Tion", "漢字", "🙂", "ﬁ", "e\u0301,", "..", ".,", "١٢", "Don't"]
+    texts = ["".join(parts[k] for k in draw.integers(0, len(parts), draw.integers(1, 25))) for _ in range(4000)]
+    texts += ["Don't STOP!.. İ ΣΣ café., a.b 12.5, <|endoftext|> \x01 x\x01y  z", "<|endoftext|>", "İ.", "", "a" * 5000]
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500]
+        found = [np.frombuffer(x, "<u4").tolist() for x in packing.token_bytes(some, packing.vocabulary_path())]
+        wrong = [x for x, ids in zip(some, found, strict=True) if ids != t.encode(x, add_special_tokens=False).ids]
+        assert not wrong, wrong[:5]
+
+
+def test_assignment_by_cost():
+    """Pieces in descending order, each to the sequence of least cost with room, by a plain search."""
+    draw = np.random.default_rng(6)
+    for _ in range(30):
+        lengths = draw.integers(1, 2048, draw.integers(1, 40)).tolist()
+        found = packing.assign(lengths)
+        room, spent = packing.capacities(sum(lengths)), [0.0] * len(packing.capacities(sum(lengths)))
+        full, want = list(room), []
+        for item in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+            start, left = 0, lengths[item]
+            while left:
+                open_ = [k for k in range(len(room)) if room[k] >= left] or [k for k in range(len(room)) if room[k]]
+                at = min(open_, key=lambda k: (spent[k], k))
+                n = min(left, room[at])
+                want.append((item, start, n, at, full[at] - room[at]))
+                room[at], spent[at], start, left = room[at] - n, spent[at] + packing.cost(n), start + n, left - n
+        assert found == want and not any(room)
 
 
 def test_top_k(spark):
