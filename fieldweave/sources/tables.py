@@ -10,17 +10,34 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new name under spark.checkpoint.dir, else under the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/fieldweave-table-{uuid.uuid4().hex}"
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a session on a single machine
+    gets a folder of its own; a cluster must name one."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-shared-")
+        spark.sparkContext.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/fieldweave-{spark.sparkContext.applicationId}"
 
 
-def kept(df: DataFrame, by: str | None = None) -> DataFrame:
+def shared_folder(spark: SparkSession, name: str = "table") -> str:
+    """A new name in the shared folder."""
+    return f"{shared_base(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes what this application has left in the shared folder. Results that were not written elsewhere go with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_base(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def kept(df: DataFrame, by: str | None = None, name: str = "table", compression: str | None = None) -> DataFrame:
     """df written as Parquet and read again: its lineage ends there, and lost executors cost nothing."""
-    path = shared_folder(df.sparkSession)
+    path = shared_folder(df.sparkSession, name)
     writer = df.write.partitionBy(by) if by else df.write
-    writer.parquet(path)
+    writer.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

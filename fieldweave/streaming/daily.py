@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def stream_folder(spark: SparkSession) -> str:
-    """A folder that executors share: spark.checkpoint.dir, else the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/fieldweave-stream-{uuid.uuid4().hex}"
+from ..sources.tables import shared_folder
 
 
 def daily_windows(stream: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -25,8 +19,7 @@ def daily_windows(stream: DataFrame, delay: str = "1 day") -> DataFrame:
 
 def run_once(spark: SparkSession, source: str, schema) -> DataFrame:
     """All files that are there, in one run that ends; the result is a table of the last state of each window."""
-    folder = stream_folder(spark)
-    name = f"daily_{uuid.uuid4().hex}"
+    folder, name = shared_folder(spark, "stream"), "daily"
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("append").parquet(f"{folder}/{name}")
