@@ -2,62 +2,34 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import kept, shared_folder, ship
+
 #: The word pattern of the text operators: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows of an Arrow batch.
 BATCH_ROWS = 2000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-_PACKAGE = Path(__file__).resolve().parent.parent
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or (single machine, tests) a folder made here."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
-        if not path:
-            path = tempfile.mkdtemp(prefix="spark-shared-")
-            spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/fieldweave-{uuid.uuid4().hex}/{name}"
+    return shared_folder(spark, name)
 
 
-def as_table(df: DataFrame, name: str) -> DataFrame:
+def as_table(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it again: the lineage ends there and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return kept(df, name=name, compression=compression)
 
 
 def ship_package(spark: SparkSession) -> None:
     """Lets Python workers import this package wherever they run, and keeps Arrow batches, whose rows hold whole texts,
-    at BATCH_ROWS rows if the session has set no number of its own."""
-    context = spark.sparkContext
-    if spark.conf.get(_BATCH, "10000") == "10000":
+    at BATCH_ROWS rows if nobody has set a number."""
+    if _BATCH not in spark.conf.getAll:
         spark.conf.set(_BATCH, str(BATCH_ROWS))
-    if getattr(context, "_fieldweave_shipped", False):
-        return
-    folder = Path(tempfile.mkdtemp(prefix="spark-pyfiles-"))
-    with zipfile.ZipFile(folder / "fieldweave.zip", "w") as z:
-        for p in sorted(_PACKAGE.rglob("*.py")):
-            z.write(p, p.relative_to(_PACKAGE.parent))
-    context.addPyFile(str(folder / "fieldweave.zip"))
-    shutil.rmtree(folder, ignore_errors=True) if not context.master.startswith(("local",)) else None
-    context._fieldweave_shipped = True
+    ship(spark)
 
 
 def fold(doc_id: str | Column, folds: int) -> Column:

@@ -23,6 +23,8 @@ K, QUERY_EVERY, SCALE = 5, 50, 256
 #: Rows of a candidate block and of a query block, on average.
 CANDIDATES, QUERIES = 16384, 1024
 _LEAF, _FAN, _BASE = 64, 16, 1.6
+#: Squared lengths below this keep every score and every sum on the way to it exact in a double.
+_MOST = float(1 << 52)
 
 
 class Tree:
@@ -114,36 +116,45 @@ def index(rows: DataFrame, blocks: int) -> DataFrame:
 
 def _search(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        for q, c in zip(pdf["q_tree"], pdf["c_tree"], strict=True):
+        for block, q, c in zip(pdf["q_block"], pdf["q_tree"], pdf["c_tree"], strict=True):
             queries = pickle.loads(q)
             ids, scores = search(queries, pickle.loads(c), k)
             row, col = np.nonzero(~np.isneginf(scores))
-            yield pd.DataFrame({"query_id": queries.ids[row], "vec_id": ids[row, col], "score": scores[row, col].astype(np.int64)})
+            yield pd.DataFrame({"query_id": queries.ids[row], "query": (int(block) << 32) + row, "vec_id": ids[row, col], "score": scores[row, col].astype(np.int64)})
 
 
 def quantized(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """vec_id, v (floor(SCALE * x) of each component), dim; a row an id."""
+    """vec_id, v (floor(SCALE * x) of each component), dim and squares, the squared length of v; a row a usable row."""
     x = F.col(vector)
     usable = x.isNotNull() & F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf")))) & F.col(vec_id).isNotNull() & (F.size(x) > 0)
-    rows = embeddings.where(usable).select(F.col(vec_id).cast("long").alias("vec_id"), F.transform(x, lambda e: F.floor(e.cast("double") * SCALE)).alias("v"))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    scaled = F.transform(x, lambda e: e.cast("double") * SCALE)
+    rows = embeddings.where(usable).select(F.col(vec_id).cast("long").alias("vec_id"), scaled.alias("x"), F.size(x).alias("dim"))
+    # A component too large for a long is caught by its squared length.
+    v = F.transform("x", lambda e: F.floor(F.greatest(F.lit(-_MOST), F.least(F.lit(_MOST), e))))
+    return rows.select("vec_id", v.alias("v"), "dim", F.aggregate("x", F.lit(0.0), lambda s, e: s + e * e).alias("squares"))
 
 
 def top_k(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVERY, candidate_rows: int = CANDIDATES, query_rows: int = QUERIES, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k highest inner products of each row whose id is divisible by query_every.
 
     Ties go to the smaller vec_id. Vectors that are null or empty or hold null or non-finite components take no part, nor
-    do null ids; queries meet vectors of their own length. Of rows that repeat an id the smallest vector counts. A query
-    alone of its length has no row; an empty table gives an empty result; other columns are ignored."""
+    do null ids; queries meet vectors of their own length, however long. Rows that repeat an id are all candidates, for
+    all queries but those of this id; rows that repeat a query's id are queries of their own if their vectors differ, and
+    one query if they do not. Scores are exact: a vector whose squared length, times SCALE squared, reaches 2 ** 52 is a
+    ValueError. A query alone of its length has no row; an empty table gives an empty result; other columns are ignored."""
     ship_package(embeddings.sparkSession)
     rows = as_table(quantized(embeddings, vec_id, vector), "vectors")
-    asking = rows.where(F.col("vec_id") % query_every == 0)
-    blocks, query_blocks = max(1, -(-rows.count() // candidate_rows)), max(1, -(-asking.count() // query_rows))
+    n, most = rows.agg(F.count(F.lit(1)), F.coalesce(F.max("squares"), F.lit(0.0))).first()
+    if most >= _MOST:
+        raise ValueError(f"a vector of squared length {most:g} (in units of 1 / {SCALE}) has no exact scores; they must lie below 2 ** 52")
+    rows = rows.drop("squares")
+    asking = rows.where(F.col("vec_id") % query_every == 0).dropDuplicates(["vec_id", "v"])
+    blocks, query_blocks = max(1, -(-n // candidate_rows)), max(1, -(-asking.count() // query_rows))
     candidates = as_table(index(rows, blocks), "candidate_trees").withColumnRenamed("tree", "c_tree")
     queries = as_table(index(asking, query_blocks), "query_trees")
     # Each query block is sent to all candidate blocks of its length; block and length are the key of the join.
-    sent = queries.select("dim", F.col("tree").alias("q_tree"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")).alias("block"))
+    sent = queries.select("dim", F.col("block").alias("q_block"), F.col("tree").alias("q_tree"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")).alias("block"))
     cells = candidates.join(sent, ["dim", "block"])
-    found = cells.select("q_tree", "c_tree").mapInPandas(lambda batches: _search(batches, k), "query_id long, vec_id long, score long")
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = cells.select("q_block", "q_tree", "c_tree").mapInPandas(lambda batches: _search(batches, k), "query_id long, query long, vec_id long, score long")
+    best = W.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

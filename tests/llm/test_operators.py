@@ -224,17 +224,21 @@ def test_top_k(spark):
     draw = np.random.default_rng(2)
     v = draw.normal(0, 0.2, (400, 16)).astype(np.float32)
     v[50:60] = v[0]
-    rows = [(i, x.tolist(), 1) for i, x in enumerate(v)] + [(1000, None, 1), (1050, [None] * 16, 1), (1100, [float("nan")] * 16, 1), (150, v[150].tolist(), 1), (None, v[1].tolist(), 1), (2000, [0.5], 1)]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int")
-    found = [tuple(r) for r in topk.top_k(table, candidate_rows=100, query_rows=3).collect()]
-    q = np.floor(256 * v.astype(np.float64)).astype(np.int64)
+    # Repeated ids: a candidate's with another vector, a query's with the same and with another vector.
+    again = [(7, v[7] * 3), (7, v[7] * 3), (13, -v[13]), (150, v[150]), (200, v[201] * 2)]
+    odd = [(1000, None, 1), (1050, [None] * 16, 1), (1100, [float("nan")] * 16, 1), (None, v[1].tolist(), 1), (2000, [0.5], 1), (2050, [], 1), (2100, [float("inf")] * 16, 1)]
+    every = [*enumerate(v), *again]
+    table = spark.createDataFrame([(i, x.tolist(), 1) for i, x in every] + odd, "vec_id long, embedding array<float>, score int")
+    whole = [(i, np.floor(256 * x.astype(np.float64)).astype(np.int64)) for i, x in every]
     want = []
-    for i in range(0, 400, 50):
-        s = q @ q[i]
-        order = [j for j in np.lexsort((np.arange(400), -s)) if j != i][:5]
-        want += [(i, k + 1, int(j), int(s[j])) for k, j in enumerate(order)]
-    assert sorted(found) == want
+    for i, x in {(i, tuple(x)): (i, x) for i, x in whole if i % 50 == 0}.values():
+        scores = sorted((-int(x @ y), j) for j, y in whole if j != i)[:5]
+        want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(scores)]
+    for candidate_rows, query_rows in ((100, 3), (10_000, 1000)):
+        assert sorted(tuple(r) for r in topk.top_k(table, candidate_rows=candidate_rows, query_rows=query_rows).collect()) == sorted(want)
     assert topk.top_k(table.where("false")).count() == 0
+    with pytest.raises(ValueError, match="exact"):
+        topk.top_k(spark.createDataFrame([(0, [1e20, 1.0], 1), (1, [1.0, 2.0], 1)], "vec_id long, embedding array<double>, score int"))
 
 
 def brute_words(word, logp):
