@@ -357,15 +357,25 @@ def test_url_cascade(spark):
     levels = url_filter.build_cascade(universe)
     assert len(levels) > 1
     assert {r["key"] for r in universe.where(url_filter.listed(levels, F.col("key"))).collect()} == listed
-    assert url_filter.build_cascade(universe, most_bits=10) is None
-    urls = [None, "no scheme", "HTTP://A.Com/en/1", "https://x.example.com/en/7?q", "http://net/de/#x", "http://a.example.net/de/8", "http://m.casino-win.example.org", "http://É.org/es/"]
-    pages = spark.createDataFrame([(i, u, 3) for i, u in enumerate(urls)], "page_id int, url string, host int")
-    want = [(0, "", "", None, "allow"), (1, "", "", None, "allow"), (2, "a.com", "/en/1", "com/en/", "block"), (3, "x.example.com", "/en/7", "example.com/en/7", "allow"), (4, "net", "/de/", "net/de/", "allow"), (5, "a.example.net", "/de/8", "example.net/de/8", "block"), (6, "m.casino-win.example.org", "", None, "block"), (7, "É.org", "/es/", "org/es/", "block")]
-    for bits in (url_filter.MOST_BITS, 10):
-        assert sorted(tuple(r) for r in url_filter.judge(pages, most_bits=bits).collect()) == want
+    urls = [None, "no scheme", "HTTP://A.Com/en/1", "https://x.example.com/en/7?q", "http://net/de/#x", "http://a.example.net/de/8", "http://m.casino-win.example.org", "http://É.org/es/", "http://É.org/es/", "http://q/" + "x" * 100_000]
+    pages = spark.createDataFrame([(i, u, 3, True) for i, u in enumerate(urls)], "page_id int, url string, host int, listed boolean")
+    want = [(0, "", "", None, "allow"), (1, "", "", None, "allow"), (2, "a.com", "/en/1", "com/en/", "block"), (3, "x.example.com", "/en/7", "example.com/en/7", "allow"), (4, "net", "/de/", "net/de/", "allow"), (5, "a.example.net", "/de/8", "example.net/de/8", "block"), (6, "m.casino-win.example.org", "", None, "block"), (7, "É.org", "/es/", "org/es/", "block"), (8, "É.org", "/es/", "org/es/", "block"), (9, "q", "/" + "x" * 100_000, None, "allow")]
+    for bits in (url_filter.SHARD_BITS, 10):
+        assert sorted(tuple(r) for r in url_filter.judge(pages, shard_bits=bits).collect()) == want
     assert url_filter.judge(pages.where("false")).count() == 0
 
 
+def test_shards_of_a_list(spark):
+    """A list given as a table and dealt into several shards, each with a cascade of its own."""
+    hosts = [f"h{i}.example.test" for i in range(3000)]
+    pages = spark.createDataFrame([(i, f"http://{h}/p") for i, h in enumerate(hosts)], "page_id int, url string")
+    table = spark.createDataFrame([(h,) for i, h in enumerate(hosts) if i % 3 == 0] + [("elsewhere.test",), (hosts[0],)], "host string")
+    for bits in (url_filter.SHARD_BITS, 4000):
+        assert (url_filter.shards(1000, bits) > 1) == (bits == 4000)
+        found = {r["page_id"] for r in url_filter.judge(pages, shard_bits=bits, hosts=table).collect() if r["verdict"] == "block"}
+        assert found == set(range(0, 3000, 3))
+
+
 def test_mixing(spark, docs, real, nothing):
     for table in (docs, real):
         rows = [r.asDict() for r in mixing.mix(table).collect()]
