@@ -19,8 +19,8 @@ from .common import WORD, as_table
 WEIGHTS = (5, 2, 1)
 #: A source gives at most so many times its own size.
 MOST_EPOCHS = 3
-#: Hex digits of the key that make a bucket: 16 ** 3 ranges in each source.
-BUCKET_DIGITS = 3
+#: Hex digits of the key that make a bucket, at least, and rows of a bucket of the largest source, at most: 16 ** 3 ranges in each source, or more.
+BUCKET_DIGITS, BUCKET_ROWS = 3, 1 << 18
 
 
 def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -29,7 +29,7 @@ def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")).alias("key"),
+        F.md5(F.coalesce(F.col(doc_id).cast("string"), F.col(text), F.lit("")).cast("binary")).alias("key"),
     )
 
 
@@ -56,15 +56,26 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: i
     return levels.withColumn("target", F.least(cap, level * F.col("weight"))).select("source", "source_size", "weight", "target")
 
 
+def bucket_digits(rows: int) -> int:
+    """Digits of a bucket for so many rows; they change how prefix sums are cut into tasks, not their values."""
+    digits = BUCKET_DIGITS
+    while rows >> 4 * digits > BUCKET_ROWS:
+        digits += 1
+    return digits
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """doc_id, source, size, source_size, target, taken: how many words of each document the mix takes.
 
     A source's budget is its target rounded to a word. Whole epochs take every document; the rest of the budget is cut at
     the prefix sums, exactly, so that one document a source is taken in part.
 
-    Null text and texts without words have size 0 and nothing taken; a null source is a source of its own, the last; rows
-    with equal ids keep a row each, ordered by size; an empty table gives an empty result. Other columns are ignored."""
-    rows = as_table(sized(docs, doc_id, text, source), "sizes").withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
+    Null text and texts without words have size 0 and nothing taken; a text of any length counts whole; a null source is a
+    source of its own, the last; rows with equal ids keep a row each, ordered by size, and rows without an id are spread by
+    their texts; an empty table gives an empty result. Other columns are ignored."""
+    rows = as_table(sized(docs, doc_id, text, source), "sizes")
+    digits = bucket_digits(rows.count())
+    rows = rows.withColumn("bucket", F.substring("key", 1, digits))
     goals = targets(rows, weights, most_epochs)
     sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     offsets = sums.withColumn(
