@@ -2,8 +2,9 @@
 
 A text is cut into windows of fixed length. Bytes are embedded, filters of several widths slide over them, each filter's
 maximum over a window goes through a softmax layer. A document's language is the one with the largest mean log
-probability over all its windows, weighed by their letters. The network is fitted on a bounded sample: windows of
-MOST_ROWS labelled documents a language at most.
+probability over all its windows, weighed by their letters. The network is fitted on a bounded sample: one window each of
+MOST_ROWS labelled documents a language, of fewer where there are so many languages that all together would pass
+MOST_WINDOWS. Every language that a training document names is learned.
 """
 
 from __future__ import annotations
@@ -15,12 +16,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, ship_package, unit_hash
+from .common import as_table, fold, ship_package, unit_hash
 
 FOLDS, HELD_OUT_FOLD = 4, 2
 UNDETERMINED = "und"
-#: Labelled documents of a language that give a training window, and languages, at most.
-MOST_ROWS, MOST_LANGUAGES = 1500, 200
+#: Labelled documents that give a training window: of a language, and of all languages together (one of each, at least).
+MOST_ROWS, MOST_WINDOWS = 1500, 120_000
 WINDOW, DEPTH, WIDTHS, FILTERS = 256, 8, (2, 3, 4), 16
 EPOCHS, BATCH, RATE = 6, 128, 0.01
 #: Small samples are gone through more often, for so many steps at least.
@@ -132,15 +133,17 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & (fold("doc_id", FOLDS) != HELD_OUT_FOLD))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
-    languages = sorted(sizes)
+    sizes = as_table(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
+    languages = sorted(r["lang"] for r in sizes.select("lang").collect())  # a row a language
     if not languages:
         return Network([])
-    share = F.create_map(*[F.lit(v) for k in languages for v in (k, min(1.0, 1.1 * most_rows / sizes[k]))])
-    place = unit_hash(F.lit("language"), "doc_id")
+    most = max(1, min(most_rows, MOST_WINDOWS // len(languages)))
+    place = unit_hash(F.lit("language"), "doc_id", "text")
     middle = F.pmod(F.xxhash64(F.lit("window"), "doc_id"), F.greatest(F.length("text") - WINDOW + 1, F.lit(1))).cast("int") + 1
-    sample = rows.where(place < share[F.col("lang")]).select("lang", F.substring("text", middle, F.lit(WINDOW)).alias("part"), place.alias("place"))
-    found = sample.orderBy("place", "lang", "part").limit(2 * most_rows * len(languages)).collect()
+    # A share of each language that gives `most` rows on average and so many that none is left without; a language of few rows gives all.
+    some = rows.join(F.broadcast(sizes), "lang").where(place < (most + 4 * most**0.5) / F.col("rows"))
+    sample = some.select("lang", F.substring("text", middle, F.lit(WINDOW)).alias("part"), place.alias("place"))
+    found = sample.orderBy("place", "lang", "part").limit(2 * (most + 6) * len(languages)).collect()
     draw, x, y = np.random.default_rng(7), [], []
     for row in found:
         data = normal(row["part"])[:WINDOW]
@@ -167,8 +170,8 @@ def identifier(network: Network):
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", most_rows: int = MOST_ROWS) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document.
 
-    A text that is null or has no letter is `und` with score 0, and so is every text if no row names a language. A null
-    id is never held out; repeated rows keep a row each; an empty table gives an empty result; other columns are
+    A text that is null or has no letter is `und` with score 0, and so is every text if no row names a language. A text of
+    any length is judged by all its windows. Ids may be of any type; a null id is never held out; repeated rows keep a row each; an empty table gives an empty result; other columns are
     ignored, and lang is read from training rows alone."""
     found = identifier(train(docs, doc_id, text, lang, most_rows))
     out = docs.select(F.col(doc_id).alias("doc_id"), (fold(doc_id, FOLDS) == HELD_OUT_FOLD).alias("held_out"), found(F.col(text)).alias("found"))

@@ -57,6 +57,16 @@ def test_language(spark, real, docs, nothing):
     assert lang_id.identify(nothing).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    """More than 200 languages, each of its own letters, some named by few documents."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [a + b for a in letters for b in letters][:230]
+    rows = [(k * 1000 + i, f"{n}{n} " * 30, n) for k, n in enumerate(names) for i in range(3 if k % 10 else 30)]
+    network = lang_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    held = {n for i, _, n in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert network.languages == sorted(held) and len(held) > 200
+
+
 def test_windows_hold_every_byte():
     data = bytes(range(1, 256)) * 5
     assert lang_id.windows(data).ravel().tobytes().rstrip(b"\0") == data
@@ -376,6 +386,10 @@ def test_shards_of_a_list(spark):
         assert found == set(range(0, 3000, 3))
 
 
+def test_buckets_follow_the_rows():
+    assert [mixing.bucket_digits(n) for n in (0, 1 << 30, (1 << 30) + (1 << 12), 1 << 40)] == [3, 3, 4, 6]
+
+
 def test_mixing(spark, docs, real, nothing):
     for table in (docs, real):
         rows = [r.asDict() for r in mixing.mix(table).collect()]
