@@ -2,7 +2,8 @@
 
 Records are grouped into independent frames of about FRAME_BYTES; a skippable frame at the end of a bundle is the seek
 table (the Zstandard seekable format: sizes of all frames, their number, a magic number). The index maps each record to
-its bundle, frame and offset in the frame, so that one record is read by one ranged read and one frame.
+its bundle, frame and offset in the frame, so that one record is read by one ranged read and one frame. A record's
+identifier names its page and payload; rows that agree in both are the same record, written as often as it occurs.
 """
 
 from __future__ import annotations
@@ -39,17 +40,21 @@ def base32(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """A response record, or a revisit record of the page refers_to. The HTTP header of both has the full payload's length."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
+def identifier(page_id: int | None, digest: str) -> str:
+    return f"<{_URN}{'' if page_id is None else page_id}:{digest}>"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, length: int, digest: str, refers_to: int | None) -> bytes:
+    """A response record, or a revisit record of the page refers_to, whose payload is not needed but for its length."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     uri = "".join(c if c.isprintable() and c != " " else "".join(f"%{b:02X}" for b in c.encode()) for c in url or "")
-    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{_URN}{'' if page_id is None else page_id}>", f"WARC-Date: {DATE}"]
+    head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {identifier(page_id, digest)}", f"WARC-Date: {DATE}"]
     if uri:
         head.append(f"WARC-Target-URI: {uri}")
     head.append(f"WARC-Payload-Digest: sha1:{digest}")
     if refers_to is not None:
-        head += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: <{_URN}{refers_to}>"]
+        head += [f"WARC-Profile: {_PROFILE}", f"WARC-Refers-To: {identifier(refers_to, digest)}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -67,7 +72,7 @@ def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
 
 
 def _page(urn: str | None) -> int | None:
-    number = (urn or "").strip("<>").removeprefix(_URN)
+    number = (urn or "").strip("<>").removeprefix(_URN).partition(":")[0]
     return int(number) if number else None
 
 
@@ -123,12 +128,12 @@ def _write(batches: Iterator[pd.DataFrame], folder: str, frame_bytes: int) -> It
 
     at = 0
     for pdf in batches:
-        for page_id, url, payload, digest, first in zip(pdf["page_id"], pdf["url"], pdf["payload"], pdf["digest"], pdf["first_id"], strict=True):
+        for page_id, url, payload, length, digest, first in zip(pdf["page_id"], pdf["url"], pdf["payload"], pdf["length"], pdf["digest"], pdf["first_id"], strict=True):
             if bundle is None:
                 files.create_dir(base, recursive=True)
                 bundle = Bundle(files.open_output_stream(f"{base}/{name}", compression=None))
             page_id, first = (None if pd.isna(x) else int(x) for x in (page_id, first))
-            data = record(page_id, url, bytes(payload), base32(bytes(digest)), None if first is None or first == page_id else first)
+            data = record(page_id, url, bytes(payload or b""), int(length), base32(bytes(digest)), None if first is None or first == page_id else first)
             noted.append((page_id, at, len(data)))
             held.append(data)
             at += len(data)
@@ -145,23 +150,28 @@ def write(pages: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES, page_id
     """Writes bundles to a folder that executors share; the index: page_id, bundle, frame, frame_place, frame_bytes, record_offset, record_bytes.
 
     Of rows with equal payloads (null: empty) that with the smallest page_id is a response, and so are rows that repeat
-    this id; others revisit it. A null page_id among payloads without any id is a response. Minima are combined before
-    they are shuffled."""
+    this id; others revisit it. A null page_id among payloads without any id is a response. Payloads of any length are
+    written whole. What is found by digest are pairs of page and digest, without payloads, and minima are combined before
+    they are shuffled; rows meet the answers by page and digest, so that many equal payloads are spread over tasks."""
     ship_package(pages.sparkSession)
     data = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), data.alias("payload"), F.unhex(F.sha1(data)).alias("digest"))
-    firsts = rows.groupBy("digest").agg(F.min("page_id").alias("first_id"))
+    pairs = as_table(rows.select("page_id", "digest"), "digests").distinct()
+    firsts = pairs.groupBy("digest").agg(F.min("page_id").alias("first_id"))
+    answers = pairs.join(firsts, "digest").select(F.coalesce("page_id", F.lit(-(1 << 62))).alias("_page"), F.col("digest").alias("_digest"), "first_id")
+    met = rows.join(answers, (F.coalesce("page_id", F.lit(-(1 << 62))) == F.col("_page")) & (F.col("digest") == F.col("_digest"))).drop("_page", "_digest")
+    revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id"))
+    met = met.select("page_id", "url", "digest", "first_id", F.octet_length("payload").cast("long").alias("length"), F.when(~revisit, F.col("payload")).alias("payload"))
     schema = "page_id long, record_offset long, record_bytes long, bundle string, frame long, frame_place long, frame_bytes long"
-    return as_table(rows.join(firsts, "digest").mapInPandas(lambda batches: _write(batches, folder, frame_bytes), schema), "index")
+    return as_table(met.mapInPandas(lambda batches: _write(batches, folder, frame_bytes), schema), "index")
 
 
-def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _records(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[dict[str, str], bytes, int, bytes]]:
+    """Headers, HTTP header's payload length and payload of the records that index rows name; a frame is unpacked once in a row."""
     import zstandard
 
-    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     unpack, opened, frames, here, data = zstandard.ZstdDecompressor(), None, [], None, b""
     for pdf in batches:
-        rows = []
         for path, frame, offset, size in zip(pdf["bundle"], pdf["frame"], pdf["record_offset"], pdf["record_bytes"], strict=True):
             if (path, frame) != here:
                 if not here or here[0] != path:
@@ -176,21 +186,42 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 raise ValueError("the record has another length than the index says")
             http, _, payload = block.partition(b"\r\n\r\n")
             length = next(int(x.partition(b":")[2]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
-            kind, said = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha1:")
-            if kind == "response" and (length != len(payload) or base32(hashlib.sha1(payload).digest()) != said):
+            said = headers["warc-payload-digest"].removeprefix("sha1:")
+            if headers["warc-type"] == "response" and (length != len(payload) or base32(hashlib.sha1(payload).digest()) != said):
                 raise ValueError("the payload is not the one that was written")
-            rows.append((_page(headers["warc-record-id"]), length, said, kind, _page(headers.get("warc-refers-to"))))
-        out = pd.DataFrame(rows, columns=names)
-        yield out.assign(page_id=out["page_id"].astype("Int64"), refers_to=out["refers_to"].astype("Int64"))
+            yield headers, said, length, payload
+
+
+def _typed(rows: list[tuple], names: list[str]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=names)
+    return out.astype({c: "Int64" for c in ("page_id", "refers_to", "payload_bytes") if c in names})
 
 
-def read(index: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of the records of an index, read from their bundles.
+def _read(batches: Iterator[pd.DataFrame], with_payload: bool) -> Iterator[pd.DataFrame]:
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", *["payload"] * with_payload]
+    rows = []
+    for headers, said, length, payload in _records(batches):
+        own = [payload if headers["warc-type"] == "response" else None] if with_payload else []
+        rows.append((_page(headers["warc-record-id"]), length, said, headers["warc-type"], _page(headers.get("warc-refers-to")), *own))
+        if len(rows) >= (200 if with_payload else 5000):
+            yield _typed(rows, names)
+            rows = []
+    yield _typed(rows, names)
+
+
+def read(index: DataFrame, with_payload: bool = False) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of the records of an index, read from their bundles;
+    with_payload adds the payload, null for revisits.
 
     Payloads of responses are digested again and checked. The index is read in its own order, frame after frame."""
     ship_package(index.sparkSession)
-    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
-    return index.select("bundle", "frame", "record_offset", "record_bytes").mapInPandas(_read, schema)
+    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * with_payload
+    return index.select("bundle", "frame", "record_offset", "record_bytes").mapInPandas(lambda batches: _read(batches, with_payload), schema)
+
+
+def lookup(index: DataFrame, page_id: int) -> DataFrame:
+    """The records of one page, each by one read of a seek table and of one frame; the index's rows of other pages are not read from bundles."""
+    return read(index.where(F.col("page_id") == page_id), with_payload=True)
 
 
 def archive(pages: DataFrame, frame_bytes: int = FRAME_BYTES, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
