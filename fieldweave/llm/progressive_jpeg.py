@@ -3,7 +3,7 @@
 decode() reads progressive JPEG: it accumulates spectral-selection and successive-approximation scans into coefficient
 arrays, inverse-transforms them in numpy, upsamples the chroma and returns a full-resolution RGB tensor. Scans whose
 symbols all are alike, as those of encode() are, and runs of finished blocks in refining scans are read by whole arrays;
-other scans symbol by symbol.
+other scans, so those of other encoders, symbol by symbol and bit by bit, which is slow.
 
 encode() stores bytes losslessly in the unit of the format, the quantized coefficient: a byte b is the coefficient b if
 b >= 128, else b - 255, so that every coefficient has 8 magnitude bits and these bits are the byte. 63 of the 64
@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import as_table, ship_package
 
 UNIT = 576  # payloads are filled up with bytes 255 to a multiple of this
 _SPLIT = (1, 6, 64)  # spectral bands of the first scans
@@ -396,6 +396,11 @@ def media(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     return docs.select(F.col(doc_id).alias("doc_id"), encoded(F.col(text)).alias("made")).select("doc_id", "made.n_bytes", "made.media")
 
 
+def stored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """media() written as a table in the shared folder and read again."""
+    return as_table(media(docs, doc_id, text), "media", compression="zstd")
+
+
 def tensors(rows: DataFrame, column: str = "media") -> DataFrame:
     """The rows with height, width and rgb (row-major bytes) of a column of progressive JPEG; null where that is null."""
     ship_package(rows.sparkSession)
@@ -427,7 +432,7 @@ def digests(rows: DataFrame) -> DataFrame:
     """doc_id, n_bytes and what reading the media column of media() gives: the payload, the stored form and a feature of the RGB tensor.
 
     The feature is height x width, the sums of the three channels and the CRC-32 of the tensor. Null and empty texts have
-    a payload of 576 bytes 255; equal texts have equal values; repeated rows keep a row each; an empty table gives an
+    a payload of 576 bytes 255; a text of any length is one image; equal texts have equal values; repeated rows keep a row each; an empty table gives an
     empty result; other columns are ignored."""
     read = F.pandas_udf(_digests, "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string").asNondeterministic()
     return rows.select("doc_id", "n_bytes", read(F.col("media")).alias("d")).select("doc_id", "n_bytes", "d.*")

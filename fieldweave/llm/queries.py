@@ -23,7 +23,7 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progressive_jpeg.digests(progressive_jpeg.media(_table(spark, sf_dir, "documents")))
+    return progressive_jpeg.digests(progressive_jpeg.stored(_table(spark, sf_dir, "documents")))
 
 
 def op4_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,7 +118,7 @@ def test_media(spark, real, docs, nothing):
             data = (r["text"] or "").encode()
             payload = data.ljust(max(1, -(-len(data) // 576)) * 576, b"\xff")
             texts[(r["doc_id"], len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))] += 1
-        found = progressive_jpeg.digests(progressive_jpeg.media(table)).collect()
+        found = progressive_jpeg.digests(progressive_jpeg.stored(table)).collect()
         assert collections.Counter((r["doc_id"], r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) for r in found) == texts
     assert progressive_jpeg.digests(progressive_jpeg.media(nothing)).count() == 0
     shapes = progressive_jpeg.tensors(progressive_jpeg.media(docs)).collect()
@@ -163,6 +163,27 @@ def test_warc(spark, nothing):
     assert warc.archive(pages.where("false")).count() == 0
 
 
+def test_one_record_by_its_page(spark):
+    """A record is found through the index and the seek table alone, at its place in its frame."""
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i % 40}</p>" * (i % 7 + 1)) for i in range(300)], "page_id long, url string, html string")
+    index = warc.write(pages.repartition(3), warc.fresh_path(spark, "warc"), frame_bytes=2000)
+    for i in (0, 45, 299):
+        (found,) = warc.lookup(index, i).collect()
+        (row,) = index.where(f"page_id = {i}").collect()
+        files, inner = warc.filesystem(row["bundle"])
+        with files.open_input_file(inner) as source:
+            place, packed, whole = warc.seek_table(source, source.size())[row["frame"]]
+            assert (place, packed) == (row["frame_place"], row["frame_bytes"]) and packed < source.size() / 2
+            source.seek(place)
+            data = __import__("zstandard").ZstdDecompressor().decompress(source.read(packed), max_output_size=whole)
+        headers, _, end = warc.parse(data, row["record_offset"])
+        digest = warc.base32(hashlib.sha1(f"<p>{i % 40}</p>".encode() * (i % 7 + 1)).digest())
+        assert headers["warc-record-id"] == warc.identifier(i, digest) and end == row["record_offset"] + row["record_bytes"]
+        assert found["page_id"] == i and found["payload_digest"] == digest
+        assert found["payload"] == (f"<p>{i % 40}</p>".encode() * (i % 7 + 1) if found["record_type"] == "response" else None)
+        assert (found["record_type"] == "response") == (i < 280)
+
+
 def test_packing(spark, real, docs, nothing):
     from tokenizers import Tokenizer
 
