@@ -30,7 +30,7 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 GROUP_TOKENS = 1 << 20
 #: A worker remembers the ids of so many words; then it forgets them all.
 _REMEMBERED = 1_000_000
-_PART = "\x01"
+_MARK, _PARTING = b"\x01", b" \x01 "
 
 _workers: dict[str, "_Tokenizer"] = {}
 
@@ -57,7 +57,7 @@ class _Tokenizer:
         vocabulary = self.whole.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        (self.mark,) = self.whole.encode(_PART, add_special_tokens=False).ids
+        (self.mark,) = self.whole.encode(_MARK.decode(), add_special_tokens=False).ids
         self.known: dict[bytes, bytes] = {}
 
     def ids(self, text: str) -> bytes:
@@ -66,44 +66,44 @@ class _Tokenizer:
     def _cut(self, tokenizer, text: str, is_end: Callable[[np.ndarray], np.ndarray], over: int) -> list[bytes]:
         """The ids of a text, cut after each id that ends a part; `over` ids go at the end of each part."""
         ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        stops = np.flatnonzero(is_end(ids)) + 1
+        stops = ((np.flatnonzero(is_end(ids)) + 1) * 4).tolist()
         data = ids.tobytes()
-        return [data[4 * a : 4 * (b - over)] for a, b in zip([0, *stops.tolist()], stops.tolist(), strict=False)]
-
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        """The ids of words without white space, many in one call. Letters are cut by their last ids; other words are
-        parted by a control character that stands alone and is one id."""
-        plain = [w.isalpha() and w.isascii() for w in words]
-        out: list[bytes] = [b""] * len(words)
-        for kind in (True, False):
-            places = [i for i, p in enumerate(plain) if p == kind]
-            for at in range(0, len(places), 256):
-                some = [words[i].decode() for i in places[at : at + 256]]
-                if kind:
-                    found = self._cut(self.letters, " ".join(some), lambda ids: self.ends[ids], 0)
-                elif any(_PART in w for w in some):
-                    found = [self.ids(w) for w in some]
-                else:
-                    found = self._cut(self.whole, "".join(f"{w} {_PART} " for w in some), lambda ids: ids == self.mark, 1)
-                for i, ids in zip(places[at : at + 256], found, strict=True):
-                    out[i] = ids
-        return out
+        return [data[a : b - 4 * over] for a, b in zip([0, *stops], stops, strict=False)]
+
+    def _letters(self, words: list[bytes]) -> None:
+        """Learns words of ASCII letters, many in one call: they are cut by their last ids."""
+        for at in range(0, len(words), 256):
+            some = words[at : at + 256]
+            self.known.update(zip(some, self._cut(self.letters, b" ".join(some).decode(), lambda ids: self.ends[ids], 0), strict=True))
+
+    def _others(self, words: list[bytes]) -> None:
+        """Learns words without white space, many in one call, parted by a control character that stands alone and is one id."""
+        for at in range(0, len(words), 256):
+            some = words[at : at + 256]
+            if any(_MARK in w for w in some):
+                found = [self.ids(w.decode()) for w in some]
+            else:
+                found = self._cut(self.whole, (_PARTING.join(some) + _PARTING).decode(), lambda ids: ids == self.mark, 1)
+            self.known.update(zip(some, found, strict=True))
 
     def learn(self, new: set[bytes]) -> None:
         """Adds the ids of new words. A word that ends in an ASCII letter and the stops after it are tokenized apart, as the
         vocabulary does; beyond ASCII, lower case may end in a mark that joins the stops."""
-        split, stems = {}, set()
-        for word in new:
+        known, letters, others, split = self.known, [w for w in new if w.isalpha()], set(), []  # of bytes: ASCII letters alone
+        stems = set()
+        for word in new.difference(letters):
             stem = word.rstrip(b".,")
-            if len(stem) < len(word) and stem[-1:].isalpha():  # of bytes: ASCII alone
-                split[word] = (stem, word[len(stem) :])
-                stems.update(split[word])
+            if len(stem) < len(word) and stem[-1:].isalpha():
+                stops = word[len(stem) :]
+                split.append((word, stem, stops))
+                (stems if stem.isalpha() else others).add(stem)
+                others.add(stops)
             else:
-                stems.add(word)
-        order = [w for w in stems if w not in self.known]
-        self.known.update(zip(order, self.encode(order), strict=True))
-        for word, (stem, stops) in split.items():
-            self.known[word] = self.known[stem] + self.known[stops]
+                others.add(word)
+        stems.difference_update(letters)
+        self._letters([*letters, *(w for w in stems if w not in known)])
+        self._others([w for w in others if w not in known])
+        known.update((word, known[stem] + known[stops]) for word, stem, stops in split)
 
 
 def _tokenizer(path: str) -> _Tokenizer:
@@ -122,7 +122,7 @@ def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
     low = [(t or "").encode().lower() for t in texts]
     whole = {i for i, data in enumerate(low) if any(x in data for x in made.special)}
     parts = [[] if i in whole else data.split() for i, data in enumerate(low)]
-    new = set().union(*parts) - made.known.keys() if parts else set()
+    new = set().union(*parts).difference(made.known)
     if new:
         if len(made.known) + len(new) > _REMEMBERED:
             made.known.clear()
