@@ -214,7 +214,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, cell_rows: int = CELL
 
     Null and empty texts and texts of white space have fingerprint 0 and are linked like any other; rows with equal ids
     keep a row each; a null id gets the component of its fingerprint, which no null id names unless it has no other. An
-    empty table gives an empty result. Other columns are ignored."""
+    empty table gives an empty result. A text of any length counts with all its shingles. Other columns are ignored."""
     rows = as_table(fingerprints(docs, doc_id, text), "fingerprints")
     return rows.join(_rooted(rows, radius, cell_rows), "fp").select("doc_id", as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 

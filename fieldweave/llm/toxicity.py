@@ -107,7 +107,7 @@ class Model:
 
     def evidence(self, documents: list[list[bytes]]) -> np.ndarray:
         known = _known.setdefault(self.token, {})
-        if new := set().union(*documents) - known.keys() if documents else set():
+        if new := set().union(*documents).difference(known):
             if len(known) + len(new) > _REMEMBERED:
                 known.clear()
                 new = set().union(*documents)
@@ -185,8 +185,8 @@ def scorer(model: Model | None):
 def judge(docs: DataFrame, labels: DataFrame, most: tuple[int, int] = MOST_DOCUMENTS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, score, predicted of every document.
 
-    Null, empty and white texts have no evidence, which scores low; without training documents of both classes every
-    score is 0. Labels other than 0 and 1 are ignored, and a document labelled both is toxic. A null id is never held
+    Null, empty and white texts have no evidence, which scores low; a text of any length is scored by all its words;
+    without training documents of both classes every score is 0. Labels other than 0 and 1 are ignored, and a document labelled both is toxic. A null id is never held
     out; repeated rows keep a row each; an empty table gives an empty result; other columns are ignored."""
     score = scorer(train(docs, labels, most, doc_id, text))
     out = docs.select(F.col(doc_id).alias("doc_id"), (fold(doc_id, FOLDS) == HELD_OUT_FOLD).alias("held_out"), score(F.col(text)).alias("score"))
