@@ -60,9 +60,11 @@ def fourier(value: Column, period: float, n: int) -> list[Column]:
 
 
 def bit_round(x: Column, keep: int) -> Column:
-    """x to `keep` bits after the leading one."""
-    unit = F.pow(F.lit(2.0), F.floor(F.log2(F.abs(x))) - keep)
-    return F.when(x == 0, F.lit(0.0)).otherwise(F.rint(x / unit) * unit)
+    """x to `keep` bits after the leading one, ties to even. Values below 2 ** -126 lose bits as single-precision numbers do,
+    whose exponent goes no lower; 0, NaN and infinities stay."""
+    size = F.greatest(F.abs(x), F.lit(2.0**-126))
+    unit = F.pow(F.lit(2.0), F.floor(F.log2(size)) - keep)
+    return F.when((x == 0) | F.isnan(x) | (F.abs(x) == float("inf")), x).otherwise(F.rint(x / unit) * unit)
 
 
 def fractional_year(ts: Column) -> Column:

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_KM, cartesian, distance_km, latlon
 from ..sources.tables import ship
-from .spheres import near_cells
+from .spheres import HALF_ROUND_KM, disc_cells
 
 THRESHOLDS = {"r64": 64.0, "r50": 50.0, "r34": 34.0}
+QUADRANTS = (1, 2, 3, 4)
 
 
 def candidates(field: DataFrame, value: str, box: float, threshold: float) -> DataFrame:
@@ -41,42 +42,127 @@ def motion(fixes: DataFrame, momentum: float = 1.0) -> DataFrame:
     return rows.withColumns({"moved_km": distance_km(F.col("lat0"), F.col("lon0"), F.col("lat"), F.col("lon")), "guess_lat": lat, "guess_lon": lon})
 
 
-def impute(radii: Column, wind: Column, threshold: float) -> Column:
-    """Unknown radii become the mean of the storm's known ones, 0 if none is known or the wind is below the threshold."""
-    known = F.filter(radii, lambda r: r.isNotNull())
-    mean = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda s, r: s + r) / F.size(known)).otherwise(0.0)
-    return F.when(wind < threshold, F.transform(radii, lambda r: F.lit(0.0))).otherwise(F.transform(radii, lambda r: F.coalesce(r, mean)))
+def impute(radii: list[Column], wind: Column, threshold: float) -> tuple[list[Column], Column]:
+    """Unknown radii become the mean of the fix's known ones, 0 if none is known, whatever the wind; and a flag: `present`,
+    `mean`, and where none is known `zero` at or above the threshold's wind, `missing` below it (an unknown wind is 0)."""
+    known = sum((r.isNotNull().cast("int") for r in radii), F.lit(0))
+    total = sum((F.coalesce(r, F.lit(0.0)) for r in radii), F.lit(0.0))
+    mean = F.when(known > 0, total / known).otherwise(0.0)
+    flag = F.when(known == len(radii), "present").when(known > 0, "mean").when(F.coalesce(wind, F.lit(0.0)) >= threshold, "zero").otherwise("missing")
+    return [F.coalesce(r, mean) for r in radii], flag
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """The quadrants of each threshold as plain columns r64_1 ... r34_4: expressions that code is generated for."""
+    return rows.select("*", *[F.col(name).getItem(i - 1).alias(f"{name}_{i}") for name in THRESHOLDS for i in QUADRANTS])
+
+
+def _arrays(rows: DataFrame) -> DataFrame:
+    names = [f"{name}_{i}" for name in THRESHOLDS for i in QUADRANTS]
+    return rows.withColumns({name: F.array(*[F.col(f"{name}_{i}") for i in QUADRANTS]) for name in THRESHOLDS}).drop(*names)
+
+
+def _top(name: str) -> Column:
+    return F.greatest(*[F.col(f"{name}_{i}") for i in QUADRANTS])  # nulls are skipped
+
+
+def _rising(rows: DataFrame) -> DataFrame:
+    """Radii of weaker winds raised to those of stronger ones in the same quadrant; an unknown radius stays unknown."""
+    up = lambda a, *bs: F.when(a.isNotNull(), F.greatest(a, *bs))
+    rows = rows.withColumns({f"r50_{i}": up(F.col(f"r50_{i}"), F.col(f"r64_{i}")) for i in QUADRANTS})
+    return rows.withColumns({f"r34_{i}": up(F.col(f"r34_{i}"), F.col(f"r50_{i}"), F.col(f"r64_{i}")) for i in QUADRANTS})
+
+
+def _clipped(rows: DataFrame, wind: str) -> DataFrame:
+    """No radius below 0, and none above 0 for a wind that is not reached; an unknown wind clips nothing."""
+    clip = lambda c, t: F.when(c.isNotNull(), F.when(F.col(wind) < t, 0.0).otherwise(F.greatest(c, F.lit(0.0))))
+    return rows.withColumns({f"{name}_{i}": clip(F.col(f"{name}_{i}"), t) for name, t in THRESHOLDS.items() for i in QUADRANTS})
+
+
+def _clipped_rmw(rows: DataFrame, wind: str) -> DataFrame:
+    """The radius of maximum wind not above the largest radius of any threshold that the wind reaches; unknown stays unknown."""
+    tops = [F.when(F.col(wind) >= t, _top(name)) for name, t in THRESHOLDS.items()]
+    return rows.withColumn("rmw", F.when(F.col("rmw").isNotNull(), F.least("rmw", *tops)))
 
 
 def consistent(storms: DataFrame, wind: str = "wind_a") -> DataFrame:
     """Radii that obey physics: none negative, 0 below their threshold's wind, not smaller than those of a stronger wind in
-    the same quadrant; and a radius of maximum wind not above the largest radius of any threshold that the wind exceeds."""
-    out = storms
+    the same quadrant; and a radius of maximum wind not above the largest radius of any threshold that the wind reaches."""
+    return _arrays(_clipped_rmw(_rising(_clipped(_cells(storms), wind)), wind))
+
+
+def _raised(rows: DataFrame, wind: str) -> DataFrame:
+    """Of each threshold that the wind reaches the largest radius, the first of equal ones, raised to that of maximum wind."""
     for name, threshold in THRESHOLDS.items():
-        clipped = F.transform(name, lambda r: F.when(r.isNull(), r).otherwise(F.greatest(r, F.lit(0.0))))
-        out = out.withColumn(name, F.when(F.col(wind) < threshold, F.transform(clipped, lambda r: F.when(r.isNull(), r).otherwise(F.lit(0.0)))).otherwise(clipped))
-    up = lambda a, b: F.when(a.isNull(), a).otherwise(F.greatest(a, F.coalesce(b, a)))
-    out = out.withColumn("r50", F.zip_with("r50", "r64", up))
-    out = out.withColumn("r34", F.zip_with(F.zip_with("r34", "r50", up), "r64", up))
+        top, new = _top(name), {}
+        for i in QUADRANTS:
+            own = F.col(f"{name}_{i}")
+            first = own.eqNullSafe(top)
+            for j in range(1, i):
+                first = first & ~F.col(f"{name}_{j}").eqNullSafe(top)
+            new[f"{name}_{i}"] = F.when((F.col(wind) >= threshold) & top.isNotNull() & first, F.greatest(own, F.col("rmw"))).otherwise(own)
+        rows = rows.withColumns(new)
+    return rows
+
+
+def raised_radii(storms: DataFrame, wind: str = "wind_a") -> DataFrame:
+    """The other way to agree with the radius of maximum wind: of each threshold that the wind reaches the largest radius (the
+    first of equal ones) is raised to it, then radii of weaker winds are raised to those of stronger ones."""
+    return _arrays(_rising(_raised(_cells(storms), wind)))
+
+
+def enforced(storms: DataFrame, mode: str = "clip_rmw", wind: str = "wind_a") -> DataFrame:
+    """All rules at once, with `radii_agree`, whether the rows now pass the checks: negative winds and radii become 0, radii of
+    winds that are not reached 0, radii fall with rising wind; then either the radius of maximum wind is clipped
+    (`clip_rmw`) or the largest radii are raised to it (`raise_radii`), after which they are made to rise outward again."""
+    if mode not in ("clip_rmw", "raise_radii"):
+        raise ValueError(f"mode is clip_rmw or raise_radii, not {mode}")
+    floor = lambda c: F.when(F.col(c).isNotNull(), F.greatest(F.col(c), F.lit(0.0)))
+    rows = _cells(storms.withColumns({wind: floor(wind), "rmw": floor("rmw")}))
+    rows = _rising(_clipped(rows, wind))
+    rows = _clipped_rmw(rows, wind) if mode == "clip_rmw" else _rising(_raised(rows, wind))
+    return _arrays(rows.withColumn("radii_agree", radii_agree(wind)))
+
+
+def radii_agree(wind: str = "wind_a") -> Column:
+    """The checks, on the plain columns: in each quadrant radii do not fall as winds weaken, and the radius of maximum wind
+    is not above the largest radius of any threshold that the wind reaches. What is unknown is not checked."""
+    ok = F.lit(True)
+    for i in QUADRANTS:
+        for strong, weak in (("r64", "r50"), ("r50", "r34"), ("r64", "r34")):
+            ok = ok & F.coalesce(F.col(f"{strong}_{i}") <= F.col(f"{weak}_{i}"), F.lit(True))
     for name, threshold in THRESHOLDS.items():
-        top = F.array_max(F.filter(name, lambda r: r.isNotNull()))
-        out = out.withColumn("rmw", F.when((F.col(wind) >= threshold) & top.isNotNull(), F.least("rmw", top)).otherwise(F.col("rmw")))
-    return out
+        ok = ok & F.coalesce((F.col(wind) < threshold) | (F.col("rmw") <= _top(name)), F.lit(True))
+    return ok
 
 
 def disc_raster(points: DataFrame, value: str, radius_km: float, cell: float) -> DataFrame:
-    """On a grid of `cell` degrees: the greatest value and the Gaussian sum of the points whose disc holds the cell.
-
-    A point is sent to the latitude bands that its disc can touch and meets the cells of these bands only."""
-    spark, reach = points.sparkSession, int(radius_km / 110.0 / cell) + 1
-    bands = spark.range(0, int(180 / cell) + 1).select(F.col("id").alias("band"))
-    grid = bands.select("band", F.explode(F.sequence(F.lit(0), F.lit(int(360 / cell) - 1))).alias("column"))
-    grid = grid.select("band", (F.col("band") * cell - 90).alias("cell_lat"), (F.col("column") * cell).cast("double").alias("cell_lon"))
-    own = F.round((F.col("lat") + 90) / cell).cast("long")
-    sent = points.withColumn("band", F.explode(F.sequence(own - reach, own + reach)))
-    d = distance_km(F.col("cell_lat"), F.col("cell_lon"), F.col("lat"), F.col("lon"))
-    near = sent.join(grid, "band").withColumn("d", d).where(F.col("d") < radius_km)
-    return near.groupBy("cell_lat", "cell_lon").agg(F.max(value).alias("greatest"), F.sum(F.exp(-F.col("d") * F.col("d") / (2 * radius_km * radius_km))).alias("gaussian"))
+    """On a grid of `cell` degrees: the greatest value of the points whose disc holds the cell."""
+    near = disc_cells(points, F.lit(radius_km), radius_km, cell)
+    return near.groupBy("cell_lat", "cell_lon").agg(F.max(value).alias("greatest"))
+
+
+def gaussian_raster(points: DataFrame, radius_km: float, cell: float, value: Column | None = None, keys: tuple[str, ...] = (), normalized: bool = False, most_error: float = 0.0) -> DataFrame:
+    """By keys and cell: the sum over points of value * exp(-d * d / (2 * radius * radius)), each point's bump scaled to sum 1
+    over the grid if `normalized`.
+
+    With most_error 0 every point reaches every cell. Above 0 a point of weight w reaches as far as its bump, times w, is
+    above most_error: each cell then lacks that much a point, at most. Points at one place are added up before they are
+    spread, cells are made from the point and not joined, and partial sums are combined before they are shuffled."""
+    places = points.groupBy(*keys, "lat", "lon").agg(F.sum(F.lit(1.0) if value is None else value).alias("_weight"))
+    reach = F.lit(HALF_ROUND_KM)
+    if most_error > 0:
+        reach = F.least(reach, radius_km * F.sqrt(2 * F.greatest(F.lit(0.0), F.ln(F.abs("_weight") / most_error))))
+    near = disc_cells(places, reach, HALF_ROUND_KM, cell).withColumn("_g", F.exp(-0.5 * (F.col("d") / radius_km) ** 2))
+    if normalized:
+        totals = near.groupBy(*keys, "lat", "lon").agg(F.sum("_g").alias("_total"))
+        met = totals.withColumnsRenamed({c: f"_{c}" for c in (*keys, "lat", "lon")})
+        same = [near[c].eqNullSafe(met[f"_{c}"]) for c in (*keys, "lat", "lon")]
+        on = same[0]
+        for c in same[1:]:
+            on = on & c
+        near = near.join(met, on).withColumn("_g", F.col("_g") / F.col("_total"))
+    return near.groupBy(*keys, "cell_lat", "cell_lon").agg(F.sum(F.col("_weight") * F.col("_g")).alias("gaussian"))
 
 
 def nearby(fixes: DataFrame, radius_km: float) -> DataFrame:
@@ -92,23 +178,6 @@ def nearby(fixes: DataFrame, radius_km: float) -> DataFrame:
     return fixes.select("track_id", "step").join(counts, ["track_id", "step"], "left").select("track_id", "step", "outranked", F.coalesce("nearby", F.lit(0)).alias("nearby"))
 
 
-def _raised_at(place: Column):
-    return lambda r, i: F.when(i + 1 == place, F.greatest(r, F.col("rmw"))).otherwise(r)
-
-
-def raised_radii(storms: DataFrame, wind: str = "wind_a") -> DataFrame:
-    """The other way to agree with the radius of maximum wind: of each threshold that the wind reaches the largest radius (the
-    first of equal ones) is raised to it, then radii of weaker winds are raised to those of stronger ones."""
-    out = storms
-    for name, threshold in THRESHOLDS.items():
-        top = F.array_max(F.filter(name, lambda r: r.isNotNull()))
-        raised = F.transform(name, _raised_at(F.array_position(name, top)))
-        out = out.withColumn(name, F.when((F.col(wind) >= threshold) & top.isNotNull(), raised).otherwise(F.col(name)))
-    up = lambda a, b: F.when(a.isNull(), a).otherwise(F.greatest(a, F.coalesce(b, a)))
-    out = out.withColumn("r50", F.zip_with("r50", "r64", up))
-    return out.withColumn("r34", F.zip_with(F.zip_with("r34", "r50", up), "r64", up))
-
-
 def speeds_fall(pairs: Column) -> Column:
     """Whether speeds never rise outward: `pairs` are structs (radius, speed), those without a radius left out."""
     known = F.sort_array(F.filter(pairs, lambda p: p["radius"].isNotNull() & p["speed"].isNotNull()))
@@ -117,27 +186,71 @@ def speeds_fall(pairs: Column) -> Column:
     return F.forall(steps, lambda ok: ok)
 
 
-def calibrated_wind(storms: DataFrame, base: str, others: list[str]) -> DataFrame:
-    """`merged`: the mean of the base agency's wind and of the others', each fitted to the base by least squares over the
-    storms that both know and cut at 0. The fits come as one row."""
-    fits = storms.agg(*[f(F.col(base), F.col(o)).alias(f"_{n}_{o}") for o in others for n, f in (("a", F.regr_slope), ("b", F.regr_intercept))])
-    fitted = [F.greatest(F.lit(0.0), F.col(f"_a_{o}") * F.col(o) + F.col(f"_b_{o}")) for o in others]
-    known = F.filter(F.array(F.col(base), *[F.when(F.col(o).isNotNull() & F.col(f"_a_{o}").isNotNull(), f) for o, f in zip(others, fitted, strict=True)]), lambda x: x.isNotNull())
-    mean = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda s, x: s + x) / F.size(known))
-    return storms.join(F.broadcast(fits)).withColumn("merged", mean).drop(*[f"_{n}_{o}" for o in others for n in "ab"])
+def calibrated_wind(storms: DataFrame, base: str, others: list[str], when: Column | None = None, skip_without_overlap: bool = True, on_base: bool = False) -> DataFrame:
+    """`merged`: the mean of the base agency's wind and of the others', each put through a line and cut at 0.
+
+    A line is fitted by least squares over the storms that both agencies know, those for which `when` holds: of the base on
+    the agency, or (on_base) of the agency on the base, as the published processing does although it then applies the line
+    to the agency's winds. An agency without common storms passes as it is, or is an error. The fits come as one row."""
+    rows = storms if when is None else storms.where(when)
+    pair = (lambda o: (F.col(o), F.col(base))) if on_base else (lambda o: (F.col(base), F.col(o)))
+    both = lambda o: F.count(F.when(F.col(base).isNotNull() & F.col(o).isNotNull(), 1))
+    fits = rows.agg(*[c.alias(f"_{n}_{o}") for o in others for n, c in (("a", F.regr_slope(*pair(o))), ("b", F.regr_intercept(*pair(o))), ("n", both(o)))])
+    if not skip_without_overlap:
+        fits = fits.select("*").withColumns({f"_n_{o}": F.when(F.col(f"_n_{o}") == 0, F.raise_error(F.lit(f"no common storms of {base} and {o}")).cast("long")).otherwise(F.col(f"_n_{o}")) for o in others})
+    line = lambda o: F.when(F.col(f"_n_{o}") == 0, F.col(o)).otherwise(F.col(f"_a_{o}") * F.col(o) + F.col(f"_b_{o}"))
+    known = [F.col(base), *[F.when(F.col(o).isNotNull() & line(o).isNotNull(), F.greatest(F.lit(0.0), line(o))) for o in others]]
+    number = sum((k.isNotNull().cast("int") for k in known), F.lit(0))
+    mean = F.when(number > 0, sum((F.coalesce(k, F.lit(0.0)) for k in known), F.lit(0.0)) / number)
+    return storms.join(F.broadcast(fits)).withColumn("merged", mean).drop(*[f"_{n}_{o}" for o in others for n in "abn"])
 
 
-def densities(points: DataFrame, keys: list[str], grid: DataFrame, scale_km: float, cell: float) -> DataFrame:
-    """Per cell the sum of the points' Gaussian densities, each of which sums to 1 over the cells within five scales."""
-    near = near_cells(points, grid, F.lit(5 * scale_km), 5 * scale_km, cell).withColumn("_g", F.exp(-0.5 * (F.col("d") / scale_km) ** 2))
-    totals = near.groupBy(*keys).agg(F.sum("_g").alias("_total"))
-    return near.join(totals, keys).groupBy("cell_lat", "cell_lon").agg(F.sum(F.col("_g") / F.col("_total")).alias("density"))
+def densities(points: DataFrame, scale_km: float, cell: float, most_error: float = 0.0) -> DataFrame:
+    """Per cell of the whole grid the sum of the points' Gaussian densities, each of which sums to 1 over the grid."""
+    return gaussian_raster(points, scale_km, cell, normalized=True, most_error=most_error).withColumnRenamed("gaussian", "density")
 
 
-def disc_values(points: DataFrame, grid: DataFrame, value: str, radius_km: float, cell: float) -> DataFrame:
+def disc_values(points: DataFrame, value: str, radius_km: float, cell: float, keys: tuple[str, ...] = ()) -> DataFrame:
     """Per cell that a disc holds: the greatest value, 0 at least; a disc whose value is NaN makes its cells NaN."""
-    near = near_cells(points, grid, F.lit(radius_km), radius_km, cell)
-    return near.groupBy("cell_lat", "cell_lon").agg(F.greatest(F.max(value), F.lit(0.0)).alias("value"), F.bool_or(F.isnan(value)).alias("has_nan"))
+    near = disc_cells(points, F.lit(radius_km), radius_km, cell)
+    return near.groupBy(*keys, "cell_lat", "cell_lon").agg(F.greatest(F.max(value), F.lit(0.0)).alias("value"), F.bool_or(F.isnan(value)).alias("has_nan"))
+
+
+def is_core(name: Column, core: list[str]) -> Column:
+    """Whether a name occurs inside one of the core names."""
+    return F.exists(F.array(*map(F.lit, core)), lambda c: F.contains(c, name))
+
+
+def nan_tracks(tracks: DataFrame, columns: list[str], lead: str | None = None) -> DataFrame:
+    """How many rows of the tracks have NaN or null in any of the columns; rows with `lead` 0 do not count if it is given."""
+    bad = F.lit(False)
+    for c in columns:
+        bad = bad | F.col(c).isNull() | F.isnan(c)
+    rows = tracks if lead is None else tracks.where(F.col(lead) != 0)
+    return rows.agg(F.count(F.when(bad, 1)).alias("incomplete"), F.count(F.lit(1)).alias("rows"))
+
+
+def compared(truth: DataFrame, found: DataFrame, most_km: float, scalars: list[str], tolerance: float) -> DataFrame:
+    """By step: rows of both sets of tracks, truth's rows that have a row within most_km, and those among them of which one
+    such row agrees in all scalars within the tolerance. Rows meet by step and by cubes of space."""
+    side = 2.0 * most_km / EARTH_KM
+    cube = lambda lat, lon: [F.floor(c / side).cast("long") for c in cartesian(F.col(lat), F.col(lon))]
+    here = truth.select(F.monotonically_increasing_id().alias("_row"), "step", "lat", "lon", *scalars)
+    for name, c in zip("xyz", cube("lat", "lon"), strict=True):
+        here = here.withColumn(f"_o{name}", c)
+    for name in "xyz":
+        here = here.withColumn(f"_c{name}", F.explode(F.sequence(F.col(f"_o{name}") - 1, F.col(f"_o{name}") + 1)))
+    there = found.select(F.col("step"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), *[F.col(c).alias(f"_{c}") for c in scalars])
+    for name, c in zip("xyz", cube("_lat", "_lon"), strict=True):
+        there = there.withColumn(f"_c{name}", c)
+    near = here.join(there, ["step", "_cx", "_cy", "_cz"]).where(distance_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")) <= most_km)
+    agree = F.lit(True)
+    for c in scalars:
+        agree = agree & F.coalesce(F.abs(F.col(c) - F.col(f"_{c}")) <= tolerance, F.col(c).isNull() & F.col(f"_{c}").isNull())
+    met = near.groupBy("step", "_row").agg(F.bool_or(agree).alias("_agrees")).groupBy("step").agg(F.count(F.lit(1)).alias("near"), F.count(F.when(F.col("_agrees"), 1)).alias("agreeing"))
+    sizes = truth.groupBy("step").agg(F.count(F.lit(1)).alias("truth_rows")).join(found.groupBy("step").agg(F.count(F.lit(1)).alias("found_rows")), "step", "full")
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return sizes.join(met, "step", "left").select("step", *[zero(c) for c in ("truth_rows", "found_rows", "near", "agreeing")])
 
 
 def _assign(cost: np.ndarray) -> list[tuple[int, int]]:

@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 DAY_STEPS = 4
 
 
-def daily_fold(field: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean, sum, least and greatest value of each key and day. A NaN makes all four null.
+def daily_fold(field: DataFrame, keys: list[str], whole: bool = True) -> DataFrame:
+    """Mean, sum, least and greatest value of each key and day, and how many steps it has. A NaN makes all four null.
 
-    A step belongs to the day that it ends, midnight to the day before; partial aggregates are combined before the shuffle."""
+    A step belongs to the day that it ends, midnight to the day before. Days that lack a step, those at the edges among
+    them, are dropped unless `whole` is false. Partial aggregates are combined before the one shuffle: the steps of a day
+    are bits of a number, so that counting them needs no second one."""
     day = F.floor((F.col("step") - 1) / DAY_STEPS).cast("long")
     bad = F.max(F.isnan("value"))
     folds = {"mean": F.avg("value"), "sum": F.sum("value"), "least": F.min("value"), "greatest": F.max("value")}
-    steps = F.count_distinct("step")
-    return field.groupBy(*keys, day.alias("day")).agg(steps.alias("steps"), *[F.when(~bad, F.round(v, 6)).alias(f"daily_{k}") for k, v in folds.items()])
+    seen = F.bit_or(F.expr(f"shiftleft(1, CAST(pmod(step - 1, {DAY_STEPS}) AS INT))"))
+    rows = field.groupBy(*keys, day.alias("day")).agg(F.bit_count(seen).cast("long").alias("steps"), *[F.when(~bad, v).alias(f"daily_{k}") for k, v in folds.items()])
+    return whole_days(rows) if whole else rows
 
 
 def whole_days(folded: DataFrame) -> DataFrame:
@@ -59,7 +62,7 @@ def crps(members: DataFrame, keys: list[str], value: str, target: Column, unbias
     spread = F.sum((2 * F.col("_rank") - F.col("_n") - 1) * F.col(value))
     n = F.max("_n")
     scale = n * (n - 1) if unbiased else n * n
-    return ranked.groupBy(*keys).agg(n.alias("members"), F.round(F.avg(F.abs(F.col(value) - target)) - F.when(n > 1, spread / scale).otherwise(0.0), 6).alias("crps"))
+    return ranked.groupBy(*keys).agg(n.alias("members"), (F.avg(F.abs(F.col(value) - target)) - F.when(n > 1, spread / scale).otherwise(0.0)).alias("crps"))
 
 
 def packed(frame: DataFrame, ids: list[str], columns: list[str], prefix: str) -> DataFrame:
@@ -144,6 +147,101 @@ def losses(rows: DataFrame, fill: float, weights: dict[str, float]) -> DataFrame
     return rows.groupBy("variable").agg(F.count(F.lit(1)).alias("n"), F.avg(loss).alias("loss")).withColumn("weighted", F.col("loss") * weight)
 
 
+def total_loss(per_variable: DataFrame, weights: dict[str, float]) -> DataFrame:
+    """One row: the weighted sum of the losses (variable, loss), weight 1 where none is given. A weight of a variable that
+    is not there is an error."""
+    there = {r["variable"] for r in per_variable.select("variable").distinct().collect()}  # names of variables
+    if unknown := sorted(set(weights) - there):
+        raise ValueError(f"weights of unknown variables: {unknown}")
+    weight = F.coalesce(*[F.when(F.col("variable") == n, F.lit(float(w))) for n, w in weights.items()], F.lit(1.0))
+    return per_variable.agg(F.sum(F.col("loss") * weight).alias("total"), F.count(F.lit(1)).alias("variables"))
+
+
+def member_slice(field: DataFrame, member: str | None, first: int, after: int) -> DataFrame:
+    """Members first to after - 1, or all rows if the field has no axis of members."""
+    return field.where(F.col(member).between(first, after - 1)) if member in field.columns else field
+
+
+def with_members(field: DataFrame, member: str, members: int) -> DataFrame:
+    """Every row once for each of `members` members, numbered from 0; no two rows meet."""
+    return field.withColumn(member, F.explode(F.sequence(F.lit(0), F.lit(members - 1))))
+
+
+def stacked_axes(field: DataFrame, outer: str, inner: str, size: int, name: str) -> DataFrame:
+    """Two numbered axes as one; unstacked_axes() is the inverse."""
+    return field.withColumn(name, F.col(outer) * size + F.col(inner)).drop(outer, inner)
+
+
+def unstacked_axes(field: DataFrame, name: str, size: int, outer: str, inner: str) -> DataFrame:
+    return field.withColumns({outer: F.expr(f"{name} div {size}"), inner: F.col(name) % size}).drop(name)
+
+
+def initial_conditions(field: DataFrame, init: Column, variables: list[str], levels: list[int] | None = None, may_lack: tuple[str, ...] = ()) -> DataFrame:
+    """The two frames (init - 1 step and init) of some variables, at some levels: rows with float values.
+
+    A value that is NaN, in a variable not named in may_lack, makes the row fail when it is read."""
+    rows = field.where(F.col("variable").isin(variables) & F.col("step").isin(init - 1, init) if isinstance(init, int) else F.col("variable").isin(variables) & F.col("step").between(init - 1, init))
+    if levels is not None:
+        rows = rows.where(F.col("level").isin(levels) | F.col("level").isNull())
+    lacks = F.isnan("value") & ~F.col("variable").isin(list(may_lack) or [""])
+    told = F.raise_error(F.concat(F.lit("NaN in "), F.col("variable"))).cast("float")
+    return rows.withColumn("value", F.when(lacks, told).otherwise(F.col("value").cast("float")))
+
+
+def batch(inputs: DataFrame, keys: list[str], steps: int, variables: list[str]) -> DataFrame:
+    """inputs (keys, variable, step, value) and behind them `steps` frames of NaN for each variable and key that has inputs."""
+    newest = inputs.groupBy(*keys).agg(F.max("step").alias("_newest"))
+    ahead = newest.select(*keys, "_newest", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("_k"))
+    lazy = ahead.select(*keys, F.explode(F.array(*map(F.lit, variables))).alias("variable"), (F.col("_newest") + F.col("_k")).alias("step"), F.lit(float("nan")).alias("value"))
+    return inputs.select(*keys, "variable", "step", "value").unionByName(lazy)
+
+
+def roles(field: DataFrame, inputs: list[str], targets: list[str], forcings: list[str], first_target: Column) -> DataFrame:
+    """Rows by what they are for a model, `role`: an input before the first target step; from then on a target or a forcing.
+
+    A variable named both as target and as forcing is an error; rows that serve no purpose are dropped."""
+    if both := sorted(set(targets) & set(forcings)):
+        raise ValueError(f"both targets and forcings: {both}")
+    is_in = lambda names: F.col("variable").isin(names) if names else F.lit(False)
+    role = F.when((F.col("step") < first_target) & is_in(inputs), "input").when((F.col("step") >= first_target) & is_in(targets), "target").when((F.col("step") >= first_target) & is_in(forcings), "forcing")
+    return field.withColumn("role", role).where(F.col("role").isNotNull())
+
+
+def routed(variables: DataFrame, conditioning: list[str], prefix: dict[str, str]) -> DataFrame:
+    """Each variable (role, variable, has_grid) and where it goes: `conditioning`, `grid` or `global`, its name prefixed by
+    its role. Names that collide after that are an error when they are read."""
+    name = F.concat(F.coalesce(*[F.when(F.col("role") == r, F.lit(p)) for r, p in prefix.items()], F.lit("")), F.col("variable"))
+    place = F.when(F.col("variable").isin(conditioning or [""]), "conditioning").when(F.col("has_grid"), "grid").otherwise("global")
+    named = variables.select("role", "variable", name.alias("name"), place.alias("place"))
+    times = named.groupBy("name").agg(F.count(F.lit(1)).alias("_times"))
+    return named.join(times, "name").withColumn("name", F.when(F.col("_times") > 1, F.raise_error(F.concat(F.lit("two variables named "), F.col("name"))).cast("string")).otherwise(F.col("name"))).drop("_times")
+
+
+def cast_floats(df: DataFrame, to: str, only: str | None = None) -> DataFrame:
+    """All columns of floating type (or of the type `only`) cast to another; the rest as they are."""
+    from_types = {only} if only else {"float", "double"}
+    return df.select(*[F.col(c).cast(to).alias(c) if t in from_types else F.col(c) for c, t in df.dtypes])
+
+
+def sampled(rows: DataFrame, x: str, levels: list[float], denoise) -> DataFrame:
+    """rows with `sample`: x carried down the noise levels (the last is 0) by the second-order solver in log-noise; the
+    denoiser is a column expression of a value and its noise, called at each level and at the middle of two."""
+    steps = []
+    for now, after in zip(levels, levels[1:], strict=False):
+        middle = (now * after) ** 0.5
+        steps.append((now, middle, after))
+
+    value = F.col(x)
+    for now, middle, after in steps:
+        clean = denoise(value, now)
+        if after == 0:
+            value = clean
+        else:
+            half = value * (middle / now) + clean * (1 - middle / now)
+            value = value * (after / now) + denoise(half, middle) * (1 - after / now)
+    return rows.withColumn("sample", value)
+
+
 def shard_index(rows: DataFrame, key: str, position: str, size: str, chunk: int, shard: int) -> DataFrame:
     """Bytes of each chunk and its first byte in its shard; a shard has shard / chunk chunks."""
     at = rows.withColumns({"shard": F.expr(f"{position} div {shard}"), "chunk": F.expr(f"{position} div {chunk}")})

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.tables import kept
+
 
 def gather(edges: DataFrame, nodes: DataFrame, index: str, key: str, feature: str, fill: float, name: str) -> DataFrame:
     """The feature of the node that each edge names; `fill` where there is none."""
@@ -69,10 +71,37 @@ def node_update(nodes: DataFrame, edges: DataFrame, key: str, feature: str, mess
     return out.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("received", "sent")})
 
 
-def padded_edges(edges: DataFrame, group: str, order: list[str], multiple: int) -> DataFrame:
-    """Edges of each group numbered from 0 and filled up to a multiple with edges from -1 to -1."""
+def network(nodes: DataFrame, edges: DataFrame, key: str, feature: str, weight: str, rounds: int, edge_update, node_update_) -> DataFrame:
+    """`rounds` of message passing: edge_update(sender's, receiver's feature, edge weight) gives the message, and
+    node_update_(feature, sum of messages) the new feature, all as columns; edges (sender, receiver, weight) keep their weight."""
+    state = nodes.select(F.col(key), F.col(feature).alias("_f"))
+    for _ in range(rounds):  # each round is a table, else plans would triple
+        at = lambda end: state.select(F.col(key).alias(end), F.col("_f").alias(f"_{end}"))
+        sent = edges.select("sender", "receiver", weight).join(at("sender"), "sender").join(at("receiver"), "receiver")
+        sums = sent.groupBy(F.col("receiver").alias(key)).agg(F.sum(edge_update(F.col("_sender"), F.col("_receiver"), F.col(weight))).alias("_sum"))
+        state = kept(state.join(sums, key, "left").select(key, node_update_(F.col("_f"), F.coalesce("_sum", F.lit(0.0))).alias("_f")))
+    return state.withColumnRenamed("_f", feature)
+
+
+def global_sums(nodes: DataFrame, edges: DataFrame, graph: str, node_feature: str, edge_feature: str) -> DataFrame:
+    """Per graph: the sums of its nodes' and of its edges' features, and how many there are."""
+    n = nodes.groupBy(graph).agg(F.sum(node_feature).alias("node_sum"), F.count(F.lit(1)).alias("nodes"))
+    e = edges.groupBy(graph).agg(F.sum(edge_feature).alias("edge_sum"), F.count(F.lit(1)).alias("edges"))
+    return n.join(e, graph, "full").select(graph, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("node_sum", "nodes", "edge_sum", "edges")])
+
+
+def padded_edges(edges: DataFrame, group: str, order: list[str], multiple: int, spread: bool = False) -> DataFrame:
+    """Edges of each group numbered from 0 and filled up to a multiple with edges from -1 to -1, which stand at the end or
+    (spread) evenly between the others: of k slots for n edges, edge i stands at the whole part of i * (k - 1) / (n - 1)."""
     numbered = edges.withColumn("slot", F.row_number().over(W.partitionBy(group).orderBy(*order)) - 1).select(group, "slot", "sender", "receiver")
     n = edges.groupBy(group).agg(F.count(F.lit(1)).cast("int").alias("n"))
     full = F.ceil(F.col("n") / multiple).cast("int") * multiple
+    if spread:
+        sized = numbered.join(n.withColumn("_full", full), group)
+        at = F.when(F.col("n") > 1, F.expr("slot * (_full - 1) div greatest(n - 1, 1)")).otherwise(0).cast("int")
+        numbered = sized.withColumn("slot", at).select(group, "slot", "sender", "receiver")
+        slots = n.select(group, F.explode(F.sequence(F.lit(0), full - 1)).alias("slot"))
+        out = slots.join(numbered, [group, "slot"], "left")
+        return out.withColumns({c: F.coalesce(c, F.lit(-1).cast("long")) for c in ("sender", "receiver")})
     fill = n.where(full > F.col("n")).select(group, F.explode(F.sequence(F.col("n"), full - 1)).alias("slot"))
     return numbered.unionByName(fill.withColumns({"sender": F.lit(-1).cast("long"), "receiver": F.lit(-1).cast("long")}))

@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .graphs import face_edges, within_radius
+
 
 def icosahedron() -> tuple[np.ndarray, np.ndarray]:
     """Vertices [12, 3], turned so that two faces lie flat at the poles, and faces [20, 3], counter-clockwise from outside."""
@@ -59,6 +61,55 @@ def face_table(spark: SparkSession, splits: int) -> DataFrame:
     return spark.createDataFrame(rows, "level int, face long, parent long, a int, b int, c int, pa array<double>, pb array<double>, pc array<double>")
 
 
+def label(previous: str | None, splits: int) -> str:
+    """The name of a mesh that another is split into: its splits, behind those of the mesh before."""
+    return str(splits) if not previous else f"{previous}_{splits}"
+
+
+def merged_faces(spark: SparkSession, splits: int) -> DataFrame:
+    """level, face, a, b, c of the meshes of all levels, over the vertices of the finest. A vertex keeps its number in all levels."""
+    return face_table(spark, splits).select("level", "face", "a", "b", "c")
+
+
+def mesh_edges(spark: SparkSession, splits: int) -> DataFrame:
+    """Distinct directed edges (sender, receiver) of all levels together."""
+    return face_edges(merged_faces(spark, splits), F.col("a"), F.col("b"), F.col("c")).distinct()
+
+
+def vertex_table(spark: SparkSession, splits: int) -> DataFrame:
+    """vec_id, x, y, z of the finest vertices."""
+    rows = [(i, *map(float, v)) for i, v in enumerate(hierarchy(splits)[0])]
+    return spark.createDataFrame(rows, "vec_id long, x double, y double, z double")
+
+
+def connected(points: DataFrame, splits: int, mode: str, share: float = 0.6) -> DataFrame:
+    """Edges (vec_id, vertex) from points on the sphere to the mesh: `radius`, vertices within `share` of the longest edge;
+    `triangle`, the three of the face that holds the point; `closest`, the closest vertex."""
+    if mode == "radius":
+        return within_radius(points, F.broadcast(vertex_table(points.sparkSession, splits)), share * longest_edge(splits)).select("vec_id", F.col("vertex_id").alias("vertex"))  # 10 * 4 ** splits + 2 vertices
+    if mode == "triangle":
+        return containing_faces(points, splits).select("vec_id", F.explode(F.array(*[F.col(c).cast("long") for c in "abc"])).alias("vertex"))
+    if mode == "closest":
+        return closest_vertices(points, splits).select("vec_id", F.col("vertex").cast("long").alias("vertex"))
+    raise ValueError(f"mode is radius, triangle or closest, not {mode}")
+
+
+def model_graphs(points: DataFrame, splits: int, share: float = 0.6, meshes: str = "all") -> dict[str, DataFrame]:
+    """The three graphs of an encoder, a processor and a decoder: `grid2mesh` by radius, `mesh` (the edges of all levels, or
+    of the finest alone), `mesh2grid` by triangle; edges as (sender, receiver)."""
+    spark = points.sparkSession
+    own = mesh_edges(spark, splits)
+    if meshes == "finest":
+        faces = merged_faces(spark, splits).where(F.col("level") == splits)
+        own = face_edges(faces, F.col("a"), F.col("b"), F.col("c")).distinct()
+    to_mesh, to_grid = connected(points, splits, "radius", share), connected(points, splits, "triangle")
+    return {
+        "grid2mesh": to_mesh.select(F.col("vec_id").alias("sender"), F.col("vertex").alias("receiver")),
+        "mesh": own.select(F.col("sender").cast("long").alias("sender"), F.col("receiver").cast("long").alias("receiver")),
+        "mesh2grid": to_grid.select(F.col("vertex").alias("sender"), F.col("vec_id").alias("receiver")),
+    }
+
+
 def longest_edge(splits: int) -> float:
     vertices, levels = hierarchy(splits)
     f = levels[-1]
@@ -95,4 +146,4 @@ def closest_vertices(points: DataFrame, splits: int) -> DataFrame:
     p = [F.col(c) for c in "xyz"]
     far = lambda v: F.sqrt(sum(((p[i] - F.element_at(v, i + 1)) ** 2 for i in range(3)), F.lit(0.0)))
     near = F.array_min(F.array(*[F.struct(far(F.col(f"best.p{k}")).alias("distance"), F.col(f"best.{k}").alias("vertex")) for k in "abc"]))
-    return _descend(points, splits).select("vec_id", near.alias("n")).select("vec_id", "n.vertex", F.round("n.distance", 9).alias("distance"))
+    return _descend(points, splits).select("vec_id", near.alias("n")).select("vec_id", "n.vertex", "n.distance")

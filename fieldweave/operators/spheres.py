@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import cartesian, distance_km, is_east, latlon
+from ..functions.geo import EARTH_KM, cartesian, distance_km, is_east, latlon
 
 #: The length of a degree at the equator and of a meridian from pole to pole, in km.
 DEGREE_KM, MERIDIAN_KM = 111.3, 20004.0
@@ -58,15 +60,49 @@ def quadrant(lat: Column, lon: Column, centre_lat: Column, centre_lon: Column) -
     return F.when(east & north, 1).when(east, 2).when(~north, 3).otherwise(4)
 
 
+#: From a place to the one opposite, on the sphere.
+HALF_ROUND_KM = math.pi * EARTH_KM
+
+
+def _spread(points: DataFrame, radius: Column, most_km: float, cell: float) -> DataFrame:
+    """A row for each cell (_band, _column) of a whole grid whose centre may lie in the point's disc: the bands that it
+    touches, and in each band as many columns as the disc is wide there."""
+    bands, columns = int(180 / cell), int(360 / cell)
+    reach = int(most_km / EARTH_KM * 180 / math.pi / cell) + 1
+    own = F.round((F.col("lat") + 90) / cell).cast("long")
+    rows = points.withColumn("_radius", radius)
+    rows = rows.withColumn("_band", F.explode(F.sequence(F.greatest(F.lit(0), own - reach), F.least(F.lit(bands), own + reach))))
+    a, b = F.radians("lat"), F.radians(F.col("_band") * cell - 90)
+    both = F.cos(a) * F.cos(b)
+    # The cosine of half the disc's width in this band; above 1 the disc does not touch it, below -1 it holds the whole band.
+    width = F.when(F.abs(both) < 1e-9, F.lit(-2.0)).otherwise((F.cos(F.least(F.col("_radius") / EARTH_KM, F.lit(math.pi))) - F.sin(a) * F.sin(b)) / both)
+    rows = rows.withColumn("_width", width).where("_width <= 1.000001")
+    half = F.ceil(F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("_width"))))) / cell).cast("long") + 1
+    at = F.round(F.col("lon") / cell).cast("long")
+    every = (F.col("_width") <= -1) | (2 * half + 1 >= columns)
+    list_of = F.when(every, F.sequence(F.lit(0).cast("long"), F.lit(columns - 1).cast("long"))).otherwise(F.sequence(at - half, at + half))
+    return rows.withColumn("_column", F.explode(list_of)).withColumn("_column", F.pmod("_column", F.lit(columns))).drop("_width")
+
+
+def disc_cells(points: DataFrame, radius: Column, most_km: float, cell: float) -> DataFrame:
+    """points (lat, lon) with each cell of the whole grid of `cell` degrees whose distance `d` is below the row's radius
+    (most_km at most): cells are made, not joined, so no row moves."""
+    at = {"cell_lat": F.col("_band") * cell - 90.0, "cell_lon": F.col("_column") * float(cell)}
+    rows = _spread(points, radius, most_km, cell).withColumns(at)
+    d = distance_km(F.col("lat"), F.col("lon"), F.col("cell_lat"), F.col("cell_lon"))
+    # A radius of half the globe means every cell, its opposite among them.
+    return rows.withColumn("d", d).where((F.col("d") < F.col("_radius")) | (F.col("_radius") >= HALF_ROUND_KM)).drop("_band", "_column", "_radius")
+
+
 def near_cells(points: DataFrame, grid: DataFrame, radius: Column, most_km: float, cell: float, on: tuple[str, ...] = ()) -> DataFrame:
-    """points x cells of the grid whose distance `d` is below the row's radius (most_km at most).
+    """points x cells of a grid table whose distance `d` is below the row's radius (most_km at most).
 
-    points: lat, lon; grid: cell_lat, cell_lon; both have the columns `on`, which must agree. A point meets only the bands of latitude that its disc can touch."""
-    reach = int(most_km / DEGREE_KM / cell) + 1
-    band = lambda c: F.round((F.col(c) + 90) / cell).cast("long")
-    sent = points.withColumn("_band", F.explode(F.sequence(band("lat") - reach, band("lat") + reach)))
-    met = sent.join(grid.withColumn("_band", band("cell_lat")), [*on, "_band"]).drop("_band")
-    return met.withColumn("d", distance_km(F.col("lat"), F.col("lon"), F.col("cell_lat"), F.col("cell_lon"))).where(F.col("d") < radius)
+    points: lat, lon; grid: cell_lat, cell_lon, multiples of `cell` degrees from the south pole and longitude 0; both have
+    the columns `on`, which must agree. Rows meet by band and column of the cells that the disc can touch."""
+    band, column = F.round((F.col("cell_lat") + 90) / cell).cast("long"), F.pmod(F.round(F.col("cell_lon") / cell).cast("long"), F.lit(int(360 / cell)))
+    sent = _spread(points, radius, most_km, cell)
+    met = sent.join(grid.withColumns({"_band": band, "_column": column}), [*on, "_band", "_column"]).drop("_band", "_column")
+    return met.withColumn("d", distance_km(F.col("lat"), F.col("lon"), F.col("cell_lat"), F.col("cell_lon"))).where(F.col("d") < F.col("_radius")).drop("_radius")
 
 
 def disc_statistics(points: DataFrame, grid: DataFrame, keys: list[str], radius_km: float, cell: float, scalars: list[str], on: tuple[str, ...] = ()) -> DataFrame:
@@ -85,8 +121,8 @@ def disc_statistics(points: DataFrame, grid: DataFrame, keys: list[str], radius_
     return sums.withColumns({"mean_lat": lat, "mean_lon": lon, "mode_lat": -F.col("_mode.a"), "mode_lon": -F.col("_mode.b")}).drop("_x", "_y", "_z", "_mode")
 
 
-def quadrant_raster(points: DataFrame, radii: str, value: Column, cell: float, most_km: float, parts: int) -> DataFrame:
-    """On a grid of `cell` degrees: the sum over points of value times the share of the cell's parts x parts sub-points that
+def quadrant_raster(points: DataFrame, radii: str, value: Column, cell: float, most_km: float, parts: int, keys: tuple[str, ...] = ()) -> DataFrame:
+    """By keys, on a grid of `cell` degrees: the sum over points of value times the share of the cell's parts x parts sub-points that
     lie in the point's quadrant shape. Cells that no shape touches are absent."""
     spark = points.sparkSession
     half = lambda c: (F.col(c) + 0.5) / parts - 0.5
@@ -102,7 +138,7 @@ def quadrant_raster(points: DataFrame, radii: str, value: Column, cell: float, m
     offsets = F.broadcast(spark.range(parts * parts).select(F.expr(f"id div {parts}").alias("_i"), (F.col("id") % parts).alias("_j")))  # parts * parts rows
     subs = rows.join(offsets).withColumns({"_lat": F.greatest(F.lit(-90.0), F.least(F.lit(90.0), F.col("cell_lat") + half("_i") * cell)), "_lon": F.pmod(F.col("cell_lon") + half("_j") * cell, F.lit(360.0))})
     inside = distance_km(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon")) < F.coalesce(F.element_at(radii, quadrant(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon"))), F.lit(0.0))
-    return subs.where(inside).groupBy("cell_lat", "cell_lon").agg((F.sum("_value") / (parts * parts)).alias("covered"))
+    return subs.where(inside).groupBy(*keys, "cell_lat", "cell_lon").agg((F.sum("_value") / (parts * parts)).alias("covered"))
 
 
 def bilinear(points: DataFrame, grid: DataFrame, keys: list[str], cell: float, values: list[str]) -> DataFrame:

@@ -18,6 +18,11 @@ def calendar(spark: SparkSession, first: int, last: int) -> DataFrame:
     return days.where(F.col("day") <= end).select(F.make_date("year", "month", "day").alias("init"))
 
 
+def filter_months(inits: DataFrame, months: list[int]) -> DataFrame:
+    """Inits of other months than these."""
+    return inits.where(~F.month("init").isin(months)) if months else inits
+
+
 def pending(inits: DataFrame, published: DataFrame) -> DataFrame:
     """Inits and whether they are published."""
     return inits.join(published.select("init").distinct().withColumn("published", F.lit(True)), "init", "left").withColumn("published", F.coalesce("published", F.lit(False)))

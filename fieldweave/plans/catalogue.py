@@ -9,7 +9,7 @@ from ..functions import geo
 from ..operators import cyclones, fields, graphs
 from ..sources.views import FIELD, FIXES, POINTS, STORMS, field, fixes, points, storms, table
 from ..streaming import daily
-from . import campaign, geometry, orders, records, tracks  # noqa: F401  (all but the first list queries of their own)
+from . import campaign, composed, geometry, gridded, orders, records, tracks  # noqa: F401  (all but the first list queries of their own)
 from .registry import ORACLES, QUERIES, query
 
 
@@ -20,18 +20,29 @@ def _rounded(*names: str):
 # ------------------------------------------------------------------ fields
 
 
-@query(f"""WITH {FIELD} SELECT member, variable, (floor((step - 1) / 4))::BIGINT AS day, count(DISTINCT step) AS steps,
-CASE WHEN NOT bool_or(isnan(value)) THEN round(avg(value), 6) END AS daily_mean, CASE WHEN NOT bool_or(isnan(value)) THEN round(sum(value), 6) END AS daily_sum,
-CASE WHEN NOT bool_or(isnan(value)) THEN round(min(value), 6) END AS daily_least, CASE WHEN NOT bool_or(isnan(value)) THEN round(max(value), 6) END AS daily_greatest FROM field GROUP BY 1, 2, 3""")
+_FOLD = "CASE WHEN NOT bool_or(isnan(value)) THEN round({}(value), 6) END AS daily_{}"
+_FOLDS = ", ".join(_FOLD.format(f, n) for f, n in (("avg", "mean"), ("sum", "sum"), ("min", "least"), ("max", "greatest")))
+
+
+def _folded(rows, *keys):
+    return rows.select(*keys, "day", "steps", *_rounded("daily_mean", "daily_sum", "daily_least", "daily_greatest"))
+
+
+@query(f"WITH {FIELD} SELECT variable, (floor((step - 1) / 4))::BIGINT AS day, count(DISTINCT step) AS steps, {_FOLDS} FROM field GROUP BY 1, 2 HAVING count(DISTINCT step) = 4")
 def daily_fold(spark, sf_dir):
-    return fields.daily_fold(field(spark, sf_dir), ["member", "variable"])
+    """Days of a variable that have all four steps."""
+    return _folded(fields.daily_fold(field(spark, sf_dir), ["variable"]), "variable")
 
 
-@query(f"""WITH {FIELD} SELECT member, variable, (floor((step - 1) / 4))::BIGINT AS day, count(DISTINCT step) AS steps,
-CASE WHEN NOT bool_or(isnan(value)) THEN round(avg(value), 6) END AS daily_mean, CASE WHEN NOT bool_or(isnan(value)) THEN round(sum(value), 6) END AS daily_sum,
-CASE WHEN NOT bool_or(isnan(value)) THEN round(min(value), 6) END AS daily_least, CASE WHEN NOT bool_or(isnan(value)) THEN round(max(value), 6) END AS daily_greatest FROM field GROUP BY 1, 2, 3 HAVING count(DISTINCT step) = 4""")
+@query(f"WITH {FIELD} SELECT member, variable, (floor((step - 1) / 4))::BIGINT AS day, count(DISTINCT step) AS steps, {_FOLDS} FROM field GROUP BY 1, 2, 3 HAVING count(DISTINCT step) = 4")
 def whole_day_fold(spark, sf_dir):
-    return fields.whole_days(fields.daily_fold(field(spark, sf_dir), ["member", "variable"]))
+    return _folded(fields.daily_fold(field(spark, sf_dir), ["member", "variable"]), "member", "variable")
+
+
+@query(f"WITH {FIELD} SELECT member, variable, (floor((step - 1) / 4))::BIGINT AS day, count(DISTINCT step) AS steps, {_FOLDS} FROM field GROUP BY 1, 2, 3")
+def partial_day_fold(spark, sf_dir):
+    """All days, whatever they lack."""
+    return _folded(fields.daily_fold(field(spark, sf_dir), ["member", "variable"], whole=False), "member", "variable")
 
 
 @query(f"WITH {FIELD} SELECT variable, count(*) AS n, round(avg(isnan(value)::INT), 9) AS missing_share FROM field GROUP BY 1")
@@ -85,11 +96,12 @@ def weighted_losses(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("variable")).agg(F.round(F.avg(F.abs(d) * w), 6).alias("mae"), F.round(F.avg(d * d * w), 6).alias("mse"))
 
 
-@query("""WITH r AS (SELECT l_orderkey, l_quantity AS x, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity) AS k, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem)
-SELECT l_orderkey, max(n) AS members, round(avg(abs(x - l_orderkey % 50)) - CASE WHEN max(n) > 1 THEN sum((2 * k - n - 1) * x) / (max(n) * (max(n) - 1)) ELSE 0 END, 6) AS crps FROM r GROUP BY 1""")
+@query("""WITH e AS (SELECT l_orderkey, count(*) AS members, avg(abs(l_quantity - l_orderkey % 50)) AS error FROM lineitem GROUP BY 1),
+p AS (SELECT a.l_orderkey, sum(abs(a.l_quantity - b.l_quantity)) AS pairs FROM lineitem a JOIN lineitem b USING (l_orderkey) GROUP BY 1)
+SELECT l_orderkey, members, round(error - CASE WHEN members > 1 THEN pairs / (2.0 * members * (members - 1)) ELSE 0 END, 6) AS crps FROM e JOIN p USING (l_orderkey)""")
 def ensemble_crps(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
-    return fields.crps(rows, ["l_orderkey"], "l_quantity", F.col("l_orderkey") % 50)
+    return fields.crps(rows, ["l_orderkey"], "l_quantity", F.col("l_orderkey") % 50).select("l_orderkey", "members", *_rounded("crps"))
 
 
 @query(f"WITH {FIELD} SELECT variable, step, round(avg(value), 6) AS member_mean, count(DISTINCT member) AS members FROM field WHERE NOT isnan(value) GROUP BY 1, 2")
@@ -239,11 +251,13 @@ def wind_calibration(spark, sf_dir):
 
 @query()
 def imputed_radii(spark, sf_dir):
-    return storms(spark, sf_dir).select("sid", "fix", *[cyclones.impute(F.col("r34"), F.col("wind_a"), 34.0)[i].alias(f"radius_{i}") for i in range(4)])
+    radii, flag = cyclones.impute([F.col("r34").getItem(i) for i in range(4)], F.col("wind_a"), 34.0)
+    return storms(spark, sf_dir).select("sid", "fix", *[r.alias(f"radius_{i}") for i, r in enumerate(radii)], flag.alias("flag"))
 
 
 ORACLES["imputed_radii"] = f"""WITH {STORMS}, k AS (SELECT *, list_filter(r34, lambda r: r IS NOT NULL) AS known FROM storms)
-SELECT sid, fix, """ + ", ".join(f"CASE WHEN wind_a < 34 THEN 0.0 ELSE coalesce(r34[{i + 1}], CASE WHEN len(known) > 0 THEN list_sum(known) / len(known) ELSE 0.0 END) END AS radius_{i}" for i in range(4)) + " FROM k"
+SELECT sid, fix, """ + ", ".join(f"coalesce(r34[{i + 1}], CASE WHEN len(known) > 0 THEN list_sum(known) / len(known) ELSE 0.0 END) AS radius_{i}" for i in range(4)) + """,
+CASE WHEN len(known) = 4 THEN 'present' WHEN len(known) > 0 THEN 'mean' WHEN wind_a >= 34 THEN 'zero' ELSE 'missing' END AS flag FROM k"""
 
 _CLIP = "list_transform({r}, lambda r: CASE WHEN r IS NULL THEN NULL WHEN wind_a < {t} THEN 0.0 ELSE greatest(r, 0.0) END) AS {r}"
 _QUADRANTS = [f"CASE WHEN r50[{i}] IS NULL THEN NULL ELSE greatest(r50[{i}], coalesce(r64[{i}], r50[{i}])) END" for i in (1, 2, 3, 4)]
@@ -252,19 +266,23 @@ _QUADRANTS = [f"CASE WHEN r50[{i}] IS NULL THEN NULL ELSE greatest(r50[{i}], coa
 @query(f"""WITH {STORMS}, a AS (SELECT sid, fix, wind_a, rmw, {_CLIP.format(r='r64', t=64)}, {_CLIP.format(r='r50', t=50)}, {_CLIP.format(r='r34', t=34)} FROM storms),
 b AS (SELECT * REPLACE ([{', '.join(_QUADRANTS)}] AS r50) FROM a),
 c AS (SELECT * REPLACE ([{', '.join(f'CASE WHEN r34[{i}] IS NULL THEN NULL ELSE greatest(r34[{i}], coalesce(r50[{i}], r34[{i}]), coalesce(r64[{i}], r34[{i}])) END' for i in (1, 2, 3, 4))}] AS r34) FROM b)
-SELECT sid, fix, least(rmw, CASE WHEN wind_a >= 64 THEN list_max(r64) END, CASE WHEN wind_a >= 50 THEN list_max(r50) END, CASE WHEN wind_a >= 34 THEN list_max(r34) END) AS rmw,
+SELECT sid, fix, CASE WHEN rmw IS NOT NULL THEN least(rmw, CASE WHEN wind_a >= 64 THEN list_max(r64) END, CASE WHEN wind_a >= 50 THEN list_max(r50) END, CASE WHEN wind_a >= 34 THEN list_max(r34) END) END AS rmw,
 {', '.join(f'r34[{i}] AS r34_{i}, r50[{i}] AS r50_{i}, r64[{i}] AS r64_{i}' for i in (1, 2, 3, 4))} FROM c""")
 def consistent_storms(spark, sf_dir):
     found = cyclones.consistent(storms(spark, sf_dir))
-    return found.select("sid", "fix", "rmw", *[F.element_at(r, i).alias(f"{r}_{i}") for i in (1, 2, 3, 4) for r in ("r34", "r50", "r64")])
+    return found.select("sid", "fix", "rmw", *[F.col(r).getItem(i - 1).alias(f"{r}_{i}") for i in (1, 2, 3, 4) for r in ("r34", "r50", "r64")])
+
 
+_GRID = "grid AS (SELECT (b * 10 - 90)::DOUBLE AS cell_lat, (c * 10)::DOUBLE AS cell_lon FROM range(0, 19) t(b), range(0, 36) u(c))"
 
-@query(f"""WITH {FIXES}, grid AS (SELECT (b * 10 - 90)::DOUBLE AS cell_lat, (c * 10)::DOUBLE AS cell_lon FROM range(0, 19) t(b), range(0, 36) u(c)),
-near AS (SELECT *, {geo.DISTANCE.format(lat0='cell_lat', lon0='cell_lon', lat1='lat', lon1='lon')} AS d FROM grid JOIN fixes ON abs(cell_lat - lat) <= 12)
-SELECT cell_lat, cell_lon, max(wind) AS greatest, round(sum(exp(-d * d / (2 * 1000.0 * 1000.0))), 6) AS gaussian FROM near WHERE d < 1000.0 GROUP BY 1, 2""")
+
+@query(f"""WITH {FIXES}, {_GRID}, near AS (SELECT *, {geo.DISTANCE.format(lat0='cell_lat', lon0='cell_lon', lat1='lat', lon1='lon')} AS d FROM grid, fixes)
+SELECT cell_lat, cell_lon, max(CASE WHEN d < 1000.0 THEN wind END) AS greatest, round(sum(exp(-d * d / (2 * 1000.0 * 1000.0))), 6) AS gaussian FROM near GROUP BY 1, 2""")
 def disc_raster(spark, sf_dir):
-    found = cyclones.disc_raster(fixes(spark, sf_dir), "wind", 1000.0, 10.0)
-    return found.select("cell_lat", "cell_lon", "greatest", *_rounded("gaussian"))
+    """The greatest wind of the discs that hold a cell, and the bumps of all fixes, however far."""
+    rows = fixes(spark, sf_dir)
+    bumps = cyclones.gaussian_raster(rows, 1000.0, 10.0)
+    return bumps.join(cyclones.disc_raster(rows, "wind", 1000.0, 10.0), ["cell_lat", "cell_lon"], "left").select("cell_lat", "cell_lon", "greatest", *_rounded("gaussian"))
 
 
 @query(f"""WITH {FIELD}, p AS (SELECT event_id, cos(radians(lat)) * cos(radians(lon)) AS x, cos(radians(lat)) * sin(radians(lon)) AS y, sin(radians(lat)) AS z, lat AS was FROM field WHERE abs(lat) < 90)

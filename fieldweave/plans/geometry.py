@@ -160,7 +160,7 @@ def mesh_faces(spark, sf_dir):
 @query()
 def mesh_closest(spark, sf_dir):
     """The vertex of that mesh closest to each point."""
-    return meshes.closest_vertices(points(spark, sf_dir), 3)
+    return meshes.closest_vertices(points(spark, sf_dir), 3).withColumn("distance", F.round("distance", 9))
 
 
 @query()

@@ -233,14 +233,15 @@ def date_summaries(spark, sf_dir):
     return campaign.summaries(days, "o_custkey", "day", 6)
 
 
-@query("""WITH p AS (SELECT o_orderkey, 'source-' || o_orderpriority || '_res-' || (o_orderkey % 3) || '_levels-' || (o_orderkey % 2 * 24 + 13) AS name FROM orders)
-SELECT o_orderkey, 'source-' AS prefix, regexp_extract(name, 'res-(\\d+)', 1) AS res, regexp_extract(name, 'levels-(\\d+)', 1) AS levels FROM p WHERE regexp_extract(name, 'res-(\\d+)', 1) = '1' AND regexp_extract(name, 'levels-(\\d+)', 1) = '13'""")
+@query("""WITH p AS (SELECT o_orderkey, 'source-' || o_orderpriority || '_res-' || (o_orderkey % 3) || '_levels-' || (o_orderkey % 2 * 24 + 13) AS name FROM orders),
+q AS (SELECT o_orderkey, map_from_entries(list_transform(string_split(name, '_'), lambda x: {'k': split_part(x, '-', 1), 'v': regexp_replace(x, '^[^-]*-', '')})) AS m FROM p)
+SELECT o_orderkey, m['source'] AS source, m['res'] AS res, m['levels'] AS levels FROM q WHERE m['res'] = '1' AND m['levels'] = '13'""")
 def file_parts(spark, sf_dir):
     k = F.col("o_orderkey")
     name = F.concat(F.lit("source-"), F.col("o_orderpriority"), F.lit("_res-"), (k % 3).cast("string"), F.lit("_levels-"), (k % 2 * 24 + 13).cast("string"))
     parts = table(spark, sf_dir, "orders").select("o_orderkey", campaign.file_parts(name).alias("parts"))
     chosen = parts.where((F.col("parts")["res"] == "1") & (F.col("parts")["levels"] == "13"))
-    return chosen.select("o_orderkey", F.lit("source-").alias("prefix"), F.col("parts")["res"].alias("res"), F.col("parts")["levels"].alias("levels"))
+    return chosen.select("o_orderkey", F.col("parts")["source"].alias("source"), F.col("parts")["res"].alias("res"), F.col("parts")["levels"].alias("levels"))
 
 
 @query("""WITH i AS (SELECT o_orderdate AS init, bool_or(o_orderstatus = 'F') AS published, bool_or(o_orderstatus = 'P') AS staged, bool_or(o_orderpriority LIKE '1%') AS claimed FROM orders GROUP BY 1)

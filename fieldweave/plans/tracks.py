@@ -14,13 +14,6 @@ NAUTICAL_KM = 1.852
 _GRID = "grid AS (SELECT (b * 10 - 90)::DOUBLE AS cell_lat, (c * 10)::DOUBLE AS cell_lon FROM range(0, 19) t(b), range(0, 36) u(c))"
 
 
-def globe(spark, cell: float):
-    """The cells of a whole grid: latitudes with both poles, longitudes from 0."""
-    columns = int(360 / cell)
-    cells = spark.range((int(180 / cell) + 1) * columns)
-    return cells.select((F.expr(f"id div {columns}") * cell - 90).alias("cell_lat"), (F.col("id") % columns * cell).alias("cell_lon"))
-
-
 @query(f"""WITH o AS (SELECT l_orderkey AS sid, l_linenumber AS fix, l_shipdate AS shipped, (l_linenumber * 3 + l_orderkey) % 24 AS hour, ((l_partkey % 360)::DOUBLE - 180) AS lon, l_quantity AS radius FROM lineitem),
 k AS (SELECT DISTINCT sid FROM o WHERE year(shipped) BETWEEN 1995 AND 1996)
 SELECT sid::VARCHAR AS track_id, fix, (lon + 360) % 360 AS lon, round(radius * {NAUTICAL_KM}, 6) AS radius_km FROM o WHERE sid IN (SELECT sid FROM k) AND hour IN (0, 6, 12, 18) AND year(shipped) BETWEEN 1995 AND 1996""")
@@ -43,10 +36,13 @@ def init_lines(spark, sf_dir):
     return lines.select(F.date_format(init, "yyyy-MM-dd").alias("init")).where("init is not null").distinct()
 
 
-@query("""SELECT 'cyclone_' || lower(n_name) || '_' || s AS name, s IN ('wind', 'pres') AS core FROM nation, (SELECT unnest(['lat', 'lon', 'wind', 'pres', 'rmw']) AS s)""")
+@query("""WITH v AS (SELECT lower(n_name) || '_' || s AS v, s FROM nation, (SELECT unnest(['lat', 'lon', 'wind', 'pres', 'rmw']) AS s))
+SELECT 'cyclone_' || v AS name, contains('france_wind', v) OR contains('china_pres_sea', v) AS core FROM v""")
 def variable_names(spark, sf_dir):
+    """Names of agencies' variables; the core ones occur inside a name of the core."""
     rows = table(spark, sf_dir, "nation").select("n_name", F.explode(F.array(*map(F.lit, ("lat", "lon", "wind", "pres", "rmw")))).alias("s"))
-    return rows.select(F.concat_ws("_", F.lit("cyclone"), F.lower("n_name"), "s").alias("name"), F.exists(F.array(F.lit("wind"), F.lit("pres")), lambda c: c == F.col("s")).alias("core"))
+    named = rows.select(F.concat_ws("_", F.lower("n_name"), "s").alias("v"))
+    return named.select(F.concat(F.lit("cyclone_"), "v").alias("name"), cyclones.is_core(F.col("v"), ["france_wind", "china_pres_sea"]).alias("core"))
 
 
 @query(f"""WITH {STORMS}, m AS (SELECT regr_slope(wind_a, wind_b) AS a, regr_intercept(wind_a, wind_b) AS b FROM storms)
@@ -64,7 +60,7 @@ def _raise(r: str, t: int) -> str:
 SELECT sid, fix, {', '.join(f"CASE WHEN r50[{i}] IS NOT NULL THEN greatest(r50[{i}], coalesce(r64[{i}], r50[{i}])) END AS r50_{i}, CASE WHEN r34[{i}] IS NOT NULL THEN greatest(r34[{i}], CASE WHEN r50[{i}] IS NOT NULL THEN r50[{i}] ELSE r34[{i}] END, coalesce(r64[{i}], r34[{i}])) END AS r34_{i}" for i in (1, 2, 3, 4))} FROM a""")
 def raised_radii(spark, sf_dir):
     found = cyclones.raised_radii(storms(spark, sf_dir))
-    return found.select("sid", "fix", *[F.element_at(r, i).alias(f"{r}_{i}") for i in (1, 2, 3, 4) for r in ("r50", "r34")])
+    return found.select("sid", "fix", *[F.col(r).getItem(i - 1).alias(f"{r}_{i}") for i in (1, 2, 3, 4) for r in ("r50", "r34")])
 
 
 @query(f"""WITH {STORMS}, p AS (SELECT row_number() OVER () AS k, sid, fix, [{{'r': r64[1], 'v': 64.0}}, {{'r': r50[1], 'v': 50.0}}, {{'r': r34[1], 'v': 34.0}}, {{'r': rmw, 'v': wind_a}}] AS pairs FROM storms),
@@ -75,18 +71,17 @@ def falling_speeds(spark, sf_dir):
     return storms(spark, sf_dir).select("sid", "fix", cyclones.speeds_fall(pairs).alias("consistent"))
 
 
-@query(f"""WITH {FIXES}, {_GRID}, near AS (SELECT *, {geo.DISTANCE.format(lat0='lat', lon0='lon', lat1='cell_lat', lon1='cell_lon')} AS d FROM grid JOIN fixes ON abs(cell_lat - lat) < 40),
-g AS (SELECT *, exp(-0.5 * pow(d / 800, 2)) AS g FROM near WHERE d < 4000), s AS (SELECT *, sum(g) OVER (PARTITION BY track_id, step) AS total FROM g) SELECT cell_lat, cell_lon, round(sum(g / total), 6) AS density FROM s GROUP BY 1, 2""")
+@query(f"""WITH {FIXES}, {_GRID}, g AS (SELECT track_id, step, cell_lat, cell_lon, exp(-0.5 * pow({geo.DISTANCE.format(lat0='lat', lon0='lon', lat1='cell_lat', lon1='cell_lon')} / 800, 2)) AS g FROM grid, fixes),
+s AS (SELECT *, sum(g) OVER (PARTITION BY track_id, step) AS total FROM g) SELECT cell_lat, cell_lon, round(sum(g / total), 6) AS density FROM s GROUP BY 1, 2""")
 def track_density(spark, sf_dir):
-    found = cyclones.densities(fixes(spark, sf_dir), ["track_id", "step"], globe(spark, CELL), 800.0, CELL)
-    return found.select("cell_lat", "cell_lon", F.round("density", 6).alias("density"))
+    return cyclones.densities(fixes(spark, sf_dir), 800.0, CELL).select("cell_lat", "cell_lon", F.round("density", 6).alias("density"))
 
 
 @query(f"""WITH {FIXES}, {_GRID}, near AS (SELECT *, {geo.DISTANCE.format(lat0='lat', lon0='lon', lat1='cell_lat', lon1='cell_lon')} AS d FROM grid JOIN fixes ON abs(cell_lat - lat) < 12)
 SELECT cell_lat, cell_lon, CASE WHEN bool_or(track_id % 7 = 0) THEN 'NaN'::DOUBLE ELSE greatest(max(wind), 0.0) END AS value, bool_or(track_id % 7 = 0) AS has_nan FROM near WHERE d < 1100 GROUP BY 1, 2""")
 def disc_values(spark, sf_dir):
     rows = fixes(spark, sf_dir).withColumn("wind", F.when(F.col("track_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("wind")))
-    return cyclones.disc_values(rows, globe(spark, CELL), "wind", 1100.0, CELL)
+    return cyclones.disc_values(rows, "wind", 1100.0, CELL)
 
 
 @query()

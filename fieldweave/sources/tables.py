@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -33,6 +34,12 @@ def clear(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """One row: files under a folder, or of a pattern, and their bytes; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("length")
+    return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+
+
 def kept(df: DataFrame, by: str | None = None, name: str = "table", compression: str | None = None) -> DataFrame:
     """df written as Parquet and read again: its lineage ends there, and lost executors cost nothing."""
     path = shared_folder(df.sparkSession, name)
