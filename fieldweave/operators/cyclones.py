@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_KM, cartesian, distance_km, latlon
-from ..sources.tables import ship
+from ..sources.tables import kept, ship
+from .components import components
 from .spheres import HALF_ROUND_KM, disc_cells
 
 THRESHOLDS = {"r64": 64.0, "r50": 50.0, "r34": 34.0}
@@ -168,13 +169,10 @@ def gaussian_raster(points: DataFrame, radius_km: float, cell: float, value: Col
 def nearby(fixes: DataFrame, radius_km: float) -> DataFrame:
     """For each fix: how many other tracks' fixes of the same step lie within the radius, and whether one has more wind.
 
-    Fixes meet by step and band of latitude."""
-    height = radius_km / 110.0
-    band = F.floor((F.col("lat") + 90) / height).cast("long")
-    here = fixes.select("track_id", "step", "lat", "lon", "wind", F.explode(F.array(band - 1, band, band + 1)).alias("_band"))
-    there = fixes.select(F.col("track_id").alias("_id"), "step", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.col("wind").alias("_wind"), band.alias("_band"))
-    met = here.join(there, ["step", "_band"]).where((F.col("track_id") != F.col("_id")) & (distance_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")) < radius_km))
-    counts = met.groupBy("track_id", "step").agg(F.bool_or(F.col("_wind") > F.col("wind")).alias("outranked"), F.count(F.lit(1)).alias("nearby"))
+    Fixes meet by step and cubes of space; only pairs that are near are looked at again."""
+    wind = lambda name: fixes.select("step", F.col("track_id").alias(name), F.col("wind").alias(f"_{name}"))
+    met = near_pairs(fixes, fixes, ["step"], radius_km).where("track_id <> match_id").join(wind("match_id"), ["step", "match_id"]).join(wind("track_id"), ["step", "track_id"])
+    counts = met.groupBy("track_id", "step").agg(F.bool_or(F.col("_match_id") > F.col("_track_id")).alias("outranked"), F.count(F.lit(1)).alias("nearby"))
     return fixes.select("track_id", "step").join(counts, ["track_id", "step"], "left").select("track_id", "step", "outranked", F.coalesce("nearby", F.lit(0)).alias("nearby"))
 
 
@@ -233,7 +231,7 @@ def nan_tracks(tracks: DataFrame, columns: list[str], lead: str | None = None) -
 def compared(truth: DataFrame, found: DataFrame, most_km: float, scalars: list[str], tolerance: float) -> DataFrame:
     """By step: rows of both sets of tracks, truth's rows that have a row within most_km, and those among them of which one
     such row agrees in all scalars within the tolerance. Rows meet by step and by cubes of space."""
-    side = 2.0 * most_km / EARTH_KM
+    side = most_km / EARTH_KM  # a chord is not longer than its arc
     cube = lambda lat, lon: [F.floor(c / side).cast("long") for c in cartesian(F.col(lat), F.col(lon))]
     here = truth.select(F.monotonically_increasing_id().alias("_row"), "step", "lat", "lon", *scalars)
     for name, c in zip("xyz", cube("lat", "lon"), strict=True):
@@ -278,22 +276,44 @@ def _assign(cost: np.ndarray) -> list[tuple[int, int]]:
     return [(int(i), j) for j, i in enumerate(row_of[:m]) if i >= 0]
 
 
-def _match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    rows = []
-    if len(left) and len(right):
-        a, b, c, d = (np.radians(x.to_numpy(float)) for x in (left["lat"], left["lon"], right["match_lat"], right["match_lon"]))
-        h = np.sin((c - a[:, None]) / 2) ** 2 + np.cos(a)[:, None] * np.cos(c) * np.sin((d - b[:, None]) / 2) ** 2
-        km = 2 * EARTH_KM * np.arcsin(np.minimum(1.0, np.sqrt(h)))
-        rows = [(left["step"].iloc[i], left["track_id"].iloc[i], right["match_id"].iloc[j], km[i, j]) for i, j in _assign(km)]
-    out = pd.DataFrame(rows, columns=["step", "track_id", "match_id", "km"])
-    return out.astype({"step": "int64", "track_id": "int64", "match_id": "int64", "km": float})
+def _matched_component(rows: pd.DataFrame, most_km: float) -> pd.DataFrame:
+    """One component of near pairs: the pairs that save most against leaving both ends alone at most_km."""
+    at = {c: {k: i for i, k in enumerate(sorted(rows[c].unique()))} for c in ("track_id", "match_id")}
+    left, right = rows["track_id"].map(at["track_id"]).to_numpy(), rows["match_id"].map(at["match_id"]).to_numpy()
+    cost = np.full((len(at["track_id"]), len(at["match_id"])), most_km)
+    cost[left, right] = rows["km"]
+    own = {(i, j): k for k, (i, j) in enumerate(zip(left, right, strict=True))}
+    kept_rows = [own[p] for p in _assign(cost) if p in own]
+    return rows.iloc[kept_rows][["step", "track_id", "match_id", "km"]]
+
+
+def near_pairs(truth: DataFrame, found: DataFrame, keys: list[str], most_km: float) -> DataFrame:
+    """keys, track_id, match_id, km of the fixes of two sets of tracks with equal keys that lie nearer than most_km. Fixes meet
+    by keys and cubes of space."""
+    side = most_km / EARTH_KM  # a chord is not longer than its arc
+    cube = lambda rows: rows.withColumns({f"_c{n}": F.floor(c / side).cast("long") for n, c in zip("xyz", cartesian(F.col("lat"), F.col("lon")), strict=True)})
+    here = cube(truth.select(*keys, "track_id", "lat", "lon"))
+    for n in "xyz":
+        here = here.withColumn(f"_c{n}", F.explode(F.sequence(F.col(f"_c{n}") - 1, F.col(f"_c{n}") + 1)))
+    there = cube(found.select(*keys, F.col("track_id").alias("match_id"), "lat", "lon")).withColumnsRenamed({"lat": "_lat", "lon": "_lon"})
+    met = here.join(there, [*keys, "_cx", "_cy", "_cz"]).withColumn("km", distance_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")))
+    return met.where(F.col("km") < most_km).select(*keys, "track_id", "match_id", "km")
+
+
+def matched(truth: DataFrame, found: DataFrame, most_km: float = 500.0) -> DataFrame:
+    """One-to-one pairs of the fixes of two sets of tracks at each step, nearer than most_km: step, track_id, match_id, km. A
+    fix may stay alone at the cost of most_km; the sum of the costs is the least. A track has one fix a step.
+
+    Pairs that are near form components, found by joins over all steps at once; only a component meets in one task, so what
+    a task holds is bounded by how densely fixes lie within most_km of each other, not by a step."""
+    ship(truth.sparkSession)
+    pairs = kept(near_pairs(truth, found, ["step"], most_km))
+    end = lambda c, name: F.struct("step", F.lit(name).alias("side"), F.col(c).alias("id"))
+    roots = components(pairs.select(end("track_id", "a").alias("u"), end("match_id", "b").alias("v")))
+    named = roots.where("node.side = 'a'").select("node.step", F.col("node.id").alias("track_id"), "root")
+    whole = pairs.join(named, ["step", "track_id"])
+    return whole.groupBy("root").applyInPandas(_component_matcher(most_km), "step long, track_id long, match_id long, km double")
 
 
-def matched(truth: DataFrame, found: DataFrame) -> DataFrame:
-    """One-to-one pairs of the fixes of two sets of tracks at each step with the least total distance: step, track_id, match_id,
-    km. A step is matched whole in one task, with a dense matrix of its fixes: that bounds what a step may hold."""
-    ship(truth.sparkSession)
-    left = truth.select("step", "track_id", "lat", "lon")
-    right = found.select(F.col("step").alias("match_step"), F.col("track_id").alias("match_id"), F.col("lat").alias("match_lat"), F.col("lon").alias("match_lon"))
-    both = left.groupBy("step").cogroup(right.groupBy("match_step"))
-    return both.applyInPandas(_match, "step long, track_id long, match_id long, km double")
+def _component_matcher(most_km: float):
+    return lambda rows: _matched_component(rows, most_km)

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.tables import kept
+from .components import components
 
 
 def numbered(rows: DataFrame, order: list[str], name: str, first: int = 0) -> DataFrame:
@@ -46,19 +47,16 @@ def banded_order(edges: DataFrame) -> DataFrame:
     before, in order of the first of them to which they are joined, then of their own degree, then of their id. Components
     follow each other in the order of their starts; at last positions are counted from the end. Edges of a node to
     itself and repeated ones count for nothing but the node's being there; null ends are left out. All components advance
-    in the same jobs, of which there are as many as levels."""
+    in the same jobs: some for the components, as many as the logarithm of their span, and one a level."""
     ends = edges.select(F.col("sender").alias("u"), F.col("receiver").alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
     pairs = kept(ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     nodes = kept(pairs.groupBy(F.col("u").alias("node")).agg(F.sum((F.col("u") != F.col("v")).cast("long")).alias("degree")))
     links = pairs.where("u <> v")
-    # The start of a component is the least (degree, node) in it: each node takes the least of its neighbours' until none changes.
-    named = nodes.select("node", "degree", F.struct("degree", "node").alias("start"))
-    while True:
-        heard = links.join(named.select(F.col("node").alias("v"), "start"), "v").groupBy(F.col("u").alias("node")).agg(F.min("start").alias("heard"))
-        now = kept(named.join(heard, "node", "left").select("node", "degree", F.least("start", F.coalesce("heard", "start")).alias("start"), (F.col("heard") < F.col("start")).alias("changed")))
-        named = now.drop("changed")
-        if not now.where("changed").limit(1).count():
-            break
+    # The start of a component is the least (degree, node) in it.
+    named_links = links.join(nodes.select(F.col("node").alias("u"), F.col("degree").alias("_du")), "u").join(nodes.select(F.col("node").alias("v"), F.col("degree").alias("_dv")), "v")
+    stars = components(named_links.select(F.struct(F.col("_du").alias("degree"), F.col("u").alias("node")).alias("u"), F.struct(F.col("_dv").alias("degree"), F.col("v").alias("node")).alias("v")))
+    starts = stars.select(F.col("node.node").alias("_node"), F.col("root").alias("start"))
+    named = kept(nodes.join(starts, nodes["node"] == starts["_node"], "left").select("node", "degree", F.coalesce("start", F.struct("degree", "node")).alias("start")))
     level, done = 0, None
     frontier = named.where("node = start.node").withColumn("first", F.lit(0).cast("long"))
     order = ["start", "first", "degree", "node"]

@@ -86,9 +86,9 @@ def disc_values(spark, sf_dir):
 
 @query()
 def matched_tracks(spark, sf_dir):
-    """Each step's fixes against those of the same tracks' predictions, which lie where the track was a step before."""
+    """Each step's fixes against those of the same tracks' predictions, which lie where the track was a step before, within 1000 km."""
     rows = fixes(spark, sf_dir)
-    found = cyclones.matched(rows, rows.withColumn("step", F.col("step") + 1))
+    found = cyclones.matched(rows, rows.withColumn("step", F.col("step") + 1), 1000.0)
     return found.select("step", "track_id", "match_id", F.round("km", 3).alias("km"))
 
 

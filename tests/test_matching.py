@@ -5,8 +5,9 @@ from itertools import permutations
 import numpy as np
 import pytest
 
-from fieldweave.operators.cyclones import _assign
+from fieldweave.operators.cyclones import _assign, matched
 from fieldweave.plans.catalogue import QUERIES
+from test_gridding import km
 
 
 @pytest.mark.parametrize("seed", range(30))
@@ -24,3 +25,20 @@ def test_least_cost(seed):
 def test_query(spark):
     rows = QUERIES["matched_tracks"](spark, "/root/testdata/sf0.001").collect()
     assert rows and len({(r["step"], r["track_id"]) for r in rows}) == len({(r["step"], r["match_id"]) for r in rows}) == len(rows)
+
+
+def test_components_save_as_much_as_whole_steps(spark):
+    """The savings of all pairs of a step against one dense matrix of the whole step."""
+    draw = np.random.default_rng(4)
+    rows = lambda seed: [(s, i, float(draw.uniform(-25, 25)), float(draw.uniform(0, 60) % 360)) for s in range(3) for i in range(40)]
+    a, b = rows(1), rows(2)
+    frame = lambda r: spark.createDataFrame(r, "step long, track_id long, lat double, lon double")
+    found = matched(frame(a), frame(b), 500.0).collect()
+    assert len({(r["step"], r["track_id"]) for r in found}) == len({(r["step"], r["match_id"]) for r in found}) == len(found) > 20
+    for step in range(3):
+        left, right = [[r for r in t if r[0] == step] for t in (a, b)]
+        cost = np.array([[km(*x[2:], *y[2:]) for y in right] for x in left])
+        assert all(abs(cost[r["track_id"], r["match_id"]] - r["km"]) < 1e-6 and r["km"] < 500 for r in found if r["step"] == step)
+        best = sum(500 - min(500, cost[i, j]) for i, j in _assign(np.minimum(cost, 500.0)))
+        assert sum(500 - r["km"] for r in found if r["step"] == step) == pytest.approx(best)
+    assert matched(frame([]), frame(b)).count() == 0
