@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_KM, cartesian, distance_km, latlon
-from ..sources.tables import kept, ship
+from ..sources.tables import kept, shared_folder, ship
 from .spheres import disc_statistics
 
 
@@ -35,6 +35,7 @@ class Settings:
     box_threshold: float = 0.3
     least_existence: float = 1e-5
     momentum: float = 0.9
+    existence_scale: float = 1.0
     most_lat: float = 80.0
     least_steps: int = 10
 
@@ -51,23 +52,23 @@ def guess(lat: Column, lon: Column, was_lat: Column, was_lon: Column, momentum:
     return F.when(still, lat).otherwise(ahead[0]), F.when(still, lon).otherwise(ahead[1])
 
 
-def _centred(centres: DataFrame, frame: DataFrame, sizes: DataFrame, s: Settings, to_mode: bool, mean_km: float) -> DataFrame:
+def _centred(centres: DataFrame, frame: DataFrame, sizes: DataFrame, s: Settings, to_mode: bool, mean_km: float, on: tuple[str, ...] = ("run",)) -> DataFrame:
     """Centres moved to the mode of their disc (if asked) and then to the mean; those without a cell of p > 0 vanish. With the
-    existence: the disc's p over the number of cells of the whole grid."""
-    keys, out = ["run", "track"], centres
+    existence: the disc's p over the number of cells of the whole grid. `on` names the frame: a run's, or a run's step."""
+    keys, out = [*on, "track"], centres
     for km, names in ([(s.mode_km, ("mode_lat", "mode_lon"))] if to_mode else []) + [(mean_km, ("mean_lat", "mean_lon"))]:
-        found = disc_statistics(out, frame, keys, km, s.cell, [], ("run",)).where("p_sum > 0")
+        found = disc_statistics(out, frame, keys, km, s.cell, [], on).where("p_sum > 0")
         out = found.select(*keys, F.col(names[0]).alias("lat"), F.col(names[1]).alias("lon"))
-    p = disc_statistics(out, frame, keys, s.existence_km, s.cell, [], ("run",)).select(*keys, "p_sum")
-    existence = F.least(F.lit(1.0), F.col("p_sum") / F.col("cells"))
-    return out.join(p, keys).join(sizes, "run").withColumn("existence", existence).where(F.col("existence") >= s.least_existence).select(*keys, "lat", "lon", "existence")
+    p = disc_statistics(out, frame, keys, s.existence_km, s.cell, [], on).select(*keys, "p_sum")
+    existence = F.least(F.lit(1.0), F.col("p_sum") / F.col("cells") * s.existence_scale)
+    return out.join(p, keys).join(sizes, [*on]).withColumn("existence", existence).where(F.col("existence") >= s.least_existence).select(*keys, "lat", "lon", "existence")
 
 
-def candidates(frame: DataFrame, s: Settings) -> DataFrame:
-    """The greatest cell of each box of each run above the threshold: (run, track, lat, lon, peak), track a name for the box."""
+def candidates(frame: DataFrame, s: Settings, on: tuple[str, ...] = ("run",)) -> DataFrame:
+    """The greatest cell of each box of each run (or of what `on` names) above the threshold: (on, track, lat, lon, peak), track a name for the box."""
     best = F.max(F.struct("p", (-F.col("cell_lat")).alias("a"), (-F.col("cell_lon")).alias("b")))
-    boxes = frame.groupBy("run", F.floor((F.col("cell_lat") + 90) / s.box).alias("r"), F.floor(F.col("cell_lon") / s.box).alias("c")).agg(best.alias("m"))
-    found = boxes.where(F.col("m.p") > s.box_threshold).select("run", F.concat_ws("_", F.lit("box"), "r", "c").alias("track"), (-F.col("m.a")).alias("lat"), (-F.col("m.b")).alias("lon"), F.col("m.p").alias("peak"))
+    boxes = frame.groupBy(*on, F.floor((F.col("cell_lat") + 90) / s.box).alias("r"), F.floor(F.col("cell_lon") / s.box).alias("c")).agg(best.alias("m"))
+    found = boxes.where(F.col("m.p") > s.box_threshold).select(*on, F.concat_ws("_", F.lit("box"), "r", "c").alias("track"), (-F.col("m.a")).alias("lat"), (-F.col("m.b")).alias("lon"), F.col("m.p").alias("peak"))
     return found.where(F.abs("lat") <= s.most_lat)
 
 
@@ -114,29 +115,37 @@ def track(grid: DataFrame, initial: DataFrame | None, steps: list[int], settings
     grid: run, step, cell_lat, cell_lon, p (null and NaN count as 0); initial: run, track, lat, lon at the first step, which
     are kept as they are, however short. Tracks that start later are `cyclogenesis_0`, `cyclogenesis_1` ... of their run, in
     order of step and falling peak; those of `least_steps` or fewer steps are dropped. A track that is pruned ends at the
-    step before, whose row names the track that it merged into. Each step's centres are written as a table."""
-    s, spark = settings, grid.sparkSession
+    step before, whose row names the track that it merged into.
+
+    What does not depend on the step before, the candidates and their refinement, is done for all steps in the same jobs;
+    the loop moves centres only, and each step's centres are written into one table."""
+    s, spark, frame_of = settings, grid.sparkSession, ("run", "step")
     ship(spark)
     frames = kept(grid.select("run", "step", "cell_lat", "cell_lon", F.coalesce(F.nanvl("p", F.lit(0.0)), F.lit(0.0)).alias("p")), by="step")
-    state = spark.createDataFrame([], _CENTRE)
-    history = spark.createDataFrame([], _CENTRE + ", step int")
-    for at, step in enumerate(steps):
-        frame = frames.where(F.col("step") == step).drop("step")
-        sizes = frame.groupBy("run").agg(F.count(F.lit(1)).alias("cells"))
-        if at == 0 and initial is not None:
+    sizes = kept(frames.groupBy(*frame_of).agg(F.count(F.lit(1)).alias("cells")))
+    boxes = kept(candidates(frames, s, frame_of))
+    refined = _centred(boxes, frames, sizes, s, False, s.refinement_km, frame_of)
+    refined = kept(refined.join(boxes.select(*frame_of, "track", "peak", F.col("lat").alias("box_lat"), F.col("lon").alias("box_lon")), [*frame_of, "track"]), by="step")
+    folder, state = shared_folder(spark, "centres"), None
+    for step in steps:
+        here_is = F.col("step") == step
+        olds = None
+        if state is None and initial is not None:
             first = initial.select("run", "track", "lat", "lon", *[F.lit(None).cast("double").alias(c) for c in ("was_lat", "was_lon")], F.lit(1.0).alias("existence"))
             olds = first.withColumn("moved", F.lit(0.0))
-        else:
+        elif state is not None:
             lat, lon = guess(*[F.col(c) for c in ("lat", "lon", "was_lat", "was_lon")], s.momentum)
             here = state.where("merged is null").select("run", "track", "lat", "lon", "was_lat", "was_lon")
-            moved = _centred(here.select("run", "track", lat.alias("lat"), lon.alias("lon")), frame, sizes, s, True, s.mean_km)
+            moved = _centred(here.select("run", "track", lat.alias("lat"), lon.alias("lon")), frames.where(here_is).drop("step"), sizes.where(here_is).drop("step"), s, True, s.mean_km)
             before = here.select("run", "track", F.col("lat").alias("was_lat"), F.col("lon").alias("was_lon"))
             olds = moved.join(before, ["run", "track"]).withColumn("moved", distance_km(*[F.col(c) for c in ("was_lat", "was_lon", "lat", "lon")]))
-        boxes = candidates(frame, s)
-        refined = _centred(boxes, frame, sizes, s, False, s.refinement_km).join(boxes.select("run", "track", "peak", F.col("lat").alias("box_lat"), F.col("lon").alias("box_lon")), ["run", "track"])
-        both = olds.unionByName(refined, allowMissingColumns=True)
-        state = kept(both.groupBy("run").applyInPandas(_settler(step, s), _CENTRE))
-        history = history.unionByName(state.withColumn("step", F.lit(step)))
+        born = refined.where(here_is).drop("step")
+        if olds is None:
+            olds = born.limit(0).select("run", "track", "lat", "lon", "existence").withColumns({c: F.lit(None).cast("double") for c in ("was_lat", "was_lon", "moved")})
+        both = olds.unionByName(born, allowMissingColumns=True)
+        both.groupBy("run").applyInPandas(_settler(step, s), _CENTRE).write.parquet(f"{folder}/step={step}")
+        state = spark.read.schema(_CENTRE).parquet(f"{folder}/step={step}")
+    history = spark.read.schema(_CENTRE + ", step int").parquet(folder) if steps else spark.createDataFrame([], _CENTRE + ", step int")
     return _finished(history, s)
 
 
