@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .common import as_table, ship_package
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
@@ -179,27 +180,6 @@ def links(distinct_fps: DataFrame, radius: int = RADIUS, cell_rows: int = CELL_R
     return dealt_out.mapInPandas(lambda batches: _link_partition(batches, radius), "u long, v long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node and root, the smallest node of its component, for the nodes of the links (u, v).
-
-    Large-star and small-star rounds: all neighbours of a node move to the smallest of them, until only stars are left.
-    Minima are combined before they are shuffled, and a hub's links meet them by an ordinary join."""
-    now = as_table(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links")
-    mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    was = mark(now)
-    while was[0]:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        now = as_table(small.select("e.u", "e.v").where("u <> v").distinct(), "stars")
-        if (mark_now := mark(now)) == was:
-            break
-        was = mark_now
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
-
-
 def _rooted(rows: DataFrame, radius: int, cell_rows: int) -> DataFrame:
     """fp, root (a fingerprint that names the component) and component_id of each fingerprint of a table with doc_id and fp."""
     reps = as_table(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
