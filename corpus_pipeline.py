@@ -21,7 +21,7 @@ LEAST_LANGUAGE_LEAD = 1.1
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter (null and empty ones among them) and those whose language the network cannot tell.
 
-    Repeated rows and null ids are judged row by row; without any labelled language nothing can be told and nothing stays."""
+    A text of any length is judged by all its windows. Repeated rows and null ids are judged row by row; without any labelled language nothing can be told and nothing stays."""
     network = lang_id.train(docs)
     found, least = lang_id.identifier(network), LEAST_LANGUAGE_LEAD / max(1, len(network.languages))
     judged = docs.select(*docs.columns, found(F.col("text")).alias("_language_found"))
@@ -30,7 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that score as toxic. Null and empty texts score low; without labels of both kinds all rows stay."""
+    """Drops documents that score as toxic, by all words of texts of any length. Null and empty texts score low; without labels of both kinds all rows stay."""
     score = toxicity.scorer(toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return docs.select(*docs.columns, score(F.col("text")).alias("_toxic_score")).where(F.col("_toxic_score") < toxicity.THRESHOLD).select(*docs.columns)
 
@@ -51,7 +51,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces and sequences of the documents that are left."""
+    """The pieces and sequences of the documents that are left, texts of any length whole. Null and empty texts are their end
+    alone; rows that share an id, or have none, are documents of their own; an empty table gives no piece."""
     return packing.pack(docs)
 
 
@@ -68,6 +69,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over sf_dir's documents, each on all that the one before it kept; an empty table gives an empty result."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = as_table(stage(spark, docs, sf_dir), name)
