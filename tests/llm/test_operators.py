@@ -479,6 +479,14 @@ def test_pipeline_stages_on_awkward_rows(spark, docs, nothing):
         assert stages[name](spark, alone, SF).count() >= (name != "language")
 
 
+def test_pipeline_of_nothing(spark, real, tmp_path):
+    import corpus_pipeline as c
+
+    real.where("false").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    assert c.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline_decisions(spark, real):
     """Each stage's decision against its operator's own verdict, document by document."""
     import corpus_pipeline as c
