@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_KM, cartesian, distance_km, is_east, latlon
+from ..sources.tables import dealt
 
 #: The length of a degree at the equator and of a meridian from pole to pole, in km.
 DEGREE_KM, MERIDIAN_KM = 111.3, 20004.0
@@ -70,7 +71,7 @@ def _spread(points: DataFrame, radius: Column, most_km: float, cell: float) -> D
     bands, columns = int(180 / cell), int(360 / cell)
     reach = int(most_km / EARTH_KM * 180 / math.pi / cell) + 1
     own = F.round((F.col("lat") + 90) / cell).cast("long")
-    rows = points.withColumn("_radius", radius)
+    rows = dealt(points).withColumn("_radius", radius)
     rows = rows.withColumn("_band", F.explode(F.sequence(F.greatest(F.lit(0), own - reach), F.least(F.lit(bands), own + reach))))
     a, b = F.radians("lat"), F.radians(F.col("_band") * cell - 90)
     both = F.cos(a) * F.cos(b)
@@ -124,21 +125,27 @@ def disc_statistics(points: DataFrame, grid: DataFrame, keys: list[str], radius_
 def quadrant_raster(points: DataFrame, radii: str, value: Column, cell: float, most_km: float, parts: int, keys: tuple[str, ...] = ()) -> DataFrame:
     """By keys, on a grid of `cell` degrees: the sum over points of value times the share of the cell's parts x parts sub-points that
     lie in the point's quadrant shape. Cells that no shape touches are absent."""
-    spark = points.sparkSession
-    half = lambda c: (F.col(c) + 0.5) / parts - 0.5
+    half = lambda c: (c + 0.5) / parts - 0.5
     reach = int(most_km / DEGREE_KM / cell) + 2
     own = F.round((F.col("lat") + 90) / cell).cast("long")
-    rows = points.withColumn("_value", value).withColumn("_band", F.explode(F.sequence(F.greatest(F.lit(0), own - reach), F.least(F.lit(int(180 / cell)), own + reach))))
+    # Distances are compared as squared chords, whose limits are known before a point is spread.
+    limit = F.transform(radii, lambda r: 4 * F.pow(F.sin(F.least(F.coalesce(r, F.lit(0.0)) / EARTH_KM, F.lit(math.pi)) / 2), 2))
+    rows = points.select(*keys, "lat", "lon", value.alias("_value"), limit.alias("_limit"), *[c.alias(f"_{n}") for n, c in zip("xyz", cartesian(F.col("lat"), F.col("lon")), strict=True)])
+    rows = dealt(rows).withColumn("_band", F.explode(F.sequence(F.greatest(F.lit(0), own - reach), F.least(F.lit(int(180 / cell)), own + reach))))
     # The columns that a shape can touch in this band; near the poles all of them.
     _, side = box_sides((F.col("_band") * cell - 90), F.lit(most_km))
     wide = F.least(F.ceil(side / 2 / cell).cast("long") + 1, F.lit(int(180 / cell) - 1))
     column = F.round(F.col("lon") / cell).cast("long")
     rows = rows.withColumn("_column", F.explode(F.when(wide >= int(180 / cell) - 1, F.sequence(F.lit(0).cast("long"), F.lit(int(360 / cell) - 1).cast("long"))).otherwise(F.sequence(column - wide, column + wide))))
     rows = rows.withColumns({"cell_lat": F.col("_band") * cell - 90, "cell_lon": F.pmod(F.col("_column") * cell, F.lit(360.0))})
-    offsets = F.broadcast(spark.range(parts * parts).select(F.expr(f"id div {parts}").alias("_i"), (F.col("id") % parts).alias("_j")))  # parts * parts rows
-    subs = rows.join(offsets).withColumns({"_lat": F.greatest(F.lit(-90.0), F.least(F.lit(90.0), F.col("cell_lat") + half("_i") * cell)), "_lon": F.pmod(F.col("cell_lon") + half("_j") * cell, F.lit(360.0))})
-    inside = distance_km(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon")) < F.coalesce(F.element_at(radii, quadrant(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon"))), F.lit(0.0))
-    return subs.where(inside).groupBy(*keys, "cell_lat", "cell_lon").agg((F.sum("_value") / (parts * parts)).alias("covered"))
+    subs = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts * parts - 1))))
+    i, j = F.expr(f"_part div {parts}"), F.col("_part") % parts
+    subs = subs.withColumns({"_lat": F.greatest(F.lit(-90.0), F.least(F.lit(90.0), F.col("cell_lat") + half(i) * cell)), "_lon": F.pmod(F.col("cell_lon") + half(j) * cell, F.lit(360.0))})
+    chord = sum((F.pow(c - F.col(f"_{n}"), 2) for n, c in zip("xyz", cartesian(F.col("_lat"), F.col("_lon")), strict=True)), F.lit(0.0))
+    inside = chord < F.element_at("_limit", quadrant(F.col("_lat"), F.col("_lon"), F.col("lat"), F.col("lon")))
+    # Summed where inside, not filtered: an aggregate evaluates what its terms share once.
+    sums = subs.select(*keys, "cell_lat", "cell_lon", F.when(inside, F.col("_value")).alias("_hit")).groupBy(*keys, "cell_lat", "cell_lon").agg(F.sum("_hit").alias("_sum"))
+    return sums.where("_sum is not null").select(*keys, "cell_lat", "cell_lon", (F.col("_sum") / (parts * parts)).alias("covered"))
 
 
 def bilinear(points: DataFrame, grid: DataFrame, keys: list[str], cell: float, values: list[str]) -> DataFrame:

@@ -48,6 +48,13 @@ def kept(df: DataFrame, by: str | None = None, name: str = "table", compression:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """df dealt evenly over as many tasks as shuffles have, before each row is multiplied: after a shuffle of few bytes
+    adaptive execution would leave that to one task."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once a session."""
     context = spark.sparkContext
