@@ -268,6 +268,17 @@ def test_top_k(spark):
     for candidate_rows, query_rows in ((100, 3), (10_000, 1000)):
         assert sorted(tuple(r) for r in topk.top_k(table, candidate_rows=candidate_rows, query_rows=query_rows).collect()) == sorted(want)
     assert topk.top_k(table.where("false")).count() == 0
+    # Two far groups: cells of the other group are left out of the search of a query tree, and the result is the same.
+    far = [(i, (x + (40 if i % 2 else -40)).tolist(), 1) for i, x in enumerate(v)]
+    got = topk.top_k(spark.createDataFrame(far, "vec_id long, embedding array<float>, score int"), candidate_rows=50, query_rows=10)
+    both = [np.floor(256 * np.array(x, np.float32).astype(np.float64)).astype(np.int64) for _, x, _ in far]
+    want = [(i, r + 1, j, -s) for i in range(0, 400, 50) for r, (s, j) in enumerate(sorted((-int(both[i] @ both[j]), j) for j in range(400) if j != i)[:5])]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    pivots, radii = [both[0].astype(float), both[1].astype(float)], {0: 2000.0, 1: 2000.0}
+    q, c = topk.Tree(np.array([0]), both[0][None]), topk.Tree(np.arange(2, 20, 2), np.stack(both[2:20:2]))
+    row = {"dim": 16, "q_cell": 0, "q_part": 0, "q_tree": topk.pickle.dumps(q), "c_tree": topk.pickle.dumps(c)}
+    (told,) = topk._first(iter([topk.pd.DataFrame([row])]), 5, pivots, radii)
+    assert told["cells"][0] == [-1, 0] and len(told["floor"][0]) == 1
     with pytest.raises(ValueError, match="exact"):
         topk.top_k(spark.createDataFrame([(0, [1e20, 1.0], 1), (1, [1.0, 2.0], 1)], "vec_id long, embedding array<double>, score int"))
 
