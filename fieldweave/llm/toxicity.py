@@ -106,6 +106,8 @@ class Model:
         return np.sign(x) * np.maximum(np.abs(x) - MARGIN, 0)
 
     def evidence(self, documents: list[list[bytes]]) -> np.ndarray:
+        if self.token not in _known:
+            _known.clear()  # a worker that is used again keeps the words of one model
         known = _known.setdefault(self.token, {})
         if new := set().union(*documents).difference(known):
             if len(known) + len(new) > _REMEMBERED:
