@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lang_id, lattice_lm, mixing, packing, progressive_jpeg, simhash, topk, toxicity, url_filter, warc
+from . import decontamination, divergence, lang_id, lattice_lm, mixing, packing, progressive_jpeg, resampling, simhash, topk, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,12 +54,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_language_id, op2_simhash_near_dedup, op3_progressive_jpeg, op4_seekable_warc, op5_cost_balanced_packing, op6_dual_tree_top_k, op7_lattice_likelihood, op8_toxicity, op9_url_cascade, op10_mixing)
+    for f in (op1_language_id, op2_simhash_near_dedup, op3_progressive_jpeg, op4_seekable_warc, op5_cost_balanced_packing, op6_dual_tree_top_k, op7_lattice_likelihood, op8_toxicity, op9_url_cascade, op10_mixing, op11_benchmark_decontamination, op12_source_divergence, op13_importance_resampling)
 }
 
-#: SimHash, JPEG, tokenization, fitted models and base-32 digests have no DuckDB form; their tests compare with brute force.
+#: SimHash, JPEG, CRC-32, tokenization, fitted models and base-32 digests have no DuckDB form; their tests compare with brute force.
 ORACLES: dict[str, str] = {
     "op6_dual_tree_top_k": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings),
@@ -69,4 +81,6 @@ QUALIFY rank <= 5
 """,
     "op9_url_cascade": url_filter.ORACLE,
     "op10_mixing": mixing.ORACLE,
+    "op11_benchmark_decontamination": decontamination.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
 }
