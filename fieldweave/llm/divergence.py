@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ HELD, BLOCK_COUNTS, BLOCK_SOURCES, CELLS = 600_000, 1 << 19, 1000, 1 << 20
 #: Blocks of a language at least, so that tasks stay even.
 LEAST_BLOCKS = 16
 
+#: A task's count of a term: occurrences, and this for each document.
+_DOCUMENT = 1 << 36
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
@@ -35,40 +38,43 @@ def terms_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_LETTERS).split()
 
 
-def _sums(counts: dict[tuple[str, str], tuple[Counter, Counter]]) -> pd.DataFrame:
+def _sums(counts: dict[tuple[str, str], dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
     """One row a (language, term): the sources that hold it, occurrences and documents there."""
-    rows: dict[tuple[str, bytes], list] = {}
-    for (lang, source), (occurrences, documents) in counts.items():
-        for term, n in occurrences.items():
-            held = rows.setdefault((lang, term), [[], [], []])
-            held[0].append(source)
-            held[1].append(n)
-            held[2].append(documents[term])
-    return pd.DataFrame([(lang, term.decode(), *held) for (lang, term), held in rows.items()], columns=["lang", "term", "sources", "ns", "docs"], dtype=object)
-
-
-def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    by_lang: dict[str, list] = {}
+    for (lang, source), found in counts.items():
+        by_lang.setdefault(lang, []).append((source, found))
+    for lang, groups in by_lang.items():
+        terms = pa.array([t for _, found in groups for t in found], pa.binary()).dictionary_encode()
+        packed = np.fromiter((n for _, found in groups for n in found.values()), np.int64, len(terms))
+        source = np.repeat(np.arange(len(groups)), [len(found) for _, found in groups])
+        order = np.argsort(terms.indices.to_numpy(), kind="stable")
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(terms.indices.to_numpy(), minlength=len(terms.dictionary)))]).astype(np.int32))
+        parts = (pa.array([s for s, _ in groups], pa.string()).take(pa.array(source[order])), pa.array(packed[order] % _DOCUMENT), pa.array(packed[order] // _DOCUMENT))
+        names = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(terms.dictionary), np.int64)))
+        yield pa.RecordBatch.from_arrays([names, terms.dictionary.cast(pa.string()), *[pa.ListArray.from_arrays(offsets, p) for p in parts]], ["lang", "term", "sources", "ns", "docs"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts: dict[tuple[str, str], dict[bytes, int]] = {}
     held = 0
-    for pdf in batches:
-        for lang, source, text in zip(pdf["lang"], pdf["source"], pdf["text"], strict=True):
-            occurrences, documents = counts.setdefault((lang, source), (Counter(), Counter()))
-            held -= len(documents)
-            here = Counter(terms_of(text))
-            for term, n in here.items():
-                occurrences[term] += n
-            documents.update(here.keys())
-            held += len(documents)
+    for batch in batches:
+        for lang, source, text in zip(*[batch.column(c).to_pylist() for c in ("lang", "source", "text")], strict=True):
+            found = counts.setdefault((lang, source), {})
+            held -= len(found)
+            seen = found.get
+            for term, n in Counter(terms_of(text)).items():
+                found[term] = seen(term, 0) + n + _DOCUMENT
+            held += len(found)
             if held > HELD:
-                yield _sums(counts)
+                yield from _sums(counts)
                 counts, held = {}, 0
-    yield _sums(counts)
+    yield from _sums(counts)
 
 
 def vocabulary(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """lang, term, source, n, lang_n of the terms that at least least_docs documents of a language hold: occurrences in the
     source (above 0) and in the language. Terms are grouped where they land; nothing is shuffled twice."""
-    sent = docs.select("lang", "source", "text").mapInPandas(_counted, "lang string, term string, sources array<string>, ns array<long>, docs array<long>")
+    sent = docs.select("lang", "source", "text").mapInArrow(_counted, "lang string, term string, sources array<string>, ns array<long>, docs array<long>")
     apart = sent.repartition("lang", "term").select("lang", "term", F.inline(F.arrays_zip(F.col("sources").alias("source"), F.col("ns").alias("n"), F.col("docs").alias("docs"))))
     per = apart.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     of_lang = W.partitionBy("lang", "term")

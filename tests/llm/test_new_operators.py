@@ -125,7 +125,7 @@ def brute_divergence(rows, least):
     return sorted(out)
 
 
-@pytest.mark.parametrize("least, block, held, sources", [(10, divergence.BLOCK_COUNTS, divergence.HELD, 1000), (2, 40, 500, 3)])
+@pytest.mark.parametrize("least, block, held, sources", [(10, divergence.BLOCK_COUNTS, divergence.HELD, 1000), (2, 4000, 500, 3)])
 def test_divergence(spark, monkeypatch, real, docs, least, block, held, sources):
     monkeypatch.setattr(divergence, "HELD", held)
     monkeypatch.setattr(divergence, "BLOCK_SOURCES", sources)
