@@ -1,75 +1,57 @@
-"""Cyclone tracking on gridded probabilities of existence.
+"""Cyclone tracking on gridded probabilities of existence: a fold over each run's frames.
 
-A driver loop over the steps of the forecast, as each needs the one before; within a step all runs advance at once. What
-meets the grid are joins of centres with the cells of their discs. What depends on order (pruning, placing new tracks)
-sees only centres: a run has as many as the grid has boxes, at most, so a run's centres fit one task.
+Each run's cells with p > 0 are sorted by step where the run lies, and a task walks through them once with the run's
+centres as state: it holds the cells of one frame, never a run, and no step costs a job. Runs advance beside each other. A
+lost executor repeats its runs from the shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.geo import EARTH_KM, cartesian, distance_km, latlon
-from ..sources.tables import kept, shared_folder, ship
-from .spheres import disc_statistics
+from ..functions.geo import EARTH_KM
+from ..sources.tables import ship
+from . import cyclones
 
 
 @dataclass(frozen=True)
 class Settings:
-    """Distances in km, thresholds, and the number of steps that a new track must outlast. Defaults are those of 6-hour fields."""
+    """Distances in km, thresholds, and the number of steps that a new track must outlast. Defaults are those of 6-hour fields.
+
+    A centre moves to the `mode` of its disc, the `mean`, or to one and then the other (`mode_then_mean`)."""
 
     cell: float = 1.0
     mode_km: float = 250.0
     mean_km: float = 250.0
     existence_km: float = 500.0
     refinement_km: float = 250.0
+    scalar_km: float = 250.0
     apart_km: float = 500.0
     prune_km: float = 500.0
     box: float = 5.0
     box_threshold: float = 0.3
     least_existence: float = 1e-5
     momentum: float = 0.9
+    mode: str = "mode_then_mean"
     existence_scale: float = 1.0
     most_lat: float = 80.0
     least_steps: int = 10
 
 
-_CENTRE = "run long, track string, lat double, lon double, was_lat double, was_lon double, existence double, merged string"
-
-
-def guess(lat: Column, lon: Column, was_lat: Column, was_lon: Column, momentum: float) -> tuple[Column, Column]:
-    """Where a track goes next: on along its great circle; without a position before, where it is."""
-    now, was = cartesian(lat, lon), cartesian(was_lat, was_lon)
-    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sum((a * b for a, b in zip(now, was, strict=True)), F.lit(0.0)))))
-    ahead = latlon(*[F.cos(angle * momentum) * a + F.sin(angle * momentum) * (a * F.cos(angle) - b) / F.sin(angle) for a, b in zip(now, was, strict=True)])
-    still = was_lat.isNull() | (angle < 1e-9)
-    return F.when(still, lat).otherwise(ahead[0]), F.when(still, lon).otherwise(ahead[1])
+def _xyz(lat: float | np.ndarray, lon: float | np.ndarray) -> np.ndarray:
+    a, b = np.radians(lat), np.radians(lon)
+    return np.stack([np.cos(a) * np.cos(b), np.cos(a) * np.sin(b), np.sin(a)])
 
 
-def _centred(centres: DataFrame, frame: DataFrame, sizes: DataFrame, s: Settings, to_mode: bool, mean_km: float, on: tuple[str, ...] = ("run",)) -> DataFrame:
-    """Centres moved to the mode of their disc (if asked) and then to the mean; those without a cell of p > 0 vanish. With the
-    existence: the disc's p over the number of cells of the whole grid. `on` names the frame: a run's, or a run's step."""
-    keys, out = [*on, "track"], centres
-    for km, names in ([(s.mode_km, ("mode_lat", "mode_lon"))] if to_mode else []) + [(mean_km, ("mean_lat", "mean_lon"))]:
-        found = disc_statistics(out, frame, keys, km, s.cell, [], on).where("p_sum > 0")
-        out = found.select(*keys, F.col(names[0]).alias("lat"), F.col(names[1]).alias("lon"))
-    p = disc_statistics(out, frame, keys, s.existence_km, s.cell, [], on).select(*keys, "p_sum")
-    existence = F.least(F.lit(1.0), F.col("p_sum") / F.col("cells") * s.existence_scale)
-    return out.join(p, keys).join(sizes, [*on]).withColumn("existence", existence).where(F.col("existence") >= s.least_existence).select(*keys, "lat", "lon", "existence")
-
-
-def candidates(frame: DataFrame, s: Settings, on: tuple[str, ...] = ("run",)) -> DataFrame:
-    """The greatest cell of each box of each run (or of what `on` names) above the threshold: (on, track, lat, lon, peak), track a name for the box."""
-    best = F.max(F.struct("p", (-F.col("cell_lat")).alias("a"), (-F.col("cell_lon")).alias("b")))
-    boxes = frame.groupBy(*on, F.floor((F.col("cell_lat") + 90) / s.box).alias("r"), F.floor(F.col("cell_lon") / s.box).alias("c")).agg(best.alias("m"))
-    found = boxes.where(F.col("m.p") > s.box_threshold).select(*on, F.concat_ws("_", F.lit("box"), "r", "c").alias("track"), (-F.col("m.a")).alias("lat"), (-F.col("m.b")).alias("lon"), F.col("m.p").alias("peak"))
-    return found.where(F.abs("lat") <= s.most_lat)
+def _place(x: np.ndarray) -> tuple[float, float]:
+    return float(np.degrees(np.arctan2(x[2], np.hypot(x[0], x[1])))), float(np.degrees(np.arctan2(x[1], x[0])) % 360)
 
 
 def _km(lat: float, lon: float, lats: np.ndarray, lons: np.ndarray) -> np.ndarray:
@@ -78,84 +60,196 @@ def _km(lat: float, lon: float, lats: np.ndarray, lons: np.ndarray) -> np.ndarra
     return 2 * EARTH_KM * np.arcsin(np.minimum(1.0, np.sqrt(h)))
 
 
-def _settle(rows: pd.DataFrame, step: int, s: Settings) -> pd.DataFrame:
-    """One run's centres of a step: of two tracks that came too close the one that moved farther ends in the other; then
-    new tracks are placed by falling peak, away from all that is there."""
-    old = rows[rows["peak"].isna()].sort_values("track").reset_index(drop=True)
-    old["merged"] = None
-    alive = list(range(len(old)))
-    near = [set(np.flatnonzero(_km(r.lat, r.lon, old["lat"].to_numpy(), old["lon"].to_numpy()) < s.prune_km)) - {i} for i, r in enumerate(old.itertuples())]
-    while pair := next(((i, j) for i in alive for j in alive if j in near[i]), None):
-        i, j = pair
-        gone, kept_one = (i, j) if old["moved"][i] >= old["moved"][j] else (j, i)
-        old.loc[gone, "merged"] = old["track"][kept_one]
-        alive.remove(gone)
-    lats, lons = list(old["lat"][alive]), list(old["lon"][alive])
-    clear = lambda lat, lon: not lats or _km(lat, lon, np.array(lats), np.array(lons)).min() >= s.apart_km
-    new = []
-    for r in rows[rows["peak"].notna()].sort_values(["peak", "box_lat", "box_lon"], ascending=[False, True, True]).itertuples():
-        if clear(r.box_lat, r.box_lon) and clear(r.lat, r.lon):
-            lats.append(r.lat)
-            lons.append(r.lon)
-            new.append({"run": r.run, "track": f"new_{step:06d}_{len(new):06d}", "lat": r.lat, "lon": r.lon, "existence": r.existence})
-    names = [c.split()[0] for c in _CENTRE.split(", ")]
-    return pd.concat([old.reindex(columns=names), pd.DataFrame(new, columns=names)], ignore_index=True).astype({c: float for c in ("lat", "lon", "was_lat", "was_lon", "existence")} | {"run": "int64"})
-
-
-def _settler(step: int, s: Settings):
-    def settle(rows: pd.DataFrame) -> pd.DataFrame:
-        return _settle(rows, step, s)
-
-    return settle
-
-
-def track(grid: DataFrame, initial: DataFrame | None, steps: list[int], settings: Settings = Settings()) -> DataFrame:
-    """run, track, step, lat, lon, existence, merged_into of all tracks, from the first of `steps` to the last.
-
-    grid: run, step, cell_lat, cell_lon, p (null and NaN count as 0); initial: run, track, lat, lon at the first step, which
-    are kept as they are, however short. Tracks that start later are `cyclogenesis_0`, `cyclogenesis_1` ... of their run, in
-    order of step and falling peak; those of `least_steps` or fewer steps are dropped. A track that is pruned ends at the
-    step before, whose row names the track that it merged into.
-
-    What does not depend on the step before, the candidates and their refinement, is done for all steps in the same jobs;
-    the loop moves centres only, and each step's centres are written into one table."""
-    s, spark, frame_of = settings, grid.sparkSession, ("run", "step")
-    ship(spark)
-    frames = kept(grid.select("run", "step", "cell_lat", "cell_lon", F.coalesce(F.nanvl("p", F.lit(0.0)), F.lit(0.0)).alias("p")), by="step")
-    sizes = kept(frames.groupBy(*frame_of).agg(F.count(F.lit(1)).alias("cells")))
-    boxes = kept(candidates(frames, s, frame_of))
-    refined = _centred(boxes, frames, sizes, s, False, s.refinement_km, frame_of)
-    refined = kept(refined.join(boxes.select(*frame_of, "track", "peak", F.col("lat").alias("box_lat"), F.col("lon").alias("box_lon")), [*frame_of, "track"]), by="step")
-    folder, state = shared_folder(spark, "centres"), None
-    for step in steps:
-        here_is = F.col("step") == step
-        olds = None
-        if state is None and initial is not None:
-            first = initial.select("run", "track", "lat", "lon", *[F.lit(None).cast("double").alias(c) for c in ("was_lat", "was_lon")], F.lit(1.0).alias("existence"))
-            olds = first.withColumn("moved", F.lit(0.0))
-        elif state is not None:
-            lat, lon = guess(*[F.col(c) for c in ("lat", "lon", "was_lat", "was_lon")], s.momentum)
-            here = state.where("merged is null").select("run", "track", "lat", "lon", "was_lat", "was_lon")
-            moved = _centred(here.select("run", "track", lat.alias("lat"), lon.alias("lon")), frames.where(here_is).drop("step"), sizes.where(here_is).drop("step"), s, True, s.mean_km)
-            before = here.select("run", "track", F.col("lat").alias("was_lat"), F.col("lon").alias("was_lon"))
-            olds = moved.join(before, ["run", "track"]).withColumn("moved", distance_km(*[F.col(c) for c in ("was_lat", "was_lon", "lat", "lon")]))
-        born = refined.where(here_is).drop("step")
-        if olds is None:
-            olds = born.limit(0).select("run", "track", "lat", "lon", "existence").withColumns({c: F.lit(None).cast("double") for c in ("was_lat", "was_lon", "moved")})
-        both = olds.unionByName(born, allowMissingColumns=True)
-        both.groupBy("run").applyInPandas(_settler(step, s), _CENTRE).write.parquet(f"{folder}/step={step}")
-        state = spark.read.schema(_CENTRE).parquet(f"{folder}/step={step}")
-    history = spark.read.schema(_CENTRE + ", step int").parquet(folder) if steps else spark.createDataFrame([], _CENTRE + ", step int")
-    return _finished(history, s)
-
-
-def _finished(history: DataFrame, s: Settings) -> DataFrame:
-    ends = history.where("merged is not null").select("run", "track", (F.col("step")).alias("_end"), F.col("merged").alias("merged_into"))
-    rows = history.where("merged is null").withColumn("_last", F.max("step").over(W.partitionBy("run", "track")))
-    rows = rows.join(ends, ["run", "track"], "left").withColumn("merged_into", F.when(F.col("step") == F.col("_last"), F.col("merged_into")))
-    spans = rows.groupBy("run", "track").agg(F.count(F.lit(1)).alias("n")).withColumn("new", F.col("track").startswith("new_"))
-    numbers = spans.where("new").withColumn("name", F.concat(F.lit("cyclogenesis_"), (F.row_number().over(W.partitionBy("run").orderBy("track")) - 1).cast("string")))
-    names = spans.join(numbers.select("run", "track", "name"), ["run", "track"], "left").withColumn("name", F.coalesce("name", "track"))
-    out = rows.join(names.where(~F.col("new") | (F.col("n") > s.least_steps)), ["run", "track"])
-    merged = names.select("run", F.col("track").alias("merged_into"), F.col("name").alias("_into"))
-    return out.join(merged, ["run", "merged_into"], "left").select("run", F.col("name").alias("track"), "step", "lat", "lon", "existence", F.col("_into").alias("merged_into"))
+def guess(lat: float, lon: float, was: tuple[float, float] | None, momentum: float) -> tuple[float, float]:
+    """Where a track goes next: on along its great circle; without a position before, where it is."""
+    if was is None:
+        return lat, lon
+    now, before = _xyz(lat, lon), _xyz(*was)
+    angle = 2 * np.arcsin(min(1.0, np.linalg.norm(now - before) / 2))
+    if angle < 1e-9:
+        return lat, lon
+    return _place(np.cos(angle * momentum) * now + np.sin(angle * momentum) * (now * np.cos(angle) - before) / np.sin(angle))
+
+
+class Frame:
+    """The cells of one step with p > 0, in order of latitude and longitude, and the number of all its cells."""
+
+    def __init__(self, lat: np.ndarray, lon: np.ndarray, p: np.ndarray, scalars: np.ndarray, cells: int):
+        order = np.lexsort((lon, lat))
+        self.lat, self.lon, self.p, self.scalars, self.cells = lat[order], lon[order], p[order], scalars[:, order], cells
+        self.xyz = _xyz(self.lat, self.lon)
+
+    def disc(self, lat: float, lon: float, km: float) -> np.ndarray:
+        """The places of the cells nearer than km."""
+        reach = np.degrees(km / EARTH_KM) + 1e-6
+        first, last = np.searchsorted(self.lat, [lat - reach, lat + reach])
+        near = first + np.flatnonzero(_xyz(lat, lon) @ self.xyz[:, first:last] > np.cos(min(np.pi, km / EARTH_KM)) - 1e-9)
+        return near[_km(lat, lon, self.lat[near], self.lon[near]) < km]
+
+    def mean(self, lat: float, lon: float, km: float) -> tuple[float, float] | None:
+        at = self.disc(lat, lon, km)
+        return _place(self.xyz[:, at] @ self.p[at]) if len(at) else None
+
+    def top(self, lat: float, lon: float, km: float) -> tuple[float, float] | None:
+        """The cell of greatest p, the first of equal ones."""
+        at = self.disc(lat, lon, km)
+        best = at[np.argmax(self.p[at])] if len(at) else None
+        return None if best is None else (float(self.lat[best]), float(self.lon[best]))
+
+    def existence(self, lat: float, lon: float, s: Settings) -> float:
+        """The disc's p over the number of cells of the whole grid."""
+        return min(1.0, self.p[self.disc(lat, lon, s.existence_km)].sum() / self.cells * s.existence_scale) if self.cells else 0.0
+
+    def means(self, lat: float, lon: float, km: float) -> np.ndarray:
+        """The scalars of the disc, weighted by p; NaN where a cell has none."""
+        at = self.disc(lat, lon, km)
+        return self.scalars[:, at] @ self.p[at] / self.p[at].sum() if len(at) else np.full(len(self.scalars), np.nan)
+
+    def centred(self, lat: float, lon: float, s: Settings) -> tuple[float, float] | None:
+        place: tuple[float, float] | None = (lat, lon)
+        if s.mode in ("mode", "mode_then_mean"):
+            place = self.top(*place, s.mode_km)
+        if place is not None and s.mode in ("mean", "mode_then_mean"):
+            place = self.mean(*place, s.mean_km)
+        return place
+
+    def candidates(self, s: Settings) -> list[tuple[float, float]]:
+        """The greatest cell of each box above the threshold, by falling p."""
+        high = np.flatnonzero(self.p > s.box_threshold)
+        high = high[np.argsort(-self.p[high], kind="stable")]
+        box = np.floor((self.lat[high] + 90) / s.box) * (int(360 / s.box) + 1) + np.floor(self.lon[high] / s.box)
+        first = high[np.sort(np.unique(box, return_index=True)[1])]
+        return [(float(self.lat[i]), float(self.lon[i])) for i in first if abs(self.lat[i]) <= s.most_lat]
+
+
+@dataclass
+class Centre:
+    track: str
+    lat: float
+    lon: float
+    was: tuple[float, float] | None
+    existence: float
+    scalars: np.ndarray
+    merged_into: str | None = None
+
+
+class Run:
+    """A run's centres. A step's rows leave when the next one has told which of them merge."""
+
+    def __init__(self, s: Settings, every: int):
+        self.s, self.every, self.step, self.born = s, every, None, 0
+        self.active: list[Centre] = []
+
+    def advance(self, step: int, frame: Frame, known: list[Centre]) -> list[tuple[int, Centre]]:
+        """Goes on to a step; returns the rows of the step before. Where steps are missing all tracks end."""
+        done, s = [(self.step, c) for c in self.active], self.s
+        new: list[Centre] = []
+        for old in self.active if self.step is not None and step - self.step == self.every else []:
+            place = frame.centred(*guess(old.lat, old.lon, old.was, s.momentum), s)
+            if place and (p := frame.existence(*place, s)) >= s.least_existence and p > 0:
+                new.append(Centre(old.track, *place, (old.lat, old.lon), p, frame.means(*place, s.scalar_km)))
+        self._prune(new)
+        new += known
+        for box in frame.candidates(s):
+            if self._clear(new, box):
+                place = frame.mean(*box, s.refinement_km)
+                if place and (p := frame.existence(*place, s)) >= s.least_existence and p > 0 and self._clear(new, place):
+                    new.append(Centre(f"cyclogenesis_{self.born}", *place, None, p, frame.means(*place, s.scalar_km)))
+                    self.born += 1
+        self.step, self.active = step, new
+        return done
+
+    def _clear(self, centres: list[Centre], place: tuple[float, float]) -> bool:
+        return not centres or _km(*place, np.array([c.lat for c in centres]), np.array([c.lon for c in centres])).min() >= self.s.apart_km
+
+    def _prune(self, new: list[Centre]) -> None:
+        """Of two tracks that came too close the one that moved farther ends in the other, the first such pair first."""
+        new.sort(key=lambda c: c.track)
+        lats, lons = np.array([c.lat for c in new]), np.array([c.lon for c in new])
+        moved = {c.track: _km(*c.was, np.array([c.lat]), np.array([c.lon]))[0] for c in new}
+        near = {c.track: {new[j].track for j in np.flatnonzero(_km(c.lat, c.lon, lats, lons) < self.s.prune_km)} - {c.track} for c in new}
+        before = {c.track: c for c in self.active}
+        while pair := next(((a, b) for a in new for b in new if b.track in near[a.track]), None):
+            gone, stays = pair if moved[pair[0].track] >= moved[pair[1].track] else pair[::-1]
+            before[gone.track].merged_into = stays.track
+            new.remove(gone)
+
+
+_CELL, _HEADER, _KNOWN = 2, 0, 1
+
+
+def _folded(batches: Iterator[pd.DataFrame], s: Settings, every: int, scalars: list[str]) -> Iterator[pd.DataFrame]:
+    """Walks through rows sorted by run, step and kind; a frame is complete when the next one begins."""
+    key, run, parts = None, None, []
+
+    def rows(of, done: list[tuple[int, Centre]]) -> list[tuple]:
+        return [(of, c.track, step, c.lat, c.lon, c.existence, c.merged_into, *map(float, c.scalars)) for step, c in done]
+
+    def closed() -> list[tuple]:
+        whole = pd.concat(parts) if len(parts) > 1 else parts[0]
+        kind = whole["kind"].to_numpy()
+        cells, known = whole[kind == _CELL], whole[kind == _KNOWN]
+        values = cells[scalars].to_numpy(np.float64).T.reshape(len(scalars), len(cells))
+        frame = Frame(*[cells[c].to_numpy(np.float64) for c in ("lat", "lon", "p")], values, int(whole["p"].to_numpy()[kind == _HEADER].sum()))
+        there = [Centre(r.track, r.lat, r.lon, None if pd.isna(r.was_lat) else (r.was_lat, r.was_lon), 1.0, np.array([getattr(r, c) for c in scalars], float)) for r in known.sort_values("track").itertuples()]
+        return rows(key[0], run.advance(int(key[1]), frame, there))
+
+    names = ["run", "track", "step", "lat", "lon", "existence", "merged_into", *scalars]
+    for pdf in batches:
+        out, runs, steps = [], pdf["run"].to_numpy(), pdf["step"].to_numpy()
+        starts = [0, *(np.flatnonzero((runs[1:] != runs[:-1]) | (steps[1:] != steps[:-1])) + 1).tolist()] if len(pdf) else []
+        for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True):
+            here = (runs[a], steps[a])
+            if key is not None and here != key:
+                out += closed()
+                parts = []
+                if here[0] != key[0]:
+                    out += rows(key[0], [(run.step, c) for c in run.active])
+                    run = None
+            run, key = run or Run(s, every), here
+            parts.append(pdf.iloc[a:b])
+        if out:
+            yield pd.DataFrame(out, columns=names)
+    if key is not None:
+        last = closed()
+        yield pd.DataFrame(last + rows(key[0], [(run.step, c) for c in run.active]), columns=names)
+
+
+def track(grid: DataFrame, initial: DataFrame | None = None, settings: Settings = Settings(), scalars: list[str] | None = None, every: int = 1) -> DataFrame:
+    """run, track, step, lat, lon, existence, merged_into and the scalars of all tracks.
+
+    grid: run, step, cell_lat, cell_lon, p and the scalars' columns; null and NaN p count as 0. initial: run, track, lat,
+    lon, perhaps step (the grid's first if absent), was_lat, was_lon (the position before, for the first guess) and scalars;
+    its rows are kept as they are, however short their tracks. Tracks that start later are `cyclogenesis_0`,
+    `cyclogenesis_1` ... of their run, in order of step and falling peak; those of `least_steps` or fewer steps are dropped.
+    A track that is pruned ends at the step before, whose row names the track that it merged into. A scalar is the mean of a
+    disc weighted by p, NaN if a cell of it has none. A run's tracks end where a step, `every` after the last, is missing.
+
+    A run lies in one task, which holds the cells of a frame with p > 0 and the centres of a step."""
+    values, run_type = list(scalars or []), grid.schema["run"].dataType.simpleString()
+    ship(grid.sparkSession)
+    missing = lambda names: {c: F.lit(None).cast("double") for c in names}
+    whole = grid.select("run", F.col("step").cast("long").alias("step"), F.col("cell_lat").alias("lat"), F.col("cell_lon").alias("lon"), F.coalesce(F.nanvl("p", F.lit(0.0)), F.lit(0.0)).alias("p"), *[F.col(c).cast("double").alias(c) for c in values])
+    cells = whole.where("p > 0").withColumn("kind", F.lit(_CELL))
+    headers = whole.groupBy("run", "step").agg(F.count(F.lit(1)).cast("double").alias("p")).withColumn("kind", F.lit(_HEADER)).withColumns(missing(["lat", "lon", *values]))
+    rows = headers.unionByName(cells).withColumns({"track": F.lit(None).cast("string"), **missing(["was_lat", "was_lon"])})
+    if initial is not None:
+        first = F.col("step").cast("long") if "step" in initial.columns else F.lit(grid.agg(F.min("step")).first()[0]).cast("long")
+        have = lambda c: (F.col(c) if c in initial.columns else F.lit(None)).cast("double").alias(c)
+        known = initial.select("run", first.alias("step"), "track", "lat", F.pmod("lon", F.lit(360.0)).alias("lon"), *[have(c) for c in ("was_lat", "was_lon", *values)])
+        rows = rows.unionByName(known.withColumns({"kind": F.lit(_KNOWN), "p": F.lit(0.0)}))
+    ordered = rows.repartition("run").sortWithinPartitions("run", "step", "kind")
+    schema = f"run {run_type}, track string, step long, lat double, lon double, existence double, merged_into string" + "".join(f", `{c}` double" for c in values)
+    found = ordered.mapInPandas(lambda batches: _folded(batches, settings, every, values), schema)
+    length = F.count(F.lit(1)).over(W.partitionBy("run", "track"))
+    return found.withColumn("_length", length).where(~F.col("track").startswith("cyclogenesis_") | (F.col("_length") > settings.least_steps)).drop("_length")
+
+
+def consistent(tracks: DataFrame, wind: str = "wind", mode: str = "clip_rmw") -> DataFrame:
+    """Tracks whose scalars hold `wind`, rmw and the radii r34_1 ... r64_4, made to obey physics (see `cyclones.enforced`):
+    the radii become the arrays r34, r50 and r64, and radii_agree tells whether the checks pass. Other scalars that are not
+    radii stay as they are. NaN counts as unknown."""
+    names = [f"{name}_{i}" for name in cyclones.THRESHOLDS for i in cyclones.QUADRANTS]
+    known = tracks.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in (wind, "rmw", *names)})
+    packed = known.withColumns({name: F.array(*[F.col(f"{name}_{i}") for i in cyclones.QUADRANTS]) for name in cyclones.THRESHOLDS}).drop(*names)
+    return cyclones.enforced(packed, mode, wind)

@@ -179,14 +179,23 @@ def receiver_attention(spark, sf_dir):
     return found.select("receiver", "edges", F.round("attended", 6).alias("attended"))
 
 
+#: Scalars of the tracked cells, from their greatest value: (name, share of the value), with radii by quadrant.
+SCALARS = {"wind": 0.3, "rmw": 0.05} | {f"{name}_{i}": share * i / 4 for name, share in (("r34", 0.2), ("r50", 0.1), ("r64", 0.08)) for i in (1, 2, 3, 4)}
+
+
+def _tracking_grid(spark, sf_dir):
+    rows = field(spark, sf_dir).where(~F.isnan("value"))
+    cells = rows.groupBy(F.col("member").alias("run"), "step", (F.round(F.col("lat") / 10) * 10).alias("cell_lat"), (F.round(F.col("lon") / 10) * 10 % 360).alias("cell_lon"))
+    return cells.agg((F.max("value") / 1000).alias("p"), *[(F.max("value") * share).alias(c) for c, share in SCALARS.items()])
+
+
 @query()
 def tracked_cyclones(spark, sf_dir):
-    """Tracks over every 6-hour step of the field, a run a member."""
-    rows = field(spark, sf_dir).where(~F.isnan("value"))
-    steps = sorted(r["step"] for r in rows.select("step").distinct().collect())  # bounded by the length of the record
-    frames = rows.groupBy(F.col("member").alias("run"), "step", (F.round(F.col("lat") / 10) * 10).alias("cell_lat"), (F.round(F.col("lon") / 10) * 10 % 360).alias("cell_lon")).agg((F.max("value") / 1000).alias("p"))
-    return tracker.track(frames, None, steps, TRACKING).select("run", "track", "step", *[_plain(F.col(c), 4).alias(c) for c in ("lat", "lon")], F.round("existence", 6).alias("existence"), "merged_into")
+    """Tracks over every 6-hour step of the field, a run a member, with scalars that obey physics."""
+    found = tracker.consistent(tracker.track(_tracking_grid(spark, sf_dir), None, TRACKING, list(SCALARS)))
+    radii = [F.transform(c, lambda r: F.round(r, 6)).alias(c) for c in ("r34", "r50", "r64")]
+    return found.select("run", "track", "step", *[_plain(F.col(c), 4).alias(c) for c in ("lat", "lon")], F.round("existence", 6).alias("existence"), "merged_into", *[F.round(c, 6).alias(c) for c in ("wind", "rmw")], *radii, "radii_agree")
 
 
 #: Distances for cells of 10 degrees.
-TRACKING = tracker.Settings(cell=CELL, mode_km=2000.0, mean_km=2000.0, existence_km=3000.0, refinement_km=2000.0, apart_km=2500.0, prune_km=1500.0, box=30.0, box_threshold=0.05)
+TRACKING = tracker.Settings(cell=CELL, mode_km=2000.0, mean_km=2000.0, existence_km=3000.0, refinement_km=2000.0, scalar_km=2000.0, apart_km=2500.0, prune_km=1500.0, box=30.0, box_threshold=0.05, least_steps=2)
