@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -139,7 +142,7 @@ def radii_agree(wind: str = "wind_a") -> Column:
 
 def disc_raster(points: DataFrame, value: str, radius_km: float, cell: float) -> DataFrame:
     """On a grid of `cell` degrees: the greatest value of the points whose disc holds the cell."""
-    near = disc_cells(points, F.lit(radius_km), radius_km, cell)
+    near = disc_cells(points, F.lit(radius_km), cell)
     return near.groupBy("cell_lat", "cell_lon").agg(F.max(value).alias("greatest"))
 
 
@@ -154,15 +157,15 @@ def gaussian_raster(points: DataFrame, radius_km: float, cell: float, value: Col
     reach = F.lit(HALF_ROUND_KM)
     if most_error > 0:
         reach = F.least(reach, radius_km * F.sqrt(2 * F.greatest(F.lit(0.0), F.ln(F.abs("_weight") / most_error))))
-    near = disc_cells(places, reach, HALF_ROUND_KM, cell).withColumn("_g", F.exp(-0.5 * (F.col("d") / radius_km) ** 2))
+    bumps = lambda rows: disc_cells(rows, reach, cell).withColumn("_g", F.exp(-0.5 * (F.col("d") / radius_km) ** 2))
+    if normalized:
+        # Totals are one row a place, so the cells, which are made twice, never move before they are summed.
+        names = [*keys, "lat", "lon"]
+        totals = bumps(places).groupBy(*names).agg(F.sum("_g").alias("_total")).withColumnsRenamed({c: f"_{c}" for c in names})
+        places = places.join(totals, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names])).drop(*[f"_{c}" for c in names])
+    near = bumps(places)
     if normalized:
-        totals = near.groupBy(*keys, "lat", "lon").agg(F.sum("_g").alias("_total"))
-        met = totals.withColumnsRenamed({c: f"_{c}" for c in (*keys, "lat", "lon")})
-        same = [near[c].eqNullSafe(met[f"_{c}"]) for c in (*keys, "lat", "lon")]
-        on = same[0]
-        for c in same[1:]:
-            on = on & c
-        near = near.join(met, on).withColumn("_g", F.col("_g") / F.col("_total"))
+        near = near.withColumn("_g", F.col("_g") / F.col("_total"))
     return near.groupBy(*keys, "cell_lat", "cell_lon").agg(F.sum(F.col("_weight") * F.col("_g")).alias("gaussian"))
 
 
@@ -210,7 +213,7 @@ def densities(points: DataFrame, scale_km: float, cell: float, most_error: float
 
 def disc_values(points: DataFrame, value: str, radius_km: float, cell: float, keys: tuple[str, ...] = ()) -> DataFrame:
     """Per cell that a disc holds: the greatest value, 0 at least; a disc whose value is NaN makes its cells NaN."""
-    near = disc_cells(points, F.lit(radius_km), radius_km, cell)
+    near = disc_cells(points, F.lit(radius_km), cell)
     return near.groupBy(*keys, "cell_lat", "cell_lon").agg(F.greatest(F.max(value), F.lit(0.0)).alias("value"), F.bool_or(F.isnan(value)).alias("has_nan"))
 
 

@@ -223,23 +223,50 @@ def cast_floats(df: DataFrame, to: str, only: str | None = None) -> DataFrame:
     return df.select(*[F.col(c).cast(to).alias(c) if t in from_types else F.col(c) for c, t in df.dtypes])
 
 
-def sampled(rows: DataFrame, x: str, levels: list[float], denoise) -> DataFrame:
-    """rows with `sample`: x carried down the noise levels (the last is 0) by the second-order solver in log-noise; the
-    denoiser is a column expression of a value and its noise, called at each level and at the middle of two."""
-    steps = []
-    for now, after in zip(levels, levels[1:], strict=False):
-        middle = (now * after) ** 0.5
-        steps.append((now, middle, after))
-
-    value = F.col(x)
-    for now, middle, after in steps:
-        clean = denoise(value, now)
-        if after == 0:
-            value = clean
-        else:
-            half = value * (middle / now) + clean * (1 - middle / now)
-            value = value * (after / now) + denoise(half, middle) * (1 - after / now)
-    return rows.withColumn("sample", value)
+def noise_levels(most: float, least: float, levels: int, rho: float) -> list[float]:
+    """The schedule of a sampler: `levels` noise levels from most to least, evenly spaced in their rho-th root, and 0."""
+    a, b = most ** (1 / rho), least ** (1 / rho)
+    return [(a + i / max(1, levels - 1) * (b - a)) ** rho for i in range(levels)] + [0.0]
+
+
+def churn_rates(levels: list[float], rate: float, least: float, most: float) -> list[float]:
+    """By how much noise is raised at each level but the last, 0: the rate shared out, within [least, most] only."""
+    return [min(rate / (len(levels) - 1), 2**0.5 - 1) if least <= n <= most else 0.0 for n in levels[:-1]]
+
+
+def bound(value: Column, use) -> Column:
+    """use(value) with value evaluated once, however often it is used: plans of nested uses grow by sum, not by product."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def sampled(rows: DataFrame, levels: list[float], denoise, x: str | None = None, rates: list[float] | None = None, draws: Column | None = None, inflation: float = 1.0) -> DataFrame:
+    """rows with `sample`: a value carried down the noise levels (the last is 0) by the second-order solver in log-noise.
+
+    denoise(value, noise) gives the expected clean value as a column expression of two columns; it is called at each level and
+    at the geometric mean of two. `draws` is an array of standard normal numbers: the first, times the highest level, starts
+    the sample where no x is given; the others are used where churn (`rates`, one a level) raises the noise before a step,
+    times `inflation`. The levels are folded as data, so the plan's size does not depend on how many there are."""
+    if draws is None and (x is None or any(rates or [])):
+        raise ValueError("without x, or with churn, draws are needed")
+    rates = rates or [0.0] * (len(levels) - 1)
+    steps = F.array(*[F.struct(F.lit(float(a)).alias("now"), F.lit(float(b)).alias("after"), F.lit(float(r)).alias("rate"), F.lit(i + 2).alias("draw")) for i, (a, b, r) in enumerate(zip(levels[:-1], levels[1:], rates, strict=True))])
+
+    def down(raised: Column, now: Column, after: Column) -> Column:
+        middle = F.sqrt(now * after)
+        mixed = lambda old, clean, share: old * share + clean * (1 - share)
+        halfway = lambda clean: bound(mixed(raised, clean, middle / now), lambda half: mixed(raised, denoise(half, middle), after / now))
+        return bound(denoise(raised, now), lambda clean: F.when(after == 0, clean).otherwise(halfway(clean)))
+
+    def level(value: Column, step: Column) -> Column:
+        now = step["now"] * (1 + step["rate"])
+        if draws is None:
+            return down(value, now, step["after"])
+        added = F.when(step["rate"] > 0, F.sqrt(now * now - step["now"] * step["now"]) * inflation * F.element_at("_draws", step["draw"])).otherwise(0.0)
+        return bound(value + added, lambda raised: down(raised, now, step["after"]))
+
+    with_draws = rows if draws is None else rows.withColumn("_draws", draws)
+    start = F.col(x).cast("double") if x else F.element_at("_draws", 1) * float(levels[0])
+    return with_draws.withColumn("sample", F.aggregate(steps, start, level)).drop("_draws")
 
 
 def shard_index(rows: DataFrame, key: str, position: str, size: str, chunk: int, shard: int) -> DataFrame:

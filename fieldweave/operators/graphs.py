@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..sources.tables import kept
+from ..sources.tables import kept, ship
 
 
 def gather(edges: DataFrame, nodes: DataFrame, index: str, key: str, feature: str, fill: float, name: str) -> DataFrame:
@@ -63,6 +68,74 @@ def block_diagonals(edges: DataFrame, block: int) -> DataFrame:
     return cut.where(F.abs("side") <= 1).groupBy("row", "side").agg(F.count(F.lit(1)).alias("entries"))
 
 
+def k_hop(edges: DataFrame, hops: int, self_edges: bool = True) -> DataFrame:
+    """(sender, receiver, hops): pairs of nodes that a walk of so many edges joins, hops the least number; a node reaches
+    itself in 0 if self_edges.
+
+    Semi-naive: only pairs found in the last round meet the edges again, and pairs seen before are taken off, so a round
+    costs what it finds. Rounds are tables, `hops` of them at most."""
+    pairs = kept(edges.select("sender", "receiver").distinct())
+    nodes = pairs.select(F.explode(F.array("sender", "receiver")).alias("sender")).distinct()
+    seen = [nodes.select("sender", F.col("sender").alias("receiver"), F.lit(0).alias("hops"))] if self_edges else []
+    newest = pairs.withColumn("hops", F.lit(1))
+    onward = pairs.select(F.col("sender").alias("receiver"), F.col("receiver").alias("next"))
+    for n in range(1, hops + 1):
+        if n > 1:
+            newest = newest.join(onward, "receiver").select("sender", F.col("next").alias("receiver")).distinct().withColumn("hops", F.lit(n))
+        if seen:
+            newest = newest.join(reduce(DataFrame.unionByName, seen), ["sender", "receiver"], "left_anti")
+        newest = kept(newest)
+        seen.append(newest)
+        if newest.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, seen) if seen else pairs.withColumn("hops", F.lit(0)).limit(0)
+
+
+def block_attention(nodes: DataFrame, edges: DataFrame, block: int, scale: float | None = None) -> DataFrame:
+    """(receiver, edges, attended): softmax over each receiver's edges of its q with the senders' k, applied to their v.
+
+    nodes: node (whole numbers from 0), q, k, v (arrays); edges: sender, receiver, no farther apart than a neighbouring block.
+    Nodes lie in dense blocks; a block of receivers meets the senders' blocks beside it (offsets -1, 0, 1) as matrices, each
+    meeting gives every receiver the greatest logit, the sum of weights and the weighted v relative to it, and the three
+    are merged by their maxima. So no edge moves with its vectors: a vector is sent three times at most."""
+    ship(nodes.sparkSession)
+    of = lambda c: F.expr(f"{c} div {block}")
+    pairs = edges.select("sender", "receiver").distinct().select(of("receiver").alias("row"), (of("sender") - of("receiver")).alias("side"), F.struct(F.expr(f"receiver % {block}").cast("int").alias("i"), F.expr(f"sender % {block}").cast("int").alias("j")).alias("cell"))
+    within = F.when(F.abs("side") > 1, F.raise_error(F.lit("an edge is longer than a block")).cast("int")).otherwise(0)
+    mask = pairs.where(within == 0).groupBy("row", "side").agg(F.collect_list("cell").alias("cells"))  # block * block at most
+    stacked = nodes.groupBy(of("node").alias("at")).agg(F.sort_array(F.collect_list(F.struct(F.expr(f"node % {block}").cast("int").alias("i"), "q", "k", "v"))).alias("nodes"))
+    asking = stacked.select(F.col("at").alias("row"), F.transform("nodes", lambda n: F.struct(n["i"].alias("i"), n["q"].alias("x"))).alias("asking"))
+    asked = stacked.select((F.col("at")).alias("row_asked"), F.transform("nodes", lambda n: F.struct(n["i"].alias("i"), n["k"].alias("x"), n["v"].alias("v"))).alias("asked"))
+    met = mask.withColumn("row_asked", F.col("row") + F.col("side")).join(asking, "row").join(asked, "row_asked")
+    parts = met.select("row", "cells", "asking", "asked").mapInPandas(lambda batches: _block_parts(batches, block, scale), "receiver long, n long, top double, weight double, total array<double>")
+    both = parts.groupBy("receiver").agg(F.max("top").alias("top"), F.sum("n").alias("edges"), F.collect_list(F.struct("top", "weight", "total")).alias("parts"))  # three at most
+    share = lambda p: F.exp(p["top"] - F.col("top"))
+    weight = F.aggregate("parts", F.lit(0.0), lambda a, p: a + p["weight"] * share(p))
+    total = F.aggregate(F.slice("parts", 2, 2), F.transform(F.col("parts")[0]["total"], lambda x: x * share(F.col("parts")[0])), lambda a, p: F.zip_with(a, p["total"], lambda x, y: x + y * share(p)))
+    return both.withColumn("_weight", weight).select("receiver", "edges", F.transform(total, lambda x: x / F.col("_weight")).alias("attended"))
+
+
+def _block_parts(batches: Iterator[pd.DataFrame], block: int, scale: float | None) -> Iterator[pd.DataFrame]:
+    def matrix(rows, name: str) -> np.ndarray:
+        out = np.zeros((block, len(rows[0][name])))
+        out[[r["i"] for r in rows]] = [r[name] for r in rows]
+        return out
+
+    for pdf in batches:
+        for row, cells, asking, asked in zip(pdf["row"], pdf["cells"], pdf["asking"], pdf["asked"], strict=True):
+            q, k, v = matrix(asking, "x"), matrix(asked, "x"), matrix(asked, "v")
+            mask = np.zeros((block, block), bool)
+            mask[[c["i"] for c in cells], [c["j"] for c in cells]] = True
+            there = np.zeros((block, block), bool)
+            there[np.ix_([r["i"] for r in asking], [r["i"] for r in asked])] = True
+            mask &= there
+            own = np.flatnonzero(mask.any(axis=1))
+            logits = np.where(mask, q @ k.T * (q.shape[1] ** -0.5 if scale is None else scale), -np.inf)[own]
+            top = logits.max(axis=1) if len(own) else np.zeros(0)
+            weights = np.exp(logits - top[:, None])
+            yield pd.DataFrame({"receiver": row * block + own, "n": mask[own].sum(axis=1), "top": top, "weight": weights.sum(axis=1), "total": list(weights @ v)})
+
+
 def node_update(nodes: DataFrame, edges: DataFrame, key: str, feature: str, message: str) -> DataFrame:
     """Per node: its feature, the sums of the messages that it gets and that it sends."""
     got = edges.groupBy(F.col("receiver").alias(key)).agg(F.sum(message).alias("received"))

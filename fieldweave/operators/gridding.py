@@ -46,7 +46,7 @@ def existence(fixes: DataFrame, keys: list[str], radius_km: float, cell: float,
         round_ones = known.withColumn("_radii", F.array(*[F.lit(float(radius_km))] * 4))
         out += [
             _as(known.select(*keys, *nearest(cell)).distinct().withColumn("value", F.lit(1.0)), keys, "exists_sparse", "value"),
-            _as(quadrant_raster(round_ones, "_radii", F.lit(1), cell, radius_km, parts, tuple(keys)), keys, "exists_disc", "covered"),
+            _as(quadrant_raster(round_ones, "_radii", F.lit(1), cell, parts, tuple(keys)), keys, "exists_disc", "covered"),
             _as(bumps(True), keys, "exists_gaussian_probability", "gaussian"),
         ]
     return _union(out)
@@ -84,7 +84,7 @@ def categories(fixes: DataFrame, keys: list[str], order: str, category: str, rad
     return _rasters(_long(fixes, keys, order, {category: F.col(category) + CATEGORY_SHIFT}), keys, order, radius_km, cell, False)
 
 
-def quadrants(fixes: DataFrame, keys: list[str], order: str, sources: dict[str, tuple[str, str, float]], radius_km: float, nan_km: float, cell: float, most_km: float, core: bool = True, parts: int = 4) -> DataFrame:
+def quadrants(fixes: DataFrame, keys: list[str], order: str, sources: dict[str, tuple[str, str, float]], radius_km: float, nan_km: float, cell: float, core: bool = True, parts: int = 4) -> DataFrame:
     """sources: name to (column of four radii, column of the wind, threshold). Per quadrant discs of the radius, imputed where
     unknown; beyond the core also the shapes by shares of cells, NaN near fixes without any radius and too little wind."""
     out = []
@@ -95,21 +95,21 @@ def quadrants(fixes: DataFrame, keys: list[str], order: str, sources: dict[str,
         values = {f"{name}_{q}_radius": F.col("_radii").getItem(i) for i, q in enumerate(QUADRANT_NAMES)}
         out.append(_rasters(_long(rows, keys, order, values), keys, order, radius_km, cell, core))
         if not core:
-            shape = quadrant_raster(rows, "_radii", F.lit(1), cell, most_km, parts, tuple(keys))
-            dark = disc_cells(rows.where("_flag = 'missing'").select(*keys, "lat", "lon"), F.lit(nan_km), nan_km, cell)
+            shape = quadrant_raster(rows, "_radii", F.lit(1), cell, parts, tuple(keys))
+            dark = disc_cells(rows.where("_flag = 'missing'").select(*keys, "lat", "lon"), F.lit(nan_km), cell)
             dark = dark.select(*keys, "cell_lat", "cell_lon").distinct().withColumn("_dark", F.lit(True))
             met = shape.join(dark, [*keys, "cell_lat", "cell_lon"], "full")
             out.append(_as(met, keys, f"{name}_shape", F.when(F.col("_dark"), _nan()).otherwise(F.col("covered"))))
     return _union(out)
 
 
-def gridded(fixes: DataFrame, first: int, last: int, cell: float, radius_km: float, scalar_names: list[str], scalar_km: float, category: str, sources: dict[str, tuple[str, str, float]], nan_km: float, most_km: float, core: bool = True, prefix: str = "cyclone_", most_error: float = 0.0) -> DataFrame:
+def gridded(fixes: DataFrame, first: int, last: int, cell: float, radius_km: float, scalar_names: list[str], scalar_km: float, category: str, sources: dict[str, tuple[str, str, float]], nan_km: float, core: bool = True, prefix: str = "cyclone_", most_error: float = 0.0) -> DataFrame:
     """All families for the steps from first to last: (step, variable, cell_lat, cell_lon, value), names prefixed."""
     rows, keys = fixes.where(F.col("step").between(first, last)), ["step"]
     parts = [
         existence(rows, keys, radius_km, cell, core, most_error=most_error),
         scalars(rows, keys, "track_id", scalar_names, scalar_km, cell, core),
-        quadrants(rows, keys, "track_id", sources, scalar_km, nan_km, cell, most_km, core),
+        quadrants(rows, keys, "track_id", sources, scalar_km, nan_km, cell, core),
     ]
     if not core:
         parts.append(categories(rows, keys, "track_id", category, scalar_km, cell))

@@ -65,13 +65,13 @@ def quadrant(lat: Column, lon: Column, centre_lat: Column, centre_lon: Column) -
 HALF_ROUND_KM = math.pi * EARTH_KM
 
 
-def _spread(points: DataFrame, radius: Column, most_km: float, cell: float) -> DataFrame:
+def _spread(points: DataFrame, radius: Column, cell: float) -> DataFrame:
     """A row for each cell (_band, _column) of a whole grid whose centre may lie in the point's disc: the bands that it
-    touches, and in each band as many columns as the disc is wide there."""
+    touches, and in each band as many columns as the disc is wide there. A null radius touches nothing."""
     bands, columns = int(180 / cell), int(360 / cell)
-    reach = int(most_km / EARTH_KM * 180 / math.pi / cell) + 1
     own = F.round((F.col("lat") + 90) / cell).cast("long")
-    rows = dealt(points).withColumn("_radius", radius)
+    rows = dealt(points).withColumn("_radius", radius.cast("double")).where("_radius > 0")
+    reach = (F.degrees(F.least("_radius", F.lit(HALF_ROUND_KM)) / EARTH_KM) / cell).cast("long") + 1
     rows = rows.withColumn("_band", F.explode(F.sequence(F.greatest(F.lit(0), own - reach), F.least(F.lit(bands), own + reach))))
     a, b = F.radians("lat"), F.radians(F.col("_band") * cell - 90)
     both = F.cos(a) * F.cos(b)
@@ -85,23 +85,23 @@ def _spread(points: DataFrame, radius: Column, most_km: float, cell: float) -> D
     return rows.withColumn("_column", F.explode(list_of)).withColumn("_column", F.pmod("_column", F.lit(columns))).drop("_width")
 
 
-def disc_cells(points: DataFrame, radius: Column, most_km: float, cell: float) -> DataFrame:
-    """points (lat, lon) with each cell of the whole grid of `cell` degrees whose distance `d` is below the row's radius
-    (most_km at most): cells are made, not joined, so no row moves."""
+def disc_cells(points: DataFrame, radius: Column, cell: float) -> DataFrame:
+    """points (lat, lon) with each cell of the whole grid of `cell` degrees whose distance `d` is below the row's radius:
+    cells are made, not joined, so no row moves."""
     at = {"cell_lat": F.col("_band") * cell - 90.0, "cell_lon": F.col("_column") * float(cell)}
-    rows = _spread(points, radius, most_km, cell).withColumns(at)
+    rows = _spread(points, radius, cell).withColumns(at)
     d = distance_km(F.col("lat"), F.col("lon"), F.col("cell_lat"), F.col("cell_lon"))
     # A radius of half the globe means every cell, its opposite among them.
     return rows.withColumn("d", d).where((F.col("d") < F.col("_radius")) | (F.col("_radius") >= HALF_ROUND_KM)).drop("_band", "_column", "_radius")
 
 
-def near_cells(points: DataFrame, grid: DataFrame, radius: Column, most_km: float, cell: float, on: tuple[str, ...] = ()) -> DataFrame:
-    """points x cells of a grid table whose distance `d` is below the row's radius (most_km at most).
+def near_cells(points: DataFrame, grid: DataFrame, radius: Column, cell: float, on: tuple[str, ...] = ()) -> DataFrame:
+    """points x cells of a grid table whose distance `d` is below the row's radius.
 
     points: lat, lon; grid: cell_lat, cell_lon, multiples of `cell` degrees from the south pole and longitude 0; both have
     the columns `on`, which must agree. Rows meet by band and column of the cells that the disc can touch."""
     band, column = F.round((F.col("cell_lat") + 90) / cell).cast("long"), F.pmod(F.round(F.col("cell_lon") / cell).cast("long"), F.lit(int(360 / cell)))
-    sent = _spread(points, radius, most_km, cell)
+    sent = _spread(points, radius, cell)
     met = sent.join(grid.withColumns({"_band": band, "_column": column}), [*on, "_band", "_column"]).drop("_band", "_column")
     return met.withColumn("d", distance_km(F.col("lat"), F.col("lon"), F.col("cell_lat"), F.col("cell_lon"))).where(F.col("d") < F.col("_radius")).drop("_radius")
 
@@ -109,7 +109,7 @@ def near_cells(points: DataFrame, grid: DataFrame, radius: Column, most_km: floa
 def disc_statistics(points: DataFrame, grid: DataFrame, keys: list[str], radius_km: float, cell: float, scalars: list[str], on: tuple[str, ...] = ()) -> DataFrame:
     """Of each point's disc on a grid (cell_lat, cell_lon, p, scalars): the mean position weighted by p on the sphere, the
     cell of greatest p (ties to the first in lat, lon order), the sum of p, and the scalars' means weighted by p."""
-    near = near_cells(points, grid, F.lit(radius_km), radius_km, cell, on)
+    near = near_cells(points, grid, F.lit(radius_km), cell, on)
     xyz = cartesian(F.col("cell_lat"), F.col("cell_lon"))
     sums = near.groupBy(*keys).agg(
         *[F.sum(c * F.col("p")).alias(f"_{n}") for n, c in zip("xyz", xyz, strict=True)],
@@ -122,18 +122,19 @@ def disc_statistics(points: DataFrame, grid: DataFrame, keys: list[str], radius_
     return sums.withColumns({"mean_lat": lat, "mean_lon": lon, "mode_lat": -F.col("_mode.a"), "mode_lon": -F.col("_mode.b")}).drop("_x", "_y", "_z", "_mode")
 
 
-def quadrant_raster(points: DataFrame, radii: str, value: Column, cell: float, most_km: float, parts: int, keys: tuple[str, ...] = ()) -> DataFrame:
+def quadrant_raster(points: DataFrame, radii: str, value: Column, cell: float, parts: int, keys: tuple[str, ...] = ()) -> DataFrame:
     """By keys, on a grid of `cell` degrees: the sum over points of value times the share of the cell's parts x parts sub-points that
-    lie in the point's quadrant shape. Cells that no shape touches are absent."""
+    lie in the point's quadrant shape. Cells that no shape touches are absent; a point reaches as far as its largest radius."""
     half = lambda c: (c + 0.5) / parts - 0.5
-    reach = int(most_km / DEGREE_KM / cell) + 2
     own = F.round((F.col("lat") + 90) / cell).cast("long")
     # Distances are compared as squared chords, whose limits are known before a point is spread.
     limit = F.transform(radii, lambda r: 4 * F.pow(F.sin(F.least(F.coalesce(r, F.lit(0.0)) / EARTH_KM, F.lit(math.pi)) / 2), 2))
-    rows = points.select(*keys, "lat", "lon", value.alias("_value"), limit.alias("_limit"), *[c.alias(f"_{n}") for n, c in zip("xyz", cartesian(F.col("lat"), F.col("lon")), strict=True)])
-    rows = dealt(rows).withColumn("_band", F.explode(F.sequence(F.greatest(F.lit(0), own - reach), F.least(F.lit(int(180 / cell)), own + reach))))
+    most = F.least(F.array_max(radii), F.lit(HALF_ROUND_KM))
+    rows = points.select(*keys, "lat", "lon", value.alias("_value"), limit.alias("_limit"), most.alias("_most"), *[c.alias(f"_{n}") for n, c in zip("xyz", cartesian(F.col("lat"), F.col("lon")), strict=True)])
+    reach = (F.col("_most") / DEGREE_KM / cell).cast("long") + 2
+    rows = dealt(rows).where("_most > 0").withColumn("_band", F.explode(F.sequence(F.greatest(F.lit(0), own - reach), F.least(F.lit(int(180 / cell)), own + reach))))
     # The columns that a shape can touch in this band; near the poles all of them.
-    _, side = box_sides((F.col("_band") * cell - 90), F.lit(most_km))
+    _, side = box_sides((F.col("_band") * cell - 90), F.col("_most"))
     wide = F.least(F.ceil(side / 2 / cell).cast("long") + 1, F.lit(int(180 / cell) - 1))
     column = F.round(F.col("lon") / cell).cast("long")
     rows = rows.withColumn("_column", F.explode(F.when(wide >= int(180 / cell) - 1, F.sequence(F.lit(0).cast("long"), F.lit(int(360 / cell) - 1).cast("long"))).otherwise(F.sequence(column - wide, column + wide))))

@@ -74,10 +74,10 @@ def total_loss(spark, sf_dir):
 _LEVELS = [80.0, 20.0, 5.0, 1.0, 0.25, 0.0]
 
 
-def _sampler_sql() -> str:
+def _sampler_sql(levels: list[float]) -> str:
     """The solver over the levels, a common table a step; the denoiser shrinks a value by 1 / (1 + noise * noise)."""
     parts, name = [], "s0"
-    for i, (now, after) in enumerate(zip(_LEVELS, _LEVELS[1:], strict=False)):
+    for i, (now, after) in enumerate(zip(levels, levels[1:], strict=False)):
         middle = (now * after) ** 0.5
         clean = f"x / (1 + {now!r}::DOUBLE * {now!r})"
         if after:
@@ -90,9 +90,9 @@ def _sampler_sql() -> str:
     return f"WITH s0 AS (SELECT event_id, value AS x FROM events), {', '.join(parts)} SELECT event_id, round(x, 6) AS sample FROM {name}"
 
 
-@query(_sampler_sql())
+@query(_sampler_sql(_LEVELS))
 def sampled_values(spark, sf_dir):
-    found = fields.sampled(table(spark, sf_dir, "events").select("event_id", "value"), "value", _LEVELS, lambda x, noise: x / (1 + noise * noise))
+    found = fields.sampled(table(spark, sf_dir, "events").select("event_id", "value"), _LEVELS, lambda x, noise: x / (1 + noise * noise), "value")
     return found.select("event_id", F.round("sample", 6).alias("sample"))
 
 

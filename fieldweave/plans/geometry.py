@@ -122,7 +122,7 @@ SELECT cell_lat, cell_lon, round(count(*) / 16, 6) AS covered FROM near WHERE d
 def quadrant_cover(spark, sf_dir):
     w = F.col("wind")
     shapes = fixes(spark, sf_dir).withColumn("radii", F.array(w, w * 0.75, w * 0.5, F.when(F.col("step") % 3 != 0, w * 0.9)))
-    found = spheres.quadrant_raster(shapes, "radii", F.lit(1), CELL, 1000.0, 4)
+    found = spheres.quadrant_raster(shapes, "radii", F.lit(1), CELL, 4)
     return found.select("cell_lat", "cell_lon", F.round("covered", 6).alias("covered"))
 
 

@@ -82,7 +82,7 @@ SELECT step, 'r34_' || q || '_radius_disc' AS variable, cell_lat, cell_lon, roun
 UNION ALL SELECT step, 'r34_' || q || '_radius_sparse', (round((lat + 90) / 10) * 10 - 90), (round(lon / 10) * 10) % 360, round(arg_max(v, track_id), 6) + 0.0 FROM (SELECT track_id, step, lat, lon, unnest(['ne', 'se', 'sw', 'nw']) AS q, unnest(full_radii) AS v FROM f) GROUP BY 1, 2, 3, 4
 UNION ALL SELECT step, 'r34_shape', cell_lat, cell_lon, CASE WHEN dark THEN 'NaN'::DOUBLE ELSE round(covered, 6) END FROM c FULL JOIN x USING (step, cell_lat, cell_lon)""")
 def gridded_quadrants(spark, sf_dir):
-    return _out(gridding.quadrants(records(spark, sf_dir), ["step"], "track_id", {"r34": ("radii", "wind", 34.0)}, 1100.0, 1100.0, CELL, 1000.0, core=False))
+    return _out(gridding.quadrants(records(spark, sf_dir), ["step"], "track_id", {"r34": ("radii", "wind", 34.0)}, 1100.0, 1100.0, CELL, core=False))
 
 
 @query(f"""WITH {RECORDS}, {GRID}, m AS (SELECT min(step) AS a FROM fixes), t AS (SELECT r.* FROM r, m WHERE step BETWEEN a AND a + 19),
@@ -96,5 +96,5 @@ def gridded_range(spark, sf_dir):
     """All core families of the first 20 steps, summed up by step and variable."""
     rows = records(spark, sf_dir)
     first = rows.agg(F.min("step")).first()[0]
-    found = gridding.gridded(rows, first or 0, (first or 0) + 19, CELL, 1000.0, ["wind"], 1100.0, "category", {"r34": ("radii", "wind", 34.0)}, 1100.0, 1000.0)
+    found = gridding.gridded(rows, first or 0, (first or 0) + 19, CELL, 1000.0, ["wind"], 1100.0, "category", {"r34": ("radii", "wind", 34.0)}, 1100.0)
     return found.groupBy("step", "variable").agg(F.count(F.lit(1)).alias("cells"), F.round(F.sum("value"), 4).alias("total"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import fields
+from ..sources.tables import kept
 
 
 class ForecastStore:
@@ -15,13 +16,18 @@ class ForecastStore:
     gaps, short groups and members beyond `members` are refused. A batch is written to a folder of its own number, so a
     batch that comes again after a failure replaces itself; its group is noted last. publish() adds the daily folds and
     moves all to `path` at once; until then, and after an error, only the staged folder is there. What the driver sees of a
-    batch is a row a member."""
+    batch is a row a member.
 
-    def __init__(self, spark: SparkSession, path: str, members: int, steps: int | None = None, variables: list[str] | None = None):
+    A staged folder that a lost driver left is taken up by a new object (`resume`, so that next_batch() tells where to go on):
+    frames of a batch that was not noted count for nothing. Without `resume` it is deleted and the store starts clean."""
+
+    def __init__(self, spark: SparkSession, path: str, members: int, steps: int | None = None, variables: list[str] | None = None, resume: bool = False):
         self.spark, self.path, self.staged, self.members, self.steps, self.variables = spark, path.rstrip("/"), f"{path.rstrip('/')}_partial", members, steps, variables
-        for place in (self.path, self.staged):
-            if self._exists(place):
-                raise ValueError(f"{place} is there already")
+        if self._exists(self.path):
+            raise ValueError(f"{self.path} is there already")
+        if not resume and self._exists(self.staged):
+            files, at = self._fs(self.staged)
+            files.delete(at, True)
 
     def _fs(self, path: str):
         at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -31,17 +37,25 @@ class ForecastStore:
         files, at = self._fs(path)
         return files.exists(at)
 
+    def _noted(self) -> DataFrame:
+        schema = "first int, last int, batch long"
+        there = self._exists(f"{self.staged}/groups")
+        return self.spark.read.schema(schema).parquet(f"{self.staged}/groups") if there else self.spark.createDataFrame([], schema)
+
     def _next_member(self, number: int) -> int:
         """The member after those of all batches before this one."""
-        if not self._exists(f"{self.staged}/groups"):
-            return 0
-        groups = self.spark.read.schema("first int, last int, batch long").parquet(f"{self.staged}/groups").where(F.col("batch") < number)
-        return groups.agg(F.coalesce(F.max("last") + 1, F.lit(0))).first()[0]
+        return self._noted().where(F.col("batch") < number).agg(F.coalesce(F.max("last") + 1, F.lit(0))).first()[0]
+
+    def next_batch(self) -> tuple[int, int]:
+        """The number of the batch after the last noted one, and the member that it starts with."""
+        last, member = self._noted().agg(F.coalesce(F.max("batch") + 1, F.lit(0)), F.coalesce(F.max("last") + 1, F.lit(0))).first()
+        return last, member
 
     def write_batch(self, batch: DataFrame, number: int) -> None:
         """One group of members; the function that foreachBatch takes. An empty batch counts for nothing."""
         if self.variables is not None:
             batch = batch.where(F.col("variable").isin(self.variables))
+        batch = kept(batch)  # computed once, for the check and for the store
         seen = batch.groupBy("member").agg(F.count_distinct("step").alias("steps")).orderBy("member").collect()  # a row a member
         if not seen:
             return
@@ -62,6 +76,11 @@ class ForecastStore:
         """Folds the frames of each cell to whole days and moves the store to its place; all members must be there."""
         if (n := self._next_member(1 << 62)) != self.members:
             raise ValueError(f"members {n} to {self.members - 1} were never written")
+        noted = [r["batch"] for r in self._noted().select("batch").distinct().collect()]  # a row a batch
+        files, at = self._fs(f"{self.staged}/frames")
+        for folder in files.listStatus(at):
+            if folder.getPath().getName() not in {f"batch={n}" for n in noted}:
+                files.delete(folder.getPath(), True)
         frames = self.spark.read.parquet(f"{self.staged}/frames").drop("batch")
         fields.daily_fold(frames, ["member", "variable", *cell]).write.mode("overwrite").parquet(f"{self.staged}/daily")
         files, at = self._fs(self.staged)

@@ -31,11 +31,11 @@ def grid():
 @pytest.mark.parametrize("radius", [300.0, 1500.0, 9000.0, 20100.0])
 def test_cells_of_discs(spark, radius):
     points = spark.createDataFrame([(i, *p) for i, p in enumerate(PLACES)], "id long, lat double, lon double")
-    found = {(r["id"], r["cell_lat"], r["cell_lon"]) for r in spheres.disc_cells(points, F.lit(radius), radius, CELL).collect()}
+    found = {(r["id"], r["cell_lat"], r["cell_lon"]) for r in spheres.disc_cells(points, F.lit(radius), CELL).collect()}
     want = {(i, *g) for i, p in enumerate(PLACES) for g in grid() if km(*p, *g) < radius}
     assert found == want
     table = spark.createDataFrame(grid(), "cell_lat double, cell_lon double")
-    rows = spheres.near_cells(points, table, F.lit(radius), radius, CELL).collect()
+    rows = spheres.near_cells(points, table, F.lit(radius), CELL).collect()
     assert len(rows) == len(want) and {(r["id"], r["cell_lat"], r["cell_lon"]) for r in rows} == want
 
 
@@ -207,7 +207,7 @@ def test_kept_months(spark):
 
 def test_gridded_families(spark):
     fixes = spark.createDataFrame([("a", 1, 10.0, 20.0, 50.0, 2.0, [100.0, None, 100.0, 100.0]), ("b", 1, -30.0, 200.0, float("nan"), -5.0, [None] * 4), ("c", 9, 0.0, 0.0, 10.0, 0.0, [None] * 4)], "track_id string, step long, lat double, lon double, wind double, category double, radii array<double>")
-    found = gridding.gridded(fixes, 1, 2, CELL, 500.0, ["wind"], 600.0, "category", {"r34": ("radii", "wind", 34.0)}, 600.0, 500.0, core=False).cache()
+    found = gridding.gridded(fixes, 1, 2, CELL, 500.0, ["wind"], 600.0, "category", {"r34": ("radii", "wind", 34.0)}, 600.0, core=False).cache()
     assert {r["step"] for r in found.select("step").distinct().collect()} == {1}
     names = {r["variable"] for r in found.select("variable").distinct().collect()}
     assert {"cyclone_exists_sparse", "cyclone_wind_disc", "cyclone_category_disc", "cyclone_r34_shape", "cyclone_r34_se_radius_disc"} <= names
