@@ -5,15 +5,13 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_KM, cartesian, distance_km, latlon
-from ..sources.tables import kept, ship
-from .components import components
+from ..sources.tables import kept
+from .matching import BLOCK_OFFERS, auction
 from .spheres import HALF_ROUND_KM, disc_cells
 
 THRESHOLDS = {"r64": 64.0, "r50": 50.0, "r34": 34.0}
@@ -254,42 +252,6 @@ def compared(truth: DataFrame, found: DataFrame, most_km: float, scalars: list[s
     return sizes.join(met, "step", "left").select("step", *[zero(c) for c in ("truth_rows", "found_rows", "near", "agreeing")])
 
 
-def _assign(cost: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs (row, column) of least total cost, as many as the shorter side has (the Hungarian method)."""
-    if cost.shape[0] > cost.shape[1]:
-        return [(i, j) for j, i in _assign(cost.T)]
-    n, m = cost.shape
-    u, v, row_of = np.zeros(n), np.zeros(m + 1), np.full(m + 1, -1)
-    for i in range(n):
-        row_of[m], at = i, m
-        least, came, done = np.full(m, np.inf), np.full(m, m), np.zeros(m + 1, bool)
-        while row_of[at] >= 0:
-            done[at] = True
-            slack = cost[row_of[at]] - u[row_of[at]] - v[:m]
-            better = ~done[:m] & (slack < least)
-            least[better], came[better] = slack[better], at
-            to = int(np.argmin(np.where(done[:m], np.inf, least)))
-            step = least[to]
-            u[row_of[done]] += step
-            v[done] -= step
-            least[~done[:m]] -= step
-            at = to
-        while at != m:
-            row_of[at], at = row_of[came[at]], came[at]
-    return [(int(i), j) for j, i in enumerate(row_of[:m]) if i >= 0]
-
-
-def _matched_component(rows: pd.DataFrame, most_km: float) -> pd.DataFrame:
-    """One component of near pairs: the pairs that save most against leaving both ends alone at most_km."""
-    at = {c: {k: i for i, k in enumerate(sorted(rows[c].unique()))} for c in ("track_id", "match_id")}
-    left, right = rows["track_id"].map(at["track_id"]).to_numpy(), rows["match_id"].map(at["match_id"]).to_numpy()
-    cost = np.full((len(at["track_id"]), len(at["match_id"])), most_km)
-    cost[left, right] = rows["km"]
-    own = {(i, j): k for k, (i, j) in enumerate(zip(left, right, strict=True))}
-    kept_rows = [own[p] for p in _assign(cost) if p in own]
-    return rows.iloc[kept_rows][["step", "track_id", "match_id", "km"]]
-
-
 def near_pairs(truth: DataFrame, found: DataFrame, keys: list[str], most_km: float) -> DataFrame:
     """keys, track_id, match_id, km of the fixes of two sets of tracks with equal keys that lie nearer than most_km. Fixes meet
     by keys and cubes of space."""
@@ -303,20 +265,12 @@ def near_pairs(truth: DataFrame, found: DataFrame, keys: list[str], most_km: flo
     return met.where(F.col("km") < most_km).select(*keys, "track_id", "match_id", "km")
 
 
-def matched(truth: DataFrame, found: DataFrame, most_km: float = 500.0) -> DataFrame:
+def matched(truth: DataFrame, found: DataFrame, most_km: float = 500.0, block_offers: int = BLOCK_OFFERS) -> DataFrame:
     """One-to-one pairs of the fixes of two sets of tracks at each step, nearer than most_km: step, track_id, match_id, km. A
-    fix may stay alone at the cost of most_km; the sum of the costs is the least. A track has one fix a step.
-
-    Pairs that are near form components, found by joins over all steps at once; only a component meets in one task, so what
-    a task holds is bounded by how densely fixes lie within most_km of each other, not by a step."""
-    ship(truth.sparkSession)
+    fix may stay alone at the cost of most_km; the sum of the costs, in whole metres, is the least. A track has one fix a
+    step. Near pairs are found by cubes of space and settled by auction (see `matching`): no task holds a matrix, and none
+    more than block_offers offers."""
     pairs = kept(near_pairs(truth, found, ["step"], most_km))
-    end = lambda c, name: F.struct("step", F.lit(name).alias("side"), F.col(c).alias("id"))
-    roots = components(pairs.select(end("track_id", "a").alias("u"), end("match_id", "b").alias("v")))
-    named = roots.where("node.side = 'a'").select("node.step", F.col("node.id").alias("track_id"), "root")
-    whole = pairs.join(named, ["step", "track_id"])
-    return whole.groupBy("root").applyInPandas(_component_matcher(most_km), "step long, track_id long, match_id long, km double")
-
-
-def _component_matcher(most_km: float):
-    return lambda rows: _matched_component(rows, most_km)
+    metres = F.least(F.round(F.col("km") * 1000), F.lit(most_km * 1000)).cast("long")
+    won = auction(pairs.select(F.col("step").alias("group"), F.col("track_id").alias("left"), F.col("match_id").alias("right"), metres.alias("metres")), int(most_km * 1000), block_offers)
+    return pairs.join(won.select(F.col("group").alias("step"), F.col("left").alias("track_id"), F.col("right").alias("match_id")), ["step", "track_id", "match_id"])
