@@ -41,3 +41,8 @@ def fold(doc_id: str | Column, folds: int) -> Column:
 def unit_hash(*cols: Column | str) -> Column:
     """A hash of the columns as a double in [0, 1)."""
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 40)) / float(1 << 40)
+
+
+def carried(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The rows of docs, whole, as the struct `row`, and columns that are computed of them: whatever names docs has, none clashes."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(name) for name, c in columns.items()])

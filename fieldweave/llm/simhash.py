@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from .common import as_table, ship_package
+from .common import as_table, carried, ship_package
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
 #: Rows of a bucket that are compared in one task; larger buckets are cut into chunks and each pair of chunks is a cell.
@@ -209,6 +209,7 @@ def representatives(docs: DataFrame, radius: int = RADIUS, cell_rows: int = CELL
     rows = as_table(fingerprints(docs, doc_id, text, digest()), "fingerprints")
     own = rows.join(_rooted(rows, radius, cell_rows), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     least = own.groupBy("root", "doc_id", "digest").count().groupBy("root", "doc_id").agg(F.min(F.struct("digest", "count")).alias("least"))
-    kept = as_table(least.select("doc_id", "least.*"), "representatives").toDF("_kept_id", "_kept_digest", "_kept_rows")
-    out = docs.join(kept.drop("_kept_rows"), F.col(doc_id).eqNullSafe(F.col("_kept_id")) & (digest() == F.col("_kept_digest")), "left_semi")
-    return out.dropDuplicates([doc_id, text]) if kept.where("_kept_rows > 1").limit(1).count() else out
+    kept = as_table(least.select("doc_id", "least.*"), "representatives")
+    whole = carried(docs, id=F.col(doc_id), digest=digest()).alias("d")
+    out = whole.join(kept.drop("count").alias("k"), F.col("d.id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.digest") == F.col("k.digest")), "left_semi").select("row.*")
+    return out.dropDuplicates([doc_id, text]) if kept.where("count > 1").limit(1).count() else out

@@ -192,7 +192,7 @@ def quantized(embeddings: DataFrame, vec_id: str = "vec_id", vector: str = "embe
 def top_k(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVERY, candidate_rows: int = CANDIDATES, query_rows: int = QUERIES, most_pivots: int = PIVOTS, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k highest inner products of each row whose id is divisible by query_every.
 
-    Ties go to the smaller vec_id. Vectors that are null or empty or hold null or non-finite components take no part, nor
+    Ids are whole numbers. Ties go to the smaller vec_id. Vectors that are null or empty or hold null or non-finite components take no part, nor
     do null ids; queries meet vectors of their own length, however long. Rows that repeat an id are all candidates, for
     all queries but those of this id; rows that repeat a query's id are queries of their own if their vectors differ, and
     one query if they do not. Scores are exact: a vector whose squared length, times SCALE squared, reaches 2 ** 52 is a

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import as_table, fresh_path, ship_package
 
 FRAME_BYTES, LEVEL = 1 << 19, 3
+#: A payload of more pages than HOT_PAGES, and than the HOT_PAYLOADS-th part of all, is broadcast.
+HOT_PAGES, HOT_PAYLOADS = 1 << 14, 1000
 DATE = "2024-01-01T00:00:00Z"
 _SKIPPABLE, _SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -149,17 +151,21 @@ def _write(batches: Iterator[pd.DataFrame], folder: str, frame_bytes: int) -> It
 def write(pages: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """Writes bundles to a folder that executors share; the index: page_id, bundle, frame, frame_place, frame_bytes, record_offset, record_bytes.
 
-    Of rows with equal payloads (null: empty) that with the smallest page_id is a response, and so are rows that repeat
+    Ids are whole numbers, or text that holds them. Of rows with equal payloads (null: empty) that with the smallest page_id is a response, and so are rows that repeat
     this id; others revisit it. A null page_id among payloads without any id is a response. Payloads of any length are
     written whole. What is found by digest are pairs of page and digest, without payloads, and minima are combined before
     they are shuffled; rows meet the answers by page and digest, so that many equal payloads are spread over tasks."""
     ship_package(pages.sparkSession)
     data = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), data.alias("payload"), F.unhex(F.sha1(data)).alias("digest"))
-    pairs = as_table(rows.select("page_id", "digest"), "digests").distinct()
-    firsts = pairs.groupBy("digest").agg(F.min("page_id").alias("first_id"))
-    answers = pairs.join(firsts, "digest").select(F.coalesce("page_id", F.lit(-(1 << 62))).alias("_page"), F.col("digest").alias("_digest"), "first_id")
-    met = rows.join(answers, (F.coalesce("page_id", F.lit(-(1 << 62))) == F.col("_page")) & (F.col("digest") == F.col("_digest"))).drop("_page", "_digest")
+    pairs = as_table(as_table(rows.select("page_id", "digest"), "digests").distinct(), "pairs")
+    firsts = as_table(pairs.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("pages")), "firsts")
+    # Payloads of many pages are HOT_PAYLOADS at most, so they go to where the pages lie; no other has a task to itself.
+    least = max(HOT_PAGES, pairs.count() // HOT_PAYLOADS)
+    hot = F.broadcast(firsts.where(F.col("pages") > least).select("digest", "first_id"))
+    rest = pairs.join(hot.select("digest"), "digest", "left_anti").join(firsts.where(F.col("pages") <= least).select("digest", "first_id"), "digest")
+    answers = pairs.join(hot, "digest").unionByName(rest).select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "first_id")
+    met = rows.join(answers, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("digest") == F.col("_digest"))).drop("_page", "_digest")
     revisit = F.col("first_id").isNotNull() & ~F.col("first_id").eqNullSafe(F.col("page_id"))
     met = met.select("page_id", "url", "digest", "first_id", F.octet_length("payload").cast("long").alias("length"), F.when(~revisit, F.col("payload")).alias("payload"))
     schema = "page_id long, record_offset long, record_bytes long, bundle string, frame long, frame_place long, frame_bytes long"
@@ -227,5 +233,5 @@ def lookup(index: DataFrame, page_id: int) -> DataFrame:
 def archive(pages: DataFrame, frame_bytes: int = FRAME_BYTES, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """Writes all pages to bundles in the shared folder and reads them back; an empty table gives an empty result.
 
-    Null payloads are empty ones; a null url has no target; repeated rows keep a record each; other columns are ignored."""
+    Ids are whole numbers. Null payloads are empty ones; a null url has no target; repeated rows keep a record each; other columns are ignored."""
     return read(write(pages, fresh_path(pages.sparkSession, "warc"), frame_bytes, page_id, url, payload))

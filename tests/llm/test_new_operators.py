@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from fieldweave.llm import decontamination, divergence, resampling
+from fieldweave.llm import decontamination, divergence, resampling, warc
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, row long, words string, kept int, score double, start int"
@@ -185,3 +185,29 @@ def test_drawn_rows(spark, real, docs, items):
     assert len(chosen) == able // 4 and rows.columns == real.columns and {r["doc_id"] for r in rows.collect()} == chosen
     assert resampling.drawn(docs, items, share=100).columns == docs.columns
     assert resampling.resample(docs, items.where("false")).count() == docs.count()
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    import corpus_pipeline as c
+
+    names = ["_language_found", "_toxic_score", "_kept_id", "_mix_id", "_mix_copy", "row", "id", "found", "score", "digest", "copies", "component_id", "fp"]
+    rows = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    wide = rows.selectExpr("*", *[f"{i} AS `{n}`" for i, n in enumerate(names)])
+    for name, stage in c.STAGES[:-1]:
+        plain = sorted(map(tuple, stage(spark, rows, SF).collect()))
+        out = stage(spark, wide, SF)
+        assert out.columns == wide.columns
+        assert sorted(tuple(r)[: len(rows.columns)] for r in out.collect()) == plain and all(tuple(r)[len(rows.columns) :] == tuple(range(len(names))) for r in out.collect()), name
+
+
+@pytest.mark.parametrize("hot", [1 << 14, 1])
+def test_archive_keeps_the_number_of_rows(spark, monkeypatch, hot):
+    """A missing page beside the least number, and payloads of many pages."""
+    monkeypatch.setattr(warc, "HOT_PAGES", hot)
+    monkeypatch.setattr(warc, "HOT_PAYLOADS", 10**9)
+    rows = [(None, "same"), (-(1 << 62), "same"), *[(i, "many" if i % 3 else "") for i in range(30)]]
+    pages = spark.createDataFrame([(i, "http://a/", h) for i, h in rows], "page_id long, url string, html string")
+    found = {(r["page_id"], r["record_type"], r["refers_to"]) for r in warc.archive(pages).collect()}
+    firsts = {"same": -(1 << 62), "many": 1, "": 0}
+    assert len(found) == len(rows)
+    assert found == {(i, "response" if i == firsts[h] else "revisit", None if i == firsts[h] else firsts[h]) for i, h in rows}
