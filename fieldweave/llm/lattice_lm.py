@@ -14,6 +14,7 @@ in number with the data.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -225,7 +226,7 @@ def _document_rows(batches: Iterator[pd.DataFrame], words: list[bytes], facts: n
             keys, docs, hashes, counts, sums = [], [], [], [], []
             for doc, text_hash, text in zip(part["doc"].tolist(), part["text_hash"].tolist(), part["text"], strict=True):
                 here = Counter(_tokens(text))
-                places = [known.get(w, -1) for w in here]
+                places = [known.get(w if len(w) <= FREQUENT_BYTES else b" " + hashlib.md5(w).digest(), -1) for w in here]
                 found, n = np.array(places, np.int64), np.fromiter(here.values(), np.int64, len(here))
                 own = found >= 0
                 sums.append((n[own].sum(), *(n[own] @ facts[found[own]])))
@@ -245,8 +246,9 @@ def _document_rows(batches: Iterator[pd.DataFrame], words: list[bytes], facts: n
 
 
 def most_frequent(scored: DataFrame, most: int) -> DataFrame:
-    """Up to `most` of the words with the highest counts, from a threshold that a histogram of the counts' logarithms gives."""
-    short = scored.where(F.length("word") <= FREQUENT_BYTES)
+    """Up to `most` of the words with the highest counts, those of more than FREQUENT_BYTES bytes as a space and their MD5, from a threshold that a histogram of the counts' logarithms gives."""
+    key = F.when(F.length("word") <= FREQUENT_BYTES, F.col("word")).otherwise(F.concat(F.lit(b" "), F.unhex(F.md5("word"))))
+    short = scored.withColumn("word", key)
     step = F.floor(F.log2(F.col("all").cast("double")) * 8)
     sizes = sorted(((r["step"], r["count"]) for r in short.groupBy(step.alias("step")).count().collect()), reverse=True)  # 8 * 63 rows at most
     upto = np.cumsum([n for _, n in sizes])

@@ -40,7 +40,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: i
     to the others by weight. That is least(most * size, level * weight) for the one level at which the targets add up;
     sources in ascending order of most * size / weight are cut until the level of the rest stays under their own limit.
     Both windows run over one row a source."""
-    per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per_source = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
     place = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
     weighed = per_source.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int")).cast("double"))
     cap = (F.col("source_size") * most_epochs).cast("double")
@@ -71,24 +71,27 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int =
     the prefix sums, exactly, so that one document a source is taken in part.
 
     Null text and texts without words have size 0 and nothing taken; a text of any length counts whole; a null source is a
-    source of its own, the last; rows with equal ids keep a row each, ordered by size, and rows without an id are spread by
-    their texts; an empty table gives an empty result. Other columns are ignored."""
-    rows = as_table(sized(docs, doc_id, text, source), "sizes")
+    source of its own, the last; rows with equal ids keep a row each, ordered by size, and meet as counts of equal
+    sizes; rows without an id are spread by their texts; an empty table gives an empty result. Other columns are ignored."""
+    # Rows that repeat an id, or a text without an id, have one place in the order: they are counted, and told apart at the end.
+    same = sized(docs, doc_id, text, source).groupBy("doc_id", "source", "size", "key").agg(F.count(F.lit(1)).alias("copies"))
+    rows = as_table(same, "sizes")
     digits = bucket_digits(rows.count())
     rows = rows.withColumn("bucket", F.substring("key", 1, digits))
     goals = targets(rows, weights, most_epochs)
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    sums = rows.groupBy("source", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("bucket_size"))
     offsets = sums.withColumn(
         "offset", F.coalesce(F.sum("bucket_size").over(W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     ).select(F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket"), "offset")
     goals = goals.select(F.col("source").alias("g_source"), "source_size", "target")
     buckets = offsets.join(goals, F.col("b_source").eqNullSafe(F.col("g_source"))).drop("g_source")
     inside = W.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = rows.withColumn("upto", F.sum("size").over(inside)).join(buckets, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
+    placed = rows.withColumn("upto", F.sum(F.col("size") * F.col("copies")).over(inside)).join(buckets, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
     budget = F.floor(F.col("target") + 0.5).cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size")).cast("long")).otherwise(F.lit(0))
     rest = budget - epochs * F.col("source_size")
-    before = F.col("offset") + F.col("upto") - F.col("size")
+    placed = placed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    before = F.col("offset") + F.col("upto") - F.col("size") * (F.col("copies") - F.col("copy") + 1)
     taken = epochs * F.col("size") + F.least(F.greatest(rest - before, F.lit(0)), F.col("size"))
     return placed.select("doc_id", "source", "size", "source_size", "target", taken.cast("long").alias("taken"))
 

@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from fieldweave.llm import decontamination, divergence, resampling, warc
+from fieldweave.llm import decontamination, divergence, mixing, resampling, warc
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, row long, words string, kept int, score double, start int"
@@ -211,3 +211,19 @@ def test_archive_keeps_the_number_of_rows(spark, monkeypatch, hot):
     firsts = {"same": -(1 << 62), "many": 1, "": 0}
     assert len(found) == len(rows)
     assert found == {(i, "response" if i == firsts[h] else "revisit", None if i == firsts[h] else firsts[h]) for i, h in rows}
+
+
+def test_a_repeated_id_is_mixed_in_its_place(spark):
+    """One id on a third of all rows, in a source that is cut within it: as sums along the order of the keys."""
+    rows = [(7, "a b c" if i % 2 else "a b", "s") for i in range(300)] + [(i, "x " * (i % 9 + 1), "s" if i % 3 else "t") for i in range(100, 700)] + [(None, "n n", "t")] * 5
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    want = []
+    for source in "st":
+        own = sorted((hashlib.md5((str(i) if i is not None else t).encode()).hexdigest(), i or 0, len(t.split()), i) for i, t, s in rows if s == source)
+        (target,) = {r["target"] for r in found if r["source"] == source}
+        total, at = sum(r[2] for r in own), 0
+        epochs, rest = divmod(int(target + 0.5), total)
+        for _, _, size, i in own:
+            want.append((str(i), source, size, epochs * size + min(max(rest - at, 0), size)))
+            at += size
+    assert sorted((str(r["doc_id"]), r["source"], r["size"], r["taken"]) for r in found) == sorted(want)
