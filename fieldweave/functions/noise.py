@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Hex digits of a digest that make a uniform number.
@@ -67,3 +67,48 @@ def isotropic(lat: Column, lon: Column, key: Column, power: list[float]) -> Colu
         return pd.Series(out)
 
     return F.when(lat.isNotNull() & lon.isNotNull() & key.isNotNull(), summed(lat.cast("double"), lon.cast("double"), F.xxhash64(key)))
+
+
+def _legendre(lat: np.ndarray, degrees: int) -> np.ndarray:
+    """[latitudes, orders, degrees]: the part of `harmonics` that depends on latitude."""
+    at_zero = harmonics(lat, np.zeros(len(lat)), degrees)
+    out = np.zeros((len(lat), degrees, degrees))
+    for m in range(degrees):
+        for n in range(m, degrees):
+            out[:, m, n] = at_zero[:, n * n + n + m]
+    return out  # orders above 0 hold the square root of 2 that their waves have
+
+
+def isotropic_grid(keys: DataFrame, key: str, lats: list[float], lons: list[float], power: list[float]) -> DataFrame:
+    """(the columns of keys, lat, lon, noise): the field of each key, as `isotropic`, at all points of a grid.
+
+    Summed apart: a row of latitudes meets the coefficients of each order once (Legendre sums), then the waves along it; a
+    point costs as many terms as there are degrees, not their square. A row of the grid is made in one task."""
+    degrees, names = len(power), keys.columns
+    scale = np.repeat(np.sqrt(np.array(power) / (2 * np.arange(degrees) + 1)), 2 * np.arange(degrees) + 1)
+    types = {f.name: f.dataType.simpleString() for f in keys.schema}
+    around = np.radians(np.array(lons, float))
+    orders = np.arange(degrees)
+    cosines, sines = np.cos(orders[:, None] * around), np.sin(orders[:, None] * around)
+
+    def rows(batches):
+        for pdf in batches:
+            legendre = _legendre(pdf["_lat"].to_numpy(float), degrees)
+            known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            parts = []
+            for i, seed in enumerate(pdf["_seed"].tolist()):
+                if seed not in known:
+                    drawn = np.random.default_rng(seed & (2**64 - 1)).normal(size=degrees * degrees) * scale
+                    even, odd = np.zeros((degrees, degrees)), np.zeros((degrees, degrees))
+                    for m in range(degrees):
+                        n = np.arange(m, degrees)
+                        even[m, n], odd[m, n] = drawn[n * n + n + m], drawn[n * n + n - m] * (m > 0)
+                    known = {seed: (even, odd)}  # rows come key by key
+                even, odd = known[seed]
+                parts.append((legendre[i] * even).sum(axis=1) @ cosines + (legendre[i] * odd).sum(axis=1) @ sines)
+            out = pdf[names].loc[pdf.index.repeat(len(around))].reset_index(drop=True)
+            yield out.assign(lat=pdf["_lat"].to_numpy().repeat(len(around)), lon=np.tile(np.array(lons, float), len(pdf)), noise=np.concatenate(parts) if parts else [])
+
+    seeds = keys.where(F.col(key).isNotNull()).withColumn("_seed", F.xxhash64(F.col(key)))
+    spread = seeds.withColumn("_lat", F.explode(F.array(*[F.lit(float(v)) for v in lats])))
+    return spread.mapInPandas(rows, ", ".join(f"`{c}` {types[c]}" for c in names) + ", lat double, lon double, noise double")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import noise
-from ..operators import fields, graphs, models
+from ..operators import fields, graphs, intervals, models
 from ..sources.tables import shared_folder, ship
-from ..sources.views import FIELD, field, table
+from ..sources.views import FIELD, FIXES, field, field_of, fixes, table
+from ..streaming import daily
 from .composed import _sampler_sql
 from .registry import query
 
@@ -87,3 +88,45 @@ def model_rollout(spark, sf_dir):
     found = models.Rollout(shared_folder(spark, "rollout"), _linear, ["member"], 4).run(inputs, 6, forcings)
     out = found.select("member", "lead", *[F.round(F.col("channels")[i], 6).alias(c) for i, c in enumerate(("view", "click"))])
     return out.where(~F.isnan("view") & ~F.isnan("click"))
+
+
+_YEAR = "year(DATE '1970-01-01' + floor({} / 4.0)::INT)"
+
+
+@query(f"""WITH {FIXES}, inits AS (SELECT DISTINCT step AS init FROM fixes WHERE step % 4 = 0)
+SELECT f.track_id, f.step, i.init, f.lat, f.lon FROM fixes f JOIN inits i ON f.step BETWEEN i.init - 12 AND i.init AND abs({_YEAR.format("f.step")} - {_YEAR.format("i.init")}) <= 1
+WHERE EXISTS (SELECT 1 FROM fixes g WHERE g.track_id = f.track_id AND g.step = i.init)""")
+def storms_around_inits(spark, sf_dir):
+    """Three days of the tracks that have a fix at exactly an initial time, for all initial times."""
+    rows = fixes(spark, sf_dir)
+    inits = rows.where(F.col("step") % 4 == 0).select(F.col("step").alias("init")).distinct()
+    return intervals.storms_around(rows.select("track_id", "step", "lat", "lon"), inits, 12).select("track_id", "step", "init", "lat", "lon")
+
+
+@query(f"""WITH {FIXES}, inits AS (SELECT DISTINCT step AS init FROM fixes WHERE step % 4 = 0)
+SELECT i.init, count(*) AS fixes, max(f.wind) AS wind FROM fixes f JOIN inits i ON f.step BETWEEN i.init - 2 AND i.init + 5 GROUP BY 1""")
+def fixes_around_inits(spark, sf_dir):
+    """All fixes from half a day before to a day and a quarter after each initial time."""
+    rows = fixes(spark, sf_dir)
+    inits = rows.where(F.col("step") % 4 == 0).select(F.col("step").alias("init")).distinct()
+    return intervals.around(rows, inits, 2, 5).groupBy("init").agg(F.count(F.lit(1)).alias("fixes"), F.max("wind").alias("wind"))
+
+
+@query(f"""WITH {FIELD} SELECT member, variable, (floor((step - 1) / 4))::BIGINT AS day, count(DISTINCT step) AS steps, CASE WHEN bool_or(isnan(value)) THEN NULL ELSE round(sum(value), 4) END AS daily_sum,
+  CASE WHEN bool_or(isnan(value)) THEN NULL ELSE max(value) END AS daily_greatest FROM field GROUP BY 1, 2, 3 HAVING count(DISTINCT step) = 4""")
+def streamed_whole_days(spark, sf_dir):
+    """The days of a member and variable, once a stream has brought their four steps."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = field_of(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")).select("member", "variable", "step", "value")
+    store = daily.DailyStore(spark, shared_folder(spark, "days"), ["member", "variable"])
+    store.run(stream)
+    return store.days().select("member", "variable", "day", "steps", F.round("daily_sum", 4).alias("daily_sum"), "daily_greatest")
+
+
+@query()
+def noise_grids(spark, sf_dir):
+    """The noise field of each member and variable on a grid of 5 degrees."""
+    ship(spark)
+    keys = field(spark, sf_dir).select("member", "variable").distinct().withColumn("key", noise.key_of(5, F.col("member"), F.col("variable")))
+    out = noise.isotropic_grid(keys, "key", [5.0 * i - 90 for i in range(37)], [5.0 * i for i in range(72)], [1 / 24] * 24)
+    return out.select("member", "variable", "lat", "lon", F.round("noise", 6).alias("noise"))

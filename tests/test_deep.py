@@ -10,10 +10,10 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from fieldweave.functions import noise
-from fieldweave.operators import fields, graphs, models, spheres
+from fieldweave.operators import fields, graphs, intervals, models, spheres
 from fieldweave.plans.deep import LEVELS, RATES
 from fieldweave.sources import tables
-from fieldweave.streaming import writer
+from fieldweave.streaming import daily, writer
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers do not see the tests
 
@@ -203,3 +203,65 @@ def test_radii_have_no_cap(spark):
             if inside:
                 want[lat, lon] = want.get((lat, lon), 0) + inside / 4
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_noise_on_a_grid_is_that_at_its_points(spark):
+    power = [0.0, 1.0, 0.5, 0.25, 0.1, 0.1, 0.05]
+    keys = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "key string, member int")
+    lats, lons = [-90.0, -37.5, 0.0, 60.0, 90.0], [0.0, 45.0, 123.0, 359.0]
+    rows = noise.isotropic_grid(keys, "key", lats, lons, power)
+    both = rows.withColumn("other", noise.isotropic(F.col("lat"), F.col("lon"), F.col("key"), power)).collect()
+    assert len(both) == 2 * len(lats) * len(lons) and {r["member"] for r in both} == {1, 2}
+    assert np.allclose([r["noise"] for r in both], [r["other"] for r in both], atol=1e-9)
+
+
+def test_spans_and_moments(spark):
+    rng = np.random.default_rng(3)
+    spans = [(i, int(a), int(a + n)) for i, (a, n) in enumerate(zip(rng.integers(-50, 50, 60), rng.integers(-2, 40, 60)))] + [(99, None, 5)]
+    moments = [int(t) for t in rng.integers(-60, 90, 40)] + [None]
+    left = spark.createDataFrame(spans, "id long, a long, b long")
+    right = spark.createDataFrame([(i, t) for i, t in enumerate(moments)], "m long, t long")
+    want = sorted((i, m) for i, a, b in spans for m, t in enumerate(moments) if a is not None and t is not None and a <= t <= b)
+    for bucket in (1, 7, 500):
+        assert sorted((r["id"], r["m"]) for r in intervals.spans_at(left, right, "a", "b", "t", bucket).collect()) == want
+
+
+def test_storms_around_the_turn_of_a_year(spark):
+    year = 365 * 4  # steps from 1970 on
+    fixes = [("long", s) for s in range(0, 3 * year, 1)] + [("gap", s) for s in range(year - 9, year + 9) if s != year] + [("old", s) for s in range(year - 20, year - 1)]
+    table = spark.createDataFrame([(t, s, 1.0) for t, s in fixes], "track_id string, step long, lat double")
+    inits = spark.createDataFrame([(year,), (year + 1,), (3 * year + 50,), (year,)], "init long")
+    found = {(r["track_id"], r["init"], r["step"]) for r in intervals.storms_around(table, inits, 5).collect()}
+    assert found == {(t, i, s) for i in (year, year + 1) for t, s in fixes if i - 5 <= s <= i and (t, i) in set(fixes)}
+    assert {t for t, i, _ in found if i == year} == {"long"} and ("gap", year + 1, year - 1) in found
+    old = intervals.storms_around(table, spark.createDataFrame([(2 * year + 1460,)], "init long"), 10 * year, years=1)
+    assert old.count() == 0  # no fix at that step
+    wide = intervals.storms_around(table.where("track_id = 'long'"), spark.createDataFrame([(3 * year - 1,)], "init long"), 10 * year, years=1).agg(F.min("step")).first()[0]
+    assert wide == year  # 1972 less a year
+
+
+def test_whole_days_of_a_stream(spark):
+    """Steps that come in any order over many files, late ones, a repeated batch and a stream that stops in between."""
+    rng = np.random.default_rng(8)
+    rows = [(m, v, s, float(rng.normal()) if rng.random() > 0.01 else float("nan")) for m in range(3) for v in "ab" for s in range(1, 30) if rng.random() > 0.1 for _ in range(2)]
+    rng.shuffle(rows)
+    rows = [(int(m), str(v), int(s), float(x)) for m, v, s, x in rows]
+    schema = "member long, variable string, step long, value double"
+    source, folder = tables.shared_folder(spark, "source"), tables.shared_folder(spark, "days")
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    batches = []
+
+    class Twice(daily.DailyStore):
+        def write_batch(self, batch, number):
+            super().write_batch(batch, number)
+            super().write_batch(batch, number)  # as after a driver that was lost before the batch was noted
+            batches.append(number)
+
+    for part in range(4):
+        spark.createDataFrame(rows[part::4], schema).coalesce(1).write.mode("append").parquet(source)
+        if part in (1, 3):
+            Twice(spark, folder, ["member", "variable"]).run(stream())
+    assert len(set(batches)) >= 4
+    plain = lambda df: sorted((r["member"], r["variable"], r["day"], r["steps"], *[None if r[f"daily_{c}"] is None else round(r[f"daily_{c}"], 9) for c in ("mean", "sum", "least", "greatest")]) for r in df.collect())
+    want = plain(fields.daily_fold(spark.createDataFrame(rows, schema), ["member", "variable"]))
+    assert want and plain(daily.DailyStore(spark, folder, ["member", "variable"]).days()) == want
