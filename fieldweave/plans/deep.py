@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import noise
 from ..operators import fields, graphs, intervals, models
+from ..sources import chunks
 from ..sources.tables import shared_folder, ship
 from ..sources.views import FIELD, FIXES, field, field_of, fixes, table
 from ..streaming import daily
@@ -130,3 +131,12 @@ def noise_grids(spark, sf_dir):
     keys = field(spark, sf_dir).select("member", "variable").distinct().withColumn("key", noise.key_of(5, F.col("member"), F.col("variable")))
     out = noise.isotropic_grid(keys, "key", [5.0 * i - 90 for i in range(37)], [5.0 * i for i in range(72)], [1 / 24] * 24)
     return out.select("member", "variable", "lat", "lon", F.round("noise", 6).alias("noise"))
+
+
+@query(f"WITH {FIELD} SELECT event_id, member, step, lat, value FROM field WHERE member BETWEEN 2 AND 4 AND step >= (SELECT min(step) + 30 FROM field) AND NOT isnan(value)")
+def chunk_box(spark, sf_dir):
+    """A box of members and steps, read from a store of chunks that holds the whole field."""
+    rows, path = field(spark, sf_dir), shared_folder(spark, "chunks")
+    first = rows.agg(F.min("step")).first()[0]
+    chunks.write_chunks(rows.select("event_id", "member", "step", "lat", "value"), path, {"member": 2, "step": 16}, {"member": 4, "step": 64})
+    return chunks.read_chunks(spark, path).where(F.col("member").between(2, 4) & (F.col("step") >= (first or 0) + 30) & ~F.isnan("value"))
