@@ -138,6 +138,11 @@ def radii_agree(wind: str = "wind_a") -> Column:
     return ok
 
 
+def checked(storms: DataFrame, wind: str = "wind_a") -> DataFrame:
+    """storms with `radii_agree`, as they are."""
+    return _arrays(_cells(storms).withColumn("radii_agree", radii_agree(wind)))
+
+
 def disc_raster(points: DataFrame, value: str, radius_km: float, cell: float) -> DataFrame:
     """On a grid of `cell` degrees: the greatest value of the points whose disc holds the cell."""
     near = disc_cells(points, F.lit(radius_km), cell)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import geo
+
 DAY_STEPS = 4
 
 
@@ -188,6 +192,38 @@ def initial_conditions(field: DataFrame, init: Column, variables: list[str], lev
     return rows.withColumn("value", F.when(lacks, told).otherwise(F.col("value").cast("float")))
 
 
+def missing_inputs(field: DataFrame, inits: DataFrame, variables: list[str], levels: list[int] | None = None, statics: tuple[str, ...] = (), last: int | None = None, final: int | None = None) -> DataFrame:
+    """(init, variable, level, step, reason): what the inits (steps) lack to start from, for all of them in one plan.
+
+    Each init needs its variables (at all levels, if given) at the step before it and at its own, and the statics at any
+    step. Reasons: `missing`; `beyond` for an init after `last`, the end of the record; `preliminary` for one after `final`,
+    up to which the record will not change, which is a note and no fault."""
+    one = inits.select("init").distinct()
+    need = one.select("init", F.explode(F.array(*map(F.lit, variables or [""]))).alias("variable")).select("*", F.explode(F.array(F.col("init") - 1, F.col("init"))).alias("step"))
+    need = need.withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels])) if levels else F.lit(None).cast("int")) if variables else need.where("false").withColumn("level", F.lit(None).cast("int"))
+    level = F.col("level").cast("int") if levels else F.lit(None).cast("int")
+    there = field.where(F.col("variable").isin(variables or [""])).select(F.col("variable").alias("_v"), F.col("step").alias("_s"), level.alias("_l")).distinct()
+    lacks = need.join(there, (F.col("variable") == F.col("_v")) & (F.col("step") == F.col("_s")) & F.col("level").eqNullSafe(F.col("_l")), "left_anti").withColumn("reason", F.lit("missing"))
+    out = lacks.select("init", "variable", "level", "step", "reason")
+    nothing = {"level": F.lit(None).cast("int"), "step": F.lit(None).cast("long")}
+    if statics:
+        want = one.select("init", F.explode(F.array(*map(F.lit, statics))).alias("variable"))
+        known = field.where(F.col("variable").isin(list(statics))).select("variable").distinct()
+        out = out.unionByName(want.join(known, "variable", "left_anti").withColumns(nothing | {"reason": F.lit("missing")}).select(*out.columns))
+    for end, reason in ((last, "beyond"), (final, "preliminary")):
+        if end is not None:
+            out = out.unionByName(one.where(F.col("init") > end).withColumns(nothing | {"variable": F.lit(None).cast("string"), "reason": F.lit(reason)}).select(*out.columns))
+    return out
+
+
+def with_derived(rows: DataFrame, wanted: list[str], seconds: Column, lon: Column) -> DataFrame:
+    """rows with those of the wanted variables that derive from time and place and are not there yet: year_progress and
+    day_progress, each also with _sin and _cos. Columns that exist stay as they are."""
+    made = {"year_progress": geo.year_progress(seconds), "day_progress": geo.day_progress(seconds, lon)}
+    made |= {f"{name}_{wave}": f(made[name] * (2 * math.pi)) for name in ("year_progress", "day_progress") for wave, f in (("sin", F.sin), ("cos", F.cos))}
+    return rows.withColumns({name: made[name] for name in wanted if name in made and name not in rows.columns})
+
+
 def batch(inputs: DataFrame, keys: list[str], steps: int, variables: list[str]) -> DataFrame:
     """inputs (keys, variable, step, value) and behind them `steps` frames of NaN for each variable and key that has inputs."""
     newest = inputs.groupBy(*keys).agg(F.max("step").alias("_newest"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_KM, cartesian, distance_km, is_east, latlon
@@ -61,6 +61,12 @@ def quadrant(lat: Column, lon: Column, centre_lat: Column, centre_lon: Column) -
     return F.when(east & north, 1).when(east, 2).when(~north, 3).otherwise(4)
 
 
+def grid_cells(spark: SparkSession, cell: float) -> DataFrame:
+    """(cell_lat, cell_lon) of the whole grid of `cell` degrees, poles and longitude 0 on it; made where it is used."""
+    bands, columns = int(180 / cell) + 1, int(360 / cell)
+    return spark.range(bands * columns).select((F.expr(f"id div {columns}") * float(cell) - 90.0).alias("cell_lat"), (F.col("id") % columns * float(cell)).alias("cell_lon"))
+
+
 #: From a place to the one opposite, on the sphere.
 HALF_ROUND_KM = math.pi * EARTH_KM
 
@@ -162,9 +168,9 @@ def bilinear(points: DataFrame, grid: DataFrame, keys: list[str], cell: float, v
 
 
 def yearly(probes: DataFrame, table: DataFrame) -> DataFrame:
-    """Values of a yearly table (at mid-year) at fractional years t, held level beyond its ends; one row a year meets all probes."""
+    """Values of a yearly table (at mid-year) at fractional years t, held level beyond its ends; a row a year, broadcast."""
     low = F.floor(F.col("t") - 0.5) + 0.5
     lo, hi = table.select(F.col("at").alias("_lo"), F.col("v").alias("_a")), table.select((F.col("at") - 1).alias("_lo"), F.col("v").alias("_b"))
     steps = lo.join(hi, "_lo", "full")
     value = F.col("_a") + (F.coalesce("_b", "_a") - F.col("_a")) * (F.col("t") - F.col("_lo"))
-    return probes.withColumn("_lo", low).join(steps, "_lo", "left").withColumn("v", F.coalesce(value, F.col("_b"))).drop("_lo", "_a", "_b")
+    return probes.withColumn("_lo", low).join(F.broadcast(steps), "_lo", "left").withColumn("v", F.coalesce(value, F.col("_b"))).drop("_lo", "_a", "_b")

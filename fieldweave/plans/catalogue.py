@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import cyclones, fields, graphs
+from ..operators import cyclones, fields, graphs, ordering
 from ..sources.views import FIELD, FIXES, POINTS, STORMS, field, fixes, points, storms, table
 from ..streaming import daily
 from . import campaign, composed, deep, geometry, gridded, orders, records, tracks  # noqa: F401  (all but the first list queries of their own)
@@ -28,10 +28,10 @@ def _folded(rows, *keys):
     return rows.select(*keys, "day", "steps", *_rounded("daily_mean", "daily_sum", "daily_least", "daily_greatest"))
 
 
-@query(f"WITH {FIELD} SELECT variable, (floor((step - 1) / 4))::BIGINT AS day, count(DISTINCT step) AS steps, {_FOLDS} FROM field GROUP BY 1, 2 HAVING count(DISTINCT step) = 4")
+@query(f"WITH {FIELD} SELECT member, variable, (floor((step - 1) / 4))::BIGINT AS day, count(DISTINCT step) AS steps, {_FOLDS} FROM field WHERE variable <> 'error' GROUP BY 1, 2, 3 HAVING count(DISTINCT step) = 4")
 def daily_fold(spark, sf_dir):
-    """Days of a variable that have all four steps."""
-    return _folded(fields.daily_fold(field(spark, sf_dir), ["variable"]), "variable")
+    """Whole days of each member, of the variables that a store takes."""
+    return _folded(fields.daily_fold(field(spark, sf_dir).where("variable <> 'error'"), ["member", "variable"]), "member", "variable")
 
 
 @query(f"WITH {FIELD} SELECT member, variable, (floor((step - 1) / 4))::BIGINT AS day, count(DISTINCT step) AS steps, {_FOLDS} FROM field GROUP BY 1, 2, 3 HAVING count(DISTINCT step) = 4")
@@ -62,10 +62,11 @@ def normalized_values(spark, sf_dir):
     return fields.normalize(f, fields.statistics(f)).where(~F.isnan("value")).select("event_id", "variable", *_rounded("value"))
 
 
-@query(f"""WITH {FIELD}, r AS (SELECT event_id, member, variable, value - lag(value) OVER (PARTITION BY member, variable ORDER BY step, event_id) AS residual FROM field)
+@query(f"""WITH {FIELD}, r AS (SELECT event_id, member, variable, value - lag(value) OVER (PARTITION BY member, variable, lat ORDER BY step, event_id) AS residual FROM field)
 SELECT event_id, member, variable, round(residual, 6) AS residual FROM r WHERE residual IS NOT NULL AND NOT isnan(residual)""")
 def residuals(spark, sf_dir):
-    before = F.lag("value").over(W.partitionBy("member", "variable").orderBy("step", "event_id"))
+    """Differences along the steps of a member, variable and band of latitude."""
+    before = F.lag("value").over(W.partitionBy("member", "variable", "lat").orderBy("step", "event_id"))
     rows = field(spark, sf_dir).withColumn("residual", F.col("value") - before)
     return rows.where(F.col("residual").isNotNull() & ~F.isnan("residual")).select("event_id", "member", "variable", *_rounded("residual"))
 
@@ -318,8 +319,9 @@ def init_calendar(spark, sf_dir):
 
 @query("SELECT o_custkey % 50 AS member, round(quantile_cont(o_totalprice, 0.1), 4) AS p10, round(quantile_cont(o_totalprice, 0.9), 4) AS p90 FROM orders GROUP BY 1")
 def member_percentiles(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 50).alias("member"))
-    return rows.agg(F.round(F.percentile("o_totalprice", F.lit(0.1)), 4).alias("p10"), F.round(F.percentile("o_totalprice", F.lit(0.9)), 4).alias("p90"))
+    """Quantiles from counts of equal values over sorted ranges."""
+    rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("member"), "o_totalprice")
+    return ordering.quantiles(rows, "member", "o_totalprice", {"p10": 0.1, "p90": 0.9}).select("member", F.round("p10", 4).alias("p10"), F.round("p90", 4).alias("p90"))
 
 
 # ------------------------------------------------------------------ streams

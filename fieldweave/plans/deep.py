@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import noise
-from ..operators import fields, graphs, intervals, models
+from ..operators import cyclones, fields, graphs, intervals, models, spheres
 from ..sources import chunks
 from ..sources.tables import shared_folder, ship
-from ..sources.views import FIELD, FIXES, field, field_of, fixes, table
+from ..sources.views import FIELD, FIXES, STORMS, field, field_of, fixes, micros, storms, table
 from ..streaming import daily
 from .composed import _sampler_sql
 from .registry import query
@@ -140,3 +140,47 @@ def chunk_box(spark, sf_dir):
     first = rows.agg(F.min("step")).first()[0]
     chunks.write_chunks(rows.select("event_id", "member", "step", "lat", "value"), path, {"member": 2, "step": 16}, {"member": 4, "step": 64})
     return chunks.read_chunks(spark, path).where(F.col("member").between(2, 4) & (F.col("step") >= (first or 0) + 30) & ~F.isnan("value"))
+
+
+@query(f"""WITH {FIELD}, have AS (SELECT DISTINCT variable, step FROM field WHERE member = 3), inits AS (SELECT DISTINCT step AS init FROM field WHERE step % 2 = 0), ends AS (SELECT max(step) - 8 AS final FROM field),
+need AS (SELECT init, v AS variable, init - d AS step FROM inits, (VALUES ('view'), ('click'), ('signup')) t(v), (VALUES (0), (1)) u(d))
+SELECT init, variable, step, 'missing' AS reason FROM need ANTI JOIN have USING (variable, step)
+UNION ALL SELECT init, 'orography', -1, 'missing' FROM inits UNION ALL SELECT init, '', -1, 'preliminary' FROM inits, ends WHERE init > final""")
+def missing_inputs(spark, sf_dir):
+    """What one member's record lacks for each initial time: frames, a static variable, the final form of the last two days."""
+    rows = field(spark, sf_dir)
+    inits = rows.where(F.col("step") % 2 == 0).select(F.col("step").alias("init"))
+    last = rows.agg(F.max("step")).first()[0] or 0
+    return fields.missing_inputs(rows.where("member = 3"), inits, ["view", "click", "signup"], statics=("orography",), last=last, final=last - 8).select("init", F.coalesce("variable", F.lit("")).alias("variable"), F.coalesce("step", F.lit(-1)).alias("step"), "reason")
+
+
+_YEARS = "(epoch_us(ts) / 1000000.0 / (365.24219 * 86400))"
+
+
+@query(f"""SELECT event_id, value AS day_progress, round({_YEARS} - floor({_YEARS}), 6) AS year_progress, round(sin(2 * pi() * {_YEARS}), 6) + 0.0 AS year_progress_sin, round(cos(2 * pi() * {_YEARS}), 6) + 0.0 AS year_progress_cos FROM events""")
+def derived_progress(spark, sf_dir):
+    """Variables that derive from time, where they are wanted and not there."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("value").alias("day_progress"), (micros(F.col("ts")) / 1e6).alias("_seconds"), F.lit(0.0).alias("_lon"))
+    wanted = ["day_progress", "year_progress", "year_progress_sin", "year_progress_cos", "value"]
+    out = fields.with_derived(rows, wanted, F.col("_seconds"), F.col("_lon"))
+    return out.select("event_id", "day_progress", *[(F.round(c, 6) + 0.0).alias(c) for c in wanted[1:4]])
+
+
+@query(f"""WITH {FIXES}, grid AS (SELECT r * 10.0 - 90 AS cell_lat, c * 10.0 AS cell_lon FROM range(0, 19) a(r), range(0, 36) b(c)),
+n AS (SELECT round((lat + 90) / 10) * 10 - 90 AS cell_lat, (round(lon / 10) * 10) % 360 AS cell_lon, count(*) AS n FROM fixes GROUP BY 1, 2)
+SELECT cell_lat, cell_lon, coalesce(n, 0) AS fixes FROM grid LEFT JOIN n USING (cell_lat, cell_lon)""")
+def fixes_of_cells(spark, sf_dir):
+    """How many fixes each cell of a whole grid has, empty cells among them."""
+    near = fixes(spark, sf_dir).groupBy((F.round((F.col("lat") + 90) / 10) * 10 - 90).alias("cell_lat"), (F.round(F.col("lon") / 10) * 10 % 360).alias("cell_lon")).agg(F.count(F.lit(1)).alias("n"))
+    return spheres.grid_cells(spark, 10.0).join(near, ["cell_lat", "cell_lon"], "left").select("cell_lat", "cell_lon", F.coalesce("n", F.lit(0)).alias("fixes"))
+
+
+def _falls(strong: str, weak: str) -> str:
+    return " AND ".join(f"coalesce({strong}[{i}] <= {weak}[{i}], true)" for i in (1, 2, 3, 4))
+
+
+@query(f"""WITH {STORMS} SELECT sid, fix, {_falls("r64", "r50")} AND {_falls("r50", "r34")} AND {_falls("r64", "r34")}
+  AND {" AND ".join(f"coalesce(wind_a < {t} OR rmw <= list_max({r}), true)" for r, t in (("r64", 64), ("r50", 50), ("r34", 34)))} AS radii_agree FROM storms""")
+def checked_radii(spark, sf_dir):
+    """Whether storms obey physics as they are; many do not."""
+    return cyclones.checked(storms(spark, sf_dir)).select("sid", "fix", "radii_agree")
