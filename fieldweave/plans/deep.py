@@ -166,7 +166,7 @@ def derived_progress(spark, sf_dir):
     return out.select("event_id", "day_progress", *[(F.round(c, 6) + 0.0).alias(c) for c in wanted[1:4]])
 
 
-@query(f"""WITH {FIXES}, grid AS (SELECT r * 10.0 - 90 AS cell_lat, c * 10.0 AS cell_lon FROM range(0, 19) a(r), range(0, 36) b(c)),
+@query(f"""WITH {FIXES}, grid AS (SELECT (r * 10 - 90)::DOUBLE AS cell_lat, (c * 10)::DOUBLE AS cell_lon FROM range(0, 19) a(r), range(0, 36) b(c)),
 n AS (SELECT round((lat + 90) / 10) * 10 - 90 AS cell_lat, (round(lon / 10) * 10) % 360 AS cell_lon, count(*) AS n FROM fixes GROUP BY 1, 2)
 SELECT cell_lat, cell_lon, coalesce(n, 0) AS fixes FROM grid LEFT JOIN n USING (cell_lat, cell_lon)""")
 def fixes_of_cells(spark, sf_dir):

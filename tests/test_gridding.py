@@ -123,7 +123,7 @@ def test_solver_of_second_order(spark):
             x = after / now * x + (1 - after / now) * denoise(middle / now * x + (1 - middle / now) * clean, middle)
         else:
             x = clean
-    assert fields.sampled(spark.createDataFrame([(7.0,)], "x double"), "x", levels, denoise).first()["sample"] == pytest.approx(x)
+    assert fields.sampled(spark.createDataFrame([(7.0,)], "x double"), levels, denoise, "x").first()["sample"] == pytest.approx(x)
 
 
 def test_graphs_of_a_model(spark):

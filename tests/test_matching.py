@@ -5,6 +5,7 @@ from itertools import permutations
 import numpy as np
 import pytest
 
+from fieldweave.operators import matching
 from fieldweave.operators.cyclones import matched
 from fieldweave.operators.matching import auction
 from fieldweave.plans.catalogue import QUERIES
@@ -54,8 +55,9 @@ def test_query(spark):
 
 
 @pytest.mark.parametrize("block", [1 << 18, 60])
-def test_auctions_save_as_much_as_whole_steps(spark, block):
+def test_auctions_save_as_much_as_whole_steps(spark, monkeypatch, block):
     """The savings of all pairs of a step, settled by one block or in rounds of several, against one dense matrix of the step."""
+    monkeypatch.setattr(matching, "FINER", 8 if block > 1000 else 200)  # fewer rounds
     draw = np.random.default_rng(4)
     rows = lambda seed: [(s, i, float(draw.uniform(-25, 25)), float(draw.uniform(0, 60) % 360)) for s in range(3) for i in range(40)]
     a, b = rows(1), rows(2)
@@ -72,8 +74,9 @@ def test_auctions_save_as_much_as_whole_steps(spark, block):
 
 
 @pytest.mark.parametrize("block, unit", [(1 << 18, 1), (150, 500)])
-def test_ties_and_price_wars(spark, block, unit):
+def test_ties_and_price_wars(spark, monkeypatch, block, unit):
     """Many who want the same few, at equal and at almost equal distances."""
+    monkeypatch.setattr(matching, "FINER", 8 if block > 1000 else 200)
     rng = np.random.default_rng(7)
     groups = {0: np.full((9, 4), 1000), 1: rng.integers(0, 3, (12, 12)) * 300, 2: rng.integers(0, 100_000, (15, 6)), 3: np.array([[5]]), 4: np.add.outer(np.arange(10), np.arange(10)) * 10}
     groups, most = {g: cost // unit for g, cost in groups.items() if unit == 1 or g in (0, 2, 3)}, 100_000 // unit
