@@ -9,7 +9,7 @@ from ..functions import geo
 from ..operators import cyclones, fields, graphs, ordering
 from ..sources.views import FIELD, FIXES, POINTS, STORMS, field, fixes, points, storms, table
 from ..streaming import daily
-from . import campaign, composed, deep, geometry, gridded, orders, records, tracks  # noqa: F401  (all but the first list queries of their own)
+from . import campaign, composed, deep, forecasts, geometry, gridded, orders, records, tracks  # noqa: F401  (all but the first list queries of their own)
 from .registry import ORACLES, QUERIES, query
 
 
