@@ -178,6 +178,17 @@ class Run:
 _CELL, _HEADER, _KNOWN = 2, 0, 1
 
 
+def frame_of(cells: pd.DataFrame, scalars: list[str], n: int) -> Frame:
+    """The frame of cells with p > 0, of n cells in all."""
+    values = cells[scalars].to_numpy(np.float64).T.reshape(len(scalars), len(cells))
+    return Frame(*[cells[c].to_numpy(np.float64) for c in ("lat", "lon", "p")], values, n)
+
+
+def centres_of(known: pd.DataFrame, scalars: list[str]) -> list[Centre]:
+    """Centres that are given, in order of their tracks."""
+    return [Centre(r.track, r.lat, r.lon, None if pd.isna(r.was_lat) else (r.was_lat, r.was_lon), 1.0, np.array([getattr(r, c) for c in scalars], float)) for r in known.sort_values("track").itertuples()]
+
+
 def _folded(batches: Iterator[pd.DataFrame], s: Settings, every: int, scalars: list[str]) -> Iterator[pd.DataFrame]:
     """Walks through rows sorted by run, step and kind; a frame is complete when the next one begins."""
     key, run, parts = None, None, []
@@ -188,11 +199,8 @@ def _folded(batches: Iterator[pd.DataFrame], s: Settings, every: int, scalars: l
     def closed() -> list[tuple]:
         whole = pd.concat(parts) if len(parts) > 1 else parts[0]
         kind = whole["kind"].to_numpy()
-        cells, known = whole[kind == _CELL], whole[kind == _KNOWN]
-        values = cells[scalars].to_numpy(np.float64).T.reshape(len(scalars), len(cells))
-        frame = Frame(*[cells[c].to_numpy(np.float64) for c in ("lat", "lon", "p")], values, int(whole["p"].to_numpy()[kind == _HEADER].sum()))
-        there = [Centre(r.track, r.lat, r.lon, None if pd.isna(r.was_lat) else (r.was_lat, r.was_lon), 1.0, np.array([getattr(r, c) for c in scalars], float)) for r in known.sort_values("track").itertuples()]
-        return rows(key[0], run.advance(int(key[1]), frame, there))
+        frame = frame_of(whole[kind == _CELL], scalars, int(whole["p"].to_numpy()[kind == _HEADER].sum()))
+        return rows(key[0], run.advance(int(key[1]), frame, centres_of(whole[kind == _KNOWN], scalars)))
 
     names = ["run", "track", "step", "lat", "lon", "existence", "merged_into", *scalars]
     for pdf in batches:
@@ -241,8 +249,13 @@ def track(grid: DataFrame, initial: DataFrame | None = None, settings: Settings
     ordered = rows.repartition("run").sortWithinPartitions("run", "step", "kind")
     schema = f"run {run_type}, track string, step long, lat double, lon double, existence double, merged_into string" + "".join(f", `{c}` double" for c in values)
     found = ordered.mapInPandas(lambda batches: _folded(batches, settings, every, values), schema)
+    return lasting(found, settings)
+
+
+def lasting(tracks: DataFrame, settings: Settings) -> DataFrame:
+    """tracks without new ones of `least_steps` or fewer steps."""
     length = F.count(F.lit(1)).over(W.partitionBy("run", "track"))
-    return found.withColumn("_length", length).where(~F.col("track").startswith("cyclogenesis_") | (F.col("_length") > settings.least_steps)).drop("_length")
+    return tracks.withColumn("_length", length).where(~F.col("track").startswith("cyclogenesis_") | (F.col("_length") > settings.least_steps)).drop("_length")
 
 
 def consistent(tracks: DataFrame, wind: str = "wind", mode: str = "clip_rmw") -> DataFrame:

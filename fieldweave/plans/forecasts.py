@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import shared_folder
 from ..sources.views import DAY_US, micros, table
-from ..streaming import forecast
+from ..streaming import forecast, tracks
+from .geometry import SCALARS, TRACKING, _tracking_grid
 from .registry import query
 
 #: Days of a frame of the record, and the leads of its forecast.
@@ -49,3 +50,16 @@ def whole_forecast(spark, sf_dir):
     forecast.Forecast(task, {"first": _first, "second": _second}, 3, group=2).run(record, init, "2024-01-31 00:00:00", LEADS, path)
     out = forecast.published(spark, path)
     return out.select("member", "site", "variable", "step", F.date_format("valid", "yyyy-MM-dd HH:mm:ss").alias("valid"), "model", F.round("value", 6).alias("value"))
+
+
+@query()
+def streamed_tracks(spark, sf_dir):
+    """The tracks of `tracked_cyclones` from a stream whose files bring the frames' cells in no order; scalars as they are."""
+    folder = shared_folder(spark, "frames")
+    frames = tracks.framed(_tracking_grid(spark, sf_dir), None, list(SCALARS))
+    frames.repartition(8, F.xxhash64("cell_lat", "cell_lon", "step")).write.parquet(folder)
+    stream = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", 3).parquet(folder)
+    store = tracks.TrackStore(spark, shared_folder(spark, "tracks"), TRACKING, list(SCALARS))
+    store.run(stream)
+    names = ("lat", "lon", *SCALARS)
+    return store.tracks().select("run", "track", "step", F.round("existence", 6).alias("existence"), "merged_into", *[(F.round(c, 4) + 0.0).alias(c) for c in names])
