@@ -61,6 +61,13 @@ def quadrant(lat: Column, lon: Column, centre_lat: Column, centre_lon: Column) -
     return F.when(east & north, 1).when(east, 2).when(~north, 3).otherwise(4)
 
 
+def in_quadrants(lat: Column, lon: Column, centre_lat: Column, centre_lon: Column, radii: Column, margin_km: float = 0.0) -> Column:
+    """Whether a place is nearer to the centre than the radius (NE, SE, SW, NW) of the quadrant that it lies in, and a margin.
+    A place at just that distance is outside, and so is all of a quadrant whose radius is unknown."""
+    reach = F.element_at(radii, quadrant(lat, lon, centre_lat, centre_lon))
+    return F.coalesce((distance_km(centre_lat, centre_lon, lat, lon) < reach + margin_km) & ~F.isnan(reach), F.lit(False))
+
+
 def grid_cells(spark: SparkSession, cell: float) -> DataFrame:
     """(cell_lat, cell_lon) of the whole grid of `cell` degrees, poles and longitude 0 on it; made where it is used."""
     bands, columns = int(180 / cell) + 1, int(360 / cell)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import cyclones
+from ..operators import besttracks, cyclones, spheres
 from ..sources.views import FIXES, STORMS, fixes, storms, table
 from .registry import query
 
@@ -29,11 +30,10 @@ def best_track_rows(spark, sf_dir):
 @query("""WITH l AS (SELECT CASE o_orderkey % 3 WHEN 0 THEN '# ' || strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN '  ' || strftime(o_orderdate, '%Y-%m-%d') || ' # ' || o_orderpriority ELSE strftime(o_orderdate, '%Y-%m-%d') END AS line FROM orders)
 SELECT DISTINCT trim(split_part(line, '#', 1)) AS init FROM l WHERE trim(split_part(line, '#', 1)) <> ''""")
 def init_lines(spark, sf_dir):
-    """Dates of a file of lines with comments: distinct, those that are no dates as null left out."""
+    """Dates of a file of lines with comments: distinct."""
     day, k = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderkey") % 3
     lines = table(spark, sf_dir, "orders").select(F.when(k == 0, F.concat(F.lit("# "), day)).when(k == 1, F.concat(F.lit("  "), day, F.lit(" # "), "o_orderpriority")).otherwise(day).alias("line"))
-    init = F.try_to_date(F.trim(F.element_at(F.split("line", "#"), 1)), "yyyy-MM-dd")
-    return lines.select(F.date_format(init, "yyyy-MM-dd").alias("init")).where("init is not null").distinct()
+    return besttracks.init_times(lines, "line").select(F.date_format("init", "yyyy-MM-dd").alias("init"))
 
 
 @query("""WITH v AS (SELECT lower(n_name) || '_' || s AS v, s FROM nation, (SELECT unnest(['lat', 'lon', 'wind', 'pres', 'rmw']) AS s))
@@ -99,3 +99,58 @@ def flat_points(spark, sf_dir):
     rest = F.pmod(F.col("step") * 6.0, F.lit(24.0))
     whole = (F.abs(rest) <= 1e-9) | (F.abs(rest - 24) <= 1e-9)
     return fixes(spark, sf_dir).select("track_id", "step", (row * 360 + column).alias("point"), (column * 181 + row).alias("point_by_lon"), whole.alias("whole_day"))
+
+
+_NUMBER = "CASE WHEN isnan(try_cast(trim({0}) AS DOUBLE)) THEN NULL ELSE try_cast(trim({0}) AS DOUBLE) END"
+_QUADRANTS = ", ".join(f"CASE WHEN l_linenumber % 5 >= {i + 1} OR l_linenumber % 5 = 0 THEN ((l_quantity + {i + k})::INT) / {besttracks.NAUTICAL_PER_KM} END AS r{t}_{q}_km" for k, t in enumerate(besttracks.THRESHOLDS) for i, q in enumerate(besttracks.QUADRANT_NAMES))
+
+
+@query(f"""WITH o AS (SELECT *, l_shipdate::TIMESTAMP + to_hours(((l_linenumber * 3 + l_orderkey) % 24)::INT) AS t, CASE l_partkey % 5 WHEN 0 THEN ' ' WHEN 1 THEN 'NaN' ELSE ' ' || (l_partkey % 90) || '.5 ' END AS lat_text,
+  CASE l_suppkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'n/a' ELSE (l_quantity::INT)::VARCHAR END AS wind_text FROM lineitem)
+SELECT 'S' || l_orderkey AS track_id, strftime(t, '%Y-%m-%d %H') AS time, {_NUMBER.format('lat_text')} AS lat, ((l_partkey % 360)::DOUBLE + 180) % 360 AS lon, {_NUMBER.format('wind_text')} AS wind,
+  CASE WHEN l_suppkey % 7 <> 0 THEN round(l_suppkey / {besttracks.NAUTICAL_PER_KM}, 6) END AS rmw_km, {_QUADRANTS} FROM o WHERE year(t) IN (1995, 1996) AND hour(t) IN (0, 6, 12, 18) AND l_partkey % 5 > 1""")
+def converted_storms(spark, sf_dir):
+    """Storms as raw nested records, with bytes, blanks and NaN, as rows of two years."""
+    hour = (F.col("l_linenumber") * 3 + F.col("l_orderkey")) % 24
+    at = F.col("l_shipdate").cast("timestamp_ntz") + F.make_dt_interval(hours=hour.cast("int"))
+    part, supplier, size = F.col("l_partkey") % 5, F.col("l_suppkey") % 4, F.col("l_quantity").cast("int")
+    lat = F.when(part == 0, " ").when(part == 1, "NaN").otherwise(F.concat(F.lit(" "), (F.col("l_partkey") % 90).cast("string"), F.lit(".5 ")))
+    wind = F.when(supplier == 0, "").when(supplier == 1, "n/a").otherwise(size.cast("string")).cast("binary")
+    there = F.when(F.col("l_linenumber") % 5 == 0, 4).otherwise(F.col("l_linenumber") % 5)  # how many radii a record holds
+    radii = [F.slice(F.array(*[(F.col("l_quantity") + i + k).cast("int").cast("string") for i in range(4)]), F.lit(1), there).alias(f"r{t}") for k, t in enumerate(besttracks.THRESHOLDS)]
+    rmw = F.when(F.col("l_suppkey") % 7 == 0, float("nan")).otherwise(F.col("l_suppkey").cast("double"))
+    fix = F.struct(at.alias("time"), lat.alias("lat"), ((F.col("l_partkey") % 360).cast("double") - 180).alias("lon"), F.lit(1000.0).alias("pressure"), wind.alias("wind"), rmw.alias("rmw"), *radii)
+    nested = table(spark, sf_dir, "lineitem").groupBy(F.concat(F.lit("S"), F.col("l_orderkey")).cast("binary").alias("sid")).agg(F.collect_list(fix).alias("fixes"))  # a storm has few fixes
+    found = besttracks.converted(nested, [1995, 1996])
+    return found.select("track_id", F.date_format("time", "yyyy-MM-dd HH").alias("time"), "lat", "lon", "wind", F.round("rmw_km", 6).alias("rmw_km"), *[f"r{t}_{q}_km" for t in besttracks.THRESHOLDS for q in besttracks.QUADRANT_NAMES])
+
+
+@query("""WITH v AS (SELECT 'existence' AS kind, NULL AS variable UNION ALL SELECT 'existence', lower(n_name) FROM nation UNION ALL SELECT k, lower(n_name) || '_r' || t FROM nation, (VALUES ('scalar'), ('shape')) a(k), (VALUES (34), (50), (64)) b(t)
+  UNION ALL SELECT 'category', lower(n_name) || '_cat' FROM nation),
+s AS (SELECT * FROM (VALUES ('existence', 'exists_sparse'), ('existence', 'exists_disc'), ('existence', 'exists_gaussian_unit_mode'), ('existence', 'exists_gaussian_probability'), ('scalar', 'sparse'), ('scalar', 'disc'), ('category', 'sparse'), ('category', 'disc'), ('shape', 'shape')) t(kind, suffix))
+SELECT DISTINCT 'cyclone_' || coalesce(variable || '_', '') || suffix AS name FROM v JOIN s USING (kind)""")
+def gridded_names(spark, sf_dir):
+    """Names on a grid of agencies' existence, radii of thresholds, shapes and categories."""
+    agency = F.lower("n_name")
+    nations = table(spark, sf_dir, "nation")
+    many = nations.select(F.explode(F.array(F.lit("scalar"), F.lit("shape"))).alias("kind"), agency.alias("a")).select("kind", "a", F.explode(F.array(*map(F.lit, besttracks.THRESHOLDS))).alias("t"))
+    listed = many.select("kind", F.concat("a", F.lit("_r"), F.col("t").cast("string")).alias("variable"))
+    for kind, name in (("existence", agency), ("category", F.concat(agency, F.lit("_cat")))):
+        listed = listed.unionByName(nations.select(F.lit(kind).alias("kind"), name.alias("variable")))
+    return besttracks.gridded_names(listed.unionByName(spark.range(1).select(F.lit("existence").alias("kind"), F.lit(None).cast("string").alias("variable"))))
+
+
+_BETWEEN = geo.DISTANCE.format(lat0="lat0", lon0="lon0", lat1="lat", lon1="lon")
+_EAST = "((lon - lon0 >= 0 AND lon - lon0 < 180) OR lon - lon0 < -180)"
+
+
+@query(f"""WITH {FIXES}, p AS (SELECT *, lag(lat) OVER w AS lat0, lag(lon) OVER w AS lon0, lag(wind) OVER w AS w0 FROM fixes WINDOW w AS (PARTITION BY track_id ORDER BY step)),
+r AS (SELECT *, {_BETWEEN} AS km, CASE WHEN {_EAST} AND lat >= lat0 THEN w0 * 20 WHEN {_EAST} THEN w0 * 10 WHEN lat < lat0 THEN w0 * 40 END AS radius FROM p WHERE lat0 IS NOT NULL)
+SELECT track_id, step, coalesce(km < radius, false) AS inside, coalesce(km < radius + 200, false) AS with_margin FROM r""")
+def fixes_in_quadrants(spark, sf_dir):
+    """Whether a track's next fix lies in the quadrants of the one before, whose north-western radius is unknown."""
+    track = W.partitionBy("track_id").orderBy("step")
+    rows = fixes(spark, sf_dir).withColumns({f"{c}0": F.lag(c).over(track) for c in ("lat", "lon", "wind")}).where("lat0 is not null")
+    radii = F.array(*[F.col("wind0") * share for share in (20.0, 10.0, 40.0)], F.lit(None).cast("double"))
+    inside = lambda margin: spheres.in_quadrants(F.col("lat"), F.col("lon"), F.col("lat0"), F.col("lon0"), radii, margin)
+    return rows.select("track_id", "step", inside(0.0).alias("inside"), inside(200.0).alias("with_margin"))
