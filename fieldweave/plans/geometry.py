@@ -29,11 +29,15 @@ _RAD = "radians({})".format
 _YEAR = solar.JULIAN_YEAR
 
 
-@query(f"""WITH e AS (SELECT event_id, radians(user_id * 37 % 181 - 90) AS a, radians(event_id * 53 % 360) AS b, epoch_us(ts) / 8.64e10 + (2440587.5 - 2451545.0) AS day FROM events),
+_ORBIT, _ANOMALY, _MEAN = (f"{a} + {b} * d / {_YEAR}" for a, b in (solar.ORBIT_ANGLE, solar.ANOMALY, solar.MEAN_LONGITUDE))
+_L, _E, _AU = solar.TRUE_LONGITUDE, solar.TIME_EQUATION, solar.DISTANCE_AU
+
+
+@query(f"""WITH e AS (SELECT event_id, radians(user_id * 37 % 181 - 90) AS a, radians(event_id * 53 % 360) AS b, epoch_us(ts) / 8.64e10 + ({solar.UNIX_JULIAN} - {solar.J2000_JULIAN}) AS day FROM events),
 s AS (SELECT *, day + (i - 360) / 24.0 / 360 AS d, CASE WHEN i IN (0, 360) THEN 0.5 ELSE 1.0 END AS w FROM e, range(0, 361) t(i)),
-o AS (SELECT *, 1.7535 + 6.283076 * d / {_YEAR} AS orbit, 6.240041 + 6.283020 * d / {_YEAR} AS anomaly, 4.8951 + 6.283076 * d / {_YEAR} AS mean FROM s),
-q AS (SELECT *, sin(0.409093) * sin(4.8952 + 6.283320 * d / {_YEAR} - 0.0075 * sin(orbit) - 0.0326 * cos(orbit) - 0.0003 * sin(2 * orbit) + 0.0002 * cos(2 * orbit)) AS decl,
-591.8 * sin(2 * mean) - 459.4 * sin(anomaly) + 39.5 * sin(anomaly) * cos(2 * mean) - 12.7 * sin(4 * mean) - 4.8 * sin(2 * anomaly) AS eq, 1.0001 - 0.0163 * sin(orbit) + 0.0037 * cos(orbit) AS au FROM o)
+o AS (SELECT *, {_ORBIT} AS orbit, {_ANOMALY} AS anomaly, {_MEAN} AS mean FROM s),
+q AS (SELECT *, sin({solar.OBLIQUITY}) * sin({_L[0]} + {_L[1]} * d / {_YEAR} + {_L[2]} * sin(orbit) + {_L[3]} * cos(orbit) + {_L[4]} * sin(2 * orbit) + {_L[5]} * cos(2 * orbit)) AS decl,
+{_E[0]} * sin(2 * mean) + {_E[1]} * sin(anomaly) + {_E[2]} * sin(anomaly) * cos(2 * mean) + {_E[3]} * sin(4 * mean) + {_E[4]} * sin(2 * anomaly) AS eq, {_AU[0]} + {_AU[1]} * sin(orbit) + {_AU[2]} * cos(orbit) AS au FROM o)
 SELECT event_id, round(sum(w * 1361.0 / (au * au) * greatest(0.0, cos(a) * sqrt(1 - decl * decl) * cos(2 * pi() * (d - floor(d) + eq / 86400) + b) + sin(a) * decl)) * 10 / 1000, 3) AS kilojoules FROM q GROUP BY 1""")
 def solar_radiation(spark, sf_dir):
     ship(spark)
