@@ -13,7 +13,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geo import latlon
+from ..sources.tables import kept
 from .graphs import face_edges, within_radius
+from .ordering import numbered
+from .spheres import edge_features
 
 
 def icosahedron() -> tuple[np.ndarray, np.ndarray]:
@@ -110,6 +114,38 @@ def model_graphs(points: DataFrame, splits: int, share: float = 0.6, meshes: str
     }
 
 
+#: The sets of nodes that each graph of a model runs between.
+ENDS = {"grid2mesh": ("grid", "mesh"), "mesh": ("mesh", "mesh"), "mesh2grid": ("mesh", "grid")}
+
+
+def featured_graphs(points: DataFrame, splits: int, share: float = 0.6, meshes: str = "all", multiple: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Nodes and edges of the three graphs of `model_graphs`, with the features that a model starts from.
+
+    Nodes: set (`grid`, a point's vec_id, or `mesh`, a vertex), node, features (the cosine of the angle to the north pole, and
+    cosine and sine of the longitude). Edges: graph, slot, sender, receiver, features (length and position of the sender in the
+    receiver's frame, as shares of the graph's longest edge). Slots run from 0 by receiver, then sender, and are filled up to
+    a multiple with edges from -1 to -1 without length. Positions of vertices are broadcast (10 * 4 ** splits + 2 rows)."""
+    spark = points.sparkSession
+    lat, lon = latlon(F.col("x"), F.col("y"), F.col("z"))
+    placed = {"grid": points, "mesh": vertex_table(spark, splits)}
+    nodes = {name: rows.select(F.col("vec_id").cast("long").alias("node"), lat.alias("lat"), lon.alias("lon")) for name, rows in placed.items()}
+    features = F.array(F.sin(F.radians("lat")), F.cos(F.radians("lon")), F.sin(F.radians("lon")))
+    all_nodes = [rows.select(F.lit(name).alias("set"), "node", features.alias("features")) for name, rows in nodes.items()]
+    all_edges = []
+    for graph, edges in model_graphs(points, splits, share, meshes).items():
+        for end, of in zip(("sender", "receiver"), ENDS[graph], strict=True):
+            at = nodes[of].select(F.col("node").alias(end), F.col("lat").alias(f"{end[0]}_lat"), F.col("lon").alias(f"{end[0]}_lon"))
+            edges = edges.join(F.broadcast(at) if of == "mesh" else at, end)
+        ordered = numbered(kept(edge_features(kept(edges))), ["receiver", "sender"], "slot")
+        found = ordered.select("slot", "sender", "receiver", F.array("length", "dx", "dy", "dz").alias("features"))
+        n = found.agg(F.count(F.lit(1)).alias("n"))
+        fill = n.select(F.explode(F.when(F.col("n") % multiple > 0, F.sequence(F.col("n"), F.ceil(F.col("n") / multiple) * multiple - 1))).alias("slot"))
+        minus, nothing = F.lit(-1).cast("long"), F.array(*[F.lit(0.0)] * 4)
+        whole = found.unionByName(fill.select("slot", minus.alias("sender"), minus.alias("receiver"), nothing.alias("features")))
+        all_edges.append(whole.select(F.lit(graph).alias("graph"), "slot", "sender", "receiver", "features"))
+    return all_nodes[0].unionByName(all_nodes[1]), all_edges[0].unionByName(all_edges[1]).unionByName(all_edges[2])
+
+
 def longest_edge(splits: int) -> float:
     vertices, levels = hierarchy(splits)
     f = levels[-1]

@@ -194,6 +194,14 @@ def grid_to_mesh(spark, sf_dir):
     return found["grid2mesh"].select(F.lit("grid2mesh").alias("graph"), "sender", "receiver").unionByName(found["mesh2grid"].select(F.lit("mesh2grid").alias("graph"), "sender", "receiver"))
 
 
+@query()
+def featured_edges(spark, sf_dir):
+    """The edges of a model's three graphs over the points and a mesh of two splits, by receiver, with their features, padded to 64s."""
+    _, edges = meshes.featured_graphs(points(spark, sf_dir), 2, multiple=64)
+    parts = [(F.round(F.col("features")[i], 6) + 0.0).alias(c) for i, c in enumerate(("length", "dx", "dy", "dz"))]
+    return edges.select("graph", "slot", "sender", "receiver", *parts)
+
+
 @query(f"WITH {FIELD} SELECT member, variable, (floor((step - 1) / 4))::BIGINT AS day, count(DISTINCT step) AS steps, round(avg(value), 6) AS daily_mean, round(max(value), 6) AS daily_greatest FROM field WHERE NOT isnan(value) GROUP BY 1, 2, 3 HAVING count(DISTINCT step) = 4")
 def stored_forecast(spark, sf_dir):
     """Members written in groups of two into a store, published, and its daily folds read."""

@@ -265,17 +265,17 @@ def shard_index(spark, sf_dir):
     return fields.shard_index(rows, "variable", "event_id", "size", 50, 250)
 
 
-# Bytes of one field on a grid of a quarter degree, and the published seconds of a start, a checkpoint and a step
-# of a group of members.
+# Bytes of one field on a grid of a quarter degree, and the published seconds of a start, of an init outside its
+# rollout, and of one step of a group of members.
 FIELD_BYTES = 721 * 1440 * 4
-START_SECONDS, CHECKPOINT_SECONDS, STEP_SECONDS = 260, 80, 3.73
+START_SECONDS, INIT_SECONDS, STEP_SECONDS = 260, 80, 3.73
 
 
-@query(f"SELECT p_type AS variable, sum(p_size * {FIELD_BYTES}) AS store_bytes, {START_SECONDS} + count(*) * (sum(p_size) / 4.0 * {STEP_SECONDS} + {CHECKPOINT_SECONDS}) AS seconds FROM part GROUP BY 1")
+@query(f"SELECT p_type AS variable, sum(p_size * {FIELD_BYTES}) AS store_bytes, {START_SECONDS} + count(*) * (sum(p_size) / 4.0 * {STEP_SECONDS} + {INIT_SECONDS}) AS seconds FROM part GROUP BY 1")
 def store_sizes(spark, sf_dir):
     parts = table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("variable"))
     size = F.sum(F.col("p_size").cast("long") * FIELD_BYTES).cast("double")
-    return parts.agg(size.alias("store_bytes"), (START_SECONDS + F.count(F.lit(1)) * (F.sum("p_size") / 4.0 * STEP_SECONDS + CHECKPOINT_SECONDS)).alias("seconds"))
+    return parts.agg(size.alias("store_bytes"), (START_SECONDS + F.count(F.lit(1)) * (F.sum("p_size") / 4.0 * STEP_SECONDS + INIT_SECONDS)).alias("seconds"))
 
 
 @query("""WITH n AS (SELECT DISTINCT o_custkey AS run, (o_orderkey % 5 + 1)::INT AS k FROM orders), f AS (SELECT run, min(c)::INT AS free FROM (SELECT DISTINCT run FROM n) r, range(1, 7) t(c) WHERE NOT EXISTS (SELECT 1 FROM n m WHERE m.run = r.run AND m.k = c) GROUP BY 1)

@@ -63,3 +63,34 @@ def test_geodesics():
 
 def test_ellipsoid_is_near_the_sphere(spark):
     assert all(0 <= r["km"] < 20004 for r in QUERIES["ellipsoid_distances"](spark, SF).collect())
+
+
+def test_graphs_with_features(spark):
+    draw = np.random.default_rng(2).normal(size=(40, 3))
+    draw /= np.linalg.norm(draw, axis=1)[:, None]
+    points = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(draw)], "vec_id long, x double, y double, z double")
+    place = {"grid": draw, "mesh": meshes.hierarchy(1)[0]}
+    nodes, edges = meshes.featured_graphs(points, 1, multiple=16)
+    rows = nodes.collect()
+    assert len(rows) == 40 + len(place["mesh"])
+    for r in rows:
+        x, y, z = place[r["set"]][r["node"]]
+        assert np.allclose(r["features"], [z, *(np.array([x, y]) / max(np.hypot(x, y), 1e-300))], atol=1e-6) or np.hypot(x, y) < 1e-9
+    found = {}
+    for r in edges.collect():
+        found.setdefault(r["graph"], []).append(r)
+    graphs = meshes.model_graphs(points, 1)
+    for graph, rows in found.items():
+        rows.sort(key=lambda r: r["slot"])
+        want = sorted((r["receiver"], r["sender"]) for r in graphs[graph].collect())
+        assert [r["slot"] for r in rows] == list(range(-(-len(want) // 16) * 16))
+        assert [(r["receiver"], r["sender"]) for r in rows] == want + [(-1, -1)] * (len(rows) - len(want))
+        first, last = meshes.ENDS[graph]
+        ends = [(place[first][s], place[last][r]) for r, s in want]
+        longest = max(np.linalg.norm(a - b) for a, b in ends)
+        for r, (a, b) in zip(rows, ends, strict=False):
+            turn, up = np.arctan2(b[1], b[0]), np.arcsin(b[2])
+            flat = np.array([[np.cos(turn), np.sin(turn), 0], [-np.sin(turn), np.cos(turn), 0], [0, 0, 1]])
+            level = np.array([[np.cos(up), 0, np.sin(up)], [0, 1, 0], [-np.sin(up), 0, np.cos(up)]])
+            assert np.allclose(r["features"], [np.linalg.norm(a - b) / longest, *(level @ flat @ a - [1, 0, 0]) / longest], atol=1e-6)
+        assert all(r["features"] == [0.0] * 4 for r in rows[len(want) :]) and max(r["features"][0] for r in rows) == 1
