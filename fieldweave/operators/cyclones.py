@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import EARTH_KM, cartesian, distance_km, latlon
 from ..sources.tables import kept
 from .matching import BLOCK_OFFERS, auction
+from .neighbours import near_counts
 from .spheres import HALF_ROUND_KM, disc_cells
 
 THRESHOLDS = {"r64": 64.0, "r50": 50.0, "r34": 34.0}
@@ -173,13 +174,13 @@ def gaussian_raster(points: DataFrame, radius_km: float, cell: float, value: Col
 
 
 def nearby(fixes: DataFrame, radius_km: float) -> DataFrame:
-    """For each fix: how many other tracks' fixes of the same step lie within the radius, and whether one has more wind.
-
-    Fixes meet by step and cubes of space; only pairs that are near are looked at again."""
-    wind = lambda name: fixes.select("step", F.col("track_id").alias(name), F.col("wind").alias(f"_{name}"))
-    met = near_pairs(fixes, fixes, ["step"], radius_km).where("track_id <> match_id").join(wind("match_id"), ["step", "match_id"]).join(wind("track_id"), ["step", "track_id"])
-    counts = met.groupBy("track_id", "step").agg(F.bool_or(F.col("_match_id") > F.col("_track_id")).alias("outranked"), F.count(F.lit(1)).alias("nearby"))
-    return fixes.select("track_id", "step").join(counts, ["track_id", "step"], "left").select("track_id", "step", "outranked", F.coalesce("nearby", F.lit(0)).alias("nearby"))
+    """For each fix: how many other tracks' fixes of the same step lie within the radius, and whether one has more wind. A track
+    has one fix a step. Pairs are counted where they lie close (see `neighbours`), and no row is made for one."""
+    tracked = fixes.where("track_id IS NOT NULL AND step IS NOT NULL")
+    met = fixes.join(near_counts(tracked, ["step"], "wind", radius_km), ["step", "lat", "lon"], "left")
+    others = F.col("known") - F.col("wind").isNotNull().cast("long")
+    tracked_one = F.col("track_id").isNotNull()
+    return met.select("track_id", "step", F.when(tracked_one & F.col("wind").isNotNull() & (others > 0), F.col("top") > F.col("wind")).alias("outranked"), F.coalesce(F.when(tracked_one, F.col("near") - 1), F.lit(0)).alias("nearby"))
 
 
 def speeds_fall(pairs: Column) -> Column:

@@ -68,6 +68,30 @@ def in_quadrants(lat: Column, lon: Column, centre_lat: Column, centre_lon: Colum
     return F.coalesce((distance_km(centre_lat, centre_lon, lat, lon) < reach + margin_km) & ~F.isnan(reach), F.lit(False))
 
 
+def cube(lat: Column, lon: Column, side: float) -> dict[str, Column]:
+    """The cube of space that a place of the unit sphere lies in, as columns _cx, _cy, _cz."""
+    return {f"_c{n}": F.floor(c / side).cast("long") for n, c in zip("xyz", cartesian(lat, lon), strict=True)}
+
+
+def chord(km: float) -> float:
+    """The straight distance on the unit sphere of places that far apart."""
+    return 2 * math.sin(min(km / EARTH_KM, math.pi) / 2)
+
+
+def reached_cubes(rows: DataFrame, side: float, km: float) -> DataFrame:
+    """rows (lat, lon), once for each cube of that side that holds places of the sphere no farther than km. Cubes of several
+    times that reach leave few copies of a row; rows without a position reach none."""
+    most = chord(km) + 1e-9
+    out = rows.withColumns({f"_{n}": c for n, c in zip("xyz", cartesian(F.col("lat"), F.col("lon")), strict=True)})
+    for n in "xyz":
+        out = out.withColumn(f"_c{n}", F.explode(F.sequence(*[F.floor((F.col(f"_{n}") + d) / side).cast("long") for d in (-most, most)])))
+    low, zero = lambda n: F.col(f"_c{n}") * side, F.lit(0.0)
+    total = lambda part: sum((part(n) * part(n) for n in "xyz"), zero)
+    gap = total(lambda n: F.greatest(zero, low(n) - F.col(f"_{n}"), F.col(f"_{n}") - low(n) - side))
+    nearest, farthest = total(lambda n: F.greatest(zero, low(n), -low(n) - side)), total(lambda n: F.greatest(F.abs(low(n)), F.abs(low(n) + side)))
+    return out.where((gap <= most * most) & (nearest <= 1 + 1e-9) & (farthest >= 1 - 1e-9)).drop("_x", "_y", "_z")
+
+
 def grid_cells(spark: SparkSession, cell: float) -> DataFrame:
     """(cell_lat, cell_lon) of the whole grid of `cell` degrees, poles and longitude 0 on it; made where it is used."""
     bands, columns = int(180 / cell) + 1, int(360 / cell)
