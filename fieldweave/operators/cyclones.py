@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.geo import EARTH_KM, cartesian, distance_km, latlon
+from ..functions.geo import cartesian, distance_km, latlon
 from ..sources.tables import kept
 from .matching import BLOCK_OFFERS, auction
 from .neighbours import near_counts
-from .spheres import HALF_ROUND_KM, disc_cells
+from .spheres import HALF_ROUND_KM, chord, cube, disc_cells, reached_cubes
 
 THRESHOLDS = {"r64": 64.0, "r50": 50.0, "r34": 34.0}
 QUADRANTS = (1, 2, 3, 4)
@@ -237,36 +237,46 @@ def nan_tracks(tracks: DataFrame, columns: list[str], lead: str | None = None) -
 
 def compared(truth: DataFrame, found: DataFrame, most_km: float, scalars: list[str], tolerance: float) -> DataFrame:
     """By step: rows of both sets of tracks, truth's rows that have a row within most_km, and those among them of which one
-    such row agrees in all scalars within the tolerance. Rows meet by step and by cubes of space."""
-    side = most_km / EARTH_KM  # a chord is not longer than its arc
-    cube = lambda lat, lon: [F.floor(c / side).cast("long") for c in cartesian(F.col(lat), F.col(lon))]
-    here = truth.select(F.monotonically_increasing_id().alias("_row"), "step", "lat", "lon", *scalars)
-    for name, c in zip("xyz", cube("lat", "lon"), strict=True):
-        here = here.withColumn(f"_o{name}", c)
-    for name in "xyz":
-        here = here.withColumn(f"_c{name}", F.explode(F.sequence(F.col(f"_o{name}") - 1, F.col(f"_o{name}") + 1)))
-    there = found.select(F.col("step"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), *[F.col(c).alias(f"_{c}") for c in scalars])
-    for name, c in zip("xyz", cube("_lat", "_lon"), strict=True):
-        there = there.withColumn(f"_c{name}", c)
-    near = here.join(there, ["step", "_cx", "_cy", "_cz"]).where(distance_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")) <= most_km)
+    such row agrees in all scalars within the tolerance. Rows meet by step and by cubes of space: places, whatever the rows
+    at them, to be near, and rows, by spans of the first scalar too, to agree."""
+    side, width = max(4 * chord(most_km), 1e-3), 4 * tolerance or 1.0
+    rows = truth.groupBy("step", "lat", "lon", *scalars).agg(F.count(F.lit(1)).alias("_n"))
+    others = found.select("step", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), *[F.col(c).alias(f"_{c}") for c in scalars]).distinct()
     agree = F.lit(True)
     for c in scalars:
         agree = agree & F.coalesce(F.abs(F.col(c) - F.col(f"_{c}")) <= tolerance, F.col(c).isNull() & F.col(f"_{c}").isNull())
-    met = near.groupBy("step", "_row").agg(F.bool_or(agree).alias("_agrees")).groupBy("step").agg(F.count(F.lit(1)).alias("near"), F.count(F.when(F.col("_agrees"), 1)).alias("agreeing"))
+
+    def met(here: DataFrame, there: DataFrame, *more: Column) -> DataFrame:
+        """Rows of here, by step, that meet one of there."""
+        sent, names = reached_cubes(here, side, most_km), ["_cx", "_cy", "_cz"]
+        there = there.withColumns(cube(F.col("_lat"), F.col("_lon"), side)).withColumnsRenamed({n: f"_{n}" for n in ["step", *names]})
+        on = [F.col(n) == F.col(f"_{n}") for n in ["step", *names]]
+        near = distance_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")) <= most_km
+        return sent.join(there, reduce(and_, [*on, near, *more]), "left_semi").select(*[c for c in here.columns if c != "_span"]).distinct().groupBy("step")
+
+    if scalars:
+        first = F.col(scalars[0]).cast("double")
+        pad = tolerance * (1 + 1e-9) + F.abs(first) * 5e-16  # what rounding may add
+        spans = F.sequence(*[F.floor((first + d) / width) for d in (-pad, pad)])
+        with_span = rows.withColumn("_span", F.explode(F.when(first.isNull(), F.array(F.lit(None).cast("long"))).when(F.abs(first) < float("inf"), spans)))
+        with_other = others.withColumn("__span", F.floor(F.col(f"_{scalars[0]}").cast("double") / width))
+        agreeing = met(with_span, with_other, F.col("_span").eqNullSafe(F.col("__span")), agree)
+    else:
+        agreeing = met(rows, others)
+    places = truth.groupBy("step", "lat", "lon").agg(F.count(F.lit(1)).alias("_n"))
+    near = met(places, others.select("step", "_lat", "_lon").distinct()).agg(F.sum("_n").alias("near"))
     sizes = truth.groupBy("step").agg(F.count(F.lit(1)).alias("truth_rows")).join(found.groupBy("step").agg(F.count(F.lit(1)).alias("found_rows")), "step", "full")
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return sizes.join(met, "step", "left").select("step", *[zero(c) for c in ("truth_rows", "found_rows", "near", "agreeing")])
+    return sizes.join(near, "step", "left").join(agreeing.agg(F.sum("_n").alias("agreeing")), "step", "left").select("step", *[zero(c) for c in ("truth_rows", "found_rows", "near", "agreeing")])
 
 
 def near_pairs(truth: DataFrame, found: DataFrame, keys: list[str], most_km: float) -> DataFrame:
     """keys, track_id, match_id, km of the fixes of two sets of tracks with equal keys that lie nearer than most_km. Fixes meet
     by keys and cubes of space."""
-    side = most_km / EARTH_KM  # a chord is not longer than its arc
-    cube = lambda rows: rows.withColumns({f"_c{n}": F.floor(c / side).cast("long") for n, c in zip("xyz", cartesian(F.col("lat"), F.col("lon")), strict=True)})
-    here = cube(truth.select(*keys, "track_id", "lat", "lon"))
-    for n in "xyz":
-        here = here.withColumn(f"_c{n}", F.explode(F.sequence(F.col(f"_c{n}") - 1, F.col(f"_c{n}") + 1)))
-    there = cube(found.select(*keys, F.col("track_id").alias("match_id"), "lat", "lon")).withColumnsRenamed({"lat": "_lat", "lon": "_lon"})
+    side = max(2 * chord(most_km), 1e-3)
+    here = reached_cubes(truth.select(*keys, "track_id", "lat", "lon"), side, most_km)
+    there = found.select(*keys, F.col("track_id").alias("match_id"), "lat", "lon")
+    there = there.withColumns(cube(F.col("lat"), F.col("lon"), side)).withColumnsRenamed({"lat": "_lat", "lon": "_lon"})
     met = here.join(there, [*keys, "_cx", "_cy", "_cz"]).withColumn("km", distance_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")))
     return met.where(F.col("km") < most_km).select(*keys, "track_id", "match_id", "km")
 

@@ -43,3 +43,25 @@ def test_reached_cubes_leave_out_none(spark):
         met = {(r["id"], r["other"]) for r in sent.join(own, ["_cx", "_cy", "_cz"]).collect()}
         assert {(i, j) for i, a, o in points for j, b, p in points if km(a, o, b, p) <= 800} <= met
     assert sent.count() < 4 * len(points)
+
+
+@pytest.mark.parametrize("scalars, tolerance", [([], 0.0), (["wind"], 0.0), (["wind", "rmw"], 0.5)])
+def test_compared_against_all_pairs(spark, scalars, tolerance):
+    draw = np.random.default_rng(8)
+    odd = [None, float("nan"), float("inf"), 3.0, 3.5, 3.5000001, -0.5]
+    rows = lambda: [(i % 2, float(draw.integers(-9, 9) * 0.1 + (89.5 if i < 40 else 0)), float(draw.integers(-9, 9) * 0.1 % 360), odd[draw.integers(0, 7)], odd[draw.integers(0, 7)]) for i in range(150)]
+    truth, other = rows(), rows()
+    frame = lambda r: spark.createDataFrame(r, "step int, lat double, lon double, wind double, rmw double")
+    truth, other = ([(s, min(y, 90.0), x, w, m) for s, y, x, w, m in r] for r in (truth, other))
+    found = {r["step"]: r[1:] for r in cyclones.compared(frame(truth), frame(other), 20.0, scalars, tolerance).collect()}
+    alike = lambda a, b: a is b is None or (None not in (a, b) and abs(a - b) <= tolerance)
+    for step in (0, 1):
+        a, b = ([r for r in t if r[0] == step] for t in (truth, other))
+        near = [(x, [y for y in b if km(*x[1:3], *y[1:3]) <= 20]) for x in a]
+        agreeing = sum(any(all(alike(x[k], y[k]) for k in range(3, 3 + len(scalars))) for y in ys) for x, ys in near)
+        assert found[step] == (len(a), len(b), sum(bool(ys) for _, ys in near), agreeing)
+
+
+def test_compared_copies_each_fix_to_few_cubes(spark):
+    rows = spark.range(500).select(F.lit(1).alias("step"), (F.col("id") % 100 - 50).cast("double").alias("lat"), (F.col("id") % 360).cast("double").alias("lon"))
+    assert spheres.reached_cubes(rows, 4 * spheres.chord(20.0), 20.0).count() < 4 * 500  # 27 copies before
