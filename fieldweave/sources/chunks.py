@@ -2,6 +2,7 @@
 
 Rows have whole-number axes; a chunk is a box of them and a shard a box of chunks. A task writes one file, chunk after
 chunk, with an index behind them: each chunk's place, bytes, checksum and the least and greatest number of each axis. A
+shard of many rows is written by several tasks, and a chunk of many rows in pieces, each with its own entry. A
 manifest, written last, names the files that count, so a write that fails leaves nothing that is read, and its files are
 deleted. A read opens only chunks that its filters on axes can meet, and checks them."""
 
@@ -23,6 +24,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 NAME, MANIFEST = "fieldweave_chunks", "_manifest.json"
 #: Bytes behind the index that tell its length.
 _TAIL = 8
+#: Rows of a piece of a chunk, at most those of a batch more.
+PIECE_ROWS = 1 << 17
 
 
 def _at(path: str):
@@ -93,7 +96,7 @@ class _Writer(DataSourceArrowWriter):
                     if sink is None:
                         files.create_dir(inner.rpartition("/")[0], recursive=True)
                         sink = files.open_output_stream(inner)
-                    if held and keys[a] != here:
+                    if held and (keys[a] != here or sum(map(len, held)) >= PIECE_ROWS):
                         place, held = close(), []
                     here = keys[a]
                     held.append(rest.slice(a, b - a))
@@ -205,13 +208,16 @@ def register(spark: SparkSession) -> None:
 
 
 def write_chunks(df: DataFrame, path: str, chunk: dict[str, int], shard: dict[str, int], overwrite: bool = False) -> None:
-    """Writes df: `chunk` gives each axis' numbers a chunk, `shard` its chunks a shard. Rows of a shard meet in one task, in
-    order of their chunks; a null on an axis is an error."""
+    """Writes df: `chunk` gives each axis' numbers a chunk, `shard` its chunks a shard. Rows are cut into ranges in
+    order of their shards and chunks, those of equal axes by a hash, so that no task gets a whole shard of many rows; a null
+    on an axis is an error."""
     register(df.sparkSession)
     axes = list(chunk)
     number = {a: F.coalesce(F.floor(F.col(a) / chunk[a]), F.raise_error(F.lit(f"{a} is null")).cast("long")).cast("long") for a in axes}
     keyed = df.withColumn("_chunk", F.concat_ws("_", *[number[a] for a in axes])).withColumn("_shard", F.concat_ws("_", *[F.floor(number[a] / shard[a]) for a in axes]))
-    ordered = keyed.repartition("_shard").sortWithinPartitions("_shard", "_chunk", *axes)
+    by = ["_shard", "_chunk", *axes]
+    hashed = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]  # maps have no hash
+    ordered = keyed.repartitionByRange(*by, F.xxhash64(*hashed)).sortWithinPartitions(*by)
     _write(f"{path}/_schema.json", json.dumps(df.schema.jsonValue()).encode())
     ordered.write.format(NAME).option("path", path).option("axes", ",".join(axes)).mode("overwrite" if overwrite else "append").save()
 

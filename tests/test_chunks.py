@@ -78,3 +78,29 @@ def test_appends_overwrites_and_damage(spark):
     empty = tables.shared_folder(spark, "chunks")
     chunks.write_chunks(few.where("false"), empty, CHUNK, SHARD)
     assert chunks.read_chunks(spark, empty).count() == 0
+
+
+def test_a_shard_of_many_rows_is_cut(spark):
+    """A shard, and even rows of equal axes, come from several tasks."""
+    p, rows = tables.shared_folder(spark, "chunks"), spark.range(4000).select(F.lit(3).alias("member"), F.lit(70).cast("long").alias("step"), F.col("id").alias("value"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        chunks.write_chunks(rows, p, CHUNK, SHARD)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in chunks.read_chunks(spark, p).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2000
+    assert plain(chunks.read_chunks(spark, p)) == plain(rows)
+
+
+def test_a_chunk_of_many_rows_is_written_in_pieces(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(chunks, "PIECE_ROWS", 250)
+    batch = pa.RecordBatch.from_pydict({"member": [1] * 100, "_shard": ["0"] * 100, "_chunk": ["0"] * 100})
+    p = tables.shared_folder(spark, "chunks")
+    writer = chunks._Writer(p, ["member"], False)
+    writer.commit([writer.write(iter([batch] * 10))])
+    reader = chunks._Reader(p)
+    found = [b.num_rows for part in reader.partitions() for b in reader.read(part)]
+    assert sum(found) == 1000 and len(reader.partitions()[0].chunks) == 4
