@@ -27,3 +27,13 @@ def components(edges: DataFrame) -> DataFrame:
             break
         was = mark_now
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+
+
+def components_of_dense(links: DataFrame) -> DataFrame:
+    """The same for links that are many more than their nodes, each in both directions: every node is first joined to its least
+    neighbour alone, and the rounds then run on the distinct links between the groups that this gives, two nodes at least each."""
+    first = kept(components(links.groupBy("u").agg(F.min("v").alias("v"))))
+    at = lambda c: first.select(F.col("node").alias(c), F.col("root").alias(f"_{c}"))
+    between = links.where("u < v").join(at("u"), "u").join(at("v"), "v").where("_u <> _v")
+    second = components(between.select(F.col("_u").alias("u"), F.col("_v").alias("v"))).select(F.col("node").alias("root"), F.col("root").alias("_least"))
+    return first.join(second, "root", "left").select("node", F.coalesce("_least", "root").alias("root"))

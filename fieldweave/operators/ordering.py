@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.tables import kept
-from .components import components
+from .components import components_of_dense
 
 
 def numbered(rows: DataFrame, order: list[str], name: str, first: int = 0) -> DataFrame:
@@ -48,15 +49,17 @@ def banded_order(edges: DataFrame) -> DataFrame:
     follow each other in the order of their starts; at last positions are counted from the end. Edges of a node to
     itself and repeated ones count for nothing but the node's being there; null ends are left out. All components advance
     in the same jobs: some for the components, as many as the logarithm of their span, and one a level."""
-    ends = edges.select(F.col("sender").alias("u"), F.col("receiver").alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    pairs = kept(ends.unionByName(ends.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    nodes = kept(pairs.groupBy(F.col("u").alias("node")).agg(F.sum((F.col("u") != F.col("v")).cast("long")).alias("degree")))
-    links = pairs.where("u <> v")
+    ends = edges.select(F.least("sender", "receiver").alias("u"), F.greatest("sender", "receiver").alias("v")).where("sender IS NOT NULL AND receiver IS NOT NULL")
+    once, spark = kept(ends.distinct()), edges.sparkSession
+    pairs = once.unionByName(once.where("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v")))
+    # Links lie by their first ends for all that follows: only what meets them moves.
+    links = pairs.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), "u").persist(StorageLevel.DISK_ONLY)
+    nodes = kept(links.groupBy(F.col("u").alias("node")).agg(F.sum((F.col("u") != F.col("v")).cast("long")).alias("degree")))
+    links_of_two = links.where("u <> v")
     # The start of a component is the least (degree, node) in it.
-    named_links = links.join(nodes.select(F.col("node").alias("u"), F.col("degree").alias("_du")), "u").join(nodes.select(F.col("node").alias("v"), F.col("degree").alias("_dv")), "v")
-    stars = components(named_links.select(F.struct(F.col("_du").alias("degree"), F.col("u").alias("node")).alias("u"), F.struct(F.col("_dv").alias("degree"), F.col("v").alias("node")).alias("v")))
-    starts = stars.select(F.col("node.node").alias("_node"), F.col("root").alias("start"))
-    named = kept(nodes.join(starts, nodes["node"] == starts["_node"], "left").select("node", "degree", F.coalesce("start", F.struct("degree", "node")).alias("start")))
+    rooted = nodes.join(components_of_dense(links_of_two), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    starts = rooted.groupBy("root").agg(F.min(F.struct("degree", "node")).alias("start"))
+    named = kept(rooted.join(starts, "root").select("node", "degree", "start"))
     level, done = 0, None
     frontier = named.where("node = start.node").withColumn("first", F.lit(0).cast("long"))
     order = ["start", "first", "degree", "node"]
@@ -65,10 +68,11 @@ def banded_order(edges: DataFrame) -> DataFrame:
         if not placed.limit(1).count():
             break
         done = placed if done is None else done.unionByName(placed)
-        reached = links.join(placed.select(F.col("node").alias("u"), "place"), "u").groupBy(F.col("v").alias("node")).agg(F.min("place").alias("first"))
+        reached = links_of_two.join(placed.select(F.col("node").alias("u"), "place"), "u").groupBy(F.col("v").alias("node")).agg(F.min("place").alias("first"))
         # Neighbours of a level lie in it, in the one before or in the next.
         recent = placed.select("node") if level == 0 else placed.select("node").unionByName(last.select("node"))
         frontier, last, level = named.join(reached, "node").join(recent, "node", "left_anti"), placed, level + 1
+    links.unpersist()
     if done is None:
         return nodes.select("node", "degree", F.lit(0).alias("level"), F.lit(0).cast("long").alias("position"))
     whole = numbered(done, ["start", "level", "place"], "ahead")

@@ -102,3 +102,25 @@ def test_quantiles(spark):
 
 def test_robust_scales_gathers_no_values(spark):
     assert "percentile" not in QUERIES["robust_scales"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString().lower()
+
+
+def test_components_of_dense_links(spark):
+    """Chains whose least neighbours make many small groups, and a dense part: roots as by the plain rounds."""
+    from fieldweave.operators.components import components, components_of_dense
+
+    draw = np.random.default_rng(6)
+    edges = {(int(a), int(b)) for a, b in draw.integers(0, 300, (240, 2)) if a != b} | {(1000 + i, 1001 + i) for i in range(40)} | {(2000 + 7 * i % 64, 2000 + 7 * (i + 1) % 64) for i in range(63)}
+    links = spark.createDataFrame([*edges, *[(b, a) for a, b in edges]], "u long, v long").distinct()
+    plain = lambda rows: sorted(map(tuple, rows.collect()))
+    assert plain(components_of_dense(links)) == plain(components(links)) != []
+
+
+def test_rounds_run_on_few_links(spark, monkeypatch):
+    """A dense graph: the rounds of components see a link a node, and what is left between groups, but never all links."""
+    from fieldweave.operators import components as module
+
+    seen, plain = [], module.components
+    monkeypatch.setattr(module, "components", lambda edges: seen.append(edges.distinct().count()) or plain(edges))
+    edges = spark.createDataFrame([(2 * i, 2 * j + 1) for i in range(60) for j in range(40)], "sender long, receiver long")
+    assert ordering.banded_order(edges).count() == 100
+    assert seen and max(seen) <= 100
