@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import cartesian, distance_km, latlon
 from ..sources.tables import kept
+from .bumps import whole_bumps
 from .matching import BLOCK_OFFERS, auction
 from .neighbours import near_counts
 from .spheres import HALF_ROUND_KM, chord, cube, disc_cells, reached_cubes
@@ -154,13 +155,13 @@ def gaussian_raster(points: DataFrame, radius_km: float, cell: float, value: Col
     """By keys and cell: the sum over points of value * exp(-d * d / (2 * radius * radius)), each point's bump scaled to sum 1
     over the grid if `normalized`.
 
-    With most_error 0 every point reaches every cell. Above 0 a point of weight w reaches as far as its bump, times w, is
+    With most_error 0 every point reaches every cell (see `bumps`). Above 0 a point of weight w reaches as far as its bump, times w, is
     above most_error: each cell then lacks that much a point, at most. Points at one place are added up before they are
     spread, cells are made from the point and not joined, and partial sums are combined before they are shuffled."""
     places = points.groupBy(*keys, "lat", "lon").agg(F.sum(F.lit(1.0) if value is None else value).alias("_weight"))
-    reach = F.lit(HALF_ROUND_KM)
-    if most_error > 0:
-        reach = F.least(reach, radius_km * F.sqrt(2 * F.greatest(F.lit(0.0), F.ln(F.abs("_weight") / most_error))))
+    if most_error <= 0:
+        return whole_bumps(places, radius_km, cell, list(keys), normalized)
+    reach = F.least(F.lit(HALF_ROUND_KM), radius_km * F.sqrt(2 * F.greatest(F.lit(0.0), F.ln(F.abs("_weight") / most_error))))
     bumps = lambda rows: disc_cells(rows, reach, cell).withColumn("_g", F.exp(-0.5 * (F.col("d") / radius_km) ** 2))
     if normalized:
         # Totals are one row a place, so the cells, which are made twice, never move before they are summed.

@@ -215,3 +215,17 @@ def test_gridded_families(spark):
     assert value("cyclone_wind_disc", 10.0, 20.0) == [50.0] and math.isnan(value("cyclone_wind_disc", -30.0, 200.0)[0])
     assert value("cyclone_category_disc", -30.0, 200.0) == [1.0] and value("cyclone_r34_se_radius_disc", 10.0, 20.0) == [100.0]
     assert math.isnan(value("cyclone_r34_shape", -30.0, 200.0)[0])
+
+
+def test_whole_bumps_are_summed_in_arrays(spark):
+    """No row for a place and cell, and frames without a key, null weights and NaN as sums of rows have them."""
+    rows = [(None, "a", 10.0, 350.0, 2.0), (None, "a", 10.0, 350.0, None), (1, "a", -90.0, 0.0, None), (2, "b", 5.5, 7.25, float("nan")), (2, None, 89.0, 181.0, 1.0), (2, None, -30.0, 40.0, 3.0), (3, "c", None, 1.0, 1.0)]
+    found = cyclones.gaussian_raster(spark.createDataFrame(rows, "step int, name string, lat double, lon double, v double"), 900.0, 10.0, F.col("v"), ("step", "name"))
+    assert "explode" not in found._jdf.queryExecution().toString().lower()
+    cells = {}
+    for r in found.collect():
+        cells.setdefault((r["step"], r["name"]), {})[r["cell_lat"], r["cell_lon"]] = r["gaussian"]
+    assert set(cells) == {(None, "a"), (1, "a"), (2, "b"), (2, None)} and {len(c) for c in cells.values()} == {19 * 36}
+    assert set(cells[1, "a"].values()) == {None} and all(math.isnan(v) for v in cells[2, "b"].values())
+    for (y, x), v in cells[2, None].items():
+        assert v == pytest.approx(sum(w * math.exp(-0.5 * (km(y, x, a, o) / 900) ** 2) for a, o, w in ((89.0, 181.0, 1.0), (-30.0, 40.0, 3.0))), abs=1e-12)
