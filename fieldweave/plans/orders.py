@@ -46,5 +46,6 @@ def banded_nodes(spark, sf_dir):
 @query()
 def banded_edges(spark, sf_dir):
     edges = _supplied(spark, sf_dir)
-    out = ordering.renumbered(edges, ordering.banded_order(edges))
-    return out.groupBy("sender_position", "receiver_position").agg(F.count(F.lit(1)).alias("rows"))
+    # Equal edges are counted where their senders meet, so edges move once for that and for the senders' positions.
+    counts = edges.repartition("sender").groupBy("sender", "receiver").agg(F.count(F.lit(1)).alias("rows"))
+    return ordering.renumbered(counts, ordering.banded_order(edges)).select("sender_position", "receiver_position", "rows")
