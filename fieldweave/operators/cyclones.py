@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import cartesian, distance_km, latlon
 from ..sources.tables import kept
 from .bumps import whole_bumps
-from .matching import BLOCK_OFFERS, auction
+from .matching import BLOCK_OFFERS, matched_places
 from .neighbours import near_counts
 from .spheres import HALF_ROUND_KM, chord, cube, disc_cells, reached_cubes
 
@@ -284,10 +284,21 @@ def near_pairs(truth: DataFrame, found: DataFrame, keys: list[str], most_km: flo
 
 def matched(truth: DataFrame, found: DataFrame, most_km: float = 500.0, block_offers: int = BLOCK_OFFERS) -> DataFrame:
     """One-to-one pairs of the fixes of two sets of tracks at each step, nearer than most_km: step, track_id, match_id, km. A
-    fix may stay alone at the cost of most_km; the sum of the costs, in whole metres, is the least. A track has one fix a
-    step. Near pairs are found by cubes of space and settled by auction (see `matching`): no task holds a matrix, and none
-    more than block_offers offers."""
-    pairs = kept(near_pairs(truth, found, ["step"], most_km))
-    metres = F.least(F.round(F.col("km") * 1000), F.lit(most_km * 1000)).cast("long")
-    won = auction(pairs.select(F.col("step").alias("group"), F.col("track_id").alias("left"), F.col("match_id").alias("right"), metres.alias("metres")), int(most_km * 1000), block_offers)
-    return pairs.join(won.select(F.col("group").alias("step"), F.col("left").alias("track_id"), F.col("right").alias("match_id")), ["step", "track_id", "match_id"])
+    fix may stay alone at the cost of most_km. A track has one fix a step.
+
+    Fixes at one place are paired first, in the order of their tracks: no sum of distances is less without that, as a way
+    round by one place is no shorter than the straight one. Of the others the sum of the costs, in whole metres, is the least.
+    They are settled by auction (see `matching`), and only pairs that its prices ask for are made. A task holds the fixes of a
+    step of up to block_offers; larger steps are settled in cubes and in blocks of block_offers offers."""
+    there = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
+    fix = lambda rows, side: rows.where(F.col("step").isNotNull() & F.col("track_id").isNotNull() & there("lat") & there("lon")).select("step", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"), F.col("track_id").alias("id"), F.lit(side).alias("_side"))
+    place = ["step", "lat", "lon"]
+    numbered = fix(truth, 0).unionByName(fix(found, 1)).withColumn("_k", F.row_number().over(W.partitionBy(*place, "_side").orderBy("id")))
+    own = lambda side: F.max(F.when(F.col("_side") == side, F.col("id")))
+    met = kept(numbered.groupBy(*place, "_k").agg(own(0).alias("track_id"), own(1).alias("match_id")))
+    left, right = (met.where(F.col(other).isNull()).select(F.col("step").alias("group"), F.col(i).alias("id"), "lat", "lon") for i, other in (("track_id", "match_id"), ("match_id", "track_id")))
+    won = matched_places(left, right, most_km, block_offers).select(F.col("group").alias("step"), F.col("left").alias("track_id"), F.col("right").alias("match_id"))
+    at = lambda rows, i, mark: rows.select(F.col("group").alias("step"), F.col("id").alias(i), F.col("lat").alias(f"{mark}lat"), F.col("lon").alias(f"{mark}lon"))
+    near = won.join(at(left, "track_id", ""), ["step", "track_id"]).join(at(right, "match_id", "_"), ["step", "match_id"])
+    same = met.where("track_id IS NOT NULL AND match_id IS NOT NULL").select("step", "track_id", "match_id", F.lit(0.0).alias("km"))
+    return same.unionByName(near.select("step", "track_id", "match_id", distance_km(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")).alias("km")))

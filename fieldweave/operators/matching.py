@@ -6,6 +6,8 @@ prices an earlier and coarser phase has left, and the last phase, whose bids ris
 together, leaves the least cost. Bidders lie in blocks. In a round each block places its free bidders at the prices
 that it knows, by lists of near pairs and never by a matrix; then the highest bid for each object holds, and who was
 outbid is free again.
+
+Near pairs are made only as prices ask for them (see `pricing`), so their number grows with the fixes and not with its square.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import kept, ship
+from .pricing import Places, best_pairs, missed, nearest
+from .spheres import chord, cube, reached_cubes
 
 #: Offers (two a near pair, two a fix) of a block of bidders; by how much a phase is finer than the one before.
 BLOCK_OFFERS, FINER = 1 << 18, 8
@@ -60,17 +64,19 @@ class _Block:
         self.targets, self.gains = np.split(place, ends[:-1]), np.split(offers["gain"].to_numpy(np.int64) * scale, ends[:-1])
 
 
-def _alone(offers: pd.DataFrame) -> pd.DataFrame:
-    """All phases of a group whose offers are one block."""
-    scale = len(offers[["by_kind", "by_id"]].drop_duplicates()) + 1
-    block = _Block(offers, scale)
-    price = np.zeros(len(block.objects), np.int64)
-    for rise in _phases(int(offers["gain"].max()) * scale):
-        owner = np.full(len(block.objects), -1)
-        _place(block.targets, block.gains, price, owner, list(range(len(block.bidders))), rise)
-    taken = owner >= 0
-    by = block.bidders.iloc[owner[taken]]
-    return block.objects[taken].assign(group=offers["group"].iloc[0], price=price[taken], by_kind=by["by_kind"].to_numpy(), by_id=by["by_id"].to_numpy())[["group", "kind", "id", "price", "by_kind", "by_id"]]
+def _alone(scale: int):
+    def settled(offers: pd.DataFrame) -> pd.DataFrame:
+        """All phases of a group whose offers are one block."""
+        block = _Block(offers, scale)
+        price = np.zeros(len(block.objects), np.int64)
+        for rise in _phases(int(offers["gain"].max()) * scale):
+            owner = np.full(len(block.objects), -1)
+            _place(block.targets, block.gains, price, owner, list(range(len(block.bidders))), rise)
+        taken = owner >= 0
+        by = block.bidders.iloc[owner[taken]]
+        return block.objects[taken].assign(group=offers["group"].iloc[0], price=price[taken], by_kind=by["by_kind"].to_numpy(), by_id=by["by_id"].to_numpy())[["group", "kind", "id", "price", "by_kind", "by_id"]]
+
+    return settled
 
 
 def _bidding(rise: int, scale: int):
@@ -110,11 +116,8 @@ def _in_rounds(offers: DataFrame, most: int, scale: int) -> DataFrame:
     return prices
 
 
-def auction(pairs: DataFrame, most_m: int, block_offers: int = BLOCK_OFFERS) -> DataFrame:
-    """group, left, right: one-to-one pairs of each group whose sum of (most_m - metres) is the greatest.
-
-    pairs: group, left, right, metres (whole numbers, below most_m). A group of block_offers offers is settled by one task
-    from its lists; larger ones are cut into blocks by hash and settled in rounds."""
+def _settled(pairs: DataFrame, most_m: int, block_offers: int) -> tuple[DataFrame, int]:
+    """Who has which object, at which price, and by how much gains are scaled: above twice the bidders of any group."""
     ship(pairs.sparkSession)
     pairs = kept(pairs.select("group", "left", "right", (most_m - F.col("metres")).cast("long").alias("gain")))
     offer = lambda gain, kind, i, by_kind, by: pairs.select("group", F.lit(kind).alias("kind"), F.col(i).alias("id"), F.lit(by_kind).alias("by_kind"), F.col(by).alias("by_id"), gain.alias("gain"))
@@ -123,12 +126,85 @@ def auction(pairs: DataFrame, most_m: int, block_offers: int = BLOCK_OFFERS) ->
     gain = F.col("gain")
     offers = offer(gain, 0, "right", 0, "left").unionByName(offer(gain, 1, "left", 1, "right")).unionByName(alone(1, 0, "left")).unionByName(alone(0, 1, "right"))
     sizes = kept(offers.groupBy("group").agg(F.count(F.lit(1)).alias("offers"), F.count_distinct("by_kind", "by_id").alias("bidders"), F.max("gain").alias("gain")))
-    small = offers.join(sizes.where(F.col("offers") <= block_offers).select("group"), "group", "left_semi")
-    settled = small.groupBy("group").applyInPandas(_alone, _BID)
-    large = sizes.where(F.col("offers") > block_offers)
-    bounds = large.agg(F.max("bidders"), F.max("gain")).first()
-    if bounds[0] is not None:
-        blocks = large.select("group", F.ceil(F.col("offers") / block_offers).cast("int").alias("blocks"))
+    is_large = F.col("offers") > block_offers
+    bidders, most = sizes.agg(F.max("bidders"), F.max(F.when(is_large, F.col("gain")))).first()
+    scale = 2 * (bidders or 0) + 1
+    small = offers.join(sizes.where(~is_large).select("group"), "group", "left_semi")
+    settled = small.groupBy("group").applyInPandas(_alone(scale), _BID)
+    if most is not None:
+        blocks = sizes.where(is_large).select("group", F.ceil(F.col("offers") / block_offers).cast("int").alias("blocks"))
         cut = offers.join(blocks, "group").withColumn("block", F.pmod(F.xxhash64("by_kind", "by_id"), F.col("blocks")).cast("int")).drop("blocks")
-        settled = settled.unionByName(_in_rounds(cut, bounds[1], bounds[0] + 1))
+        settled = settled.unionByName(_in_rounds(cut, most, scale))
+    return settled, scale
+
+
+def _taken(settled: DataFrame) -> DataFrame:
     return settled.where("kind = 0 AND by_kind = 0").select("group", F.col("by_id").alias("left"), F.col("id").alias("right"))
+
+
+def auction(pairs: DataFrame, most_m: int, block_offers: int = BLOCK_OFFERS) -> DataFrame:
+    """group, left, right: one-to-one pairs of each group whose sum of (most_m - metres) is the greatest.
+
+    pairs: group, left, right, metres (whole numbers, below most_m). A group of block_offers offers is settled by one task
+    from its lists; larger ones are cut into blocks by hash and settled in rounds."""
+    return _taken(_settled(pairs, most_m, block_offers)[0])
+
+
+def _asking(most_km: float, scale: int | None):
+    def pairs(_, here: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        """Of a cube's fixes, the nearest ones (no scale), or those that the prices u and v have missed."""
+        i, j, gain = np.empty((3, 0), np.int64)
+        if len(here) and len(there):
+            left, right = (Places(t["lat"].to_numpy(), t["lon"].to_numpy()) for t in (here, there))
+            i, j, gain = nearest(left, right, most_km) if scale is None else missed(left, right, here["u"].to_numpy(), there["v"].to_numpy(), scale, 1, most_km)[:3]
+        group = (here if len(here) else there)["group"].iloc[0]
+        return pd.DataFrame({"group": group, "left": here["id"].to_numpy()[i], "right": there["id"].to_numpy()[j], "metres": int(most_km * 1000) - gain})
+
+    return pairs
+
+
+def _asked(lefts: DataFrame, rights: DataFrame, most_km: float, block_offers: int) -> DataFrame:
+    """matched_places of groups that no task holds: fixes meet in cubes of space, and the auction is held again with what its
+    prices have missed until they have missed nothing."""
+    side, by = max(2 * chord(most_km), 1e-3), ["group", "_cx", "_cy", "_cz"]
+    here, there = kept(reached_cubes(lefts, side, most_km)), kept(rights.withColumns(cube(F.col("lat"), F.col("lon"), side)))
+    met = lambda a, b, scale: a.groupBy(*by).cogroup(b.groupBy(*by)).applyInPandas(_asking(most_km, scale), "group long, left long, right long, metres long")
+    pairs = kept(met(here, there, None).distinct())
+    most_m = int(most_km * 1000)
+    while True:
+        settled, scale = _settled(pairs, most_m, block_offers)
+        settled = kept(settled)
+        price = lambda kind, i: settled.where(F.col("kind") == kind).select("group", F.col("id").alias(i), F.col("price").alias(f"_{i}"))
+        gain = (most_m - F.col("metres")) * scale
+        priced = pairs.join(price(1, "left"), ["group", "left"]).join(price(0, "right"), ["group", "right"])
+        # A bidder's best offer and the price of its copy: never below 0, which is what staying alone is worth.
+        dual = lambda i, other, name: priced.groupBy("group", F.col(i).alias("id")).agg(F.greatest(F.lit(0), F.max(gain - F.col(f"_{other}") + F.col(f"_{i}"))).cast("long").alias(name))
+        known = lambda rows, i, other, name: rows.join(dual(i, other, name), ["group", "id"], "left").fillna(0, [name])
+        more = kept(met(known(here, "left", "right", "u"), known(there, "right", "left", "v"), scale))
+        if more.isEmpty():
+            return _taken(settled)
+        pairs = kept(pairs.unionByName(more).distinct())
+
+
+def matched_places(lefts: DataFrame, rights: DataFrame, most_km: float, block: int) -> DataFrame:
+    """group, left, right: one-to-one pairs of each group's fixes, nearer than most_km, whose sum of (most_km - km), in whole
+    metres, is the greatest. lefts, rights: group, id (whole numbers), lat, lon. A group of up to `block` fixes is settled by
+    one task, which holds its fixes and the pairs that prices ask for; of larger ones a task holds a cube or a block."""
+    spark = lefts.sparkSession
+    ship(spark)
+    sides = lefts.withColumn("_right", F.lit(False)).unionByName(rights.withColumn("_right", F.lit(True)))
+    sizes = kept(sides.groupBy("group").agg(F.count(F.lit(1)).alias("fixes")))
+    large = sizes.where(F.col("fixes") > block).select("group")
+
+    def settled(fixes: pd.DataFrame) -> pd.DataFrame:
+        left, right = fixes[~fixes["_right"]], fixes[fixes["_right"]]
+        i, j = best_pairs(*(t[c].to_numpy() for t in (left, right) for c in ("lat", "lon")), most_km)
+        return pd.DataFrame({"group": fixes["group"].iloc[0], "left": left["id"].to_numpy()[i], "right": right["id"].to_numpy()[j]})
+
+    # Few bytes, much work: a given number of partitions, as adaptive execution would leave them to few tasks.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    out = sides.join(large, "group", "left_anti").repartition(parts, "group").groupBy("group").applyInPandas(settled, "group long, left long, right long")
+    if large.isEmpty():
+        return out
+    of = lambda rows: rows.join(large, "group", "left_semi")
+    return out.unionByName(_asked(of(lefts), of(rights), most_km, block))

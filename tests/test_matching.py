@@ -5,9 +5,11 @@ from itertools import permutations
 import numpy as np
 import pytest
 
-from fieldweave.operators import matching
+from fieldweave.operators import cyclones, matching
 from fieldweave.operators.cyclones import matched
 from fieldweave.operators.matching import auction
+from fieldweave.operators.neighbours import _km
+from fieldweave.operators.pricing import best_pairs
 from fieldweave.plans.catalogue import QUERIES
 from test_gridding import km
 
@@ -87,3 +89,35 @@ def test_ties_and_price_wars(spark, monkeypatch, block, unit):
         assert len({i for i, _ in own}) == len({j for _, j in own}) == len(own)
         saved = np.where(cost < 0.9 * most, most - cost, 0)
         assert sum(saved[p] for p in own) == sum(saved[p] for p in _assign(-saved.astype(float)))
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_pairs_that_prices_ask_for(seed):
+    """Few pairs are made, and yet the savings are those of all near pairs, in whole metres; at equal places too."""
+    rng = np.random.default_rng(seed)
+    n, m = rng.integers(1, 70, 2)
+    wide, most = (0.5, 5, 25, 60)[seed % 4], (500, 1000, 3000)[seed % 3]
+    side = lambda k: (rng.integers(-5, 5, k).astype(float), rng.integers(-5, 5, k) % 360.0) if seed % 5 == 0 else (rng.uniform(-wide, wide, k), rng.uniform(0, 2 * wide, k) % 360)
+    a, b = side(n), side(m)
+    i, j = best_pairs(*a, *b, float(most))
+    far = _km(a[0][:, None], a[1][:, None], *b)
+    saved = np.where(far < most, most * 1000 - np.minimum(np.floor(far * 1000 + 0.5), most * 1000), 0)
+    assert len(set(i)) == len(set(j)) == len(i) and (far[i, j] < most).all()
+    assert saved[i, j].sum() == sum(saved[p] for p in _assign(-saved))
+
+
+def test_a_dense_step_writes_no_row_a_pair(spark, monkeypatch):
+    """400 fixes against 380, all of them near each other, some at equal places: what is written grows with the fixes."""
+    rng, written = np.random.default_rng(3), []
+    for module in (cyclones, matching):
+        keep = module.kept
+        monkeypatch.setattr(module, "kept", lambda df, *args, _keep=keep, **more: written.append(_keep(df, *args, **more)) or written[-1])
+    rows = lambda k: [(1, i, float(rng.integers(0, 30)) / 20, float(rng.integers(0, 30)) / 20) for i in range(k)]
+    a, b = rows(400), rows(380)
+    frame = lambda r: spark.createDataFrame(r, "step long, track_id long, lat double, lon double")
+    found = matched(frame(a), frame(b), 500.0).collect()
+    assert max(t.count() for t in written) <= 780
+    far = _km(*[np.array([r[k] for r in a])[:, None] for k in (2, 3)], *[np.array([r[k] for r in b]) for k in (2, 3)])
+    assert len({r["track_id"] for r in found}) == len({r["match_id"] for r in found}) == len(found) == 380
+    assert all(abs(far[r["track_id"], r["match_id"]] - r["km"]) < 1e-6 for r in found)
+    assert sum(r["km"] for r in found) == pytest.approx(sum(far[p] for p in _assign(far)), abs=0.05)
