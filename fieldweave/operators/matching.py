@@ -197,13 +197,15 @@ def matched_places(lefts: DataFrame, rights: DataFrame, most_km: float, block: i
     large = sizes.where(F.col("fixes") > block).select("group")
 
     def settled(fixes: pd.DataFrame) -> pd.DataFrame:
+        fixes = fixes.sort_values("id")  # ties fall the same way in each run
         left, right = fixes[~fixes["_right"]], fixes[fixes["_right"]]
         i, j = best_pairs(*(t[c].to_numpy() for t in (left, right) for c in ("lat", "lon")), most_km)
         return pd.DataFrame({"group": fixes["group"].iloc[0], "left": left["id"].to_numpy()[i], "right": right["id"].to_numpy()[j]})
 
-    # Few bytes, much work: a given number of partitions, as adaptive execution would leave them to few tasks.
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    out = sides.join(large, "group", "left_anti").repartition(parts, "group").groupBy("group").applyInPandas(settled, "group long, left long, right long")
+    # Few bytes, much work: a given number of partitions, as adaptive execution would leave them to few tasks; by range, as hashes
+    # would give one task many groups and others none.
+    parts = min(sizes.count(), max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16 * spark.sparkContext.defaultParallelism))
+    out = sides.join(large, "group", "left_anti").repartitionByRange(max(parts, 1), "group").groupBy("group").applyInPandas(settled, "group long, left long, right long")
     if large.isEmpty():
         return out
     of = lambda rows: rows.join(large, "group", "left_semi")

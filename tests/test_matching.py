@@ -5,11 +5,11 @@ from itertools import permutations
 import numpy as np
 import pytest
 
-from fieldweave.operators import cyclones, matching
+from fieldweave.operators import cyclones, matching, pricing
 from fieldweave.operators.cyclones import matched
 from fieldweave.operators.matching import auction
 from fieldweave.operators.neighbours import _km
-from fieldweave.operators.pricing import best_pairs
+from fieldweave.operators.pricing import Places, best_pairs, missed
 from fieldweave.plans.catalogue import QUERIES
 from test_gridding import km
 
@@ -121,3 +121,34 @@ def test_a_dense_step_writes_no_row_a_pair(spark, monkeypatch):
     assert len({r["track_id"] for r in found}) == len({r["match_id"] for r in found}) == len(found) == 380
     assert all(abs(far[r["track_id"], r["match_id"]] - r["km"]) < 1e-6 for r in found)
     assert sum(r["km"] for r in found) == pytest.approx(sum(far[p] for p in _assign(far)), abs=0.05)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fixes_at_one_place_bid_together(monkeypatch, seed):
+    """Hundreds of fixes at a few places: pairs are offered by places, and the savings are those of all pairs of fixes."""
+    rng, offered, keep = np.random.default_rng(seed), [], pricing._Auction.offer
+    monkeypatch.setattr(pricing._Auction, "offer", lambda self, *pairs: offered.append(len(pairs[0])) or keep(self, *pairs))
+    side = lambda k: (rng.integers(-2, 3, k) * 3.0, rng.integers(-3, 4, k) * 3 % 360.0)
+    a, b = side(260), side(240 + 40 * (seed % 2))
+    i, j = best_pairs(*a, *b, 900.0)
+    far = _km(a[0][:, None], a[1][:, None], *b)
+    saved = np.where(far < 900, 900_000 - np.minimum(np.floor(far * 1000 + 0.5), 900_000), 0)
+    assert len(set(i)) == len(set(j)) == len(i) and (far[i, j] < 900).all()
+    assert saved[i, j].sum() == sum(saved[p] for p in _assign(-saved))
+    assert max(offered) <= 35 * 35
+
+
+@pytest.mark.parametrize("margin", [0, 40_000, 3_000_000])
+def test_watched_pairs_are_all_that_prices_miss(margin):
+    """Prices that rise and fall: what is watched finds the pairs that a search of all cells finds."""
+    rng = np.random.default_rng(margin)
+    left, right = (Places(rng.uniform(-40, 40, k), rng.uniform(0, 90, k)) for k in (300, 250))
+    u, v, scale = rng.integers(0, 900_000, 300) * 7, rng.integers(0, 900_000, 250) * 7, 7
+    watch, found = pricing._Watch(left, right, scale, 800.0, margin * scale), 0
+    for rise in (500, 300, 100, 20, 1, 1):
+        x, y, gain, excess = watch.missed(u, v, rise)
+        i, j, more, least = missed(left, right, u, v, scale, rise, 800.0, None)
+        assert sorted(zip(x, y, gain, excess, strict=True)) == sorted(zip(i, j, more, least, strict=True))
+        found += len(x)
+        u, v = (np.maximum(0, p + rng.integers(-60_000, 50_000, len(p)) * scale * (rng.random(len(p)) < 0.5)) for p in (u, v))
+    assert found > 100
