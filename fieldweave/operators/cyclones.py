@@ -289,7 +289,7 @@ def matched(truth: DataFrame, found: DataFrame, most_km: float = 500.0, block_of
     Fixes at one place are paired first, in the order of their tracks: no sum of distances is less without that, as a way
     round by one place is no shorter than the straight one. Of the others the sum of the costs, in whole metres, is the least.
     They are settled by auction (see `matching`), and only pairs that its prices ask for are made. A task holds the fixes of a
-    step of up to block_offers; larger steps are settled in cubes and in blocks of block_offers offers."""
+    step of up to block_offers places; larger steps are settled in cubes and in blocks of block_offers offers."""
     there = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
     fix = lambda rows, side: rows.where(F.col("step").isNotNull() & F.col("track_id").isNotNull() & there("lat") & there("lon")).select("step", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"), F.col("track_id").alias("id"), F.lit(side).alias("_side"))
     place = ["step", "lat", "lon"]

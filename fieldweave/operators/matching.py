@@ -22,8 +22,9 @@ from ..sources.tables import kept, ship
 from .pricing import Places, best_pairs, missed, nearest
 from .spheres import chord, cube, reached_cubes
 
-#: Offers (two a near pair, two a fix) of a block of bidders; by how much a phase is finer than the one before.
-BLOCK_OFFERS, FINER = 1 << 18, 8
+#: Offers (two a near pair, two a fix) of a block of bidders; by how much a phase is finer than the one before; fixes that a task
+#: holds for each place it may hold.
+BLOCK_OFFERS, FINER, HELD_FIXES = 1 << 18, 8, 8
 
 _BID = "group long, kind int, id long, price long, by_kind int, by_id long"
 
@@ -188,13 +189,14 @@ def _asked(lefts: DataFrame, rights: DataFrame, most_km: float, block_offers: in
 
 def matched_places(lefts: DataFrame, rights: DataFrame, most_km: float, block: int) -> DataFrame:
     """group, left, right: one-to-one pairs of each group's fixes, nearer than most_km, whose sum of (most_km - km), in whole
-    metres, is the greatest. lefts, rights: group, id (whole numbers), lat, lon. A group of up to `block` fixes is settled by
-    one task, which holds its fixes and the pairs that prices ask for; of larger ones a task holds a cube or a block."""
+    metres, is the greatest. lefts, rights: group, id (whole numbers), lat, lon. A group of up to `block` places, and some times as
+    many fixes at them, is settled by one task, which holds its fixes and the pairs of places that prices ask for; of larger
+    ones a task holds a cube or a block."""
     spark = lefts.sparkSession
     ship(spark)
     sides = lefts.withColumn("_right", F.lit(False)).unionByName(rights.withColumn("_right", F.lit(True)))
-    sizes = kept(sides.groupBy("group").agg(F.count(F.lit(1)).alias("fixes")))
-    large = sizes.where(F.col("fixes") > block).select("group")
+    sizes = kept(sides.groupBy("group").agg(F.count(F.lit(1)).alias("fixes"), F.count_distinct("_right", "lat", "lon").alias("places")))
+    large = sizes.where((F.col("places") > block) | (F.col("fixes") > HELD_FIXES * block)).select("group")
 
     def settled(fixes: pd.DataFrame) -> pd.DataFrame:
         fixes = fixes.sort_values("id")  # ties fall the same way in each run
